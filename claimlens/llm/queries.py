@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from claimlens.llm.simhash import op5_simhash_near_dedup
+from claimlens.llm.tokens import op7_token_counts
 
 QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_token_counts": op7_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
