@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from claimlens.llm.dac import op4_token_id_output
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
 
 QUERIES = {
+    "op4_token_id_output": op4_token_id_output,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
 }
