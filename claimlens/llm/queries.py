@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from claimlens.llm.chunks import op9_substring_dedup
 from claimlens.llm.dac import op4_token_id_output
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
@@ -10,6 +11,7 @@ QUERIES = {
     "op4_token_id_output": op4_token_id_output,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
