@@ -6,12 +6,14 @@ from claimlens.llm.chunks import op9_substring_dedup
 from claimlens.llm.dac import op4_token_id_output
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
+from claimlens.llm.topk import OP8_SQL, op8_exact_top_k
 
 QUERIES = {
     "op4_token_id_output": op4_token_id_output,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": OP8_SQL}
