@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from claimlens.llm.chunks import op9_substring_dedup
 from claimlens.llm.dac import op4_token_id_output
+from claimlens.llm.decontaminate import op2_benchmark_decontamination
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
 from claimlens.llm.topk import OP8_SQL, op8_exact_top_k
 
 QUERIES = {
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op4_token_id_output": op4_token_id_output,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_token_counts": op7_token_counts,
