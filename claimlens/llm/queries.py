@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from claimlens.llm.chat import op10_chat_formatting
 from claimlens.llm.chunks import op9_substring_dedup
 from claimlens.llm.dac import op4_token_id_output
 from claimlens.llm.decontaminate import op2_benchmark_decontamination
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": OP8_SQL}
