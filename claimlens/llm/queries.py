@@ -6,12 +6,14 @@ from claimlens.llm.chat import op10_chat_formatting
 from claimlens.llm.chunks import op9_substring_dedup
 from claimlens.llm.dac import op4_token_id_output
 from claimlens.llm.decontaminate import op2_benchmark_decontamination
+from claimlens.llm.langid import op1_language_id
 from claimlens.llm.mixing import op3_source_mixing
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
 from claimlens.llm.topk import OP8_SQL, op8_exact_top_k
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_source_mixing": op3_source_mixing,
     "op4_token_id_output": op4_token_id_output,
