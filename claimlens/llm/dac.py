@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.tokens import LONG, MEMO, load
+from claimlens.llm.tokens import Memo, load, merger, odd
 from claimlens.plans.session import small_batches
 from claimlens.plans.staging import Staging
 
@@ -122,39 +123,23 @@ class Reader:
 
 # ---------------------------------------------------------------- ids of texts
 
-#: Outside this alphabet normalising here might differ from the library; combining marks are outside.
-_ODD = re.compile(r"[^\t\n\r -~¡«»¿À-ɏ]|İ|<\|")
 #: The vocabulary's own split after white space is gone: endings, runs of letters, single digits, runs of the rest.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
 class Encoder:
-    """Ids of whole texts with the word-end vocabulary; words the library has encoded are remembered as bytes."""
+    """Ids of whole texts with the word-end vocabulary; words the library's model has merged are remembered as bytes."""
 
     def __init__(self, path: str):
-        self.tok, self.memo = load(path), {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, without an end id."""
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo = self.memo = {}
-        split = [None if _ODD.search(t) else _WORDS.findall(t.lower()) for t in texts]
-        new = list({w for own in split if own for w in own if w not in memo})
-        long = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (memo if len(w) <= LONG else long)[w] = np.array(e.ids, "<u4").tobytes()
-        out = []
-        for text, own in zip(texts, split, strict=True):
-            if own is None:
-                out.append(np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-            elif long:
-                out.append(b"".join([memo[w] if w in memo else long[w] for w in own]))
-            else:
-                out.append(b"".join(map(memo.__getitem__, own)))
-        return out
+        self.tok, merge = load(path), merger(path)
+        self.memo = Memo(lambda word: array("I", [t.id for t in merge(word)]).tobytes(), {})
+
+    def ids(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of a whole text, without an end id."""
+        if odd(text) or "<|" in text or "İ" in text:
+            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+        self.memo.trim()
+        return b"".join(map(self.memo.__getitem__, _WORDS.findall(text.lower())))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -204,7 +189,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, file_toke
         for batch in batches:
             at = int(batch.shard.iloc[0]) if len(batch) else at
             keys = batch.doc_id.astype("Int64").fillna(NULL_ID).tolist()
-            for key, raw in zip(keys, encoder.ids([t or "" for t in batch.text]), strict=True):
+            for key, text in zip(keys, batch.text, strict=True):
+                raw = encoder.ids(text or "")
                 ids.append(raw + end)
                 docs_.append(key)
                 sizes.append(len(raw) // 4 + 1)

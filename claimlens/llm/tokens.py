@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -24,8 +24,8 @@ from tokenizers import Tokenizer
 
 from claimlens.plans.session import small_batches
 
-#: Entries of a worker's memo; it starts again from the proven strings when full.
-MEMO = 400_000
+#: Entries of each of a worker's two memo generations.
+MEMO = 250_000
 #: Pre-tokens longer than this are encoded without being kept.
 LONG = 64
 
@@ -63,38 +63,55 @@ def prove_whole_tokens(path: str) -> list[str]:
     return [s for s, e in zip(strings, tok.encode_batch_fast(strings, add_special_tokens=False), strict=True) if len(e.ids) == 1]
 
 
+def merger(path: str) -> Callable[[str], list]:
+    """The library's merges of one pre-token that is already normalised: its bytes in the vocabulary's alphabet."""
+    tokenize, letters = load(path).model.tokenize, {b: c for c, b in byte_alphabet().items()}
+    return lambda piece: tokenize(piece.encode("utf-8").decode("latin-1").translate(letters))
+
+
+class Memo(dict):
+    """What `make` gives for each pre-token, in two generations: entries still in use move to the young one, and when
+    that is full the old one is dropped."""
+
+    def __init__(self, make: Callable, keep: dict):
+        super().__init__(keep)
+        self.make, self.keep, self.old = make, keep, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONG:
+            self[key] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self) > MEMO + len(self.keep):
+            self.old = dict(self)
+            self.clear()
+            self.update(self.keep)
+
+
+def odd(text: str) -> bool:
+    """Whether the library must split a text: characters that engines class differently."""
+    if text.isascii():
+        return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+    return _ODD.search(text) is not None
+
+
 class Counter:
     """Token counts of whole texts: proven pre-tokens count one, the library merges the rest."""
 
     def __init__(self, path: str, proven: list[str]):
-        self.tok, self.proven = load(path), dict.fromkeys(proven, 1)
-        self.memo = dict(self.proven)
-        special = sorted((t.content for t in self.tok.get_added_tokens_decoder().values()), key=len, reverse=True)
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-
-    def counts(self, texts: list[str]) -> list[int]:
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo = self.memo = dict(self.proven)
-        pieces: list[list[str] | None] = []
-        for text in texts:
-            plain = not (_ODD.search(text) or (self.special and self.special.search(text)))
-            pieces.append(_BYTE_LEVEL.findall(text) if plain else None)
-        new = list({p for own in pieces if own for p in own if p not in memo})
-        long = {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (memo if len(p) <= LONG else long)[p] = len(e.ids)
-        out = []
-        for text, own in zip(texts, pieces, strict=True):
-            if own is None:
-                out.append(len(self.tok.encode(text, add_special_tokens=False).ids))
-            elif long:
-                out.append(sum(memo[p] if p in memo else long[p] for p in own))
-            else:
-                out.append(sum(map(memo.__getitem__, own)))
-        return out
+        self.tok, merge = load(path), merger(path)
+        self.memo = Memo(lambda piece: len(merge(piece)), dict.fromkeys(proven, 1))
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+
+    def count(self, text: str) -> int:
+        if odd(text) or any(s in text for s in self.special):
+            return len(self.tok.encode(text, add_special_tokens=False).ids)
+        self.memo.trim()
+        return sum(map(self.memo.__getitem__, _BYTE_LEVEL.findall(text)))
 
 
 _COUNTERS: dict[str, Counter] = {}
@@ -112,7 +129,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         counter = _COUNTERS.get(path) or _COUNTERS.setdefault(path, Counter(path, proven.value))
         for batch in batches:
-            yield pd.Series(counter.counts([t or "" for t in batch]), dtype="int64")
+            yield pd.Series([counter.count(t or "") for t in batch], dtype="int64")
 
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), count("text").alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
