@@ -89,13 +89,11 @@ def mix(docs: DataFrame, target: float | None = ENTROPY, max_repeat: float | Non
     staging = staging or Staging(spark, "mixing")
     add = {n: n + "_" * (n in docs.columns) for n in ("mix_tokens", "mix_epoch", "mix_block", "mix_block_order", "mix_order", "mix_source")}
     key = F.struct("doc_id", "source")
-    sized = docs if keep_text else docs.drop("text")
-    if keep_text:
-        sized = docs.withColumn(add["mix_tokens"], _tokens())
-    else:
-        sized = staging.table(docs.select(*[c for c in docs.columns if c != "text"], _tokens().alias(add["mix_tokens"])), "tokens")
-    sized = sized.withColumn(add["mix_source"], F.to_json(F.struct("source")))
-    total = sized.groupBy(add["mix_source"]).agg(F.sum(add["mix_tokens"]).alias("t"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
+    label = F.to_json(F.struct("source")).alias(add["mix_source"])
+    # sums are formed over a slim table; the texts are read once, where the mixture is dealt
+    slim = staging.table(docs.select(*[c for c in docs.columns if c != "text" and not (keep_text and c not in ("doc_id", "source"))], _tokens().alias(add["mix_tokens"]), label), "tokens")
+    sized = docs.select(*docs.columns, _tokens().alias(add["mix_tokens"]), label) if keep_text else slim
+    total = slim.groupBy(add["mix_source"]).agg(F.sum(add["mix_tokens"]).alias("t"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(total) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     total.sort(key=lambda r: r[0])
@@ -107,20 +105,20 @@ def mix(docs: DataFrame, target: float | None = ENTROPY, max_repeat: float | Non
     )
     block = F.pmod(F.xxhash64(F.lit(seed), key), F.col("blocks")).alias(add["mix_block"])
     order = F.xxhash64(F.lit(seed + 1), key).alias("h")
-    placed = sized.join(F.broadcast(table), add["mix_source"]).select("*", block, order)  # MAX_SOURCES bounds the table
+    place = lambda df: df.join(F.broadcast(table), add["mix_source"]).select("*", block, order)  # noqa: E731 MAX_SOURCES bounds the table
     at = [add["mix_source"], add["mix_block"]]
-    sums = placed.where("rest > 0").groupBy(*at, "rest").agg(F.sum(add["mix_tokens"]).alias("b"))
+    sums = place(slim).where("rest > 0").groupBy(*at, "rest").agg(F.sum(add["mix_tokens"]).alias("b"))
     shuffled = Window.partitionBy(add["mix_source"]).orderBy(F.xxhash64(F.lit(seed + 2), *at), add["mix_block"])
     before = F.sum("b").over(shuffled) - F.col("b")
     marked = sums.select(*at, "b", (F.col("rest") - before).alias("room"))
     full = marked.where("b <= room").select(*at, F.lit(2**63 - 1).alias("bound"))
     # one block a source at most straddles the edge; its documents are bounded by block_tokens, but for empty ones
     edge = marked.where("b > room and room > 0").select(*at, "room")
-    inside = placed.join(F.broadcast(edge), at).groupBy(*at, "room", "h").agg(F.sum(add["mix_tokens"]).alias("d"))
+    inside = place(slim).join(F.broadcast(edge), at).groupBy(*at, "room", "h").agg(F.sum(add["mix_tokens"]).alias("d"))
     within = Window.partitionBy(*at).orderBy("h")
     part = inside.withColumn("run", F.sum("d").over(within)).where("run <= room").groupBy(*at).agg(F.max("h").alias("bound"))
     taken = staging.table(full.unionByName(part), "blocks")
-    out = placed.join(taken, at, "left")
+    out = place(sized).join(taken, at, "left")
     copies = F.col("whole") + F.when(F.col("bound").isNotNull() & (F.col("h") <= F.col("bound")), 1).otherwise(0)
     out = out.withColumn("copies", copies).where("copies > 0").withColumn(add["mix_epoch"], F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
     return out.select(

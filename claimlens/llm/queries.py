@@ -11,6 +11,7 @@ from claimlens.llm.mixing import op3_source_mixing
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
 from claimlens.llm.topk import OP8_SQL, op8_exact_top_k
+from claimlens.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_source_mixing": op3_source_mixing,
     "op4_token_id_output": op4_token_id_output,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_substring_dedup": op9_substring_dedup,

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,6 +109,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without doc_id cannot be told apart by it and stay.
     """
     kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    order = F.struct(F.xxhash64(*docs.columns))
-    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
-    return named.unionByName(docs.where("doc_id is null"))
+    named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
+    once = named.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return once.unionByName(docs.where("doc_id is null"))
