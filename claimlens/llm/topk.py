@@ -32,8 +32,8 @@ from claimlens.plans.staging import Staging
 SCALE, K = 256, 5
 #: Bounds of memory: queries sent to the tasks at once, and candidates that a task ranks at once.
 QUERY_BLOCK, CANDIDATE_BLOCK, QUERY_STEP = 4096, 8192, 256
-#: Candidates whose bounds are formed first, to see whether a depth can close anything.
-PROBE = 64
+#: Queries whose bounds are formed first, to see whether a depth can close anything.
+PROBE = 8
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
@@ -80,9 +80,9 @@ class Lists:
         self.up[bottom, self._cols] = self.rows[bottom, self._cols]
         self.read = depth
 
-    def bounds(self, at: slice) -> tuple[np.ndarray, np.ndarray]:
-        """Upper and lower stand-ins of candidates `at`: unseen entries hold the frontier, or the list's far end."""
-        down, up = self.down[at], self.up[at]
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """Upper and lower stand-ins of the candidates: unseen entries hold the frontier, or the list's far end."""
+        down, up = self.down, self.up
         blank_d, blank_u = np.isnan(down), np.isnan(up)
         upper = np.concatenate((np.where(blank_d, self.values[self.n - self.read], down), np.where(blank_u, self.values[self.read - 1], up)), axis=1)
         lower = np.concatenate((np.where(blank_d, self.values[0], down), np.where(blank_u, self.values[-1], up)), axis=1)
@@ -102,18 +102,20 @@ def scan_block(q: np.ndarray, q_ids: np.ndarray, rows: np.ndarray, ids: np.ndarr
         return n
     lists, q = Lists(rows.astype(kind)), q.astype(kind)
     signs = np.concatenate((np.maximum(q, 0), np.minimum(q, 0)), axis=1)
-    k, alive, depth = best.k, np.arange(len(q)), min(n, max(64, n // 4))
-    probe = slice(None, None, max(1, n // PROBE))
+    k, alive, depth = best.k, np.arange(len(q)), min(n, max(64, n // 16))
     while True:
         lists.read_to(depth)
         ends = depth == n
-        if not ends and n > 8 * PROBE:
-            # where too many of a few candidates are still open, reading on is cheaper than bounding them all
-            open_ = signs[alive] @ lists.bounds(probe)[0].T >= best.floor()[alive][:, None]
-            if open_.mean() > 1 / 16:
+        rows_at = None if ends else lists.bounds()
+        if not ends and len(alive) > 2 * PROBE:
+            # where a few of the queries stay open, reading on is cheaper than bounding all of them
+            few = alive[:: len(alive) // PROBE]
+            upper, lower = (signs[few] @ b.T for b in rows_at)
+            bar = np.maximum(best.floor()[few], np.partition(lower, max(0, n - k - 1), axis=1)[:, max(0, n - k - 1)])  # one may be a query's own
+            if (upper >= bar[:, None]).mean() > 1 / 16:
                 depth = min(n, depth * 2)
                 continue
-        upper_rows, lower_rows = (None, None) if ends else lists.bounds(slice(None))
+        upper_rows, lower_rows = rows_at or (None, None)
         left = []
         for lo in range(0, len(alive), QUERY_STEP):
             now = alive[lo : lo + QUERY_STEP]
