@@ -150,7 +150,7 @@ class Net:
 
 def train(docs: DataFrame) -> Net:
     """Fit on the documented sample of labelled documents."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
+    usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id")
     ids = usable.select("doc_id", "lang").dropDuplicates(["doc_id"])
     # a bounded head per language before the window, so that one frequent language is not ranked in one task
