@@ -86,7 +86,12 @@ def merge_statements(rows: DataFrame, keys: list[str], lists: list[str]) -> Data
 
 
 def drop_subsumed(rows: DataFrame, key: str, ident: str, text: str) -> DataFrame:
-    """Rows whose text is not a whole-word part of a longer text under the same key."""
-    longer = rows.select(F.col(key).alias("k"), F.concat(F.lit(" "), F.col(text), F.lit(" ")).alias("t"), F.length(text).alias("n"))
-    inside = (F.col(key) == F.col("k")) & (F.col("n") > F.length(text)) & F.col("t").contains(F.concat(F.lit(" "), F.col(text), F.lit(" ")))
+    """Rows whose text is not a whole-word part of a longer text under the same key.
+
+    Longer texts are met by key and by the shorter one's first word, so rows of a key are not all compared.
+    """
+    padded = F.concat(F.lit(" "), F.col(text), F.lit(" "))
+    words = F.array_distinct(F.split(F.col(text), " "))
+    longer = rows.select(F.col(key).alias("__k"), padded.alias("__t"), F.length(text).alias("__n"), F.explode(words).alias("__w"))
+    inside = (F.col(key) == F.col("__k")) & (F.split(F.col(text), " ")[0] == F.col("__w")) & (F.col("__n") > F.length(text)) & F.col("__t").contains(padded)
     return rows.join(longer, inside, "left_anti")

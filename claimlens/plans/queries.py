@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.functions import clocks, geo, ids, text
+from claimlens.functions import clocks, facilities, geo, ids, text
 from claimlens.operators import changes, evaluate, forecast, graph, identity, intervals, records, refresh, views
 from claimlens.plans.session import ensure
 from claimlens.plans.staging import Staging
+from claimlens.sources import exports, readers
 from claimlens.sources import projection as P
+from claimlens.streaming import queues
 
 DAY = "2024-01-15"
 AT = 1705320000000000  # 2024-01-15T12:00:00Z
@@ -736,3 +738,161 @@ def grouped_counts(spark, sf_dir):
     n = F.broadcast(P.table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))  # a fixed table
     c = P.table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return c.groupBy(F.col("n_name").alias("country")).agg(F.count("*").alias("n"), F.round(F.sum("c_acctbal"), 2).alias("total"))
+
+
+# ---------------------------------------------------------------- queues
+
+
+def _queue(spark, sf_dir):
+    """Conversations as queues: a user's turn observes a version, an assistant's decides it."""
+    c = P.table(spark, sf_dir, "conversations")
+    version = (F.length("text") % 3).cast("string")
+    payload = F.to_json(F.struct(version.alias("version"), F.when(F.col("role") == "assistant", "resolved").alias("action")))
+    kind = F.when(F.col("role") == "assistant", "decided").otherwise("observed")
+    return c.select(F.col("conv_id").alias("queue"), F.col("turn").alias("sequence"), (F.col("turn") * 1000).alias("recorded_us"), kind.alias("kind"), payload.alias("payload"))
+
+
+QUEUE = """q AS (SELECT conv_id AS queue, turn AS sequence, CAST(length(text) % 3 AS VARCHAR) AS version, role = 'assistant' AS decides,
+  CASE WHEN role = 'assistant' THEN '{"version":"' || (length(text) % 3) || '","action":"resolved"}' ELSE '{"version":"' || (length(text) % 3) || '"}' END AS payload FROM conversations)"""
+
+
+@query(
+    f"""WITH RECURSIVE {QUEUE}, o AS (SELECT *, row_number() OVER (PARTITION BY queue ORDER BY sequence) AS k FROM q),
+c(queue, k, sequence, previous_event_id, event_id) AS (
+  SELECT queue, k, sequence, CAST(NULL AS VARCHAR), sha256('|' || sequence || '|' || payload) FROM o WHERE k = 1
+  UNION ALL SELECT o.queue, o.k, o.sequence, c.event_id, sha256(c.event_id || '|' || o.sequence || '|' || o.payload) FROM c JOIN o ON o.queue = c.queue AND o.k = c.k + 1)
+SELECT queue, sequence, previous_event_id, event_id FROM c"""
+)
+def event_chain(spark, sf_dir):
+    return queues.chain(_queue(spark, sf_dir)).select("queue", "sequence", "previous_event_id", "event_id")
+
+
+@query("SELECT conv_id AS queue, turn AS sequence, CASE WHEN turn = 2 THEN 'id' ELSE 'predecessor' END AS problem FROM conversations WHERE (turn = 2 AND conv_id % 5 = 0) OR (turn = 4 AND conv_id % 5 = 1)")
+def event_chain_violations(spark, sf_dir):
+    """A log in which some payloads were edited and some links were cut."""
+    c, q = queues.chain(_queue(spark, sf_dir)), F.col("queue") % 5
+    edited = c.withColumn("payload", F.when((F.col("sequence") == 2) & (q == 0), "{}").otherwise(F.col("payload")))
+    cut = edited.withColumn("previous_event_id", F.when((F.col("sequence") == 4) & (q == 1), "x").otherwise(F.col("previous_event_id")))
+    return queues.violations(cut)
+
+
+@query(
+    f"""WITH {QUEUE}, obs AS (SELECT queue, version, min(sequence) AS a, max(sequence) AS b, count(*) AS seen FROM q WHERE NOT decides GROUP BY 1, 2),
+dec AS (SELECT q.queue, q.version, max(q.sequence) AS d FROM q JOIN obs ON obs.queue = q.queue AND obs.version = q.version WHERE decides AND q.sequence > a GROUP BY 1, 2)
+SELECT o.queue, o.version, CASE WHEN d IS NULL THEN 'pending' ELSE 'resolved' END AS status, a * 1000 AS first_us, b * 1000 AS last_us, seen, coalesce(b > d, FALSE) AS reopen FROM obs o LEFT JOIN dec USING (queue, version)"""
+)
+def event_chain_fold(spark, sf_dir):
+    return queues.fold(_queue(spark, sf_dir))
+
+
+@query("SELECT date_trunc('day', ts)::TIMESTAMP AS day_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def windowed_counts(spark, sf_dir):
+    """Our extension: tumbling windows under a watermark (here over the whole table)."""
+    e = P.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    w = queues.windowed_counts(e)
+    return w.select(F.col("start").cast("timestamp_ntz").alias("day_start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(
+    """WITH v AS (SELECT DISTINCT user_id AS key, event_type AS version, epoch_us(date_trunc('day', ts)::TIMESTAMP) AS us FROM events),
+d AS (SELECT DISTINCT key, us FROM v), p AS (SELECT key, us, lag(us) OVER (PARTITION BY key ORDER BY us) AS prev FROM d)
+SELECT v.key, v.version, v.us FROM v JOIN p USING (key, us) WHERE EXISTS (SELECT 1 FROM v w WHERE w.key = v.key AND w.us = p.prev AND w.version <> v.version)"""
+)
+def version_recurrences(spark, sf_dir):
+    e = P.table(spark, sf_dir, "events")
+    return queues.recurrences(e.select(F.col("user_id").alias("key"), F.col("event_type").alias("version"), clocks.micros(F.date_trunc("day", F.col("ts").cast("timestamp"))).alias("us")))
+
+
+# ---------------------------------------------------------------- facility rules
+
+PHRASES = ["A chip manufacturing fab for 300 mm wafers at 5 nm.", "Advanced packaging with GaN and 200 mm lines.", "Assembly and test; mask blanks and silicon wafers, 7nm and 12 nm.", "Offices only."]
+AWARDS = ["Award Amount: Up to $1.5 billion in proposed direct funding (split across two sites)", "Award Amount: $250 million in direct funding", "Award Amount: up to $75,000 million in total funding", "No award"]
+TEXTS = "[" + ",".join("'" + x + "'" for x in PHRASES) + "]"
+LINES = "[" + ",".join("'" + x + "'" for x in AWARDS) + "]"
+
+
+def _phrase(options, key="p_partkey"):
+    return F.element_at(F.array(*[F.lit(x) for x in options]), (F.col(key) % len(options) + 1).cast("int"))
+
+
+@query(
+    f"""WITH t AS (SELECT p_partkey, {TEXTS}[p_partkey % 4 + 1] AS t FROM part)
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'wafer_fabrication' WHEN 1 THEN 'advanced_packaging,power_semiconductor' WHEN 2 THEN 'assembly,photomask,test' ELSE '' END AS activities,
+  array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '\\b(100|150|200|300|450)\\s*[- ]?mm\\b', 1), lambda x: CAST(x AS INTEGER)))), ',') AS wafers,
+  array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '\\b(\\d+)\\s*nm\\b', 1), lambda x: CAST(x AS INTEGER)))), ',') AS nodes FROM t"""
+)
+def facility_text(spark, sf_dir):
+    t = F.col("t")
+    p = P.table(spark, sf_dir, "part").select("p_partkey", _phrase(PHRASES).alias("t"))
+    join = lambda c: F.array_join(c.cast("array<int>").cast("array<string>"), ",")
+    return p.select("p_partkey", F.array_join(facilities.activities(t), ",").alias("activities"), join(facilities.wafer_sizes(t)).alias("wafers"), join(facilities.nodes(t)).alias("nodes"))
+
+
+@query("SELECT p_partkey, [1500000000, 250000000, 75000000000, NULL][p_partkey % 4 + 1]::BIGINT AS amount, ['proposed_up_to','reported_amount','up_to',NULL][p_partkey % 4 + 1] AS qualifier, ['multi_site_shared','site','site',NULL][p_partkey % 4 + 1] AS award_scope FROM part")
+def award_amounts(spark, sf_dir):
+    a, q, s = facilities.award_amount(F.col("t"))
+    return P.table(spark, sf_dir, "part").select("p_partkey", _phrase(AWARDS).alias("t")).select("p_partkey", a.alias("amount"), q.alias("qualifier"), s.alias("award_scope"))
+
+
+@query("SELECT p_partkey, ['announced','under_construction','under_construction','unknown'][p_partkey % 4 + 1] AS stage, [0.65,0.72,0.65,0.35][p_partkey % 4 + 1]::DOUBLE AS confidence FROM part")
+def map_lifecycle(spark, sf_dir):
+    k = F.col("p_partkey") % 4
+    tag = lambda a, b: F.create_map(F.lit(a), F.lit(b))
+    tags = F.when(k == 0, tag("Proposed:industrial", "Works")).when(k == 1, tag("construction", "factory")).when(k == 2, tag("building", "Construction")).otherwise(tag("proposed", "no"))
+    return P.table(spark, sf_dir, "part").select("p_partkey", facilities.lifecycle(tags).alias("l")).select("p_partkey", "l.stage", F.col("l.confidence").cast("double").alias("confidence"))
+
+
+@query("SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN upper(lpad(CAST(c_custkey AS VARCHAR), 8, 'a')) WHEN 1 THEN lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') || '123456' WHEN 2 THEN '99A12345' WHEN 3 THEN NULL ELSE '12345678' END AS number FROM customer")
+def registration_numbers(spark, sf_dir):
+    c, k = P.table(spark, sf_dir, "customer"), F.col("c_custkey")
+    two = F.lpad((k % 100).cast("string"), 2, "0")
+    raw = F.when(k % 5 == 0, F.lpad(k.cast("string"), 8, "a")).when(k % 5 == 1, F.concat(two, F.lit("-123456-78"))).when(k % 5 == 2, "99-a12345-01").when(k % 5 == 3, "12 34").otherwise("1234567890")
+    return c.select("c_custkey", facilities.registration_number(raw).alias("number"))
+
+
+@query("SELECT c_custkey, c_custkey % 5 IN (0, 4) AS sound FROM customer")
+def valid_points(spark, sf_dir):
+    k = F.col("c_custkey") % 5
+    lon = F.when(k == 1, "0").when(k == 2, "1e2").when(k == 3, "117.9").otherwise("121.5")
+    lat = F.when(k == 1, "0").when(k == 4, "27").otherwise("24.1")
+    return P.table(spark, sf_dir, "customer").select("c_custkey", facilities.point_in_box(lon, lat, (118, 21, 123, 27)).alias("sound"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_size IN (7, 11)")
+def exact_code_filter(spark, sf_dir):
+    """Registry rows one of whose separated codes is exactly one of the wanted ones."""
+    p = P.table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("x7, "), F.col("p_size").cast("string"), F.lit(" ,110")).alias("codes"))
+    return p.where(readers.has_code(F.col("codes"), ["7", "11"])).select("p_partkey")
+
+
+@query("SELECT s_nationkey AS key, count(DISTINCT s_acctbal > 0) AS n_variants FROM supplier GROUP BY 1")
+def registry_variants(spark, sf_dir):
+    s = P.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("key"), (F.col("s_acctbal") > 0).alias("flag"))
+    return readers.variants(s, "key").select("key", F.size("variants").cast("long").alias("n_variants"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) END AS starts, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + 30 END AS ends FROM orders")
+def interval_intersections(spark, sf_dir):
+    d, k = F.to_date("o_orderdate"), F.col("o_orderkey")
+    starts = F.array(d, F.when(k % 3 == 0, F.date_add(d, 40)).otherwise(F.date_add(d, (k % 20).cast("int"))))
+    a, b = facilities.interval_intersection(starts, F.array(F.lit(None).cast("date"), F.date_add(d, 30)))
+    return P.table(spark, sf_dir, "orders").select("o_orderkey", a.alias("starts"), b.alias("ends"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 THEN 'reaffirmation' WHEN p_partkey % 4 = 0 THEN 'disjoint_later' WHEN p_partkey % 4 = 1 THEN 'disjoint_earlier' ELSE 'overlapping_changed' END AS comparison FROM part")
+def period_comparison(spark, sf_dir):
+    d, k = F.lit("2024-06-01").cast("date"), F.col("p_partkey") % 4
+    shift = F.when(k == 0, 60).when(k == 1, -60).when(k == 2, 10).otherwise(0)
+    return P.table(spark, sf_dir, "part").select("p_partkey", changes.compare_periods(d, F.date_add(d, 30), F.date_add(d, shift), F.date_add(d, shift + 30)).alias("comparison"))
+
+
+@query("""SELECT '{"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '","note":null}' AS value FROM customer""")
+def canonical_json_lines(spark, sf_dir):
+    return exports.json_lines(P.table(spark, sf_dir, "customer").select("c_name", "c_mktsegment", F.lit(None).cast("string").alias("note")))
+
+
+@query("""SELECT '{"type":"Feature","id":' || c_custkey || ',"geometry":{"type":"Point","coordinates":[' || ((c_custkey * 37 % 360) - 180) || '.0,' || ((c_custkey * 17 % 180) - 90) || '.0]},"properties":{"c_custkey":' || c_custkey || '}}' AS value FROM customer""")
+def geojson_features(spark, sf_dir):
+    k = F.col("c_custkey")
+    p = P.table(spark, sf_dir, "customer").select("c_custkey", (k * 37 % 360 - 180).cast("double").alias("lon"), (k * 17 % 180 - 90).cast("double").alias("lat"))
+    return exports.features(p, "c_custkey", "lon", "lat")
