@@ -9,7 +9,7 @@ A run is reported from `min_words` words on: chunks straddling a passage's two e
 to be caught (20 for passages over 50 words).
 
 Defined results: null and empty texts have no chunk and no row; exact copies repeat whole; a passage that repeats
-inside one document only counts where `within` is set; ties on the first place go to the smallest (doc_id, chunk); repeated rows
+inside one document only counts where `within` is set; ties on the first place go to the smallest (doc_id, place); repeated rows
 (same doc_id) are told apart by a row number; other columns are ignored; an empty table gives an empty result.
 """
 
@@ -28,7 +28,9 @@ from claimlens.plans.staging import Staging
 
 WINDOW, CUT_BITS, MIN, MAX = 16, 5, 16, 256
 MIN_WORDS = 20
-_SCHEMA = "doc_id long, row long, chunk int, start int, end int, words int, digest binary"
+#: A chunk's place in its text as one number, so that rows stay small where they are shuffled: 45 bits of start,
+#: 10 of length, 8 of words; it orders the chunks of a text.
+_SPAN = "doc_id long, row long, span long, digest binary"
 
 
 def gear_table(seed: int = 7) -> np.ndarray:
@@ -79,7 +81,7 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 
     def chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cols: list[list] = [[], [], [], [], [], [], []]
+            cols: list[list] = [[], [], [], []]
             for doc_id, row, text in zip(batch.doc_id.astype("Int64"), batch.row, batch.text, strict=True):
                 if not text:
                     continue
@@ -91,21 +93,22 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                 begins = ~space
                 begins[1:] &= space[:-1]
                 counts = np.add.reduceat(begins, starts, dtype=np.int64)
+                at = np.array(starts, np.int64)
                 n = len(ends)
-                for col, values in zip(cols, ([doc_id] * n, [row] * n, range(n), starts, ends, counts.tolist(), [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(starts, ends, strict=True)]), strict=True):
+                for col, values in zip(cols, ([doc_id] * n, [row] * n, (at << 18 | (np.array(ends) - at) << 8 | counts).tolist(), [xxhash.xxh3_128_digest(data[i:j]) for i, j in zip(starts, ends, strict=True)]), strict=True):
                     col.extend(values)
                 if len(cols[0]) > 50_000:
                     yield _frame(cols)
-                    cols = [[], [], [], [], [], [], []]
+                    cols = [[], [], [], []]
             yield _frame(cols)
 
     small_batches(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
-    return named.mapInPandas(chunked, _SCHEMA)
+    return named.mapInPandas(chunked, _SPAN)
 
 
 def _frame(cols: list[list]) -> pd.DataFrame:
-    return pd.DataFrame({"doc_id": pd.array(cols[0], dtype="Int64"), "row": cols[1], "chunk": cols[2], "start": cols[3], "end": cols[4], "words": cols[5], "digest": cols[6]})
+    return pd.DataFrame({"doc_id": pd.array(cols[0], dtype="Int64"), "row": cols[1], "span": cols[2], "digest": cols[3]})
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool = False, staging: Staging | None = None) -> DataFrame:
@@ -117,12 +120,17 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool
     """
     staging = staging or Staging(docs.sparkSession, "chunks")
     chunks = staging.table(chunk_rows(docs), "chunks")
-    place = F.struct("doc_id", "row", "chunk")
-    seen = chunks.groupBy("digest").agg(F.min(place).alias("first"), F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("n")).where("lo <> hi" if not within else "n > 1").select("digest", "first")
-    again = chunks.join(seen, "digest").select("doc_id", "row", "chunk", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"), ((F.col("first.row") == F.col("row")) & (F.col("first.chunk") == F.col("chunk"))).alias("is_first"))
-    inside = Window.partitionBy("row").orderBy("chunk")
-    island = again.withColumn("island", F.col("chunk") - F.row_number().over(inside))
-    head = F.min_by("first_doc_id", "chunk").alias("first_doc_id")
+    place = F.struct("doc_id", "row", "span")
+    counts = [F.min(place).alias("first"), F.min("row").alias("lo"), F.max("row").alias("hi")]
+    seen = chunks.groupBy("digest").agg(*counts, *([F.count("*").alias("n")] if within else [])).where("n > 1" if within else "lo <> hi").select("digest", "first")
+    mine = (F.col("first.row") == F.col("row")) & (F.col("first.span") == F.col("span"))
+    again = chunks.join(seen, "digest").select("doc_id", "row", "span", F.col("first.doc_id").alias("first_doc_id"), mine.alias("is_first"))
+    start, size, words = F.shiftright("span", 18), F.shiftright("span", 8).bitwiseAND(F.lit(1023)), F.col("span").bitwiseAND(F.lit(255))
+    inside = Window.partitionBy("row").orderBy("span")
+    spans = again.select("doc_id", "row", "span", "first_doc_id", "is_first", start.cast("int").alias("start"), (start + size).cast("int").alias("end"), words.cast("int").alias("words"))
+    heads = spans.withColumn("head", F.coalesce(F.lag("end").over(inside) != F.col("start"), F.lit(True)).cast("int"))
+    island = heads.withColumn("island", F.sum("head").over(inside))
+    head = F.min_by("first_doc_id", "span").alias("first_doc_id")
     runs = island.groupBy("row", "doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("words"), head, F.min("is_first").alias("is_first"))
     return runs.where(F.col("words") >= min_words).select("doc_id", "row", "start", "end", "words", "first_doc_id", "is_first")
 
