@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.functions import clocks, facilities, geo, ids, text
-from claimlens.operators import changes, evaluate, forecast, graph, identity, intervals, records, refresh, views
+from claimlens.operators import changes, curated, evaluate, forecast, graph, identity, intervals, records, refresh, release, views
 from claimlens.plans.session import ensure
 from claimlens.plans.staging import Staging
 from claimlens.sources import exports, readers
@@ -896,3 +896,166 @@ def geojson_features(spark, sf_dir):
     k = F.col("c_custkey")
     p = P.table(spark, sf_dir, "customer").select("c_custkey", (k * 37 % 360 - 180).cast("double").alias("lon"), (k * 17 % 180 - 90).cast("double").alias("lat"))
     return exports.features(p, "c_custkey", "lon", "lat")
+
+
+# ---------------------------------------------------------------- releases and ledgers
+
+DOCS = "d AS (SELECT doc_id AS document_id, source, lang AS family, doc_id * 1000 AS retrieved_us FROM documents), runs AS (SELECT event_id % (SELECT count(*) FROM documents) AS document_id, epoch_us(ts) AS started_us FROM events)"
+
+
+@query(
+    f"""WITH {DOCS}, acc AS (SELECT document_id, min(started_us) AS accepted_us FROM runs WHERE started_us <= {AT} GROUP BY 1),
+m AS (SELECT d.document_id, source, CASE WHEN source IN ('src1', 'src2') THEN 'moved' ELSE family END AS family, retrieved_us, accepted_us FROM d JOIN acc USING (document_id))
+SELECT family, count(DISTINCT source) AS sources, count(*) AS documents, min(retrieved_us) AS first_retrieved_us, max(retrieved_us) AS last_retrieved_us, min(accepted_us) AS first_accepted_us, max(accepted_us) AS last_accepted_us FROM m GROUP BY 1"""
+)
+def source_families(spark, sf_dir):
+    """Accepted documents by family, where reviewed assignments moved two sources (and a later one is not yet known)."""
+    d = P.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document_id"), "source", F.col("lang").alias("family"), (F.col("doc_id") * 1000).alias("retrieved_us"))
+    n = F.broadcast(P.table(spark, sf_dir, "documents").agg(F.count("*").alias("n")))  # one row
+    runs = P.table(spark, sf_dir, "events").join(n).select((F.col("event_id") % F.col("n")).alias("document_id"), clocks.micros(F.col("ts")).alias("started_us"))
+    moves = spark.createDataFrame([("src1", "moved", 1), ("src2", "other", 1), ("src2", "moved", 2), ("src3", "late", AT + 1)], "source string, new_family string, recorded_us long")
+    return release.families(d, runs, release.current_family(moves, AT), AT)
+
+
+@query(f"WITH r AS (SELECT user_id AS run_id, max(epoch_us(ts)) AS completed_us FROM events GROUP BY 1), i AS (SELECT user_id AS run_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS inputs FROM events WHERE value > 50 GROUP BY 1), s AS (SELECT user_id AS run_id, string_agg(DISTINCT CAST(event_id % 3 AS VARCHAR), ',' ORDER BY CAST(event_id % 3 AS VARCHAR)) AS scopes FROM events WHERE event_id % 10 = 0 GROUP BY 1) SELECT run_id, coalesce(inputs, '') AS inputs, coalesce(scopes, '') AS scopes FROM r LEFT JOIN i USING (run_id) LEFT JOIN s USING (run_id) WHERE completed_us <= {END}")
+def resolution_runs(spark, sf_dir):
+    e = P.table(spark, sf_dir, "events").withColumn("run_id", F.col("user_id"))
+    runs = e.groupBy("run_id").agg(F.max(clocks.micros(F.col("ts"))).alias("completed_us"))
+    inputs = e.where("value > 50").select("run_id", F.col("event_type").alias("input"))
+    scopes = e.where("event_id % 10 = 0").select("run_id", (F.col("event_id") % 3).cast("string").alias("scope"))
+    out = release.runs_with_lists(runs, inputs, scopes, END)
+    return out.select("run_id", F.array_join("inputs", ",").alias("inputs"), F.array_join("scopes", ",").alias("scopes"))
+
+
+@query(f"WITH {ASSIGN} SELECT assignment_id, observed_id, CASE WHEN recorded_us + 864000000000 <= 896659200000000 THEN recorded_us + 864000000000 END AS superseded_us FROM assign WHERE valid_from <= DATE '1998-06-01' AND recorded_us <= 896659200000000 AND assignment_id % 11 <> 0")
+def assignment_history(spark, sf_dir):
+    """Assignments known at an instant whose decisions were known too, ended ones included."""
+    a = P.assignments(spark, sf_dir).withColumns({"superseded_us": F.col("recorded_us") + 864000000000, "decision_id": F.col("assignment_id")})
+    decisions = a.select("decision_id", F.when(F.col("assignment_id") % 11 != 0, F.col("recorded_us")).alias("decided_us"))
+    return release.assignment_history(a, decisions, "1998-06-01", 896659200000000).select("assignment_id", "observed_id", "superseded_us")
+
+
+@query(
+    f"""WITH {DEPS}, {EVIDENCE}, c AS (SELECT event_id AS id, user_id FROM events WHERE event_type = 'purchase'), m AS (SELECT event_id AS id, user_id FROM events WHERE event_type = 'view'),
+lineage AS (SELECT c.id AS c, m.id AS m FROM c JOIN deps d ON d.child = c.id JOIN m ON m.id = d.parent WHERE c.user_id = m.user_id
+  UNION SELECT c.id, m.id FROM m JOIN deps d ON d.child = m.id JOIN c ON c.id = d.parent WHERE c.user_id = m.user_id
+  UNION SELECT c.id, m.id FROM c JOIN deps d ON d.child = c.id JOIN deps e ON e.parent = d.parent JOIN m ON m.id = e.child WHERE c.user_id = m.user_id),
+shared AS (SELECT c.id AS c, m.id AS m FROM c JOIN evidence a ON a.claim_id = c.id JOIN evidence b ON b.document_id = a.document_id JOIN m ON m.id = b.claim_id WHERE c.user_id = m.user_id)
+SELECT c AS capacity_id, m AS milestone_id, CASE WHEN min(k) = 0 THEN 'claim_lineage' ELSE 'shared_document' END AS link FROM (SELECT c, m, 0 AS k FROM lineage UNION ALL SELECT c, m, 1 FROM shared) GROUP BY 1, 2"""
+)
+def capacity_milestone_links(spark, sf_dir):
+    e = P.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("entity_id"), "event_type")
+    docs = P.evidence(spark, sf_dir).select(F.col("claim_id").alias("id"), "document_id")
+    return release.linked(e.where("event_type = 'purchase'"), e.where("event_type = 'view'"), P.dependencies(spark, sf_dir), docs)
+
+
+@query("SELECT CASE WHEN p_type LIKE 'PROMO%' THEN 'promotion' WHEN p_type LIKE 'STANDARD%' THEN 'standard' ELSE 'other' END AS namespace, count(*) AS n, round(count(*) / (SELECT count(*) FROM part)::DOUBLE, 6) AS share FROM part GROUP BY 1")
+def coverage_namespaces(spark, sf_dir):
+    return release.namespaces(P.table(spark, sf_dir, "part"), "p_type", {"PROMO": "promotion", "STANDARD": "standard"})
+
+
+@query("SELECT o_custkey AS entity_id, CASE WHEN count(DISTINCT o_orderstatus) = 1 THEN min(o_orderstatus) END AS status, CASE WHEN count(DISTINCT o_orderpriority) = 1 THEN min(o_orderpriority) END AS priority, CASE WHEN count(DISTINCT o_orderstatus) > 1 AND count(DISTINCT o_orderpriority) > 1 THEN 'status,priority' WHEN count(DISTINCT o_orderstatus) > 1 THEN 'status' WHEN count(DISTINCT o_orderpriority) > 1 THEN 'priority' ELSE '' END AS conflicts FROM orders GROUP BY 1")
+def registry_pivot(spark, sf_dir):
+    o = P.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity_id"), F.inline(F.array(F.struct(F.lit("status").alias("predicate"), F.col("o_orderstatus").alias("value")), F.struct(F.lit("priority").alias("predicate"), F.col("o_orderpriority").alias("value")))))
+    return release.source_pivot(o, ["status", "priority"]).withColumn("conflicts", F.array_join("conflicts", ","))
+
+
+@query("WITH m AS (SELECT s_suppkey AS entity_id, s_nationkey AS program FROM supplier), s AS (SELECT DISTINCT program, entity_id AS origin, 'says ' || entity_id AS statement FROM m WHERE entity_id % 3 = 0) SELECT m.entity_id, program, origin, statement FROM m JOIN s USING (program)")
+def shared_statements(spark, sf_dir):
+    m = P.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.col("s_nationkey").alias("program"))
+    s = m.where("entity_id % 3 = 0").select("entity_id", F.concat(F.lit("says "), F.col("entity_id").cast("string")).alias("statement"))
+    return release.propagated(m, s)
+
+
+@query("WITH m AS (SELECT c_custkey AS record_id, ['2023','2024-05','2024-05-01'][c_custkey % 3 + 1] AS as_of, CASE WHEN c_custkey % 2 = 0 THEN 'USD' ELSE 'EUR' END AS unit FROM customer) SELECT record_id, CASE WHEN record_id % 3 = 0 OR record_id % 2 = 0 THEN 'USD' ELSE 'EUR' END AS unit, CASE WHEN record_id % 3 = 0 THEN 7.0 WHEN record_id % 2 = 0 THEN 5.0 ELSE 5.0 END::DOUBLE AS value FROM m")
+def headline_investments(spark, sf_dir):
+    """Two figures a record: the later one leads; equal dates prefer dollars."""
+    k = F.col("c_custkey")
+    as_of = F.element_at(F.array(F.lit("2023"), F.lit("2024-05"), F.lit("2024-05-01")), (k % 3 + 1).cast("int"))
+    figure = lambda scope, when, unit, value: F.struct(F.lit("investment").alias("metric"), F.lit(scope).alias("applies_to"), when.alias("as_of"), unit.alias("unit"), F.lit(value).alias("value"), F.lit(None).cast("double").alias("value_max"), F.lit("exact").alias("qualifier"))
+    first = figure("project", as_of, F.when(k % 2 == 0, "USD").otherwise("EUR"), 5.0)
+    later, phase = figure("facility", F.lit("2024-Q1"), F.lit("USD"), 7.0), figure("phase", F.lit("2025"), F.lit("USD"), 9.0)
+    rows = P.table(spark, sf_dir, "customer").select(k.alias("id"), F.array(first, later, phase).alias("metrics"))
+    return curated.headline_investment(curated.child(rows, "metrics")).select("record_id", "unit", "value")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'first' WHEN o_orderkey % 4 = 1 THEN 'unchanged' WHEN o_orderkey % 4 = 2 THEN 'raw_bytes_only' ELSE 'visible_text_changed' END AS change FROM orders")
+def document_changes(spark, sf_dir):
+    k, name = F.col("o_orderkey") % 4, F.col("o_orderpriority")
+    prior = F.when(k == 1, name).when(k != 0, F.concat(name, F.lit("!")))
+    text_ = F.when(k == 3, F.lit("old")).otherwise(name)
+    h = lambda c: F.sha2(c, 256)
+    return P.table(spark, sf_dir, "orders").select("o_orderkey", curated.document_change(h(name), h(prior), h(name), h(text_)).alias("change"))
+
+
+@query(
+    f"""WITH o AS (SELECT user_id AS document_id, epoch_us(date_trunc('day', ts)::TIMESTAMP) AS us, event_type AS status, event_type AS v FROM events),
+l AS (SELECT document_id, max(us) AS last_us, max(us) FILTER (status IN ('click', 'view')) AS good_us, count(*) AS checks FROM o GROUP BY 1),
+g AS (SELECT l.document_id, good_us, checks, count(*) FILTER (us = last_us AND status NOT IN ('click', 'view')) AS bad, count(DISTINCT CASE WHEN us = good_us AND status IN ('click', 'view') THEN v END) AS versions FROM o JOIN l USING (document_id) GROUP BY 1, 2, 3)
+SELECT document_id, checks, CASE WHEN good_us IS NULL THEN 'never_observed' WHEN ({END} - good_us) / 1000000.0 >= 432000 THEN 'stale' ELSE 'fresh' END AS freshness, CASE WHEN bad > 0 THEN 'requires_attention' WHEN versions > 1 THEN 'conflicting_observations' ELSE 'ok' END AS health FROM g"""
+)
+def check_health(spark, sf_dir):
+    e = P.table(spark, sf_dir, "events")
+    day = clocks.micros(F.date_trunc("day", F.col("ts").cast("timestamp")))
+    rows = e.select(F.col("user_id").alias("document_id"), day.alias("us"), F.col("event_type").alias("status"), F.col("event_type").alias("text_sha256"))
+    return curated.check_health(rows, ["click", "view"], END, 432000)
+
+
+@query("SELECT url, min(page_id) AS first_us, max(page_id) AS last_us, string_agg(DISTINCT CAST(page_id % 4 AS VARCHAR), ',' ORDER BY CAST(page_id % 4 AS VARCHAR)) AS matches FROM pages GROUP BY 1")
+def discovery_inventory(spark, sf_dir):
+    p = P.table(spark, sf_dir, "pages").select("url", F.col("page_id").alias("us"), F.array((F.col("page_id") % 4).cast("string")).alias("matches"))
+    return curated.inventory(p).withColumn("matches", F.array_join("matches", ","))
+
+
+@query("SELECT c_custkey AS case_id, CASE WHEN d IS NULL THEN 'missing' WHEN d <= DATE '1997-01-01' THEN 'on_time' ELSE 'late' END AS recording FROM customer LEFT JOIN (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS d FROM orders GROUP BY 1) ON o_custkey = c_custkey")
+def recording_journal(spark, sf_dir):
+    due = P.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("case_id"), F.lit(852076800000000).alias("due_us"))
+    got = P.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("case_id"), clocks.micros(F.col("o_orderdate")).alias("recorded_us"))
+    return curated.journal(due, got).select("case_id", "recording")
+
+
+@query("SELECT o_custkey, count(*) AS n, count(DISTINCT o_orderpriority) AS \"distinct\", count(*) - count(DISTINCT o_orderpriority) AS repeated FROM orders GROUP BY 1")
+def statement_repeats(spark, sf_dir):
+    return curated.repeats(P.table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")
+
+
+@query("WITH a AS (SELECT DISTINCT o_custkey AS url FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'), b AS (SELECT DISTINCT o_custkey AS url FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') SELECT coalesce(a.url, b.url) AS url, CASE WHEN a.url IS NULL THEN 'only_after' WHEN b.url IS NULL THEN 'only_before' ELSE 'both' END AS presence FROM a FULL JOIN b ON a.url = b.url")
+def vintage_presence(spark, sf_dir):
+    o = P.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("url"), "o_orderdate")
+    stamp = lambda s: F.lit(s).cast("timestamp_ntz")
+    return curated.vintages(o.where(F.col("o_orderdate") < stamp("1996-01-01")), o.where(F.col("o_orderdate") >= stamp("2001-01-01")))
+
+
+@query(
+    f"""WITH {CAP}, p AS (SELECT capacity_id, CASE WHEN capacity_id % 5 = 0 THEN DATE '2024-01-01' + CAST(capacity_id % 3000 AS INTEGER) END AS s, CASE WHEN capacity_id % 7 = 0 THEN DATE '2023-06-01' + CAST(capacity_id % 3500 AS INTEGER) END AS e, start_base FROM capacity)
+SELECT capacity_id, CASE WHEN e <= DATE '2024-01-01' THEN 'expired_capacity_period' WHEN s >= DATE '2029-01-01' THEN 'capacity_period_outside_horizon' WHEN e < DATE '2029-01-01' THEN 'capacity_period_ends_within_horizon' WHEN s > DATE '2024-01-01' AND start_base IS NULL THEN 'future_capacity_period_without_linked_milestone' WHEN s > DATE '2024-01-01' AND start_base < s THEN 'capacity_period_milestone_mismatch' END AS reason FROM p"""
+)
+def period_exclusions(spark, sf_dir):
+    k, d = F.col("capacity_id"), lambda s: F.lit(s).cast("date")
+    s = F.when(k % 5 == 0, F.date_add(d("2024-01-01"), (k % 3000).cast("int")))
+    e = F.when(k % 7 == 0, F.date_add(d("2023-06-01"), (k % 3500).cast("int")))
+    return _capacity(spark, sf_dir).select("capacity_id", facilities.period_exclusion(s, e, d("2024-01-01"), d("2029-01-01"), F.col("start_base")).alias("reason"))
+
+
+TIMES = ["Mass production is expected to begin in the second half of 2027. Nothing else in 2030.", "On track to start production by the end of 2026.", "The plant makes 20,000 wafers per month and 1.5 million chips per year; 20,000 wafers per month.", "No dates."]
+
+
+@query("SELECT p_partkey, ['mass_production 2027-07-01 2027-10-01 2027-12-31','production_start 2026-10-01 2026-12-01 2026-12-31','',''][p_partkey % 4 + 1] AS windows, ['','','20000.0 wafers month;1500000.0 chips year',''][p_partkey % 4 + 1] AS rates FROM part")
+def production_text(spark, sf_dir):
+    t = F.col("t")
+    windows = F.transform(facilities.timeline(t), lambda w: F.concat_ws(" ", w["milestone"], w["low"], w["base"], w["high"]))
+    rates = F.transform(facilities.throughput(t), lambda r: F.concat_ws(" ", F.format_string("%.1f", r["value"]), r["item"], r["period"]))
+    return P.table(spark, sf_dir, "part").select("p_partkey", _phrase(TIMES).alias("t")).select("p_partkey", F.array_join(windows, ";").alias("windows"), F.array_join(rates, ";").alias("rates"))
+
+
+@query("WITH r AS (SELECT o_custkey AS project, o_orderstatus AS disposition, CASE WHEN o_orderkey % 3 = 0 THEN TRUE WHEN o_orderkey % 3 = 1 THEN FALSE END AS met FROM orders) SELECT disposition, count(*) AS cases, count(DISTINCT project) AS projects, count(*) FILTER (met) AS met, count(*) FILTER (NOT met) AS missed, count(*) FILTER (met IS NULL) AS unresolved FROM r GROUP BY 1")
+def roster_score(spark, sf_dir):
+    k = F.col("o_orderkey") % 3
+    rows = P.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("project"), F.col("o_orderstatus").alias("disposition"), F.when(k == 0, True).when(k == 1, False).alias("target_met"))
+    return curated.roster_score(rows)
+
+
+@query("SELECT p_partkey, CASE WHEN p_size > 45 AND p_retailprice < 1000 THEN 'price,size' WHEN p_size > 45 THEN 'size' ELSE 'price' END AS errors FROM part WHERE p_size > 45 OR p_retailprice < 1000")
+def contract_errors(spark, sf_dir):
+    p = P.table(spark, sf_dir, "part")
+    return curated.contract_errors(p, {"price": F.col("p_retailprice") >= 1000, "size": F.col("p_size") <= 45}).select("p_partkey", F.array_join("errors", ",").alias("errors"))
