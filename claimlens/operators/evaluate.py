@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+HOUR_US = 3_600_000_000
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b, null over zero."""
     return F.round(F.try_divide(a, b), 9)
@@ -58,11 +61,13 @@ def alert_outcomes(truths: DataFrame, alerts: DataFrame, start: int, end: int) -
 
 def largest_gap(clocks: DataFrame, start: int, end: int, by: tuple[str, ...] = ()) -> DataFrame:
     """Largest difference between neighbouring clocks `us` of (start, end) with both edges as clocks, in seconds."""
-    inside = clocks.select(*by, "us").distinct()
-    order = Window.partitionBy(*by).orderBy("us") if by else Window.orderBy("us")
-    # neighbours by a window; the edges enter as the default of the first and by the last clock
-    gaps = inside.withColumn("gap", F.col("us") - F.lag("us", 1, start).over(order))
-    return gaps.groupBy(*by).agg(F.greatest(F.max("gap"), F.lit(end) - F.max("us")).alias("g")).select(*by, (F.col("g") / 1e6).alias("largest_gap_seconds"))
+    # neighbours inside hours first, so that one key with very many clocks is spread; then between hours
+    hours = clocks.select(*by, "us").distinct().withColumn("hour", F.floor(F.col("us") / HOUR_US))
+    near = Window.partitionBy(*by, "hour").orderBy("us")
+    own = hours.withColumn("gap", F.col("us") - F.lag("us").over(near)).groupBy(*by, "hour").agg(F.min("us").alias("lo"), F.max("us").alias("hi"), F.max("gap").alias("gap"))
+    order = Window.partitionBy(*by).orderBy("hour") if by else Window.orderBy("hour")
+    between = own.withColumn("gap", F.greatest("gap", F.col("lo") - F.lag("hi", 1, start).over(order)))
+    return between.groupBy(*by).agg(F.greatest(F.max("gap"), F.lit(end) - F.max("hi")).alias("g")).select(*by, (F.col("g") / 1e6).alias("largest_gap_seconds"))
 
 
 def freshness(rows: DataFrame, key: str, now: int, seconds: int) -> DataFrame:

@@ -107,3 +107,13 @@ def test_records(spark):
     assert ids(records.drop_subsumed(rows, "k", "id", "t"), "id") == [2, 3, 4]
     got = identity.single_values(spark.createDataFrame([(1, "x"), (1, "x "), (2, "x"), (2, "y"), (3, " ")], "r int, v string"), "r", "v")
     assert {r.r: (r.v, r.reason) for r in got.collect()} == {1: ("x", "accepted"), 2: (None, "conflict"), 3: (None, "blank")}
+
+
+def test_largest_gap_with_edges(spark):
+    from claimlens.operators import evaluate
+
+    h = evaluate.HOUR_US
+    rows = spark.createDataFrame([(1, 5 * h), (1, 5 * h + 10), (1, 9 * h), (2, h)], "k int, us long")
+    got = {r.k: r.largest_gap_seconds for r in evaluate.largest_gap(rows, 4 * h, 10 * h, ("k",)).collect()}
+    assert got == {1: (4 * h - 10) / 1e6, 2: 9 * h / 1e6}
+    assert evaluate.largest_gap(rows, 0, 10 * h).first()[0] == 4 * h / 1e6
