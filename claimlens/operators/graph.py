@@ -28,7 +28,7 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             new = label.copy()
             np.minimum.at(new, label[a], low)
             np.minimum.at(new, label[b], low)
-            while (jump := new[new]).tolist() != new.tolist():
+            while not np.array_equal(jump := new[new], new):
                 new = jump
             if np.array_equal(new, label):
                 break
@@ -112,11 +112,12 @@ def supported(nodes: DataFrame, direct: DataFrame, edges: DataFrame, staging: St
 
     nodes and direct have one column `node`; edges are (child, parent). A parent outside nodes supports nothing.
     """
-    need = edges.select("child", "parent").distinct().groupBy("child").agg(F.count("*").alias("parents"))
+    edges = staging.table(edges.select("child", "parent").distinct(), "edges")
+    need = edges.groupBy("child").agg(F.count("*").alias("parents"))
     good = staging.table(direct.select("node").distinct().join(nodes.select("node").distinct(), "node", "left_semi"), "good")
     size = good.count()
     for _ in range(max_rounds):
-        held = edges.select("child", "parent").distinct().join(good.select(F.col("node").alias("parent")), "parent").groupBy("child").agg(F.count("*").alias("held"))
+        held = edges.join(good.select(F.col("node").alias("parent")), "parent").groupBy("child").agg(F.count("*").alias("held"))
         more = held.join(need, "child").where("held = parents").select(F.col("child").alias("node"))
         good = staging.table(good.unionByName(more.join(nodes.select("node"), "node", "left_semi")).distinct(), "good")
         now = good.count()

@@ -35,8 +35,10 @@ def ensure(spark: SparkSession) -> SparkSession:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> SparkSession:
-    """Bound the rows Spark hands to Python at once, so that batches of very long texts stay small."""
+    """Bound what a task holds outside the JVM's heap: the rows Spark hands to Python at once, so that batches of very
+    long texts stay small, and the direct buffers that vectored Parquet reads cache for each of their threads."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("parquet.hadoop.vectored.io.enabled", "false")
     return spark
