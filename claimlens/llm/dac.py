@@ -9,7 +9,7 @@ File layout, little-endian: magic "DAC1"; uint32 number of documents and of leve
 long); int64 bounds (documents + 1 token offsets); then for each level int64 n, n chunk bytes, ceil(n/8) bitmap bytes
 padded to 64, and the uint32 directory.
 
-Files hold consecutive documents in ascending doc_id order (null first, then ties by text), so the start of a document
+Files hold consecutive documents in ascending doc_id order (null first; ties by text hash, then text), so the start of a document
 is the sum of the ids before it. Defined results: null or empty text is the end id alone; repeated rows are written
 each; an empty table gives no file and an empty result; other columns of the input are ignored.
 """
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ from claimlens.plans.staging import Staging
 MAGIC, BLOCK_BITS, NULL_ID = b"DAC1", 512, -(2**63)
 #: A file is closed at the first document end past so many tokens.
 FILE_TOKENS = 200_000
-#: Text aimed at in one task, in bytes.
-TASK_BYTES = 32 << 20
+#: Input aimed at in one task, in bytes as stored; most tasks; and bytes a reader of files holds at once.
+TASK_BYTES, MAX_TASKS, ROW_GROUP = 8 << 20, 200_000, 8 << 20
 
 
 # ---------------------------------------------------------------- the code
@@ -124,7 +125,7 @@ class Reader:
 # ---------------------------------------------------------------- ids of texts
 
 #: The vocabulary's own split after white space is gone: endings, runs of letters, single digits, runs of the rest.
-_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+_WORDS = re.compile(r"[a-zß-öø-ɏ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-zß-öø-ɏ0-9]+")
 
 
 class Encoder:
@@ -148,46 +149,36 @@ _ENCODERS: dict[str, Encoder] = {}
 # ---------------------------------------------------------------- writing and reading
 
 
-def _boundaries(docs: DataFrame) -> list[int]:
-    """doc_ids that cut the table into ranges of about TASK_BYTES of text; found from ids and lengths alone.
-
-    As many numbers as there are tasks; the percentiles come from a sketch of bounded size.
-    """
-    seen = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count("doc_id").alias("n")).first()
-    n = max(int((seen.b or 0) // TASK_BYTES) + 1, docs.sparkSession.sparkContext.defaultParallelism)
-    if not seen.n or n < 2:
-        return []
-    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / n for i in range(1, n)], 20 * n).alias("q")).first().q
-    return sorted(set(cuts))
+def _tasks(docs: DataFrame) -> int:
+    """Ranges to deal documents into, from the sizes of their files alone; a source of unknown size gets one a core."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return cores if size >= 2**60 else max(cores, min(MAX_TASKS, size // TASK_BYTES + 1))
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, file_tokens: int = FILE_TOKENS) -> None:
     """Write every document's ids, each closed by end_id, as files in ascending doc_id order.
 
-    Files are rows (shard, file, doc_ids, tokens, body) of a Parquet folder, as executors reach shared stores through Spark alone.
-    The rows of a shard are one task's: its range of doc_ids, sorted, encoded in bounded batches, a file at a time.
+    Files are rows (shard, file, tokens, body) of a Parquet folder, as executors reach shared stores through Spark alone.
+    A shard is one task's range of documents, sorted, encoded in bounded batches, and written a file at a time; ranges
+    also cut by text hash, so that many rows without doc_id do not meet in one task.
     """
     small_batches(docs.sparkSession)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cuts = _boundaries(own)
-    shard = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(c) for c in cuts]) if len(cuts) < 200 else F.from_json(F.lit(str(cuts)), "array<long>")
-        shard = F.coalesce(F.size(F.filter(bounds, lambda c: c < F.col("doc_id"))), F.lit(0))
-        shard = F.when(F.col("doc_id").isNull(), 0).otherwise(shard)
-    dealt = own.withColumn("shard", shard).repartitionById(len(cuts) + 1, F.col("shard").cast("int")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    dealt = own.repartitionByRange(_tasks(docs), *order).sortWithinPartitions(*order, "text").drop("h")
     end = np.array([end_id], "<u4").tobytes()
 
     def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, Encoder(tokenizer))
-        ids, docs_, sizes, held, at, number = [], [], [], 0, 0, 0
+        ids, docs_, sizes, held, number = [], [], [], 0, 0
+        at = TaskContext.get().partitionId()
 
         def close() -> pd.DataFrame:
             body = encode(np.frombuffer(b"".join(ids), "<u4"), np.array(docs_, np.int64), np.concatenate(([0], np.cumsum(sizes))))
             return pd.DataFrame({"shard": [at], "file": [number], "tokens": [held], "body": [body]})
 
         for batch in batches:
-            at = int(batch.shard.iloc[0]) if len(batch) else at
             keys = batch.doc_id.astype("Int64").fillna(NULL_ID).tolist()
             for key, text in zip(keys, batch.text, strict=True):
                 raw = encoder.ids(text or "")
@@ -200,8 +191,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, file_toke
                     ids, docs_, sizes, held, number = [], [], [], 0, number + 1
         if docs_:
             yield close()
+        encoder.memo.rest()
 
-    dealt.mapInPandas(files, "shard int, file int, tokens long, body binary").write.parquet(path)
+    dealt.mapInPandas(files, "shard int, file int, tokens long, body binary").write.option("parquet.block.size", ROW_GROUP).parquet(path)
 
 
 def read(spark, path: str) -> DataFrame:

@@ -25,13 +25,13 @@ from tokenizers import Tokenizer
 from claimlens.plans.session import small_batches
 
 #: Entries of each of a worker's two memo generations.
-MEMO = 250_000
+MEMO = 180_000
 #: Pre-tokens longer than this are encoded without being kept.
 LONG = 64
 
 #: Outside this alphabet the engines' character classes might differ.
 _ODD = re.compile(r"[^\t\n\r -~¡«»¿À-ɏ]")
-_BYTE_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_BYTE_LEVEL = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ɏ0-9]+|\s+(?!\S)|\s+")
 
 
 @lru_cache(maxsize=4)
@@ -91,6 +91,10 @@ class Memo(dict):
             self.clear()
             self.update(self.keep)
 
+    def rest(self) -> None:
+        """Give back the old generation between tasks, as a worker may lie idle with it."""
+        self.old = {}
+
 
 def odd(text: str) -> bool:
     """Whether the library must split a text: characters that engines class differently."""
@@ -130,6 +134,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
         counter = _COUNTERS.get(path) or _COUNTERS.setdefault(path, Counter(path, proven.value))
         for batch in batches:
             yield pd.Series([counter.count(t or "") for t in batch], dtype="int64")
+        counter.memo.rest()
 
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), count("text").alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -54,23 +54,30 @@ def test_codes_round_trip(values, data):
 
 
 def expected(rows, end=1):
-    tok, out, start = tokens.load(WORD), [], 0
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    tok, out = tokens.load(WORD), []
+    for doc_id, text in rows:
         ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, end], "<u4")
-        out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
-        start += len(ids)
-    return out
+        out.append((doc_id, len(ids), zlib.crc32(ids.tobytes())))
+    return sorted(out, key=key)
+
+
+def checked(rows):
+    """Rows without their starts, once these are the sums of all ids before them in doc_id order."""
+    rows = sorted(rows, key=lambda r: r.start)
+    assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:i]) for i in range(len(rows))]
+    order = [(r.doc_id is not None, r.doc_id or 0) for r in rows]
+    assert order == sorted(order)
+    return sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows), key=key)
 
 
 def key(r):
-    return (r[0] is not None, r[0] or 0, r[1])
+    return (r[0] is not None, r[0] or 0, r[1], r[2])
 
 
 def test_files_of_odd_rows(spark, odd_docs, no_docs, tmp_path):
     path = str(tmp_path / "ids")
     dac.write(odd_docs, path, WORD, file_tokens=50)
-    got = sorted((tuple(r) for r in dac.read(spark, path).collect()), key=key)
-    assert got == expected([(r.doc_id, r.text) for r in odd_docs.collect()])
+    assert checked(dac.read(spark, path).collect()) == expected([(r.doc_id, r.text) for r in odd_docs.collect()])
     dac.write(no_docs, str(tmp_path / "none"), WORD)
     assert dac.read(spark, str(tmp_path / "none")).count() == 0
 
@@ -78,7 +85,7 @@ def test_files_of_odd_rows(spark, odd_docs, no_docs, tmp_path):
 def test_queries_equal_the_library(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    assert sorted((tuple(r) for r in dac.op4_token_id_output(spark, sf).collect()), key=key) == expected(docs)
+    assert checked(dac.op4_token_id_output(spark, sf).collect()) == expected(docs)
     counts = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in tokens.op7_token_counts(spark, sf).collect()}
     for i, t in docs:
         n = len(tokens.load(BYTE).encode(t or "", add_special_tokens=False).ids)
