@@ -14,8 +14,8 @@ budget None means the smallest budget that reads every source once at least, so
 tokens reads large sources in part. Tokens are words between white space.
 
 Defined results: null text has zero tokens and a document without tokens goes with its block; null source is a
-source of its own; repeated rows are mixed each; ties of hash stay together; a table without tokens comes back whole,
-once; an empty table gives an empty result; columns that clash with the mix_ names are kept untouched under theirs
+source of its own; repeated rows are mixed each; ties of hash stay together; documents of a source without
+tokens come back once; an empty table gives an empty result; columns that clash with the mix_ names are kept untouched under theirs
 and the mix_ columns take a trailing underscore.
 """
 
@@ -87,46 +87,46 @@ def mix(docs: DataFrame, target: float | None = ENTROPY, max_repeat: float | Non
     """
     spark = docs.sparkSession
     staging = staging or Staging(spark, "mixing")
-    add = {n: n + "_" * (n in docs.columns) for n in ("mix_tokens", "mix_epoch", "mix_block", "mix_block_order", "mix_order", "mix_source")}
+    names = [c for c in docs.columns if keep_text or c != "text"]
+    add = {n: n + "_" * (n in names) for n in ("mix_tokens", "mix_epoch", "mix_block", "mix_block_order", "mix_order")}
     key = F.struct("doc_id", "source")
-    label = F.to_json(F.struct("source")).alias(add["mix_source"])
-    # sums are formed over a slim table; the texts are read once, where the mixture is dealt
-    slim = staging.table(docs.select(*[c for c in docs.columns if c != "text" and not (keep_text and c not in ("doc_id", "source"))], _tokens().alias(add["mix_tokens"]), label), "tokens")
-    sized = docs.select(*docs.columns, _tokens().alias(add["mix_tokens"]), label) if keep_text else slim
-    total = slim.groupBy(add["mix_source"]).agg(F.sum(add["mix_tokens"]).alias("t"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
+    # a row travels as one struct, so no name of ours meets theirs; sums are formed over a slim table, and texts are
+    # read once, where the mixture is dealt
+    own = [F.to_json(F.struct("source")).alias("label"), F.xxhash64(F.lit(seed), key).alias("deal"), F.xxhash64(F.lit(seed + 1), key).alias("h"), F.xxhash64(F.lit(seed + 4), key).alias("at"), _tokens().alias("tokens")]
+    row = F.struct(*names).alias("row")
+    slim = staging.table(docs.select(*own, *([] if keep_text else [row])), "tokens")
+    sized = docs.select(*own, row) if keep_text else slim
+    total = slim.groupBy("label").agg(F.sum("tokens").alias("t")).limit(MAX_SOURCES + 1).collect()
     if len(total) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    total.sort(key=lambda r: r[0])
+    total.sort(key=lambda r: r.label)
     tokens = [r.t for r in total]
     reads = passes(tokens, weights(tokens, bisect_exponent(tokens, target, max_repeat, budget)), budget) if any(tokens) else [1.0] * len(tokens)
     table = spark.createDataFrame(
-        [(r[0], max(1, math.ceil(r.t / block_tokens)), int(x + 1e-9), max(0.0, x - int(x + 1e-9)) * r.t) for r, x in zip(total, reads, strict=True)],
-        f"{add['mix_source']} string, blocks long, whole long, rest double",
+        [(r.label, max(1, math.ceil(r.t / block_tokens)), int(x + 1e-9) if r.t else 1, max(0.0, x - int(x + 1e-9)) * r.t) for r, x in zip(total, reads, strict=True)],
+        "label string, blocks long, whole long, rest double",
     )
-    block = F.pmod(F.xxhash64(F.lit(seed), key), F.col("blocks")).alias(add["mix_block"])
-    order = F.xxhash64(F.lit(seed + 1), key).alias("h")
-    place = lambda df: df.join(F.broadcast(table), add["mix_source"]).select("*", block, order)  # noqa: E731 MAX_SOURCES bounds the table
-    at = [add["mix_source"], add["mix_block"]]
-    sums = place(slim).where("rest > 0").groupBy(*at, "rest").agg(F.sum(add["mix_tokens"]).alias("b"))
-    shuffled = Window.partitionBy(add["mix_source"]).orderBy(F.xxhash64(F.lit(seed + 2), *at), add["mix_block"])
-    before = F.sum("b").over(shuffled) - F.col("b")
-    marked = sums.select(*at, "b", (F.col("rest") - before).alias("room"))
-    full = marked.where("b <= room").select(*at, F.lit(2**63 - 1).alias("bound"))
+    place = lambda df: df.join(F.broadcast(table), "label").withColumn("block", F.pmod("deal", F.col("blocks")))  # noqa: E731 MAX_SOURCES bounds the table
+    sums = place(slim).where("rest > 0").groupBy("label", "block", "rest").agg(F.sum("tokens").alias("b"))
+    shuffled = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(seed + 2), "label", "block"), "block")
+    marked = sums.select("label", "block", "b", (F.col("rest") - F.sum("b").over(shuffled) + F.col("b")).alias("room"))
+    full = marked.where("b <= room").select("label", "block", F.lit(2**63 - 1).alias("bound"))
     # one block a source at most straddles the edge; its documents are bounded by block_tokens, but for empty ones
-    edge = marked.where("b > room and room > 0").select(*at, "room")
-    inside = place(slim).join(F.broadcast(edge), at).groupBy(*at, "room", "h").agg(F.sum(add["mix_tokens"]).alias("d"))
-    within = Window.partitionBy(*at).orderBy("h")
-    part = inside.withColumn("run", F.sum("d").over(within)).where("run <= room").groupBy(*at).agg(F.max("h").alias("bound"))
+    edge = marked.where("b > room and room > 0").select("label", "block", "room")
+    inside = place(slim).join(F.broadcast(edge), ["label", "block"]).groupBy("label", "block", "room", "h").agg(F.sum("tokens").alias("d"))
+    within = Window.partitionBy("label", "block").orderBy("h")
+    part = inside.withColumn("run", F.sum("d").over(within)).where("run <= room").groupBy("label", "block").agg(F.max("h").alias("bound"))
     taken = staging.table(full.unionByName(part), "blocks")
-    out = place(sized).join(taken, at, "left")
+    out = place(sized).join(taken, ["label", "block"], "left")
     copies = F.col("whole") + F.when(F.col("bound").isNotNull() & (F.col("h") <= F.col("bound")), 1).otherwise(0)
-    out = out.withColumn("copies", copies).where("copies > 0").withColumn(add["mix_epoch"], F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
+    out = out.withColumn("copies", copies).where("copies > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
     return out.select(
-        *[c for c in sized.columns if c != add["mix_source"]],
-        add["mix_epoch"],
-        add["mix_block"],
-        F.xxhash64(F.lit(seed + 3), add["mix_epoch"], *at).alias(add["mix_block_order"]),
-        F.xxhash64(F.lit(seed + 4), add["mix_epoch"], key).alias(add["mix_order"]),
+        "row.*",
+        F.col("tokens").alias(add["mix_tokens"]),
+        F.col("epoch").alias(add["mix_epoch"]),
+        F.col("block").alias(add["mix_block"]),
+        F.xxhash64(F.lit(seed + 3), "epoch", "label", "block").alias(add["mix_block_order"]),
+        F.xxhash64("at", "epoch").alias(add["mix_order"]),
     )
 
 

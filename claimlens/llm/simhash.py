@@ -109,7 +109,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without doc_id cannot be told apart by it and stay.
     """
     kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    once = named.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    whole = docs.select("doc_id", F.struct(*docs.columns).alias("row"), F.xxhash64(*docs.columns).alias("h"))  # no name of ours meets theirs
+    named = whole.join(kept, "doc_id", "left_semi")
+    once = named.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("h"))).where("n = 1").select("row.*")
     return once.unionByName(docs.where("doc_id is null"))

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, digest string, score double, row long"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, digest string, h double, row long"
 
 
 @pytest.fixture(scope="session")

@@ -54,5 +54,5 @@ def test_odd_rows(odd_docs, no_docs, spark):
     assert mixing.mix(no_docs).count() == 0
     blank = odd_docs.where("text is null or trim(text) = ''")
     assert mixing.mix(blank).count() == blank.count()
-    clash = odd_docs.withColumnRenamed("digest", "mix_order")
+    clash = odd_docs.withColumnsRenamed({"digest": "mix_order", "row": "copies", "lang": "block"})
     assert {"mix_order", "mix_order_"} <= set(mixing.mix(clash).columns)
