@@ -239,7 +239,8 @@ class Scorer:
 
 def fit(texts: list[str], y: np.ndarray, seed: int = SEED) -> Net:
     """Multiple-instance training: each document's highest window, chosen anew each epoch, teaches its label."""
-    split = [words(t) for t in texts]
+    one: dict[str, str] = {}  # equal words share one string
+    split = [[one.setdefault(w, w) for w in words(t)] for t in texts]
     sides = [Counter(), Counter()], [Counter(), Counter()]
     for own, label in zip(split, y, strict=True):
         names = set(own)
@@ -259,29 +260,38 @@ def fit(texts: list[str], y: np.ndarray, seed: int = SEED) -> Net:
     for g in set(sides[1][0]) | set(sides[1][1]):
         net.char[g, 0] = odds(g, sides[1]) / 2
     # the first windows: highest sums of log-odds; afterwards the network chooses
-    names = sorted(set().union(*split)) + [""]
+    names = sorted(one) + [""]
     place = {w: i for i, w in enumerate(names[:-1])}
-    value = net.inputs(names)[0]
-    value = value[:, 0] + value[:, WORD_DIM]
+
+    def by_part(f, width: int) -> np.ndarray:
+        """f of all names, a part at a time."""
+        out = np.empty((len(names), width), np.float32)
+        for lo in range(0, len(names), 8192):
+            out[lo : lo + 8192] = f(names[lo : lo + 8192])
+        return out
+
+    value = by_part(lambda part: net.inputs(part)[0][:, [0, WORD_DIM]], 2).sum(axis=1)
     value[-1] = 0
     pad = len(names) - 1
     every = []
     for own in split:
         at = [[place[w] for w in own[s : s + WINDOW]] for s in starts(len(own))]
-        every.append(np.array([x + [pad] * (WINDOW - len(x)) for x in at], np.int64))
+        every.append(np.array([x + [pad] * (WINDOW - len(x)) for x in at], np.int32))
+    del split, one, sides
+    flat = np.concatenate(every)
+    cut = np.cumsum([0, *map(len, every)])
+    every = [flat[a:b] for a, b in zip(cut, cut[1:], strict=False)]
     rng, adam = np.random.default_rng(seed), Adam()
     weight = [i for k in (0, 1) for i in np.nonzero(y == k)[0].tolist() * max(1, round(total[1 - k] / total[k]) if total[k] < total[1 - k] else 1)]
     epochs = max(EPOCHS, -(-STEPS // -(-len(weight) // BATCH)))
     for epoch in range(epochs):
         adam.rate = RATE * (1 - 0.9 * epoch / epochs)
         if epoch:
-            rows = net.rows(names)
+            rows = by_part(net.rows, 6 * HIDDEN)
             rows[-1] = net.bx
-            flat = np.concatenate(every)
             got = np.concatenate([net.forward(rows[flat[lo : lo + 2048].T], flat[lo : lo + 2048].T != pad) for lo in range(0, len(flat), 2048)])
         else:
             got = np.concatenate([value[w].sum(axis=1) for w in every])
-        cut = np.cumsum([0, *map(len, every)])
         top = [int(got[a:b].argmax()) for a, b in zip(cut, cut[1:], strict=False)]
         order = rng.permutation(weight)
         for lo in range(0, len(order), BATCH):
