@@ -120,7 +120,7 @@ class Net:
         return self
 
     def fold(self) -> Net:
-        """Tables of what each byte adds to each filter at each position; pairs of positions fold once more."""
+        """Tables of what each byte adds to each filter at each position."""
         self.tables = [[np.ascontiguousarray(self.emb @ f[i]) for i in range(f.shape[0])] for f in self.conv]
         return self
 
