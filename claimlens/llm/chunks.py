@@ -1,16 +1,20 @@
-"""Substring dedup by content-defined chunking with a gear rolling hash.
+"""Substring dedup by anchors that a gear rolling hash places in the content.
 
 Every byte shifts a 16-bit gear hash left by one and adds its table value, so the hash at a byte depends on the last
-16 bytes alone. A chunk ends where the hash's five highest bits are zero and the chunk has MIN bytes, or at MAX bytes.
-Cuts follow content, so an insertion moves only the chunks around it and equal passages fall into equal chunks again
-after a few bytes. Chunks are deduplicated by a 128-bit digest; runs of repeated chunks are the repeated passages.
+16 bytes alone. Of every `w` successive spans of `k` words the one with the least gear hash at its end is an anchor (of
+equals the one with the least digest), with k + w - 1 = `min_words`. That choice reads nothing outside those words, so two
+copies of a passage of `min_words` words hold the same anchor whatever stands around them. Where two texts hold an anchor, every
+window of `min_words` words that has it for its least is digested; a window whose digest two texts hold is repeated, and runs of
+successive repeated windows are the repeated passages, exact to the word at both ends. Exact copies fold into one text
+before that and repeat whole.
 
-A run is reported from `min_words` words on: chunks straddling a passage's two ends are lost, so that figure lies below the length
-to be caught (20 for passages over 50 words).
+Words are compared byte by byte, split at ASCII white space, the amount of which does not matter. Digests are sums of the words'
+128-bit digests by powers of an odd base, of which 64 and 32 bits are kept for a window.
 
-Defined results: null and empty texts have no chunk and no row; exact copies repeat whole; a passage that repeats
-inside one document only counts where `within` is set; ties on the first place go to the smallest (doc_id, place); repeated rows
-(same doc_id) are told apart by a row number; other columns are ignored; an empty table gives an empty result.
+Defined results: texts of fewer than `min_words` words have no row, null and empty ones included; exact copies repeat whole; a
+passage that repeats inside one document only counts where `within` is set; ties on the first place go to the smallest
+(doc_id, place); repeated rows (same doc_id) are told apart by a row number; passages that overlap in part are reported
+each; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,10 +31,13 @@ from claimlens.plans.session import small_batches
 from claimlens.plans.staging import Staging
 
 WINDOW, CUT_BITS, MIN, MAX = 16, 5, 16, 256
-MIN_WORDS = 20
-#: A chunk's place in its text as one number, so that rows stay small where they are shuffled: 45 bits of start,
-#: 10 of length, 8 of words; it orders the chunks of a text.
-_SPAN = "doc_id long, row long, span long, digest binary"
+#: Passages of over 50 words.
+MIN_WORDS = 51
+#: Words digested at once; base of the digests of spans and its inverse modulo 2^64.
+BLOCK, BASE = 65_536, 0x9E3779B97F4A7C15
+#: Bytes of the bitmap that spares texts a shuffle.
+BITMAP = 1 << 18
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def gear_table(seed: int = 7) -> np.ndarray:
@@ -53,7 +60,7 @@ def gear_hashes(raw: np.ndarray) -> np.ndarray:
 
 
 def cuts(raw: np.ndarray) -> list[int]:
-    """The ends of the chunks of one text's bytes, the last one included."""
+    """The ends of the gear chunks of one text's bytes, the last one included; passages are not found by them."""
     n = len(raw)
     wanted = (np.nonzero(gear_hashes(raw) >> np.uint16(16 - CUT_BITS) == 0)[0] + 1).tolist()
     ends, last = [], 0
@@ -76,63 +83,184 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def chunk_rows(docs: DataFrame) -> DataFrame:
-    """Every chunk of every whole text: its place, its bytes' span, the words that begin in it, and its digest."""
+class Words:
+    """The words of one text: where they begin and stop in its bytes, and digests of any span of them."""
 
-    def chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def __init__(self, text: str):
+        data = text.encode("utf-8", "surrogatepass")
+        self.raw = np.frombuffer(data, np.uint8)
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = ~_SPACE[self.raw]
+        turns = np.diff(inside)
+        self.begins, self.stops = np.nonzero(turns == 1)[0], np.nonzero(turns == -1)[0]
+        self.data, self.n = data, len(self.begins)
+
+    def digests(self) -> Words:
+        """Prefix sums of the words' digests."""
+        digest, n = xxhash.xxh3_128_digest, self.n
+        parts = []
+        for lo in range(0, n, BLOCK):
+            parts.extend(map(digest, self.data[self.begins[lo] : self.stops[min(n, lo + BLOCK) - 1]].split()))
+        own = np.frombuffer(b"".join(parts), "<u8").reshape(-1, 2)
+        self.sums = np.zeros((n + 1, 2), np.uint64)
+        np.cumsum(own * _powers(BASE, n)[:, None], axis=0, out=self.sums[1:])
+        self.back = _powers(INVERSE, n)
+        return self
+
+    def spans(self, size: int, column: int) -> np.ndarray:
+        """One half of the digest of the `size` words from each word on."""
+        own = self.sums[:, column]
+        return (own[size:] - own[:-size]) * self.back[: self.n - size + 1]
+
+    def keys(self, least: int) -> tuple[np.ndarray, int]:
+        """What orders the spans of k words, and w."""
+        k = (least + 1) // 2
+        w, spots = least + 1 - k, self.n - k + 1
+        if 2 * k > WINDOW:  # the gear hash at a span's end reads nothing before the span, its words being parted by one space
+            blank = _SPACE[self.raw]
+            keep = ~blank
+            keep[1:] |= keep[:-1] & blank[1:]
+            even = self.raw[keep]
+            even[_SPACE[even]] = 32
+            ends = np.cumsum(self.stops - self.begins + 1) - 2
+            order = gear_hashes(even)[ends][k - 1 :].astype(np.int64)
+        else:
+            order = np.zeros(spots, np.int64)
+        key = order << 47 | (self.spans(k, 0) >> np.uint64(17)).astype(np.int64)
+        return key, w
+
+    def anchors(self, least: int) -> np.ndarray:
+        """The anchors: first words of spans of k words."""
+        key, w = self.keys(least)
+        edge = np.full(w - 1, -1)
+        return np.nonzero(_sliding(np.maximum, np.concatenate((edge, _sliding(np.minimum, key, w), edge)), w) == key)[0]
+
+    def around(self, ats: np.ndarray, least: int) -> np.ndarray:
+        """First words of the windows whose own anchor is one of `ats`."""
+        key, w = self.keys(least)
+        kept = np.full(len(key), np.iinfo(np.int64).max)
+        kept[ats] = key[ats]
+        return np.nonzero(_sliding(np.minimum, kept, w) == _sliding(np.minimum, key, w))[0]
+
+
+def _sliding(pick: np.ufunc, values: np.ndarray, size: int) -> np.ndarray:
+    """The minimum or maximum of every `size` successive values, by doubling."""
+    width = 1
+    while 2 * width <= size:
+        values = pick(values[:-width], values[width:])
+        width *= 2
+    return pick(values[: width - size], values[size - width :]) if width < size else values
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
+    """doc_id, row, d, e, at, a: each text's anchors (first word, digest) and, with `at` the number of its words below zero, its bytes' span."""
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            cols: list[list] = [[], [], [], []]
-            for doc_id, row, text in zip(batch.doc_id.astype("Int64"), batch.row, batch.text, strict=True):
-                if not text:
-                    continue
-                data = text.encode("utf-8", "surrogatepass")
-                raw = np.frombuffer(data, np.uint8)
-                ends = cuts(raw)
-                starts = [0, *ends[:-1]]
-                space = _SPACE[raw]
-                begins = ~space
-                begins[1:] &= space[:-1]
-                counts = np.add.reduceat(begins, starts, dtype=np.int64)
-                at = np.array(starts, np.int64)
-                n = len(ends)
-                for col, values in zip(cols, ([doc_id] * n, [row] * n, (at << 18 | (np.array(ends) - at) << 8 | counts).tolist(), [xxhash.xxh3_128_digest(data[i:j]) for i, j in zip(starts, ends, strict=True)]), strict=True):
-                    col.extend(values)
-                if len(cols[0]) > 50_000:
-                    yield _frame(cols)
-                    cols = [[], [], [], []]
-            yield _frame(cols)
+            for doc_id, row, d, e, text in zip(batch.doc_id.astype("Int64"), batch.row, batch.d, batch.e, batch.text, strict=True):
+                if text and (words := Words(text)).n >= least:
+                    at = words.digests().anchors(least)
+                    a = words.spans((least + 1) // 2, 0)[at].view(np.int64)
+                    n, span = len(at) + 1, int(words.begins[0]) << 32 | int(words.stops[-1])
+                    yield pd.DataFrame({"doc_id": pd.array([doc_id] * n, dtype="Int64"), "row": np.full(n, row), "d": np.full(n, d), "e": np.full(n, e), "at": np.append(at, -words.n).astype(np.int32), "a": np.append(a, span)})
+
+    return _texts(docs).withColumn("row", F.monotonically_increasing_id()).mapInPandas(_gathered(found), "doc_id long, row long, d long, e long, at int, a long")
 
-    small_batches(docs.sparkSession)
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
-    return named.mapInPandas(chunked, _SPAN)
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, d, e, text: whole texts with the two halves of their digest."""
+    return docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("d"), F.xxhash64(F.lit(MIN_WORDS), "text").alias("e"), "text")
 
-def _frame(cols: list[list]) -> pd.DataFrame:
-    return pd.DataFrame({"doc_id": pd.array(cols[0], dtype="Int64"), "row": cols[1], "span": cols[2], "digest": cols[3]})
+
+def _may_hold(keys: DataFrame, name: str):
+    """A filter that holds for all of `keys` and for few others: a bitmap of fixed size, so that texts without a shared anchor stay where they are."""
+    bit = F.col(name).bitwiseAND(F.lit(8 * BITMAP - 1))
+    byte, mask = F.shiftright(bit, 3), F.pow(F.lit(2), bit.bitwiseAND(F.lit(7))).cast("int")
+    bitmap = bytearray(BITMAP)
+    for r in keys.groupBy(byte.alias("byte")).agg(F.bit_or(mask).alias("bits")).toLocalIterator():
+        bitmap[r.byte] = r.bits
+    held = F.conv(F.hex(F.substring(F.lit(bytes(bitmap)), byte.cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return held.bitwiseAND(mask) != 0
+
+
+def _window_rows(hits: DataFrame, least: int) -> DataFrame:
+    """doc_id, row, at, start, end, a, b: the windows of each text whose anchor is one of the shared ones, `ats`."""
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for doc_id, row, text, ats in zip(batch.doc_id.astype("Int64"), batch.row, batch.text, batch.ats, strict=True):
+                words = Words(text).digests()
+                at = words.around(np.asarray(ats), least)
+                a, b = words.spans(least, 0)[at].view(np.int64), (words.spans(least, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                start, end = words.begins[at].astype(np.int32), words.stops[at + least - 1].astype(np.int32)
+                yield pd.DataFrame({"doc_id": pd.array([doc_id] * len(at), dtype="Int64"), "row": np.full(len(at), row), "at": at.astype(np.int32), "start": start, "end": end, "a": a, "b": b})
+
+    return hits.mapInPandas(_gathered(found), "doc_id long, row long, at int, start int, end int, a long, b int")
+
+
+def _gathered(found):
+    """Frames of one text each, handed on some 50,000 rows at a time."""
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+        for frame in found(batches):
+            held.append(frame)
+            rows += len(frame)
+            if rows > 50_000:
+                yield pd.concat(held, ignore_index=True)
+                held, rows = [], 0
+        if held:
+            yield pd.concat(held, ignore_index=True)
+
+    return gather
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool = False, staging: Staging | None = None) -> DataFrame:
-    """doc_id, row, start, end (UTF-8 bytes), words, first_doc_id, is_first for every maximal run of repeated chunks.
+    """doc_id, row, start, end (UTF-8 bytes), words, first_doc_id, is_first for every maximal run of repeated windows.
 
-    first_doc_id holds the earliest occurrence of the run's first chunk; is_first marks runs all of whose chunks are
-    first occurrences, so dropping the other runs leaves one copy of each passage. Chunks count as repeated when two
-    rows hold them; with `within`, also when one row holds them twice.
+    first_doc_id holds the earliest occurrence of the run's first window; is_first marks runs all of whose windows are
+    first occurrences. Windows count as repeated when two rows hold them; with `within`, also when one row holds them twice.
     """
     staging = staging or Staging(docs.sparkSession, "chunks")
-    chunks = staging.table(chunk_rows(docs), "chunks")
-    place = F.struct("doc_id", "row", "span")
-    counts = [F.min(place).alias("first"), F.min("row").alias("lo"), F.max("row").alias("hi")]
-    seen = chunks.groupBy("digest").agg(*counts, *([F.count("*").alias("n")] if within else [])).where("n > 1" if within else "lo <> hi").select("digest", "first")
-    mine = (F.col("first.row") == F.col("row")) & (F.col("first.span") == F.col("span"))
-    again = chunks.join(seen, "digest").select("doc_id", "row", "span", F.col("first.doc_id").alias("first_doc_id"), mine.alias("is_first"))
-    start, size, words = F.shiftright("span", 18), F.shiftright("span", 8).bitwiseAND(F.lit(1023)), F.col("span").bitwiseAND(F.lit(255))
-    inside = Window.partitionBy("row").orderBy("span")
-    spans = again.select("doc_id", "row", "span", "first_doc_id", "is_first", start.cast("int").alias("start"), (start + size).cast("int").alias("end"), words.cast("int").alias("words"))
-    heads = spans.withColumn("head", F.coalesce(F.lag("end").over(inside) != F.col("start"), F.lit(True)).cast("int"))
-    island = heads.withColumn("island", F.sum("head").over(inside))
-    head = F.min_by("first_doc_id", "span").alias("first_doc_id")
-    runs = island.groupBy("row", "doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("words"), head, F.min("is_first").alias("is_first"))
-    return runs.where(F.col("words") >= min_words).select("doc_id", "row", "start", "end", "words", "first_doc_id", "is_first")
+    small_batches(docs.sparkSession)
+    own = staging.table(_anchor_rows(docs, min_words), "anchors")  # row numbers are drawn once
+    every = own.where("at < 0").select("doc_id", "row", "d", "e", (-F.col("at")).alias("words"), F.shiftright("a", 32).cast("int").alias("start"), F.col("a").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("end"))
+    texts = staging.table(every.groupBy("d", "e").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.count("*").alias("copies")), "texts")
+
+    anchors = own.where("at >= 0").select("a", "d", "at")
+    several = anchors.groupBy("a").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), *([F.count("*").alias("n")] if within else []))
+    shared = anchors.join(several.where("n > 1" if within else "lo <> hi").select("a"), "a")
+    hits = texts.join(shared.groupBy("d").agg(F.collect_set("at").alias("ats")), "d")  # one text's own anchors
+    hits = hits.select("d", "e", F.col("rep.doc_id").alias("rep_id"), F.col("rep.row").alias("row"), "ats")
+    hits = staging.table(hits, "hits")
+    read = _texts(docs).where(_may_hold(hits, "d")).join(hits, ["d", "e"]).where(F.col("doc_id").eqNullSafe(F.col("rep_id")))
+    windows = staging.table(_window_rows(read.select("doc_id", "row", "text", "ats"), min_words), "windows")
+
+    places = [F.min(F.struct("doc_id", "row", "at")).alias("first"), F.max(F.struct("doc_id", "row", "at")).alias("last")]
+    twice = "first <> last" if within else "first.row <> last.row"
+    seen = windows.groupBy("a", "b").agg(*places).where(twice).select("a", "b", "first")
+    mine = (F.col("first.row") == F.col("row")) & (F.col("first.at") == F.col("at"))
+    again = windows.join(seen, ["a", "b"]).select("doc_id", "row", "at", "start", "end", F.col("first.doc_id").alias("first_doc_id"), mine.alias("is_first"))
+    run = F.col("at") - F.dense_rank().over(Window.partitionBy("row").orderBy("at"))  # a repeated row's windows come repeatedly
+    head = F.min_by("first_doc_id", "at").alias("first_doc_id")
+    words = (F.max("at") - F.min("at") + min_words).alias("words")
+    runs = again.withColumn("run", run).groupBy("row", "doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), words, head, F.min("is_first").alias("is_first"), F.min("at").alias("at"))
+    runs = staging.table(runs, "runs")
+
+    copied = texts.where("copies > 1").select("d", "e", "rep")
+    parts = runs.groupBy("row").agg(F.min("at").alias("at"), F.min_by("first_doc_id", "at").alias("first_doc_id"), F.min("is_first").alias("is_first")).withColumnRenamed("row", "rep_row")
+    copied = copied.join(parts, F.col("rep.row") == F.col("rep_row"), "left")
+    earliest = F.when(F.col("at") == 0, F.col("first_doc_id")).otherwise(F.col("rep.doc_id"))
+    copied = copied.select("d", "e", F.col("rep.row").alias("rep_row"), earliest.alias("first_doc_id"), F.coalesce("is_first", F.lit(True)).alias("rep_first"))
+    names = ["doc_id", "row", "start", "end", "words", "first_doc_id", "is_first"]
+    whole = every.join(copied, ["d", "e"]).withColumn("is_first", F.col("rep_first") & (F.col("row") == F.col("rep_row"))).select(names)
+    return whole.unionByName(runs.join(copied.select(F.col("rep_row").alias("row")), "row", "left_anti").select(names))
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from claimlens.llm import chunks
 
@@ -59,3 +61,52 @@ def test_query_equals_brute_force(spark):
 
     got = {r.doc_id for r in chunks.op9_substring_dedup(spark, sf).collect()}
     assert sharing(51) <= got <= sharing(18)
+
+
+def test_every_passage_of_51_words_is_found_to_its_ends(spark):
+    """600 passages in contexts of their own; fewer words than 51 are no passage; white space may differ."""
+    rng = random.Random(11)
+    words = lambda n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(1, 9))) for _ in range(n)]
+    rows, want = [], {}
+    for i in range(600):
+        shared = words(51 if i % 10 else 50)
+        for k in (0, 1):
+            fence = f"fence{2 * i + k}"  # no word beside a passage is shared by chance
+            before, after = " ".join([*words(rng.randint(0, 60)), fence, ""]), " ".join([fence, *words(rng.randint(0, 60))])
+            middle = (" ", " \n")[k].join(shared)
+            if i % 10:
+                want[2 * i + k] = (len(before), len(before) + len(middle), 51, 2 * i, k == 0)
+            rows.append((2 * i + k, f"{before}{middle} {after}"))
+    got = chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.start, r.end, r.words, r.first_doc_id, r.is_first) for r in got} == want and len(got) == len(want)
+
+
+def test_anchors_of_any_length():
+    rng = random.Random(3)
+    for least in (1, 2, 3, 15, 16, 17, 51):
+        text = " ".join(rng.choice("ab") for _ in range(300))
+        for at in range(0, 300 - least, 7):
+            own = chunks.Words(" ".join(text.split()[at : at + least])).digests().anchors(least)
+            assert len(own) and set(own + at) <= set(chunks.Words(text).digests().anchors(least))
+
+
+def test_copies_equal_every_window_listed(spark, prose):
+    """Runs, first places and marks against all windows of all rows, with exact copies, near copies and repeated rows."""
+    rows = [(9, prose(1, 90)), (3, prose(1, 90)), (3, prose(1, 90)), (4, "lead " + prose(1, 70)), (5, prose(2, 60) + " gap " + prose(1, 90)), (None, prose(2, 60)), (6, prose(2, 60) + " " + prose(3, 20)), (7, prose(4, 200))]
+    seen = {}
+    for at, (i, t) in enumerate(rows):
+        w = t.split()
+        for j in range(len(w) - 50):
+            seen.setdefault(tuple(w[j : j + 51]), []).append((i is not None, i or 0, at, j))
+    want = []
+    for at, (i, t) in enumerate(rows):
+        w = t.split()
+        starts = [j for j in range(len(w) - 50) if len({x[2] for x in seen[tuple(w[j : j + 51])]}) > 1]
+        for j in starts:
+            if j - 1 not in starts:
+                n = next(k for k in range(j, len(w)) if k + 1 not in starts) - j + 1
+                places = [min(seen[tuple(w[k : k + 51])]) for k in range(j, j + n)]
+                begin = len(" ".join([*w[:j], ""]))
+                want.append((i, begin, begin + len(" ".join(w[j : j + n + 50])), n + 50, places[0][1] if places[0][0] else None, all(p[2:] == (at, k) for p, k in zip(places, range(j, j + n), strict=True))))
+    got = chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).drop("row").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and len(want) == 8
