@@ -126,6 +126,8 @@ class Reader:
 
 #: The vocabulary's own split after white space is gone: endings, runs of letters, single digits, runs of the rest.
 _WORDS = re.compile(r"[a-zß-öø-ɏ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-zß-öø-ɏ0-9]+")
+#: Capitals from U+0180 on may lower to letters outside that alphabet.
+_ODD = re.compile(r"[^\t\n\r -~¡«»¿À-ſ]")
 
 
 class Encoder:
@@ -137,7 +139,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text, without an end id."""
-        if odd(text) or "<|" in text or "İ" in text:
+        if odd(text, _ODD) or "<|" in text or "İ" in text:
             return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
         self.memo.trim()
         return b"".join(map(self.memo.__getitem__, _WORDS.findall(text.lower())))

@@ -96,11 +96,11 @@ class Memo(dict):
         self.old = {}
 
 
-def odd(text: str) -> bool:
+def odd(text: str, beyond: re.Pattern = _ODD) -> bool:
     """Whether the library must split a text: characters that engines class differently."""
     if text.isascii():
         return "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
-    return _ODD.search(text) is not None
+    return beyond.search(text) is not None
 
 
 class Counter:

@@ -97,3 +97,9 @@ def test_counts_of_odd_rows(odd_docs, no_docs):
     assert sorted(r.n_tokens for r in rows) == sorted(len(tokens.load(BYTE).encode(r.text or "", add_special_tokens=False).ids) for r in odd_docs.collect())
     assert {r.n_bytes for r in rows if r.doc_id in (3, 4)} == {0}
     assert tokens.token_counts(no_docs, BYTE).count() == 0
+
+
+def test_every_plain_letter_gets_the_librarys_ids():
+    tok = tokens.load(WORD)
+    for text in ["Ɓarawo ya shiga gida", *(f"a{chr(c)}b {chr(c)}a" for c in range(0x20, 0x250))]:
+        assert np.frombuffer(_encoder.ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
