@@ -7,7 +7,7 @@ some table, without false negatives; the exact radius is then settled by shared
 d(x,z) <= 1 and d(z,y) <= 1 exists if and only if d(x,y) <= 2), never by listing the pairs of a bucket.
 
 Defined results: null or wordless text has fingerprint zero and links like any other; repeated rows share their
-component; an empty table gives an empty result; other columns of the input are ignored; a null doc_id stays as a
+component; wordless texts have no near copies beyond the radius; an empty table gives an empty result; other columns of the input are ignored; a null doc_id stays as a
 row and never becomes a component id unless its whole component has none (then null).
 """
 
@@ -27,6 +27,9 @@ from claimlens.plans.session import small_batches
 from claimlens.plans.staging import Staging
 
 SEED, SHINGLE, BITS, RADIUS = 42, 3, 64, 2
+#: Near copies beyond the radius: Jaccard similarity over sets of WIDTH words, met in BANDS keys of ROWS minima each. A
+#: pair at 0.8 shares no key with probability (1 - 0.8^4)^20 = 0.00003.
+WIDTH, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 4
 
 
 def _as_signed(x: int) -> int:
@@ -39,19 +42,25 @@ def masks(radius: int = RADIUS) -> list[int]:
     return [sum(1 << i for i in range(BITS) if (v & (1 + i % (top - 1))).bit_count() & 1) for v in range(1, top)]
 
 
-def fingerprint(text: str | None, width: int = SHINGLE) -> int:
-    """Unsigned 64-bit SimHash of one whole text; words are split at ASCII white space, A-Z lower-cased."""
+def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
+    """Hashes of all runs of `width` words, or of the whole of a shorter text; words are split at ASCII white space, A-Z lower-cased."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     n = len(words) - width + 1
     if n < 1:
-        hashes = np.array([digest(joined, SEED)], "<u8")
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
-        hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)), "<u8", n)
+        return np.array([digest(joined, SEED)], "<u8")
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
+    return np.fromiter((digest(joined[s:e], SEED) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)), "<u8", n)
+
+
+def fingerprint(text: str | None, width: int = SHINGLE) -> int:
+    """Unsigned 64-bit SimHash of one whole text."""
+    hashes = shingles(text, width)
+    if not len(hashes):
+        return 0
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 65536):
         part = hashes[at : at + 65536]
@@ -65,10 +74,60 @@ def _fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([_as_signed(fingerprint(t)) for t in batch], dtype="int64")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the SimHash of every whole text as a signed long."""
+_FACTORS = np.random.default_rng(SEED).integers(0, 2**64, BANDS * ROWS, np.uint64) | np.uint64(1)
+
+
+def bands(text: str | None, width: int = WIDTH) -> list[int] | None:
+    """The keys of one whole text; None if it has no words."""
+    hashes = shingles(text, width)
+    if not len(hashes):
+        return None
+    low = np.min([(hashes[at : at + 4096, None] * _FACTORS).min(axis=0) for at in range(0, len(hashes), 4096)], axis=0)
+    return [_as_signed(xxhash.xxh64_intdigest(x.tobytes(), SEED)) for x in low.reshape(BANDS, ROWS)]
+
+
+def jaccard(a: str, b: str, width: int = WIDTH) -> float:
+    """Exact similarity of two texts' sets of shingles."""
+    x, y = set(shingles(a, width).tolist()), set(shingles(b, width).tolist())
+    return len(x & y) / max(1, len(x | y))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _bands(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([bands(t) for t in batch], dtype=object)
+
+
+@F.pandas_udf(T.DoubleType())
+def _jaccard(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for left, right in pairs:
+        yield pd.Series([jaccard(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
+
+
+def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp, h): the SimHash of every whole text as a signed long, and a hash of the row; keyed: d and its bands too."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _fingerprints("text").alias("fp"))
+    more = [F.xxhash64("text").alias("d"), _bands("text").alias("bands")] if keyed else []
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _fingerprints("text").alias("fp"), F.xxhash64(*docs.columns).alias("h"), *more)
+
+
+def similar_links(docs: DataFrame, own: DataFrame, staging: Staging, similarity: float) -> DataFrame:
+    """(src, dst): fingerprints of texts whose similarity is at least the one asked for.
+
+    Texts that share a key are held against the first and the last of that key, so that no pairs of a group are listed.
+    """
+    texts = staging.table(own.where("bands is not null").groupBy("d").agg(F.min(F.struct("doc_id", "fp", "bands")).alias("r")), "texts")
+    keyed = staging.table(texts.select("d", F.posexplode("r.bands").alias("t", "k")), "keyed")
+    meeting = keyed.groupBy("t", "k").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo <> hi")
+    met = keyed.join(meeting, ["t", "k"]).select("d", F.explode(F.array("lo", "hi")).alias("other")).where("d <> other")
+    pairs = staging.table(met.select(F.least("d", "other").alias("x"), F.greatest("d", "other").alias("y")).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("d")).distinct().join(texts, "d").select("d", F.col("r.doc_id").alias("rep"), F.col("r.fp").alias("fp"))
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("d"), "text").join(wanted, "d").where(F.col("doc_id").eqNullSafe(F.col("rep")))
+    read = staging.table(read.select("d", "fp", "text"), "read")
+    left = read.select(F.col("d").alias("x"), F.col("fp").alias("src"), F.col("text").alias("a"))
+    right = read.select(F.col("d").alias("y"), F.col("fp").alias("dst"), F.col("text").alias("b"))
+    both = pairs.join(left, "x").join(right, "y").where("src <> dst")
+    return both.where(_jaccard("a", "b") >= similarity).select("src", "dst").distinct()
 
 
 def links(distinct: DataFrame, staging: Staging) -> DataFrame:
@@ -84,22 +143,33 @@ def links(distinct: DataFrame, staging: Staging) -> DataFrame:
     return balls.select(F.array_min("xs").alias("dst"), F.explode("xs").alias("src")).where("src <> dst").distinct()
 
 
-def near_duplicates(docs: DataFrame, staging: Staging | None = None) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest doc_id reachable over links)."""
+def _labelled(docs: DataFrame, staging: Staging | None, similarity: float | None) -> DataFrame:
+    """doc_id, fp, h, root, component_id of every row; root names a component even where no row of it has a doc_id."""
     staging = staging or Staging(docs.sparkSession, "simhash")
-    own = staging.table(fingerprints(docs), "fingerprints")
+    own = staging.table(fingerprints(docs, similarity is not None), "fingerprints")
     first = staging.table(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    found = connected_components(links(first.select("fp"), staging), staging)
+    edges = links(first.select("fp"), staging)
+    if similarity is not None:
+        edges = edges.select("src", "dst").unionByName(similar_links(docs, own, staging, similarity))
+    found = connected_components(edges, staging)
     rooted = first.join(found, first.fp == found.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    label = rooted.join(least, "root").select("fp", "component_id")
-    return own.join(label, "fp").select("doc_id", "fp", "component_id")
+    label = rooted.join(least, "root").select("fp", "root", "component_id")
+    return own.join(label, "fp").select("doc_id", "fp", "h", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, staging: Staging | None = None, similarity: float | None = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, fp, component_id (smallest doc_id reachable over links).
+
+    Links are fingerprints within the radius and, unless `similarity` is None, texts at least so similar.
+    """
+    return _labelled(docs, staging, similarity).select("doc_id", "fp", "component_id")
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return near_duplicates(docs, similarity=None).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

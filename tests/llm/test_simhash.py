@@ -94,3 +94,14 @@ def test_query_equals_brute_force(spark):
     text = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     assert all(int(r.fingerprint, 16) == slow(text[r.doc_id]) for r in rows[:40])
     assert np.all([len(r.fingerprint) == 16 for r in rows])
+
+
+def test_near_copies_of_similarity_are_linked(spark, prose):
+    rows = []
+    for i in range(60):
+        w = prose(i, 150).split()
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:70], f"new{i}", *w[71:], f"end{i}"]))]
+        assert simhash.jaccard(rows[-1][1], rows[-2][1]) >= 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == list(range(0, 120, 2))
+    assert len({r.component_id for r in simhash.near_duplicates(docs, similarity=None).collect()}) > 60
