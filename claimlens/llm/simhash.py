@@ -172,14 +172,15 @@ def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, similarity=None).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group, with the columns of docs.
+def keep_one(docs: DataFrame, similarity: float | None = SIMILARITY) -> DataFrame:
+    """One row of each near-duplicate group, with the columns of docs: smallest doc_id, then smallest row hash.
 
-    Rows that repeat a kept doc_id are kept once: among them the row with the smallest text hash stays.
-    Rows without doc_id cannot be told apart by it and stay.
+    Rows without doc_id are held against each other alone: of those of a group one stays beside the one with a doc_id.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    whole = docs.select("doc_id", F.struct(*docs.columns).alias("row"), F.xxhash64(*docs.columns).alias("h"))  # no name of ours meets theirs
-    named = whole.join(kept, "doc_id", "left_semi")
-    once = named.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("h"))).where("n = 1").select("row.*")
-    return once.unionByName(docs.where("doc_id is null"))
+    ids = F.col("doc_id").isNull().alias("nameless")
+    best = _labelled(docs, None, similarity).groupBy("root", ids).agg(F.min(F.struct("doc_id", "h")).alias("b"))
+    kept = best.select("nameless", F.coalesce("b.doc_id", F.lit(0)).alias("id"), F.col("b.h").alias("h"))
+    named = F.col("doc_id").cast("long")
+    whole = docs.select(named.isNull().alias("nameless"), F.coalesce(named, F.lit(0)).alias("id"), F.xxhash64(*docs.columns).alias("h"), F.struct(*docs.columns).alias("row"))  # no name of ours meets theirs
+    once = whole.join(kept, ["nameless", "id", "h"], "left_semi").withColumn("n", F.row_number().over(Window.partitionBy("nameless", "id", "h").orderBy("h")))
+    return once.where("n = 1").select("row.*")

@@ -105,3 +105,10 @@ def test_near_copies_of_similarity_are_linked(spark, prose):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == list(range(0, 120, 2))
     assert len({r.component_id for r in simhash.near_duplicates(docs, similarity=None).collect()}) > 60
+
+
+def test_rows_are_kept_by_row(spark, prose):
+    """A repeated doc_id with different texts keeps each text; rows without doc_id keep one of each."""
+    rows = [(1, prose(1)), (2, prose(2)), (2, prose(3)), (2, prose(1)), (None, prose(4)), (None, prose(4)), (None, prose(5))]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in kept) == sorted(map(prose, (1, 2, 3, 4, 5)))
