@@ -8,8 +8,8 @@ scores its highest window.
 
 Words enter the recurrent cells linearly, so what a word adds to them is one row, kept in a bounded memo.
 
-Training reads a bounded sample: of the rows of labels whose crc32(doc_id) mod 3 is not 1, the TRAIN_DOCS of each class
-with the smallest seeded hash, as far as their texts have MAX_CHARS at most. A labelled document teaches its highest
+Training reads a bounded sample: of the rows of labels whose crc32(doc_id) mod 3 is not 1, of those whose texts
+have MAX_CHARS at most, the TRAIN_DOCS of each class with the smallest seeded hash. A labelled document teaches its highest
 window; embeddings start with the smoothed log-odds of words and 4-grams in one dimension, which also picks the first
 windows. labels, lang, source and doc_id are never inputs of a score.
 
@@ -20,6 +20,7 @@ empty result.
 
 from __future__ import annotations
 
+import logging
 import math
 import re
 import zlib
@@ -310,15 +311,18 @@ def fit(texts: list[str], y: np.ndarray, seed: int = SEED) -> Net:
 def train(docs: DataFrame, labels: DataFrame) -> Net:
     """Fit on the documented sample of labelled documents."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id")).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    one = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = docs.where(F.length("text") <= MAX_CHARS)
+    # labels without a text to learn from take no place in the sample
+    one = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(texts.select("doc_id"), "doc_id", "left_semi")
     chosen = {}
     for k in (0, 1):
         for r in one.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(TRAIN_DOCS).collect():
             chosen[r.doc_id] = k
-    rows = docs.where(F.col("doc_id").isin(sorted(chosen)) & (F.length("text") <= MAX_CHARS)).select("doc_id", "text").collect() if chosen else []
+    rows = texts.where(F.col("doc_id").isin(sorted(chosen))).select("doc_id", "text").collect() if chosen else []
     rows = sorted((r.doc_id, r.text) for r in rows)
     y = np.array([chosen[i] for i, _ in rows], np.int64)
     if len(set(y.tolist())) < 2:
+        logging.getLogger(__name__).warning("no labelled texts of both classes: every score is 0")
         return Net({})
     return fit([t for _, t in rows], y)
 

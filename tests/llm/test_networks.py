@@ -117,3 +117,16 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert {(r.score, r.predicted) for r in rows} == {(0.0, 0)}
     assert toxicity.score(no_docs, labels).count() == 0
     assert toxicity.keep_clean(odd_docs, labels.where("false")).columns == odd_docs.columns
+
+
+def test_unusable_labels_take_no_place(spark, prose, monkeypatch, caplog):
+    monkeypatch.setattr(toxicity, "TRAIN_DOCS", 20)
+    rows = [(i, "x " * 20_000 if i < 300 else prose(i, 40) + (" vile rotten" if i % 2 else "")) for i in range(450)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: seen.append((len(texts), int(y.sum()))) or toxicity.Net({}))
+    toxicity.train(docs, labels)
+    assert seen == [(40, 20)]
+    toxicity.train(docs.where("doc_id < 300"), labels)
+    assert len(seen) == 1 and "both classes" in caplog.text
