@@ -14,7 +14,9 @@ Defined results: of calls that share an id the first counts and the rest are `du
 `orphan`, a second result for a call is `extra`; a call without result is counted in n_open; dependencies in a circle
 keep their own turns and are flagged; null text is null content, null conv_id is a conversation of its own whose calls
 link like any other; text that is no such object is plain; repeated rows are kept each; other columns are ignored; an
-empty table gives an empty result.
+empty table gives an empty result. Schemas: all assertions of JSON Schema but the unevaluated and dynamic ones, with
+references into the schema itself; format and other annotations assert nothing. Any other keyword, type name or
+reference is an error of every call checked against that schema.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from fractions import Fraction
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,6 +37,14 @@ from claimlens.plans.staging import Staging
 
 _SHAPE = "tool_calls array<struct<id:string,name:string,arguments:string>>, tool_call_id string, content string, tools array<struct<name:string,parameters:string>>"
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
+#: Where a schema holds schemas: as the value, in a list, by name.
+_ONE = {"not", "if", "then", "else", "items", "additionalItems", "contains", "additionalProperties", "propertyNames"}
+_LISTS = {"allOf", "anyOf", "oneOf", "prefixItems", "items"}
+_NAMED = {"properties", "patternProperties", "dependentSchemas", "dependencies", "$defs", "definitions"}
+_PLAIN = {"type", "enum", "const", "required", "dependentRequired", "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf", "pattern", "uniqueItems", "$ref"}
+_PLAIN |= {f"{side}{what}" for side in ("min", "max") for what in ("Length", "Items", "Properties", "Contains")}
+#: Keywords that assert nothing about a value.
+_NOTES = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "format", "$schema", "$comment", "contentEncoding", "contentMediaType", "contentSchema"}
 
 
 def canonical(value) -> str:
@@ -62,40 +74,147 @@ def _is(value, kind: str) -> bool:
     return isinstance(value, _TYPES.get(kind, object))
 
 
-def violations(value, schema, at: str = "$") -> list[str]:
-    """What a value breaks of a JSON schema: type, enum, const, required, properties, additionalProperties, items, bounds, pattern."""
-    if schema is True or not isinstance(schema, dict):
-        return [] if schema is not False else [f"{at}: nothing is allowed"]
+def _key(value) -> str:
+    """Equal for equal JSON values: 1 and 1.0 are one number."""
+    if isinstance(value, float) and value == int(value):
+        value = int(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{canonical(k)}:{_key(value[k])}" for k in sorted(value)) + "}"
+    return "[" + ",".join(map(_key, value)) + "]" if isinstance(value, list) else canonical(value)
+
+
+def _target(root, ref: str):
+    """What a reference into the schema itself names; KeyError if nothing."""
+    if not isinstance(ref, str) or (ref != "#" and not ref.startswith("#/")):
+        raise KeyError(ref)
+    found = root
+    for step in unquote(ref[2:]).split("/") if ref != "#" else []:
+        step = step.replace("~1", "/").replace("~0", "~")
+        if isinstance(found, list) and step.isdecimal() and int(step) < len(found):
+            found = found[int(step)]
+        elif isinstance(found, dict) and step in found:
+            found = found[step]
+        else:
+            raise KeyError(ref)
+    return found
+
+
+def unsupported(schema, root=None, at: str = "#") -> list[str]:
+    """What of a schema cannot be checked, wherever it stands: keywords, type names and references."""
+    if isinstance(schema, bool):
+        return []
+    if not isinstance(schema, dict):
+        return [f"{at}: unsupported schema"]
+    root, out = schema if root is None else root, []
+    for k in sorted(schema):
+        own = schema[k]
+        if k in _LISTS and isinstance(own, list):
+            out += [e for i, x in enumerate(own) for e in unsupported(x, root, f"{at}/{k}/{i}")]
+        elif k in _NAMED and isinstance(own, dict):
+            names = sorted(n for n in own if k != "dependencies" or not isinstance(own[n], list))
+            out += [e for n in names for e in unsupported(own[n], root, f"{at}/{k}/{n}")]
+        elif k in _ONE:
+            out += unsupported(own, root, f"{at}/{k}")
+        elif k == "type":
+            out += [f"{at}: unsupported type {canonical(x)}" for x in (own if isinstance(own, list) else [own]) if x not in (*_TYPES, "integer", "number")]
+        elif k == "$ref":
+            try:
+                if not isinstance(_target(root, own), dict | bool):
+                    out.append(f"{at}: unsupported reference {canonical(own)}")
+            except KeyError:
+                out.append(f"{at}: unsupported reference {canonical(own)}")
+        elif k not in _PLAIN and k not in _NOTES and not (k == "$id" and schema is root):
+            out.append(f"{at}: unsupported keyword {k}")
+    return out
+
+
+def violations(value, schema, at: str = "$", root=None) -> list[str]:
+    """What a value breaks of a JSON schema; what of the schema cannot be checked is an error, not met."""
     out = []
+    if root is None:
+        root, out = schema, unsupported(schema)
+    if schema is True or not isinstance(schema, dict):
+        return out if schema is not False else [f"{at}: nothing is allowed"]
+
+    def inner(x, own, where=at) -> list[str]:
+        return violations(x, own, where, root)
+
+    def fits(x, own) -> bool:
+        return not inner(x, own)
+
+    if "$ref" in schema:
+        try:
+            out += inner(value, _target(root, schema["$ref"]))
+        except KeyError:
+            pass  # unsupported() names it
     kinds = schema.get("type")
     if kinds is not None and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
-        return [f"{at}: not of type {canonical(kinds)}"]
+        return [*out, f"{at}: not of type {canonical(kinds)}"]
     if "enum" in schema and canonical(value) not in {canonical(x) for x in schema["enum"]}:
         out.append(f"{at}: not in enum")
     if "const" in schema and canonical(value) != canonical(schema["const"]):
         out.append(f"{at}: not the constant")
+    for own in schema.get("allOf", []):
+        out += inner(value, own)
+    if "anyOf" in schema and not any(fits(value, own) for own in schema["anyOf"]):
+        out.append(f"{at}: matches none of anyOf")
+    if "oneOf" in schema and (n := sum(fits(value, own) for own in schema["oneOf"])) != 1:
+        out.append(f"{at}: matches {n} of oneOf")
+    if "not" in schema and fits(value, schema["not"]):
+        out.append(f"{at}: matches not")
+    if "if" in schema:
+        out += inner(value, schema.get("then" if fits(value, schema["if"]) else "else", True))
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        known, patterns = schema.get("properties", {}), schema.get("patternProperties", {})
         out += [f"{at}: {k} is missing" for k in schema.get("required", []) if k not in value]
+        needs = {**schema.get("dependencies", {}), **schema.get("dependentRequired", {})}
+        out += [f"{at}: {k} is missing" for n in sorted(needs) if n in value and isinstance(needs[n], list) for k in needs[n] if k not in value]
+        for own in (schema.get("dependencies", {}), schema.get("dependentSchemas", {})):
+            out += [e for n in sorted(own) if n in value and not isinstance(own[n], list) for e in inner(value, own[n])]
         for k in sorted(value):
-            if k in known:
-                out += violations(value[k], known[k], f"{at}.{k}")
-            elif "additionalProperties" in schema:
+            matched = [patterns[p] for p in sorted(patterns) if re.search(p, k)]
+            for own in ([known[k]] if k in known else []) + matched:
+                out += inner(value[k], own, f"{at}.{k}")
+            if k not in known and not matched and "additionalProperties" in schema:
                 more = schema["additionalProperties"]
-                out += [f"{at}: {k} is not allowed"] if more is False else violations(value[k], more, f"{at}.{k}")
+                out += [f"{at}: {k} is not allowed"] if more is False else inner(value[k], more, f"{at}.{k}")
+            if "propertyNames" in schema and not fits(k, schema["propertyNames"]):
+                out.append(f"{at}: {k} is no allowed name")
     if isinstance(value, list):
+        first, rest = schema.get("prefixItems", []), schema.get("items", True)
+        if isinstance(rest, list):  # the older form of prefixItems
+            first, rest = rest, schema.get("additionalItems", True)
         for i, x in enumerate(value):
-            out += violations(x, schema.get("items", True), f"{at}[{i}]")
-    size = len(value) if isinstance(value, str | list) else value if _is(value, "number") else None
+            out += inner(x, first[i] if i < len(first) else rest, f"{at}[{i}]")
+        if schema.get("uniqueItems") is True and len({_key(x) for x in value}) < len(value):
+            out.append(f"{at}: items repeat")
+        if "contains" in schema:
+            n = sum(fits(x, schema["contains"]) for x in value)
+            out += [f"{at}: below minContains"] if n < schema.get("minContains", 1) else []
+            out += [f"{at}: above maxContains"] if n > schema.get("maxContains", n) else []
+    number = _is(value, "number")
+    size = len(value) if isinstance(value, str | list | dict) else value if number else None
     if size is not None:
-        low, high = {str: ("minLength", "maxLength"), list: ("minItems", "maxItems")}.get(type(value), ("minimum", "maximum"))
+        low, high = {str: ("minLength", "maxLength"), list: ("minItems", "maxItems"), dict: ("minProperties", "maxProperties")}.get(type(value), ("minimum", "maximum"))
         out += [f"{at}: below {low}"] if low in schema and size < schema[low] else []
         out += [f"{at}: above {high}"] if high in schema and size > schema[high] else []
+    if number:
+        # a boolean exclusive bound (draft 4) speaks of minimum or maximum
+        low, high = (schema.get(x) if (e := schema.get(f"exclusive{x.capitalize()}")) is True else None if e is False else e for x in ("minimum", "maximum"))
+        out += [f"{at}: not above exclusiveMinimum"] if low is not None and value <= low else []
+        out += [f"{at}: not below exclusiveMaximum"] if high is not None and value >= high else []
+        if "multipleOf" in schema and _exact(value) % _exact(schema["multipleOf"]):
+            out.append(f"{at}: not a multiple")
     if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value):
         out.append(f"{at}: pattern does not match")
     return out
 
 
+def _exact(number) -> Fraction:
+    """A number as its shortest decimal says it."""
+    return Fraction(repr(number)) if isinstance(number, float) else Fraction(number)
+
+
 def references(value) -> list[str]:
     """Ids named as {"$result": id} anywhere in arguments."""
     if isinstance(value, dict):
@@ -112,7 +231,7 @@ def _checked(arguments: str | None, schema: str | None) -> tuple[str | None, lis
         if isinstance(value, str):  # arguments sent as a string of JSON
             value = strict(value)
         return canonical(value), violations(value, strict(schema)) if schema else [], references(value)
-    except (ValueError, RecursionError, re.error) as error:
+    except (ValueError, RecursionError, re.error, TypeError, AttributeError, ArithmeticError) as error:  # or the schema is malformed
         return None, [f"$: {error}"[:200]], []
 
 

@@ -75,3 +75,49 @@ def test_query_formats_every_message(spark):
     sf = "/root/testdata/sf0.001"
     want = sorted(json.dumps({"role": r.role, "content": r.text}, sort_keys=True, separators=(",", ":"), ensure_ascii=False) for r in spark.read.parquet(f"{sf}/conversations.parquet").collect())
     assert sorted(r.json for r in chat.op10_chat_formatting(spark, sf).collect()) == want
+
+
+@pytest.mark.parametrize(
+    ("schema", "good", "bad"),
+    [
+        ({"anyOf": [{"type": "integer"}, {"type": "null"}]}, [1, None], ["x"]),
+        ({"oneOf": [{"minimum": 2}, {"maximum": 4}]}, [1, 5], [3]),
+        ({"allOf": [{"minimum": 2}, {"maximum": 4}]}, [3], [1, 5]),
+        ({"not": {"type": "string"}}, [1], ["x"]),
+        ({"if": {"minimum": 5}, "then": {"multipleOf": 5}, "else": {"maximum": 2}}, [10, 1], [7, 3]),
+        ({"$defs": {"t/": {"type": "object", "properties": {"n": {"$ref": "#/$defs/t~1"}}, "required": ["v"]}}, "$ref": "#/$defs/t~1"}, [{"v": 1, "n": {"v": 2}}], [{"v": 1, "n": {}}]),
+        ({"exclusiveMinimum": 0, "exclusiveMaximum": 2}, [1], [0, 2]),
+        ({"minimum": 0, "exclusiveMinimum": True, "maximum": 2, "exclusiveMaximum": False}, [1, 2], [0]),
+        ({"multipleOf": 0.1}, [0.3, 1e300, 7], [0.35]),
+        ({"uniqueItems": True}, [[1, True, "1"], "aa"], [[1, 1.0], [{"a": 1}, {"a": 1}]]),
+        ({"patternProperties": {"^n": {"type": "number"}}, "additionalProperties": False}, [{"n1": 2}], [{"n1": "x"}, {"m": 2}]),
+        ({"minProperties": 1, "maxProperties": 2}, [{"a": 1}], [{}, {"a": 1, "b": 1, "c": 1}]),
+        ({"propertyNames": {"maxLength": 1}}, [{"a": 1}], [{"ab": 1}]),
+        ({"dependentRequired": {"a": ["b"]}, "dependencies": {"c": {"required": ["d"]}}}, [{"a": 1, "b": 1}, {"c": 1, "d": 1}], [{"a": 1}, {"c": 1}]),
+        ({"prefixItems": [{"type": "string"}], "items": {"type": "integer"}}, [["x", 1]], [[1], ["x", "y"]]),
+        ({"items": [{"type": "string"}], "additionalItems": False}, [["x"]], [[1], ["x", "y"]]),
+        ({"contains": {"type": "string"}, "maxContains": 1}, [["x", 1]], [[1], ["x", "y"]]),
+    ],
+)
+def test_schema_keywords(schema, good, bad):
+    assert [chat.violations(x, schema) for x in good] == [[]] * len(good)
+    assert all(chat.violations(x, schema) for x in bad)
+
+
+def test_what_cannot_be_checked_is_an_error():
+    v = chat.violations
+    assert v(1, {"unevaluatedItems": False}) == ["#: unsupported keyword unevaluatedItems"]
+    assert v(1, {"not": {"odd": 1}, "type": "integer"})[0] == "#/not: unsupported keyword odd"
+    assert v({}, {"properties": {"a": {"type": "file"}}}) == ['#/properties/a: unsupported type "file"']
+    assert v(1, {"$ref": "http://x/y"}) == ['#: unsupported reference "http://x/y"']
+    assert v(1, {"$ref": "#/$defs/none"}) == ['#: unsupported reference "#/$defs/none"']
+    assert v({"odd": 1}, {"title": "t", "properties": {"odd": {"default": {"odd": 1}, "format": "date"}}}) == []
+    assert chat._checked("1", '{"multipleOf": 0}')[1] and chat._checked("1", '{"minimum": "x"}')[1]
+
+
+def test_unsupported_schemas_count_as_invalid(spark):
+    tools = [{"name": n, "parameters": {"properties": {"a": p}}} for n, p in (("any", {"anyOf": [{"type": "integer"}, {"type": "null"}]}), ("odd", {"odd": 1}))]
+    calls = [call("1", "any", {"a": 1}), call("2", "any", {"a": "x"}), call("3", "odd", {"a": 1})]
+    rows = [(1, 0, "system", json.dumps({"tools": tools})), (1, 1, "assistant", json.dumps({"tool_calls": calls}))]
+    out = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert [r.n_invalid for r in out.orderBy("turn").collect()] == [0, 2]
