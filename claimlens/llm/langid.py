@@ -9,7 +9,8 @@ position: a convolution is then a sum of table rows, and inference is lookups, a
 
 Training reads a bounded sample: the TRAIN_DOCS labelled documents of each language with the smallest seeded hash of
 doc_id among those whose crc32(doc_id) mod 3 is not 1, and DOC_WINDOWS windows of each at even distances over the
-whole text. lang, source and doc_id are never inputs.
+whole text. Where that would be over SAMPLE_DOCS documents, every language gives fewer, SAMPLE_DOCS divided by the number of
+languages and at least one: no language is left out. lang, source and doc_id are never inputs.
 
 Defined results: null text or text without a letter is `und` with score 0; ties go to the first language in order;
 repeated rows are predicted each; a table without labels predicts `und` everywhere with score 0, and with a single language that one;
@@ -30,7 +31,7 @@ from claimlens.plans.session import small_batches
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 3, 4, 5), 8, 8
 #: The bounds of the training sample.
-TRAIN_DOCS, DOC_WINDOWS, MAX_LANGS = 300, 4, 200
+TRAIN_DOCS, DOC_WINDOWS, SAMPLE_DOCS = 300, 4, 60_000
 EPOCHS, BATCH, RATE, SEED = 12, 64, 0.01, 11
 
 
@@ -156,11 +157,16 @@ def train(docs: DataFrame) -> Net:
     # a bounded head per language before the window, so that one frequent language is not ranked in one task
     share = ids.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
     near = share.withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id"))).where(F.col("r") <= TRAIN_DOCS)
-    chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("doc_id", "lang").limit(TRAIN_DOCS * MAX_LANGS).collect()
+    ranked = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("doc_id", "lang", "r")
+    chosen = ranked.limit(SAMPLE_DOCS + 1).collect()
+    if len(chosen) > SAMPLE_DOCS:
+        each = max(1, SAMPLE_DOCS // ranked.where("r = 1").count())
+        chosen = ranked.where(F.col("r") <= each).collect()
     if not chosen:
         return Net([])
-    langs = sorted({r.lang for r in chosen})[:MAX_LANGS]
-    number = {r.doc_id: langs.index(r.lang) for r in chosen if r.lang in langs}
+    langs = sorted({r.lang for r in chosen})
+    at = {lang: i for i, lang in enumerate(langs)}
+    number = {r.doc_id: at[r.lang] for r in chosen}
 
     @F.pandas_udf(T.ArrayType(T.BinaryType()))
     def sampled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

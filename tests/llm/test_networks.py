@@ -55,6 +55,17 @@ def test_language_odd_rows(spark, odd_docs, no_docs):
     assert langid.train(odd_docs).langs
 
 
+def test_every_language_is_a_class(spark, monkeypatch):
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1][:1230]
+    docs = spark.createDataFrame([(i, f"l{k % 205:03d}", f"words of {k}") for k, i in enumerate(ids)], "doc_id long, lang string, text string").repartition(4)
+    langs = [f"l{k:03d}" for k in range(205)]
+    fitted = []
+    monkeypatch.setattr(langid.Net, "fit", lambda net, win, y: fitted.append(np.bincount(y, minlength=205)) or net)
+    assert langid.train(docs).langs == langs and set(fitted[-1]) == {6}
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 700)  # less than 6 of each: every language gives as many
+    assert langid.train(docs).langs == langs and set(fitted[-1]) == {3}
+
+
 def test_gru_gradients_match_differences():
     rng = np.random.default_rng(2)
     net = toxicity.Net({"bad": 0, "good": 1})
