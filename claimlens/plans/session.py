@@ -34,11 +34,16 @@ def ensure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> SparkSession:
-    """Bound what a task holds outside the JVM's heap: the rows Spark hands to Python at once, so that batches of very
-    long texts stay small, and the direct buffers that vectored Parquet reads cache for each of their threads."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 256, size: int = 8 << 20) -> SparkSession:
+    """Bound what a task holds outside the JVM's heap, for plans that hand texts to Python: rows and bytes of a batch, and
+    the direct buffers that vectored Parquet reads cache for each of their threads.
+
+    The bounds hold for the session from then on, as plans are lazy and read settings when they run. A bound that is
+    already narrower stays.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key, None)
+        if now is None or not now.lstrip("-").isdecimal() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
     spark.conf.set("parquet.hadoop.vectored.io.enabled", "false")
     return spark
