@@ -9,9 +9,13 @@ File layout, little-endian: magic "DAC1"; uint32 number of documents and of leve
 long); int64 bounds (documents + 1 token offsets); then for each level int64 n, n chunk bytes, ceil(n/8) bitmap bytes
 padded to 64, and the uint32 directory.
 
-Files hold consecutive documents in ascending doc_id order (null first; ties by text hash, then text), so the start of a document
-is the sum of the ids before it. Defined results: null or empty text is the end id alone; repeated rows are written
-each; an empty table gives no file and an empty result; other columns of the input are ignored.
+Texts are encoded where they are read and never shuffled: each becomes its ids, two bytes an id where the vocabulary
+allows, in a table of the shared folder, and these are sorted and cut into files.
+
+Files hold consecutive documents in ascending doc_id order (null first; ties by text hash, then ids), so the start of a
+document is the sum of the ids before it. Defined results: null or empty text is the end id alone; repeated rows are
+written each; an empty table gives no file and an empty result; other columns of the input are ignored. A very long
+text is encoded in pieces, as claimlens.llm.tokens says.
 """
 
 from __future__ import annotations
@@ -28,15 +32,16 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimlens.llm.tokens import Memo, load, merger, odd
+from claimlens.llm.tokens import PIECE, Memo, load, merger, odd, pieces
 from claimlens.plans.session import small_batches
 from claimlens.plans.staging import Staging
 
 MAGIC, BLOCK_BITS, NULL_ID = b"DAC1", 512, -(2**63)
 #: A file is closed at the first document end past so many tokens.
 FILE_TOKENS = 200_000
-#: Input aimed at in one task, in bytes as stored; most tasks; and bytes a reader of files holds at once.
+#: Ids aimed at in one task, in bytes as stored; most tasks; and bytes a reader of files holds at once.
 TASK_BYTES, MAX_TASKS, ROW_GROUP = 8 << 20, 200_000, 8 << 20
 
 
@@ -139,6 +144,9 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of a whole text, without an end id."""
+        return self._ids(text) if len(text) <= PIECE else b"".join(map(self._ids, pieces(text)))
+
+    def _ids(self, text: str) -> bytes:
         if odd(text, _ODD) or "<|" in text or "İ" in text:
             return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
         self.memo.trim()
@@ -151,49 +159,64 @@ _ENCODERS: dict[str, Encoder] = {}
 # ---------------------------------------------------------------- writing and reading
 
 
-def _tasks(docs: DataFrame) -> int:
-    """Ranges to deal documents into, from the sizes of their files alone; a source of unknown size gets one a core."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return cores if size >= 2**60 else max(cores, min(MAX_TASKS, size // TASK_BYTES + 1))
+def _width(tokenizer: str) -> str:
+    """The narrowest unsigned integers that hold every id of a vocabulary."""
+    return "<u2" if max(load(tokenizer).get_vocab().values(), default=0) < 1 << 16 else "<u4"
+
+
+def _coded(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, h, ids): each document's ids as bytes of the vocabulary's width, and a hash of its text."""
+    width = _width(tokenizer)
 
+    @F.pandas_udf(T.BinaryType())
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, Encoder(tokenizer))
+        for batch in batches:
+            yield pd.Series([np.frombuffer(encoder.ids(t or ""), "<u4").astype(width).tobytes() for t in batch], dtype=object)
+        encoder.memo.rest()
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, file_tokens: int = FILE_TOKENS) -> None:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), ids("text").alias("ids"))
+
+
+def _tasks(coded: DataFrame) -> int:
+    """Ranges to deal documents into, from the sizes of their files alone."""
+    size = int(str(coded._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(coded.sparkSession.sparkContext.defaultParallelism, min(MAX_TASKS, size // TASK_BYTES + 1))
+
+
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, file_tokens: int = FILE_TOKENS, staging: Staging | None = None) -> None:
     """Write every document's ids, each closed by end_id, as files in ascending doc_id order.
 
     Files are rows (shard, file, tokens, body) of a Parquet folder, as executors reach shared stores through Spark alone.
-    A shard is one task's range of documents, sorted, encoded in bounded batches, and written a file at a time; ranges
-    also cut by text hash, so that many rows without doc_id do not meet in one task.
+    A shard is one task's range of documents, sorted and written a file at a time; ranges also cut by text hash, so that
+    many rows without doc_id do not meet in one task.
     """
-    small_batches(docs.sparkSession)
+    spark, width = small_batches(docs.sparkSession), _width(tokenizer)
+    coded = (staging or Staging(spark, "dac")).table(_coded(docs, tokenizer), "coded")
     order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    dealt = own.repartitionByRange(_tasks(docs), *order).sortWithinPartitions(*order, "text").drop("h")
-    end = np.array([end_id], "<u4").tobytes()
+    dealt = coded.repartitionByRange(_tasks(coded), *order).sortWithinPartitions(*order, "ids").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "ids")  # pandas would turn longs beside nulls to floats
+    end = np.array([end_id], "<u4")
 
     def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, Encoder(tokenizer))
         ids, docs_, sizes, held, number = [], [], [], 0, 0
         at = TaskContext.get().partitionId()
 
         def close() -> pd.DataFrame:
-            body = encode(np.frombuffer(b"".join(ids), "<u4"), np.array(docs_, np.int64), np.concatenate(([0], np.cumsum(sizes))))
+            body = encode(np.concatenate(ids), np.array(docs_, np.int64), np.concatenate(([0], np.cumsum(sizes))))
             return pd.DataFrame({"shard": [at], "file": [number], "tokens": [held], "body": [body]})
 
         for batch in batches:
-            keys = batch.doc_id.astype("Int64").fillna(NULL_ID).tolist()
-            for key, text in zip(keys, batch.text, strict=True):
-                raw = encoder.ids(text or "")
-                ids.append(raw + end)
+            for key, raw in zip(batch.doc_id.tolist(), batch.ids, strict=True):
+                own = np.frombuffer(raw, width)
+                ids += [own, end]
                 docs_.append(key)
-                sizes.append(len(raw) // 4 + 1)
+                sizes.append(len(own) + 1)
                 held += sizes[-1]
                 if held >= file_tokens:
                     yield close()
                     ids, docs_, sizes, held, number = [], [], [], 0, number + 1
         if docs_:
             yield close()
-        encoder.memo.rest()
 
     dealt.mapInPandas(files, "shard int, file int, tokens long, body binary").write.option("parquet.block.size", ROW_GROUP).parquet(path)
 
@@ -223,6 +246,7 @@ def read(spark, path: str) -> DataFrame:
 
 def op4_token_id_output(spark, sf_dir: str) -> DataFrame:
     """Encode every document, write the files to the shared folder, and report each document from the files."""
-    path = Staging(spark, "dac").path("ids")
-    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("word_bpe_49k.json"))
+    staging = Staging(spark, "dac")
+    path = staging.path("ids")
+    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("word_bpe_49k.json"), staging=staging)
     return read(spark, path)

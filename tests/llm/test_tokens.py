@@ -103,3 +103,29 @@ def test_every_plain_letter_gets_the_librarys_ids():
     tok = tokens.load(WORD)
     for text in ["Ɓarawo ya shiga gida", *(f"a{chr(c)}b {chr(c)}a" for c in range(0x20, 0x250))]:
         assert np.frombuffer(_encoder.ids(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECE", 40)
+    monkeypatch.setattr(dac, "PIECE", 40)
+    byte, word = tokens.load(BYTE), tokens.load(WORD)
+    for odd in ("Ⱥbc Ⱦx", "中文。汉字！かな", "<|endoftext|>", "a᠎ b", "é́  \n\n 's", "\x1c x", "   y", ""):
+        text = "It's a plain line, with 12 words.\n\n  And  more " * 5 + odd + " and 3 tails\t\n end." * 7 + odd
+        assert list(tokens.pieces("ab cd", 3)) == ["ab cd"] and "".join(tokens.pieces(text)) == text
+        assert _counter.count(text) == len(byte.encode(text, add_special_tokens=False).ids), odd
+        assert np.frombuffer(_encoder.ids(text), "<u4").tolist() == word.encode(text, add_special_tokens=False).ids, odd
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n\n  '.,。！字か᠎​́sa1"), st.characters(codec="utf-8")), min_size=30, max_size=120))
+def test_pieces_keep_pre_tokens(text):
+    for tok in (tokens.load(BYTE), tokens.load(WORD)):
+        parts = [i for p in tokens.pieces(text, 5) for i in tok.encode(p, add_special_tokens=False).ids]
+        assert parts == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_beside_null_stay_longs(spark, tmp_path):
+    big = 2**53 + 1
+    docs = spark.createDataFrame([(big, "one"), (None, "two"), (big + 1, None)], "doc_id long, text string").coalesce(1)
+    dac.write(docs, str(tmp_path / "ids"), WORD)
+    assert {r.doc_id for r in dac.read(spark, str(tmp_path / "ids")).collect()} == {big, big + 1, None}
