@@ -3,8 +3,11 @@
 Seven structured bit masks cover radius 2: bit i belongs to class 1 + i mod 7, read as a 3-bit vector, and mask v
 keeps the bits whose class has odd inner product with v. Two fingerprints that differ in at most two bits span at
 most two classes, some v is orthogonal to both, and under that mask they are equal. So every linked pair meets in
-some table, without false negatives; the exact radius is then settled by shared one-bit neighbours (z with
-d(x,z) <= 1 and d(z,y) <= 1 exists if and only if d(x,y) <= 2), never by listing the pairs of a bucket.
+some table, without false negatives. A pair of one bucket is a link if its distance is within the radius.
+
+Buckets of more than GROUP fingerprints are never listed in pairs: their members differ in the 27 or 28 bits that the
+mask drops, and a second family of seven masks covers these in the same way, then a third one. What a third mask drops
+is six bits at most, so its buckets hold GROUP fingerprints at most, whatever the data.
 
 Defined results: null or wordless text has fingerprint zero and links like any other; repeated rows share their
 component; wordless texts have no near copies beyond the radius; an empty table gives an empty result; other columns of the input are ignored; a null doc_id stays as a
@@ -27,6 +30,10 @@ from claimlens.plans.session import small_batches
 from claimlens.plans.staging import Staging
 
 SEED, SHINGLE, BITS, RADIUS = 42, 3, 64, 2
+#: Fingerprints of a bucket that are held against each other; families of masks after which no bucket holds more.
+GROUP, FAMILIES = 64, 3
+#: Texts of a band beside its largest group that are held against all of the band.
+OUTSIDE = 32
 #: Near copies beyond the radius: Jaccard similarity over sets of WIDTH words, met in BANDS keys of ROWS minima each. A
 #: pair at 0.8 shares no key with probability (1 - 0.8^4)^20 = 0.00003.
 WIDTH, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 4
@@ -36,10 +43,20 @@ def _as_signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def masks(radius: int = RADIUS) -> list[int]:
-    """The 2^(radius+1) - 1 covering masks of 64 bits."""
+def covering(places: list[int], radius: int = RADIUS) -> list[int]:
+    """The 2^(radius+1) - 1 masks over some bits, one of which leaves out any `radius` of them."""
     top = 1 << (radius + 1)
-    return [sum(1 << i for i in range(BITS) if (v & (1 + i % (top - 1))).bit_count() & 1) for v in range(1, top)]
+    return [sum(1 << p for i, p in enumerate(places) if (v & (1 + i % (top - 1))).bit_count() & 1) for v in range(1, top)]
+
+
+def masks(radius: int = RADIUS) -> list[int]:
+    """The covering masks of all bits."""
+    return covering(list(range(BITS)), radius)
+
+
+def narrower(family: list[int], radius: int = RADIUS) -> list[list[int]]:
+    """For each mask of a family, that mask with each of those that cover what it drops."""
+    return [[m | c for c in covering([i for i in range(BITS) if not m >> i & 1], radius)] for m in family]
 
 
 def shingles(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -114,33 +131,92 @@ def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
 def similar_links(docs: DataFrame, own: DataFrame, staging: Staging, similarity: float) -> DataFrame:
     """(src, dst): fingerprints of texts whose similarity is at least the one asked for.
 
-    Texts that share a key are held against the first and the last of that key, so that no pairs of a group are listed.
+    Texts that share a key are first held against the first and the last of that key, so that no pairs of a group of
+    copies are listed. Where a key then still holds more than one component, the texts outside its largest one are held
+    against all of the key; where they are more than OUTSIDE, the key is split by every further key that its texts
+    share, and beyond OUTSIDE again by the first and last.
     """
     texts = staging.table(own.where("bands is not null").groupBy("d").agg(F.min(F.struct("doc_id", "fp", "bands")).alias("r")), "texts")
     keyed = staging.table(texts.select("d", F.posexplode("r.bands").alias("t", "k")), "keyed")
-    meeting = keyed.groupBy("t", "k").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo <> hi")
-    met = keyed.join(meeting, ["t", "k"]).select("d", F.explode(F.array("lo", "hi")).alias("other")).where("d <> other")
-    pairs = staging.table(met.select(F.least("d", "other").alias("x"), F.greatest("d", "other").alias("y")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("d")).distinct().join(texts, "d").select("d", F.col("r.doc_id").alias("rep"), F.col("r.fp").alias("fp"))
+    pairs = staging.table(_with_ends(keyed, ["t", "k"]), "pairs")
+    found = staging.table(_verified(docs, texts, pairs, staging, similarity), "similar")
+    joined = connected_components(found, staging, "x", "y").select(F.col("node").alias("d"), F.col("component").alias("c"))
+    shared = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 2").select("t", "k")
+    members = staging.table(_with_component(keyed.join(shared, ["t", "k"]), joined), "members")
+    more, wide = _outside(members, ["t", "k"])
+    more, wide = staging.table(more, "more"), staging.table(wide, "wide")
+    if not wide.isEmpty():
+        split = wide.select("t", "k", "d", "c").join(keyed.select("d", F.col("t").alias("u"), F.col("k").alias("j")), "d").where("t < u")
+        split = staging.table(split, "split")
+        again, rest = _outside(split, ["t", "k", "u", "j"])
+        more = staging.table(more.unionByName(again).unionByName(_with_ends(rest, ["t", "k", "u", "j"])).distinct(), "more")
+    if not more.isEmpty():
+        new = more.join(pairs, ["x", "y"], "left_anti")
+        found = found.unionByName(staging.table(_verified(docs, texts, new, staging, similarity), "similar"))
+    names = texts.select("d", F.col("r.fp").alias("fp"))
+    left = found.join(names.select(F.col("d").alias("x"), F.col("fp").alias("src")), "x")
+    return left.join(names.select(F.col("d").alias("y"), F.col("fp").alias("dst")), "y").where("src <> dst").select("src", "dst").distinct()
+
+
+def _with_component(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    return rows.join(joined, "d", "left").withColumn("c", F.coalesce("c", "d"))
+
+
+def _pair(a: str, b: str) -> list:
+    return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
+
+
+def _with_ends(keyed: DataFrame, by: list[str]) -> DataFrame:
+    """(x, y): every d of a key with the key's first and last."""
+    ends = keyed.groupBy(*by).agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo <> hi")
+    met = keyed.join(ends, by).select("d", F.explode(F.array("lo", "hi")).alias("other")).where("d <> other")
+    return met.select(*_pair("d", "other")).distinct()
+
+
+def _outside(members: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """((x, y) of different components, one of them outside its key's largest; members of keys with too many outside)."""
+    sizes = members.groupBy(*by, "c").agg(F.count("*").alias("m"))
+    keys = sizes.groupBy(*by).agg(F.sum("m").alias("n"), F.max(F.struct("m", "c")).alias("top")).select(*by, F.col("top.c").alias("main"), (F.col("n") - F.col("top.m")).alias("out")).where("out > 0")
+    held = members.join(keys, by)
+    odd = held.where((F.col("out") <= OUTSIDE) & (F.col("c") != F.col("main"))).select(*by, F.col("d").alias("a"), F.col("c").alias("ac"))
+    pairs = odd.join(members.select(*by, F.col("d").alias("b"), F.col("c").alias("bc")), by).where("ac <> bc").select(*_pair("a", "b")).distinct()
+    return pairs, held.where(F.col("out") > OUTSIDE).select(*by, "d", "c")
+
+
+def _verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, staging: Staging, similarity: float) -> DataFrame:
+    """Those (x, y) whose whole texts are similar enough; each text is read once, from its first row."""
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("d")).distinct().join(texts, "d").select("d", F.col("r.doc_id").alias("rep"))
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("d"), "text").join(wanted, "d").where(F.col("doc_id").eqNullSafe(F.col("rep")))
-    read = staging.table(read.select("d", "fp", "text"), "read")
-    left = read.select(F.col("d").alias("x"), F.col("fp").alias("src"), F.col("text").alias("a"))
-    right = read.select(F.col("d").alias("y"), F.col("fp").alias("dst"), F.col("text").alias("b"))
-    both = pairs.join(left, "x").join(right, "y").where("src <> dst")
-    return both.where(_jaccard("a", "b") >= similarity).select("src", "dst").distinct()
+    read = staging.table(read.groupBy("d").agg(F.min("text").alias("text")), "read")
+    both = pairs.join(read.select(F.col("d").alias("x"), F.col("text").alias("a")), "x").join(read.select(F.col("d").alias("y"), F.col("text").alias("b")), "y")
+    return both.where(_jaccard("a", "b") >= similarity).select("x", "y")
 
 
-def links(distinct: DataFrame, staging: Staging) -> DataFrame:
-    """(src, dst): edges that connect exactly the distinct fingerprints at Hamming distance 2 or less.
+def links(distinct: DataFrame, staging: Staging, group: int = GROUP) -> DataFrame:
+    """(src, dst): the pairs of distinct fingerprints at Hamming distance 2 or less, as buckets of masks give them.
 
-    distinct: one column fp without repeats. A ball holds 65 fingerprints at most, so gathering it is bounded.
+    distinct: one column fp without repeats. A bucket's pairs are listed where it holds `group` fingerprints at most;
+    larger ones are split by the next family of masks.
     """
-    keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_as_signed(m))) for m in masks()])).alias("t", "k"))
-    meeting = keyed.groupBy("t", "k").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("t", "k")
-    near = staging.table(keyed.join(meeting, ["t", "k"], "left_semi").select("fp").distinct(), "near")
-    flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(_as_signed(1 << i))) for i in range(BITS)]
-    balls = near.select("fp", F.explode(F.array(*flips)).alias("z")).groupBy("z").agg(F.collect_list("fp").alias("xs")).where(F.size("xs") > 1)
-    return balls.select(F.array_min("xs").alias("dst"), F.explode("xs").alias("src")).where("src <> dst").distinct()
+    signed = lambda family: [F.lit(_as_signed(m)) for m in family]
+    family, out = masks(), None
+    keyed = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(m) for m in signed(family)])).alias("t", "k"))
+    for depth in range(FAMILIES):
+        sizes = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1")
+        met = staging.table(keyed.join(sizes, ["t", "k"]), "met")
+        few = met.where(F.col("n") <= group) if depth + 1 < FAMILIES else met  # the last family's buckets are all small
+        held = few.groupBy("t", "k").agg(F.collect_list("fp").alias("xs")).select(F.explode("xs").alias("src"), "xs")
+        near = held.select("src", F.explode(F.filter("xs", lambda x: (x > F.col("src")) & (F.bit_count(x.bitwiseXOR(F.col("src"))) <= RADIUS))).alias("dst"))
+        out = near if out is None else out.unionByName(near)
+        many = met.where(F.col("n") > group)
+        if depth + 1 == FAMILIES or many.isEmpty():
+            break
+        below = narrower(family)
+        table = F.array(*[F.array(*signed(own)) for own in below])
+        split = many.select("fp", "t", F.posexplode(F.element_at(table, F.col("t") + 1)).alias("s", "m"))
+        keyed = split.select("fp", (F.col("t") * len(below[0]) + F.col("s")).alias("t"), F.col("fp").bitwiseAND(F.col("m")).alias("k"))
+        family = [m for own in below for m in own]
+    return out.distinct()
 
 
 def _labelled(docs: DataFrame, staging: Staging | None, similarity: float | None) -> DataFrame:

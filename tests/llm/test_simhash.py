@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from claimlens.llm import simhash
 
@@ -42,7 +43,9 @@ def test_masks_cover_radius_two():
             assert any(not m >> i & 1 and not m >> j & 1 for m in masks)
 
 
-def test_links_equal_brute_force(spark):
+@pytest.mark.parametrize("group", [64, 2])
+def test_links_equal_brute_force(spark, group):
+    """Every pair within the radius and no other; with buckets of two, by the second and third families of masks."""
     rng = random.Random(4)
     fps = []
     for _ in range(40):
@@ -52,22 +55,30 @@ def test_links_equal_brute_force(spark):
             for _ in range(rng.randrange(4)):
                 x ^= 1 << rng.randrange(64)
     signed = sorted({simhash._as_signed(f) for f in fps})
-    got = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), simhash.Staging(spark, "t")).collect()
-    u = [f & (2**64 - 1) for f in signed]
-    root = brute(u)
-    where = {f: i for i, f in enumerate(signed)}
-    parent = list(range(len(u)))
+    got = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), simhash.Staging(spark, "t"), group).collect()
+    near = lambda a, b: ((a ^ b) & (2**64 - 1)).bit_count() <= 2
+    assert {(r.src, r.dst) for r in got} == {(a, b) for i, b in enumerate(signed) for a in signed[:i] if near(a, b)}
+    assert len(got) == len({(r.src, r.dst) for r in got})
 
-    def find(a):
-        while parent[a] != a:
-            a = parent[a]
-        return a
 
-    for r in got:
-        assert (u[where[r.src]] ^ u[where[r.dst]]).bit_count() <= 2
-        parent[find(where[r.src])] = find(where[r.dst])
-    mine = [find(i) for i in range(len(u))]
-    assert len(set(zip(root, mine, strict=True))) == len(set(root)) == len(set(mine))
+def test_families_of_masks_cover_and_end_small():
+    family = simhash.masks()
+    for _ in range(simhash.FAMILIES - 1):
+        below = simhash.narrower(family)
+        for m, own in zip(family, below, strict=True):
+            dropped = [i for i in range(64) if not m >> i & 1]
+            assert all(any(not x >> i & 1 and not x >> j & 1 for x in own) for i in dropped for j in dropped)
+        family = [m for own in below for m in own]
+    assert max(64 - m.bit_count() for m in family) <= 6  # 2^6 fingerprints are GROUP
+
+
+def test_large_bucket_is_not_listed_in_pairs(spark):
+    """4,096 fingerprints that share a mask's bits: linked as by brute force, by buckets of GROUP at most."""
+    places = [i for i in range(64) if not simhash.masks()[0] >> i & 1][::2][:12]
+    fps = [sum(1 << p for k, p in enumerate(places) if n >> k & 1) for n in range(4096)]
+    rows = spark.createDataFrame([(simhash._as_signed(f),) for f in fps], "fp long")
+    got = simhash.links(rows, simhash.Staging(spark, "t"))
+    assert got.count() == 4096 * (12 + 66) // 2
 
 
 def test_odd_rows(odd_docs, no_docs):
@@ -112,3 +123,30 @@ def test_rows_are_kept_by_row(spark, prose):
     rows = [(1, prose(1)), (2, prose(2)), (2, prose(3)), (2, prose(1)), (None, prose(4)), (None, prose(4)), (None, prose(5))]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.text for r in kept) == sorted(map(prose, (1, 2, 3, 4, 5)))
+
+
+@pytest.mark.parametrize("outside", [32, 0])
+def test_similarity_components_equal_brute_force(spark, prose, monkeypatch, outside):
+    """Chains whose ends are unlike, beside groups of copies: no component is lost where a key holds several."""
+    monkeypatch.setattr(simhash, "OUTSIDE", outside)
+    rng, texts = random.Random(9), []
+    for i in range(12):
+        w = prose(i, 70).split()
+        for step in range(12):
+            texts.append(" ".join(w))
+            w[rng.randrange(len(w))] = f"n{i}x{step}"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    parent = list(range(len(texts)))
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if simhash.jaccard(texts[i], texts[j]) >= simhash.SIMILARITY:
+                parent[find(i)] = find(j)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    groups = lambda f: {tuple(j for j in range(len(texts)) if f(j) == k) for k in map(f, range(len(texts)))}
+    assert groups(got.get) == groups(find)
