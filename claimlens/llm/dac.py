@@ -10,7 +10,7 @@ long); int64 bounds (documents + 1 token offsets); then for each level int64 n,
 padded to 64, and the uint32 directory.
 
 Texts are encoded where they are read and never shuffled: each becomes its ids, two bytes an id where the vocabulary
-allows, in a table of the shared folder, and these are sorted and cut into files.
+allows, and these go straight to the shard whose range of documents they belong to, to be sorted and cut into files.
 
 Files hold consecutive documents in ascending doc_id order (null first; ties by text hash, then ids), so the start of a
 document is the sum of the ids before it. Defined results: null or empty text is the end id alone; repeated rows are
@@ -24,15 +24,14 @@ import re
 import struct
 import zlib
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from claimlens.llm.tokens import PIECE, Memo, load, merger, odd, pieces
 from claimlens.plans.session import small_batches
@@ -41,7 +40,7 @@ from claimlens.plans.staging import Staging
 MAGIC, BLOCK_BITS, NULL_ID = b"DAC1", 512, -(2**63)
 #: A file is closed at the first document end past so many tokens.
 FILE_TOKENS = 200_000
-#: Ids aimed at in one task, in bytes as stored; most tasks; and bytes a reader of files holds at once.
+#: Input aimed at in one shard, in bytes as stored; most shards; and bytes a reader of files holds at once.
 TASK_BYTES, MAX_TASKS, ROW_GROUP = 8 << 20, 200_000, 8 << 20
 
 
@@ -138,17 +137,18 @@ _ODD = re.compile(r"[^\t\n\r -~¡«»¿À-ſ]")
 class Encoder:
     """Ids of whole texts with the word-end vocabulary; words the library's model has merged are remembered as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: str = "<u4"):
         self.tok, merge = load(path), merger(path)
-        self.memo = Memo(lambda word: array("I", [t.id for t in merge(word)]).tobytes(), {})
+        self.code = {"<u2": "H", "<u4": "I"}[width]
+        self.memo = Memo(lambda word: array(self.code, [t.id for t in merge(word)]).tobytes(), {})
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of a whole text, without an end id."""
+        """Little-endian ids of a whole text, without an end id."""
         return self._ids(text) if len(text) <= PIECE else b"".join(map(self._ids, pieces(text)))
 
     def _ids(self, text: str) -> bytes:
         if odd(text, _ODD) or "<|" in text or "İ" in text:
-            return array("I", self.tok.encode(text, add_special_tokens=False).ids).tobytes()
+            return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
         self.memo.trim()
         return b"".join(map(self.memo.__getitem__, _WORDS.findall(text.lower())))
 
@@ -164,49 +164,63 @@ def _width(tokenizer: str) -> str:
     return "<u2" if max(load(tokenizer).get_vocab().values(), default=0) < 1 << 16 else "<u4"
 
 
-def _coded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, h, ids): each document's ids as bytes of the vocabulary's width, and a hash of its text."""
-    width = _width(tokenizer)
+def _tasks(docs: DataFrame) -> int:
+    """Shards to deal documents into, from the sizes of their files alone; a source of unknown size gets one a core."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return cores if size >= 2**60 else max(cores, min(MAX_TASKS, size // TASK_BYTES + 1))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id (null as the lowest long: pandas would turn longs beside nulls to floats), h (the text's hash), text."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64("text").alias("h"), "text")
 
-    @F.pandas_udf(T.BinaryType())
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, Encoder(tokenizer))
-        for batch in batches:
-            yield pd.Series([np.frombuffer(encoder.ids(t or ""), "<u4").astype(width).tobytes() for t in batch], dtype=object)
-        encoder.memo.rest()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), ids("text").alias("ids"))
+def _bounds(keyed: DataFrame, shards: int) -> list[tuple[int, int]]:
+    """The last (doc_id, h) of every shard but the last one: MAX_TASKS pairs at most. Keys alone are shuffled for it."""
+    dealt = keyed.select("doc_id", "h").repartitionByRange(shards, "doc_id", "h")
+    lasts = dealt.groupBy(F.spark_partition_id().alias("shard")).agg(F.max(F.struct("doc_id", "h")).alias("last")).select("last.*").collect()
+    return sorted((r.doc_id, r.h) for r in lasts)[:-1]
 
 
-def _tasks(coded: DataFrame) -> int:
-    """Ranges to deal documents into, from the sizes of their files alone."""
-    size = int(str(coded._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(coded.sparkSession.sparkContext.defaultParallelism, min(MAX_TASKS, size // TASK_BYTES + 1))
+def _coded(keyed: DataFrame, tokenizer: str, bounds: list[tuple[int, int]]) -> DataFrame:
+    """(doc_id, h, shard, ids): each document's ids as bytes of the vocabulary's width, and the shard its key belongs to."""
+    width, sent = _width(tokenizer), keyed.sparkSession.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("shard int, ids binary")
+    def code(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        encoder = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, Encoder(tokenizer, width))
+        for doc_ids, hashes, texts in batches:
+            shards = [bisect_left(sent.value, key) for key in zip(doc_ids.tolist(), hashes.tolist(), strict=True)]
+            yield pd.DataFrame({"shard": pd.Series(shards, dtype="int32"), "ids": pd.Series([encoder.ids(t or "") for t in texts], dtype=object)})
+        encoder.memo.rest()
+
+    return keyed.select("doc_id", "h", code("doc_id", "h", "text").alias("c")).select("doc_id", "h", "c.shard", "c.ids")
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, file_tokens: int = FILE_TOKENS, staging: Staging | None = None) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, file_tokens: int = FILE_TOKENS) -> None:
     """Write every document's ids, each closed by end_id, as files in ascending doc_id order.
 
     Files are rows (shard, file, tokens, body) of a Parquet folder, as executors reach shared stores through Spark alone.
     A shard is one task's range of documents, sorted and written a file at a time; ranges also cut by text hash, so that
     many rows without doc_id do not meet in one task.
     """
-    spark, width = small_batches(docs.sparkSession), _width(tokenizer)
-    coded = (staging or Staging(spark, "dac")).table(_coded(docs, tokenizer), "coded")
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
-    dealt = coded.repartitionByRange(_tasks(coded), *order).sortWithinPartitions(*order, "ids").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "ids")  # pandas would turn longs beside nulls to floats
+    small_batches(docs.sparkSession)
+    keyed, width = _keyed(docs), _width(tokenizer)
+    bounds = _bounds(keyed, _tasks(docs))
+    coded = _coded(keyed, tokenizer, bounds).repartitionById(len(bounds) + 1, "shard")
+    dealt = coded.sortWithinPartitions("doc_id", "h", "ids").select("shard", "doc_id", "ids")
     end = np.array([end_id], "<u4")
 
     def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, docs_, sizes, held, number = [], [], [], 0, 0
-        at = TaskContext.get().partitionId()
+        ids, docs_, sizes, held, number, at = [], [], [], 0, 0, 0
 
         def close() -> pd.DataFrame:
             body = encode(np.concatenate(ids), np.array(docs_, np.int64), np.concatenate(([0], np.cumsum(sizes))))
             return pd.DataFrame({"shard": [at], "file": [number], "tokens": [held], "body": [body]})
 
         for batch in batches:
-            for key, raw in zip(batch.doc_id.tolist(), batch.ids, strict=True):
+            for at, key, raw in zip(batch.shard.tolist(), batch.doc_id.tolist(), batch.ids, strict=True):
                 own = np.frombuffer(raw, width)
                 ids += [own, end]
                 docs_.append(key)
@@ -246,7 +260,6 @@ def read(spark, path: str) -> DataFrame:
 
 def op4_token_id_output(spark, sf_dir: str) -> DataFrame:
     """Encode every document, write the files to the shared folder, and report each document from the files."""
-    staging = Staging(spark, "dac")
-    path = staging.path("ids")
-    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("word_bpe_49k.json"), staging=staging)
+    path = Staging(spark, "dac").path("ids")
+    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read(spark, path)
