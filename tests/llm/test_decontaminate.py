@@ -1,4 +1,5 @@
 import random
+import time
 
 from claimlens.llm import decontaminate as d
 
@@ -35,6 +36,33 @@ def test_tiling_equals_full_comparison():
         assert got.get(7, 0) == slow_cover(item, doc, width)
 
 
+def test_repetitive_texts_are_not_paired():
+    """An item of few distinct words against a long text of the same: tiled exactly, in time that follows the lengths."""
+    rng = random.Random(5)
+    for _ in range(40):
+        item, doc = [rng.choice("ab") for _ in range(24)], [rng.choice("ab") for _ in range(60)]
+        got = {x[0]: x[2] for x in d.Index([(7, " ".join(item))], 3).leaks(" ".join(doc))}
+        assert got.get(7, 0) == slow_cover(item, doc, 3)
+    began = time.process_time()
+    item = "la " * 30 + "x " + "la " * 19
+    assert [r[:4] for r in d.Index([(1, item)], 5).leaks("la " * 60_000)] == [(1, 50, 49, 2)]
+    assert time.process_time() - began < 3
+
+
+def test_longer_item_bounds_nothing_but_itself():
+    rng = random.Random(8)
+    item = [f"w{rng.randrange(3000)}" for _ in range(3000)]
+    doc = item[1500:] + ["between"] + item[:1500]
+    assert [r[:4] for r in d.Index([(1, " ".join(item)), (2, " ".join(item[:3]))], 5).leaks(" ".join(doc), 0.6)] == [(1, 3000, 3000, 2), (2, 3, 3, 1)]
+
+
+def test_doc_ids_beside_null_stay_longs(spark, prose):
+    rows = [(2**53 + 1, prose(1)), (None, prose(1))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(1, prose(1))], "item_id long, text string")
+    assert {r.doc_id for r in d.leaks(docs, items).collect()} == {2**53 + 1, None}
+
+
 def test_reordered_passages_are_caught(spark, prose):
     item = prose(1, 40).split()
     moved = item[20:] + ["between", "these"] + item[:20]
