@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,9 +28,13 @@ def stable_id(namespace: str, *parts: Column) -> Column:
     return uuid5(namespace, F.to_json(F.array(*parts)))
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def canonical(value) -> str:
-    """Sorted keys, no spaces, no NaN."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """Sorted keys, no spaces, no NaN; half of a surrogate pair, which UTF-8 cannot hold, stays an escape."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def canonical_json():

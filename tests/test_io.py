@@ -163,3 +163,9 @@ def test_windows_stream(spark, tmp_path):
     q = out.writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("w").agg(F.sum("n")).first()[0] == e.count() == queues.windowed_counts(e).agg(F.sum("n")).first()[0]
+
+
+def test_canonical_json_of_lone_surrogates(spark):
+    rows = spark.createDataFrame([(1, '{"b":"\\ud800","a":1}'), (2, '{"a":1,"a":2}'), (3, "\"\U0001f600\"")], "k int, t string")
+    got = [r.c for r in rows.select("k", ids.canonical_json()("t").alias("c")).orderBy("k").collect()]
+    assert got == ['{"a":1,"b":"\\ud800"}', None, '"\U0001f600"']
