@@ -4,9 +4,12 @@ A message's text is plain, or a JSON object that holds `tool_calls` (id, name, a
 `content`) or `tools` (name, parameters: a schema). Calls and results meet in a hash join on (conversation, id).
 Messages are then ordered so that every result follows its call and every call follows the results that its arguments
 name as {"$result": id}: the order is (effective turn, depth, turn, row), where a message takes the largest turn among
-itself and what it depends on, and depth counts dependencies at that turn. Arguments are checked against the schema
+itself and what it depends on, and depth counts dependencies at that turn. Messages that depend on one another, over
+any number of links, form a group; groups of ORDER_EDGES links at most are ordered one after another as a task streams
+through them, larger ones level by level over the cluster. Arguments are checked against the schema
 their conversation declares, else against the `schemas` parameter, and each message becomes one line of canonical
-JSON: sorted keys, no spaces, numbers and strings as Python's json writes them, no escapes beyond JSON's own.
+JSON: sorted keys, no spaces, numbers and strings as Python's json writes them, no escapes beyond JSON's own but for
+lone surrogates.
 
 The result has a row per message, never a conversation in one value, so a conversation of any size stays spread.
 
@@ -16,7 +19,9 @@ keep their own turns and are flagged; null text is null content, null conv_id is
 link like any other; text that is no such object is plain; repeated rows are kept each; other columns are ignored; an
 empty table gives an empty result. Schemas: all assertions of JSON Schema but the unevaluated and dynamic ones, with
 references into the schema itself; format and other annotations assert nothing. Any other keyword, type name or
-reference is an error of every call checked against that schema.
+reference, a keyword's value of the wrong kind and a pattern that is none or takes over PATTERN_SECONDS are errors of
+every call checked against that schema; its arguments and links stand. Content that canonical JSON cannot hold, as a
+number beyond all bounds, is kept as the message's text. A null turn comes before all others.
 """
 
 from __future__ import annotations
@@ -28,13 +33,21 @@ from fractions import Fraction
 from urllib.parse import unquote
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimlens.functions.ids import canonical
+from claimlens.operators.graph import connected_components
 from claimlens.plans.session import small_batches
 from claimlens.plans.staging import Staging
 
+#: Links of a group that one task orders at once, and the time a schema's pattern may take on one string.
+ORDER_EDGES, PATTERN_SECONDS = 200_000, 1.0
+#: Stands for a null turn among longs.
+_NO_TURN = -(2**63)
+
 _SHAPE = "tool_calls array<struct<id:string,name:string,arguments:string>>, tool_call_id string, content string, tools array<struct<name:string,parameters:string>>"
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 #: Where a schema holds schemas: as the value, in a list, by name.
@@ -47,9 +60,11 @@ _PLAIN |= {f"{side}{what}" for side in ("min", "max") for what in ("Length", "It
 _NOTES = {"title", "description", "default", "examples", "deprecated", "readOnly", "writeOnly", "format", "$schema", "$comment", "contentEncoding", "contentMediaType", "contentSchema"}
 
 
-def canonical(value) -> str:
-    """Canonical JSON of a parsed value."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+def _matches(pattern: str, text: str) -> bool:
+    try:
+        return regex.search(pattern, text, timeout=PATTERN_SECONDS) is not None
+    except TimeoutError as error:
+        raise ValueError(f"pattern takes too long: {pattern}"[:200]) from error
 
 
 def strict(text: str):
@@ -172,7 +187,7 @@ def violations(value, schema, at: str = "$", root=None) -> list[str]:
         for own in (schema.get("dependencies", {}), schema.get("dependentSchemas", {})):
             out += [e for n in sorted(own) if n in value and not isinstance(own[n], list) for e in inner(value, own[n])]
         for k in sorted(value):
-            matched = [patterns[p] for p in sorted(patterns) if re.search(p, k)]
+            matched = [patterns[p] for p in sorted(patterns) if _matches(p, k)]
             for own in ([known[k]] if k in known else []) + matched:
                 out += inner(value[k], own, f"{at}.{k}")
             if k not in known and not matched and "additionalProperties" in schema:
@@ -205,7 +220,7 @@ def violations(value, schema, at: str = "$", root=None) -> list[str]:
         out += [f"{at}: not below exclusiveMaximum"] if high is not None and value >= high else []
         if "multipleOf" in schema and _exact(value) % _exact(schema["multipleOf"]):
             out.append(f"{at}: not a multiple")
-    if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value):
+    if isinstance(value, str) and "pattern" in schema and not _matches(schema["pattern"], value):
         out.append(f"{at}: pattern does not match")
     return out
 
@@ -224,19 +239,85 @@ def references(value) -> list[str]:
     return [r for x in value for r in references(x)] if isinstance(value, list) else []
 
 
+_MALFORMED = (ValueError, RecursionError, re.error, regex.error, TypeError, AttributeError, ArithmeticError, KeyError)
+
+
+def _utf8(text: str) -> str:
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
 def _checked(arguments: str | None, schema: str | None) -> tuple[str | None, list[str], list[str]]:
     """Canonical arguments (null if unreadable), errors, references."""
     try:
         value = strict(arguments) if arguments else {}
         if isinstance(value, str):  # arguments sent as a string of JSON
             value = strict(value)
-        return canonical(value), violations(value, strict(schema)) if schema else [], references(value)
-    except (ValueError, RecursionError, re.error, TypeError, AttributeError, ArithmeticError) as error:  # or the schema is malformed
-        return None, [f"$: {error}"[:200]], []
-
-
-def _order(nodes: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
-    """(row, eff, depth, cyclic) for the nodes (row, turn) that edges (before, after) touch; peeled level by level."""
+        text, refs = canonical(value), references(value)
+    except (ValueError, RecursionError) as error:
+        return None, [_utf8(f"$: {error}"[:200])], []
+    try:
+        errors = violations(value, strict(schema)) if schema else []
+    except _MALFORMED as error:  # the schema, or what it asks of this value, is malformed
+        errors = [f"#: {type(error).__name__}: {error}"[:200]]
+    return text, list(map(_utf8, errors)), list(map(_utf8, refs))
+
+
+def ordered(edges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, bool]]:
+    """(row, eff, depth, cyclic) of one group, by its links (before, its turn, after, its turn)."""
+    turn, after, waits = {}, {}, {}
+    for a, at, b, bt in edges:
+        turn[a], turn[b] = at, bt
+        after.setdefault(a, []).append(b)
+        waits[b] = waits.get(b, 0) + 1
+    place = {x: (t, 0) for x, t in turn.items()}
+    ready, done = [x for x in turn if x not in waits], set()
+    while ready:
+        x = ready.pop()
+        done.add(x)
+        eff, depth = place[x]
+        for y in after.get(x, ()):
+            place[y] = max(place[y], (eff, depth + 1))
+            waits[y] -= 1
+            if not waits[y]:
+                ready.append(y)
+    return [(x, *place[x], False) if x in done else (x, turn[x], 0, True) for x in turn]
+
+
+def _order(nodes: DataFrame, edges: DataFrame, staging: Staging, most: int = ORDER_EDGES) -> DataFrame:
+    """(row, eff, depth, cyclic) for the nodes (row, turn) that edges (before, after) touch."""
+    group = connected_components(edges, staging, "before", "after").select(F.col("node").alias("before"), F.col("component").alias("g"))
+    turns = nodes.select("row", F.coalesce("turn", F.lit(_NO_TURN)).alias("turn"))
+    ends = lambda name: turns.select(F.col("row").alias(name), F.col("turn").alias(f"{name}_turn"))
+    linked = staging.table(edges.join(group, "before").join(ends("before"), "before").join(ends("after"), "after"), "groups")
+    large = staging.table(linked.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > most).select("g"), "large")
+    small = linked.join(large, "g", "left_anti").select("g", "before", "before_turn", "after", "after_turn")
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, out = None, [], []
+        for batch in batches:
+            for g, *edge in batch.itertuples(index=False):
+                if g != now and held:
+                    out += ordered(held)
+                    held = []
+                now = g
+                held.append(edge)
+                if len(out) > 50_000:
+                    yield pd.DataFrame(out, columns=["row", "eff", "depth", "cyclic"])
+                    out = []
+        out += ordered(held) if held else []
+        yield pd.DataFrame(out, columns=["row", "eff", "depth", "cyclic"])
+
+    placed = small.repartition("g").sortWithinPartitions("g").mapInPandas(stream, "row long, eff long, depth int, cyclic boolean")
+    placed = placed.withColumn("eff", F.nullif("eff", F.lit(_NO_TURN)))
+    if large.isEmpty():
+        return placed
+    rest = linked.join(large, "g", "left_semi").select("before", "after")
+    touched = nodes.join(rest.select(F.explode(F.array("before", "after")).alias("row")).distinct(), "row", "left_semi")
+    return placed.unionByName(_peeled(touched, rest, staging).select("row", "eff", "depth", "cyclic"))
+
+
+def _peeled(nodes: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
+    """The same of groups too large for one task, a level at a time over the cluster."""
     done, left, rest, rounds = None, nodes, edges, 0
     while not left.isEmpty():
         ready = left.join(rest.select(F.col("after").alias("row")).distinct(), "row", "left_anti") if rounds else left.join(edges.select(F.col("after").alias("row")).distinct(), "row", "left_anti")
@@ -291,8 +372,7 @@ def format_chats(messages: DataFrame, schemas: dict[str, dict] | None = None, st
     needs = refs.join(firsts, result_of).select(F.col("first.row").alias("before"), "after")
     edges = answered.where("call_row is not null").select(F.col("call_row").alias("before"), F.col("row").alias("after")).unionByName(needs).where("before <> after").distinct()
     edges = staging.table(edges, "edges")
-    nodes = talk.select("row", "turn").join(edges.select(F.explode(F.array("before", "after")).alias("row")).distinct(), "row", "left_semi")
-    placed = _order(nodes, edges, staging).select("row", "eff", "depth", "cyclic")
+    placed = _order(talk.select("row", "turn"), edges, staging)
 
     out = base.join(by_row, "row", "left").join(answered.select("row", F.col("link").alias("result_link")), "row", "left").join(placed, "row", "left")
     some = F.coalesce("calls", F.array().cast("array<struct<k:int,id:string,name:string,arguments:string,errors:array<string>,link:string>>"))
@@ -322,11 +402,21 @@ def _check_udf(known: dict[str, str]):
     return check
 
 
+def _content(text: str):
+    """The content of a message that is a JSON object; the text itself where canonical JSON cannot hold it."""
+    try:
+        value = json.loads(text)
+        value = value.get("content") if isinstance(value, dict) else None
+        canonical(value)
+        return value
+    except (ValueError, RecursionError):
+        return text
+
+
 def line(role, text, calls, answers, link) -> str:
     """The canonical JSON of one message."""
-    out = {"role": role, "content": text}
+    out = {"role": role, "content": _content(text) if calls or link else text}
     if calls:
-        out["content"] = strict_or_none(text).get("content")
         out["tool_calls"] = []
         for c in json.loads(calls):
             call = {"id": c.get("id"), "name": c.get("name"), "arguments": json.loads(c["arguments"]) if c.get("arguments") else None}
@@ -336,21 +426,12 @@ def line(role, text, calls, answers, link) -> str:
                 call["link"] = c["link"]
             out["tool_calls"].append(call)
     if link:
-        out["content"] = strict_or_none(text).get("content")
         out["tool_call_id"] = answers
         if link != "linked":
             out["link"] = link
     return canonical(out)
 
 
-def strict_or_none(text: str) -> dict:
-    try:
-        value = json.loads(text)
-        return value if isinstance(value, dict) else {}
-    except ValueError:
-        return {}
-
-
 def _line_udf():
     @F.pandas_udf(T.StringType())
     def lines(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from claimlens.llm import chat
@@ -121,3 +122,93 @@ def test_unsupported_schemas_count_as_invalid(spark):
     rows = [(1, 0, "system", json.dumps({"tools": tools})), (1, 1, "assistant", json.dumps({"tool_calls": calls}))]
     out = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     assert [r.n_invalid for r in out.orderBy("turn").collect()] == [0, 2]
+
+
+def plain(rows):
+    """Linking, order and validation of messages (conv, turn, role, text) in plain Python, one conversation at a time."""
+    out = []
+    for conv in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == conv]
+        parsed = [json.loads(r[3]) if r[3].startswith("{") else {} for r in own]
+        tools = {t["name"]: t["parameters"] for m in parsed for t in m.get("tools", [])}
+        calls, results = {}, {}
+        for k, m in enumerate(parsed):
+            for n, c in enumerate(m.get("tool_calls", [])):
+                calls.setdefault(c["id"], []).append((own[k][1], k, n))
+            if "tool_call_id" in m:
+                results.setdefault(m["tool_call_id"], []).append((own[k][1], k))
+        needs = {k: set() for k in range(len(own))}
+        for k, m in enumerate(parsed):
+            if "tool_call_id" in m and m["tool_call_id"] in calls:
+                needs[k].add(min(calls[m["tool_call_id"]])[1])
+            for c in m.get("tool_calls", []):
+                needs[k] |= {min(results[r])[1] for r in chat.references(c["arguments"]) if r in results}
+            needs[k].discard(k)
+
+        def place(k, seen=(), own=own, needs=needs):
+            if k in seen:
+                raise RecursionError
+            return max([(own[k][1], 0), *((e, d + 1) for e, d in (place(p, (*seen, k)) for p in needs[k]))])
+
+        for k, (m, r) in enumerate(zip(parsed, own, strict=True)):
+            try:
+                spot = (*place(k), False)
+            except RecursionError:
+                spot = (r[1], 0, True)
+            mine = m.get("tool_calls", [])
+            invalid = sum(bool(tools.get(c["name"]) and chat.violations(c["arguments"], tools[c["name"]])) for c in mine)
+            is_open = sum(c["id"] not in results and min(calls[c["id"]])[1:] == (k, n) for n, c in enumerate(mine))
+            link = None
+            if "tool_call_id" in m:
+                i = m["tool_call_id"]
+                link = "orphan" if i not in calls else "linked" if min(results[i])[1] == k else "extra"
+            out.append((conv, r[1], *spot, len(mine), is_open, invalid, link))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_conversations_with_calls_equal_plain_python(spark, monkeypatch, most):
+    rng, rows = random.Random(11), []
+    for conv in range(60):
+        ids, turn = [f"c{i}" for i in range(rng.randrange(1, 9))], 0
+        rows.append((conv, turn, "system", json.dumps({"tools": [{"name": "add", "parameters": ADD}]})))
+        spoken = []
+        for i in ids:
+            args = {"a": rng.randrange(-1, 3)} | ({"b": {"$result": rng.choice(ids)}} if rng.random() < 0.6 else {})
+            spoken.append(("assistant", json.dumps({"tool_calls": [call(i, rng.choice(["add", "f"]), args)]})))
+            if rng.random() < 0.85:
+                spoken.append(("tool", json.dumps({"tool_call_id": rng.choice([i, i, i, "zz"]), "content": "1"})))
+            spoken.append(("user", "plain"))
+        rng.shuffle(spoken)
+        rows += [(conv, turn := turn + 1, role, text) for role, text in spoken]
+    monkeypatch.setattr(chat._order, "__defaults__", (most,))
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1))
+    names = ["conv_id", "turn", "order_turn", "order_depth", "cyclic", "n_calls", "n_open", "n_invalid", "link"]
+    assert sorted((tuple(r) for r in got.select(names).collect()), key=str) == plain(rows)
+
+
+def test_long_chain_takes_no_round_a_link(spark):
+    n = 3000
+    rows = [(1, 2 * i + k, "x", t) for i in range(n) for k, t in enumerate((json.dumps({"tool_calls": [call(f"c{i}", "f", {"v": {"$result": f"c{i - 1}"}})]}), json.dumps({"tool_call_id": f"c{i}"})))]
+    out = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert all((r.order_turn, r.order_depth, r.cyclic) == (r.turn, 0, False) for r in out) and len(out) == 2 * n
+
+
+def test_malformed_schemas_and_odd_content(spark):
+    odd = [{"type": 5}, {"required": 5}, {"enum": 7}, {"properties": 3}, {"minLength": "x"}, {"pattern": "("}, {"pattern": 3}, {"allOf": 1}, {"$ref": "#"}, {"dependencies": [1]}, {"items": 3}, {"pattern": "(a+)+$"}]
+    calls = [call(f"{k}", f"t{k}", '{"s":"%s!","r":{"$result":"0"}}' % ("a" * 40)) for k in range(len(odd))]
+    tools = [{"name": f"t{k}", "parameters": {"properties": {"s": s}} if "pattern" in s or "minLength" in s else s} for k, s in enumerate(odd)]
+    rows = [
+        (1, 0, "system", json.dumps({"tools": tools})),
+        (1, 1, "assistant", json.dumps({"tool_calls": calls})),
+        (1, None, "tool", '{"tool_call_id":"0","content":1e400}'),
+        (1, 3, "tool", '{"tool_call_id":"1","content":"\\ud800 x"}'),
+        (1, 4, "assistant", '{"tool_calls":[{"id":"s","name":"f","arguments":{"\\ud800":"\\udc00"}}]}'),
+        (1, 5, "assistant", '{"content":' + "[" * 5000 + "]" * 5000 + "}"),
+    ]
+    got = {r.turn: r for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert (got[1].n_calls, got[1].n_invalid) == (len(odd), len(odd))
+    assert all(c["arguments"]["r"] == {"$result": "0"} for c in json.loads(got[1].json)["tool_calls"])
+    assert json.loads(got[None].json)["content"] == '{"tool_call_id":"0","content":1e400}'
+    assert '"content":"\\ud800 x"' in got[3].json and '{"\\ud800":"\\udc00"}' in got[4].json
+    assert json.loads(got[5].json)["content"] == rows[5][3]  # no object that is read, so plain
