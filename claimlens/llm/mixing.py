@@ -108,8 +108,12 @@ def mix(docs: DataFrame, target: float | None = ENTROPY, max_repeat: float | Non
     )
     place = lambda df: df.join(F.broadcast(table), "label").withColumn("block", F.pmod("deal", F.col("blocks")))  # noqa: E731 MAX_SOURCES bounds the table
     sums = place(slim).where("rest > 0").groupBy("label", "block", "rest").agg(F.sum("tokens").alias("b"))
-    shuffled = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(seed + 2), "label", "block"), "block")
-    marked = sums.select("label", "block", "b", (F.col("rest") - F.sum("b").over(shuffled) + F.col("b")).alias("room"))
+    sums = staging.table(sums.withColumn("o", F.xxhash64(F.lit(seed + 2), "label", "block")).withColumn("slot", F.shiftright("o", 54)), "sums")
+    # the permutation's running sums: over the at most 1,024 slots of a source, then inside each slot, so that no task ranks all blocks of a source
+    slots = sums.groupBy("label", "slot").agg(F.sum("b").alias("s"))
+    before = slots.select("label", "slot", (F.sum("s").over(Window.partitionBy("label").orderBy("slot")) - F.col("s")).alias("before"))
+    inner = Window.partitionBy("label", "slot").orderBy("o", "block")
+    marked = sums.join(before, ["label", "slot"]).select("label", "block", "b", (F.col("rest") - F.col("before") - F.sum("b").over(inner) + F.col("b")).alias("room"))
     full = marked.where("b <= room").select("label", "block", F.lit(2**63 - 1).alias("bound"))
     # one block a source at most straddles the edge; its documents are bounded by block_tokens, but for empty ones
     edge = marked.where("b > room and room > 0").select("label", "block", "room")

@@ -1,8 +1,10 @@
 import math
+import re
 from collections import Counter
 
 import pytest
 from claimlens.llm import mixing
+from pyspark.sql import functions as F
 
 
 def test_exponent_meets_limits():
@@ -56,3 +58,67 @@ def test_odd_rows(odd_docs, no_docs, spark):
     assert mixing.mix(blank).count() == blank.count()
     clash = odd_docs.withColumnsRenamed({"digest": "mix_order", "row": "copies", "lang": "block"})
     assert {"mix_order", "mix_order_"} <= set(mixing.mix(clash).columns)
+
+
+def slow_mix(spark, docs, target, max_repeat, budget, block_tokens, seed):
+    """The mixture in plain Python: shares, exponent, passes, and each source's blocks in the order of their hashes."""
+    h = lambda *c: F.xxhash64(*c)
+    key = F.struct("doc_id", "source")
+    rows = docs.select("doc_id", "source", "text", h(F.lit(seed), key).alias("deal"), h(F.lit(seed + 1), key).alias("h"), F.to_json(F.struct("source")).alias("label")).collect()
+    tokens = lambda r: len(re.findall(r"[^ \t\n\x0b\f\r]+", r.text or ""))
+    totals = Counter()
+    for r in rows:
+        totals[r.label] += tokens(r)
+    labels = sorted(totals)
+    sizes = [totals[x] for x in labels]
+    shares = lambda a: [(t / sum(sizes)) ** a if t else 0.0 for t in sizes]
+    fits = []
+    for a in (k / 20_000 for k in range(20_001)):
+        w = [x / sum(shares(a)) for x in shares(a)]
+        per = [x / t for x, t in zip(w, sizes, strict=True) if t]
+        fits.append((a, -sum(x * math.log(x) for x in w if x) >= target * math.log(sum(t > 0 for t in sizes)), max(per) * (budget or 1 / min(per)) <= max_repeat))
+    near = max([max((a for a, even, _ in fits if even), default=0.0), min((a for a, _, seldom in fits if seldom), default=1.0)])
+    a = mixing.bisect_exponent(sizes, target, max_repeat, budget)
+    assert a == pytest.approx(near, abs=1e-4)
+    w = [x / sum(shares(a)) for x in shares(a)]
+    per = [x / t if t else 0.0 for x, t in zip(w, sizes, strict=True)]
+    out = Counter()
+    for label, size, p in zip(labels, sizes, per, strict=True):
+        times = p * (budget or 1 / min(x for x in per if x))
+        whole, own = int(times + 1e-9) if size else 1, [r for r in rows if r.label == label]
+        n = max(1, math.ceil(size / block_tokens))
+        room, taken = max(0.0, times - whole) * size, set()
+        blocks = sorted({r.deal % n for r in own})
+        order = {r.b: r.o for r in spark.createDataFrame([(b,) for b in blocks], "b long").select("b", h(F.lit(seed + 2), F.lit(label), F.col("b")).alias("o")).collect()}
+        for b in sorted(blocks, key=lambda b: (order[b], b)) if room > 0 else []:
+            inside = sorted((r for r in own if r.deal % n == b), key=lambda r: r.h)
+            held = sum(map(tokens, inside))
+            if held <= room:
+                taken |= {id(r) for r in inside}
+            elif room > 0:
+                run = 0
+                for r in inside:
+                    run += tokens(r)
+                    if run > room:
+                        break
+                    taken.add(id(r))
+            room -= held
+        for r in own:
+            out[r.doc_id, r.source] += whole + (id(r) in taken)
+    return +out
+
+
+def test_query_equals_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "source", "text")
+    got = mixing.op3_source_mixing(spark, "/root/testdata/sf0.001").collect()
+    want = slow_mix(spark, docs, mixing.ENTROPY, mixing.MAX_REPEAT, None, mixing.BLOCK_TOKENS, mixing.SEED)
+    assert Counter((r.doc_id, r.source) for r in got) == want
+    epochs = Counter((r.doc_id, r.source, r.mix_epoch) for r in got)
+    assert set(epochs.values()) == {1} and len({r.mix_order for r in got}) == len(got)
+
+
+@pytest.mark.parametrize("budget", [None, 20_000, 400_000])
+def test_small_blocks_equal_plain_python(spark, prose, budget):
+    docs, _ = frame(spark, prose)
+    got = Counter((r.doc_id, r.source) for r in mixing.mix(docs, 0.9, 3.0, budget, 300, 5).collect())
+    assert got == slow_mix(spark, docs, 0.9, 3.0, budget, 300, 5)
