@@ -38,6 +38,8 @@ BLOCK, BASE = 65_536, 0x9E3779B97F4A7C15
 #: Bytes of the bitmap that spares texts a shuffle.
 BITMAP = 1 << 18
 INVERSE = pow(BASE, -1, 1 << 64)
+#: A null doc_id goes through pandas as the lowest long, as its longs would turn to floats beside nulls.
+_LOWEST = -(2**63)
 
 
 def gear_table(seed: int = 7) -> np.ndarray:
@@ -163,14 +165,15 @@ def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc_id, row, d, e, text in zip(batch.doc_id.astype("Int64"), batch.row, batch.d, batch.e, batch.text, strict=True):
+            for doc_id, row, d, e, text in zip(batch.doc_id, batch.row, batch.d, batch.e, batch.text, strict=True):
                 if text and (words := Words(text)).n >= least:
                     at = words.digests().anchors(least)
                     a = words.spans((least + 1) // 2, 0)[at].view(np.int64)
                     n, span = len(at) + 1, int(words.begins[0]) << 32 | int(words.stops[-1])
-                    yield pd.DataFrame({"doc_id": pd.array([doc_id] * n, dtype="Int64"), "row": np.full(n, row), "d": np.full(n, d), "e": np.full(n, e), "at": np.append(at, -words.n).astype(np.int32), "a": np.append(a, span)})
+                    yield pd.DataFrame({"doc_id": np.full(n, doc_id), "row": np.full(n, row), "d": np.full(n, d), "e": np.full(n, e), "at": np.append(at, -words.n).astype(np.int32), "a": np.append(a, span)})
 
-    return _texts(docs).withColumn("row", F.monotonically_increasing_id()).mapInPandas(_gathered(found), "doc_id long, row long, d long, e long, at int, a long")
+    rows = _texts(docs).withColumn("row", F.monotonically_increasing_id()).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LOWEST)))
+    return rows.mapInPandas(_gathered(found), "doc_id long, row long, d long, e long, at int, a long").withColumn("doc_id", F.nullif("doc_id", F.lit(_LOWEST)))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -194,14 +197,14 @@ def _window_rows(hits: DataFrame, least: int) -> DataFrame:
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc_id, row, text, ats in zip(batch.doc_id.astype("Int64"), batch.row, batch.text, batch.ats, strict=True):
+            for doc_id, row, text, ats in zip(batch.doc_id, batch.row, batch.text, batch.ats, strict=True):
                 words = Words(text).digests()
                 at = words.around(np.asarray(ats), least)
                 a, b = words.spans(least, 0)[at].view(np.int64), (words.spans(least, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 start, end = words.begins[at].astype(np.int32), words.stops[at + least - 1].astype(np.int32)
-                yield pd.DataFrame({"doc_id": pd.array([doc_id] * len(at), dtype="Int64"), "row": np.full(len(at), row), "at": at.astype(np.int32), "start": start, "end": end, "a": a, "b": b})
+                yield pd.DataFrame({"doc_id": np.full(len(at), doc_id), "row": np.full(len(at), row), "at": at.astype(np.int32), "start": start, "end": end, "a": a, "b": b})
 
-    return hits.mapInPandas(_gathered(found), "doc_id long, row long, at int, start int, end int, a long, b int")
+    return hits.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LOWEST))).mapInPandas(_gathered(found), "doc_id long, row long, at int, start int, end int, a long, b int").withColumn("doc_id", F.nullif("doc_id", F.lit(_LOWEST)))
 
 
 def _gathered(found):

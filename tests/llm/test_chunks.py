@@ -110,3 +110,10 @@ def test_copies_equal_every_window_listed(spark, prose):
                 want.append((i, begin, begin + len(" ".join(w[j : j + n + 50])), n + 50, places[0][1] if places[0][0] else None, all(p[2:] == (at, k) for p, k in zip(places, range(j, j + n), strict=True))))
     got = chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).drop("row").collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and len(want) == 8
+
+
+def test_doc_ids_beside_null_stay_longs(spark, prose):
+    big = 2**53 + 1
+    docs = spark.createDataFrame([(big, prose(1)), (None, prose(1) + " more"), (big + 1, "other " + prose(1))], "doc_id long, text string").coalesce(1)
+    rows = chunks.repeated_passages(docs).collect()
+    assert {r.doc_id for r in rows} == {big, None, big + 1}
