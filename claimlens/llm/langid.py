@@ -10,7 +10,8 @@ position: a convolution is then a sum of table rows, and inference is lookups, a
 Training reads a bounded sample: the TRAIN_DOCS labelled documents of each language with the smallest seeded hash of
 doc_id among those whose crc32(doc_id) mod 3 is not 1, and DOC_WINDOWS windows of each at even distances over the
 whole text. Where that would be over SAMPLE_DOCS documents, every language gives fewer, SAMPLE_DOCS divided by the number of
-languages and at least one: no language is left out. lang, source and doc_id are never inputs.
+languages and at least one: no language is left out. lang, source and doc_id are never inputs. Of rows that share a
+doc_id the first lang and the first text in order are taught.
 
 Defined results: null text or text without a letter is `und` with score 0; ties go to the first language in order;
 repeated rows are predicted each; a table without labels predicts `und` everywhere with score 0, and with a single language that one;
@@ -153,7 +154,7 @@ def train(docs: DataFrame) -> Net:
     """Fit on the documented sample of labelled documents."""
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id")
-    ids = usable.select("doc_id", "lang").dropDuplicates(["doc_id"])
+    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     # a bounded head per language before the window, so that one frequent language is not ranked in one task
     share = ids.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
     near = share.withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id"))).where(F.col("r") <= TRAIN_DOCS)
@@ -179,7 +180,8 @@ def train(docs: DataFrame) -> Net:
                 out.append([win[i].tobytes() for i in pick])
             yield pd.Series(out, dtype=object)
 
-    rows = usable.where(F.col("doc_id").isin(sorted(number))).select("doc_id", sampled("text").alias("w")).collect()
+    texts = usable.where(F.col("doc_id").isin(sorted(number))).groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = texts.select("doc_id", sampled("text").alias("w")).collect()
     rows = sorted(((r.doc_id, bytes(w)) for r in rows for w in r.w))
     if not rows:
         return Net(langs)

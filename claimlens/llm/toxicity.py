@@ -14,8 +14,9 @@ window; embeddings start with the smoothed log-odds of words and 4-grams in one
 windows. labels, lang, source and doc_id are never inputs of a score.
 
 Defined results: null, empty and wordless texts score as an empty window; without labels of both classes every score
-is 0; repeated rows are scored each; null labels teach nothing; other columns are ignored; an empty table gives an
-empty result.
+is 0; repeated rows are scored each; null labels teach nothing; of labels that contradict one another over a doc_id the
+toxic one counts, and of texts that share a doc_id the first in order is taught; other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -318,7 +319,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Net:
     for k in (0, 1):
         for r in one.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(TRAIN_DOCS).collect():
             chosen[r.doc_id] = k
-    rows = texts.where(F.col("doc_id").isin(sorted(chosen))).select("doc_id", "text").collect() if chosen else []
+    rows = texts.where(F.col("doc_id").isin(sorted(chosen))).groupBy("doc_id").agg(F.min("text").alias("text")).collect() if chosen else []
     rows = sorted((r.doc_id, r.text) for r in rows)
     y = np.array([chosen[i] for i, _ in rows], np.int64)
     if len(set(y.tolist())) < 2:
