@@ -13,7 +13,7 @@ def micros(ts: Column) -> Column:
 
 def clock_us(text: Column) -> Column:
     """Microseconds of an instant in text; null when it names no zone or cannot be read."""
-    zoned = text.rlike(r"(?:[Zz]|[+-]\d{2}:?\d{2})$")
+    zoned = text.rlike(r"(?:[Zz]|[+-]\d{2}:?\d{2})\z")
     return F.when(zoned, F.unix_micros(F.try_to_timestamp(text)))
 
 
@@ -50,11 +50,11 @@ def partial_date(text: Column) -> tuple[Column, Column, Column]:
     year = F.substring(text, 1, 4).cast("int")
     unit = F.substring(text, 7, 1).cast("int")
     kind = (
-        F.when(text.rlike(r"^\d{4}$"), "year")
-        .when(text.rlike(r"^\d{4}-(0[1-9]|1[0-2])$"), "month")
-        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}$") & F.try_to_date(text).isNotNull(), "day")
-        .when(text.rlike(r"^\d{4}-Q[1-4]$"), "quarter")
-        .when(text.rlike(r"^\d{4}-H[12]$"), "half")
+        F.when(text.rlike(r"^\d{4}\z"), "year")
+        .when(text.rlike(r"^\d{4}-(0[1-9]|1[0-2])\z"), "month")
+        .when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z") & F.try_to_date(text).isNotNull(), "day")
+        .when(text.rlike(r"^\d{4}-Q[1-4]\z"), "quarter")
+        .when(text.rlike(r"^\d{4}-H[12]\z"), "half")
     )
     first = (
         F.when(kind == "year", F.make_date(year, F.lit(1), F.lit(1)))
@@ -72,3 +72,25 @@ def published_by(published: Column, retrieved: Column) -> Column:
     """Publication not after retrieval, at the precision that the publication has: a day or an instant."""
     day = F.try_to_date(published)
     return F.when(F.length(published) == 10, day <= F.to_date(retrieved)).otherwise(F.try_to_timestamp(published) <= retrieved)
+
+
+def publisher_date(text: Column) -> Column:
+    """The day of DD-MON-YY in this century; null for anything else."""
+    months = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()
+    month = F.array_position(F.array(*[F.lit(m) for m in months]), F.substring(text, 4, 3))
+    iso = F.format_string("20%s-%02d-%s", F.substring(text, 8, 2), month, F.substring(text, 1, 2))
+    return F.when(text.rlike(r"\A\d{2}-[A-Z]{3}-\d{2}\z") & (month > 0), F.try_to_date(iso))
+
+
+def local_day(us: Column, hours: int) -> Column:
+    """The calendar day of an instant where clocks stand `hours` ahead of UTC."""
+    return F.to_date(F.timestamp_micros(us + F.lit(hours * 3_600_000_000)))
+
+
+def literal_period(text: Column) -> tuple[Column, Column]:
+    """(first, last day) of a bare year or of its first or second half in words; nulls for anything else."""
+    rule = r"\A(?:(first|second) half of )?(20\d{2})\z"
+    half, year = F.regexp_extract(text, rule, 1), F.regexp_extract(text, rule, 2).try_cast("int")
+    low = F.make_date(year, F.when(half == "second", 7).otherwise(1), F.lit(1))
+    high = F.when(half == "first", F.make_date(year, F.lit(6), F.lit(30))).otherwise(F.make_date(year, F.lit(12), F.lit(31)))
+    return low, high

@@ -64,6 +64,17 @@ def name_key():
     return _udf(lambda x: "".join(unicodedata.normalize("NFKC", x).split()), T.StringType())
 
 
+def name_words(text: str) -> str:
+    """Words of a name for whole-word comparison: compatibility-normal, case-folded, all but letters and digits as blanks."""
+    kept = (c if c.isalnum() else " " for c in unicodedata.normalize("NFKC", text).casefold())
+    return " ".join("".join(kept).split())
+
+
+def worded():
+    """Column form of name_words."""
+    return _udf(name_words, T.StringType())
+
+
 class _Visible(HTMLParser):
     HIDDEN = frozenset(("script", "style", "noscript", "template"))
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.clocks import add_quarters, quarter_label, quarter_offset, quarter_start
+from claimlens.functions.facilities import first_of, period_exclusion, relative_capacity
+from claimlens.functions.ids import canonical
 
 QUARTERS, DIGITS = 20, 9
 
@@ -72,3 +76,77 @@ def exclusion(rules: list[tuple[str, Column]]) -> Column:
     for name, rule in rules:
         reason = F.when(rule, name) if reason is None else reason.when(rule, name)
     return reason
+
+
+def fingerprint(basis: dict[str, tuple[float, ...]] = BASIS, ramp_: tuple[tuple[float, ...], ...] = RAMP, policy: str = "auto") -> str:
+    """SHA-256 of a model's parameters in canonical JSON, once they are sound.
+
+    Factors and fractions lie in [0, 1] and rise from p10 to p90; fractions do not fall over the quarters and end at one.
+    """
+    if policy not in ("auto", "horizon", "steady"):
+        raise ValueError(f"unknown policy {policy!r}")
+    for name, row in [*basis.items(), *enumerate(ramp_)]:
+        if len(row) != 3 or not 0 <= row[0] <= row[1] <= row[2] <= 1:
+            raise ValueError(f"quantiles of {name!r} do not rise within [0, 1]")
+    if not ramp_ or any(a > b for x, y in zip(ramp_, ramp_[1:], strict=False) for a, b in zip(x, y, strict=True)) or ramp_[-1] != (1.0, 1.0, 1.0):
+        raise ValueError("a ramp must rise to one")
+    return hashlib.sha256(canonical({"basis": basis, "ramp": ramp_, "policy": policy, "quarters": QUARTERS}).encode()).hexdigest()
+
+
+#: Milestones that begin production, and statuses of those that stand.
+PRODUCTION = ("mass_production", "production_start", "ramp_start", "volume_production")
+STANDING = ("expected", "started", "completed", "delayed")
+
+
+def selection(capacities: DataFrame, milestones: DataFrame, links: DataFrame, reviews: DataFrame, supported: DataFrame, start: str) -> DataFrame:
+    """Every capacity with the reason why it is not forecast (null: it is), the claims the reason names, and its milestone.
+
+    capacities: capacity_id, entity_id, basis, unit, metric, confidence, valid_from, period_start, period_end;
+    milestones: milestone_id, entity_id, milestone_type, status, confidence, valid_from, low, base; links: capacity_id,
+    milestone_id (see release.linked); reviews: capacity_id, milestone_id, decision; supported: claim ids `node` whose
+    support reaches evidence. Economically usable capacity needs no milestone; any other needs exactly one that is
+    linked, standing and fully known, and an accepted review of that very pair.
+    """
+    known = F.col("confidence").isNotNull() & F.col("valid_from").isNotNull()
+    status = F.col("status")
+    side = first_of([(status == "cancelled", "cancelled"), (status.isin(*STANDING), F.when(known & F.col("base").isNotNull(), "active").otherwise("unsupported"))])
+    made = milestones.where(F.col("milestone_type").isin(*PRODUCTION)).select("milestone_id", "entity_id", "low", side.alias("side")).where("side is not null")
+    gather = lambda name, *kinds: F.array_sort(F.collect_set(F.when(F.col("side").isin(*kinds), F.col("milestone_id")))).alias(name)
+    linked = links.select("capacity_id", "milestone_id").distinct().join(made.drop("entity_id"), "milestone_id").groupBy("capacity_id").agg(
+        gather("active", "active"), gather("cancelled", "cancelled"), gather("open", "active", "unsupported"), gather("unsupported", "unsupported"), F.min(F.when(F.col("side") == "active", F.col("low"))).alias("low")
+    )
+    # an entity's own milestones, of which reasons name all: bounded by one entity
+    around = made.groupBy("entity_id").agg(gather("own_active", "active"), gather("own_cancelled", "cancelled"))
+    review = reviews.groupBy("capacity_id").agg(F.max_by(F.struct("milestone_id", "decision"), F.struct("milestone_id", "decision")).alias("r"))
+    held = supported.select(F.col("node").alias("s")).distinct()
+    rows = capacities.join(linked, "capacity_id", "left").join(around, "entity_id", "left").join(review, "capacity_id", "left")
+    none = F.array().cast("array<long>")
+    lists = {c: F.coalesce(c, none) for c in ("active", "cancelled", "open", "unsupported", "own_active", "own_cancelled")}
+    needs = F.col("basis") != "economically_usable"
+    rows = rows.withColumns(lists).withColumn("milestone_id", F.when(needs & (F.size("active") == 1), F.element_at("active", 1)))
+    rows = rows.join(held, F.col("capacity_id") == F.col("s"), "left").withColumn("sound", F.col("s").isNotNull()).drop("s")
+    rows = rows.join(held, F.col("milestone_id") == F.col("s"), "left").withColumn("sound", F.col("sound") & (F.col("milestone_id").isNull() | F.col("s").isNotNull())).drop("s")
+    begin = quarter_start(F.lit(start).cast("date"))
+    low = F.when(F.col("milestone_id").isNotNull(), F.col("low"))
+    period = period_exclusion(F.col("period_start"), F.col("period_end"), begin, add_quarters(begin, QUARTERS), low)
+    pair, other = F.col("milestone_id").isNotNull(), F.col("r.milestone_id") != F.col("milestone_id")
+    mine = F.array_compact(F.array("milestone_id"))
+    some = lambda c: F.size(c) > 0
+    rules = [
+        (~known, "unknown_capacity_evidence_basis", none),
+        (relative_capacity(F.col("unit"), F.col("metric")), "relative_capacity_not_forecastable", none),
+        (needs & some("cancelled") & some("open"), "conflicting_production_milestone_statuses", F.array_sort(F.array_union("cancelled", "open"))),
+        (needs & some("cancelled"), "cancelled_production_milestone", F.col("cancelled")),
+        (needs & some("unsupported"), "unsupported_linked_production_milestone", F.col("unsupported")),
+        (needs & (F.size("active") > 1), "ambiguous_linked_production_milestones", F.col("active")),
+        (needs & ~pair & some("own_active"), "unlinked_production_milestone", F.col("own_active")),
+        (needs & ~pair & some("own_cancelled"), "cancelled_production_milestone", F.col("own_cancelled")),
+        (needs & ~pair, "missing_production_milestone", none),
+        (period.isNotNull(), period, mine),
+        (pair & F.col("r").isNull(), "capacity_event_scope_unreviewed", mine),
+        (pair & (F.col("r.decision") != "accepted"), "capacity_event_scope_deferred", mine),
+        (pair & other, "capacity_event_scope_mismatch", F.array_sort(F.array("milestone_id", "r.milestone_id"))),
+        (~F.col("sound"), "forecast_input_support_unavailable_or_invalid", mine),
+    ]
+    why = first_of(((test, F.struct((reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"), related.alias("related"))) for test, reason, related in rules))
+    return rows.withColumn("why", why).select("capacity_id", "entity_id", "why.reason", F.coalesce("why.related", none).alias("related"), F.when(F.col("why").isNull(), F.col("milestone_id")).alias("milestone_id"))

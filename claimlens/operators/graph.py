@@ -125,3 +125,16 @@ def supported(nodes: DataFrame, direct: DataFrame, edges: DataFrame, staging: St
             return good
         size = now
     raise RuntimeError(f"support did not settle in {max_rounds} rounds")
+
+
+def carry_identity(components: DataFrame, prior: DataFrame) -> DataFrame:
+    """(component, identity, problem): a component keeps the identity that its nodes had; new ones take their own name.
+
+    components: node, component; prior: node, identity. Nodes of several identities merge, and an identity over several
+    components splits: both are problems, and no identity is chosen.
+    """
+    met = components.join(prior, "node", "left").groupBy("component").agg(F.countDistinct("identity").alias("n"), F.min("identity").alias("identity"))
+    spread = components.join(prior, "node").groupBy("identity").agg(F.countDistinct("component").alias("parts"))
+    both = met.join(spread, "identity", "left")
+    problem = F.when(F.col("n") > 1, "merged").when(F.col("parts") > 1, "split")
+    return both.select("component", F.when(problem.isNull(), F.coalesce("identity", "component")).alias("identity"), problem.alias("problem"))

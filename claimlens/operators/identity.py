@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,9 +13,14 @@ def unique_side(rows: DataFrame, key: str) -> DataFrame:
 
 
 def candidates(left: DataFrame, right: DataFrame, key: str, score: Column) -> DataFrame:
-    """Pairs that agree on a key which is unique on the right, with a score and a rank per left row."""
-    pairs = left.join(unique_side(right, key), key).withColumn("score", score)
-    return pairs
+    """Pairs that agree on a key which is unique on the right, with a score; a left row has one pair at most, so none is ranked."""
+    return left.join(unique_side(right, key), key).withColumn("score", score)
+
+
+def ranked(pairs: DataFrame, left: str, right: str, most: int | None = None) -> DataFrame:
+    """Pairs with rank 1, 2, ... for each left row by falling score, ties by the right id; `most` keeps that many."""
+    rows = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(left).orderBy(F.col("score").desc(), right)))
+    return rows if most is None else rows.where(F.col("rank") <= most)
 
 
 def single_values(rows: DataFrame, record: str, value: str) -> DataFrame:

@@ -69,21 +69,25 @@ def timing_error(low: Column, high: Column, target: Column) -> tuple[Column, Col
     return F.datediff(target, high), F.datediff(target, low)
 
 
-def overlapping_pairs(rows: DataFrame, key: str, ident: str, start: str, end: str, days: int = 64) -> DataFrame:
+def overlapping_pairs(rows: DataFrame, key: str, ident: str, start: str, end: str, days: int = 64, recorded: str | None = None, superseded: str | None = None) -> DataFrame:
     """(key, left_id, right_id) of rows of one key whose half-open intervals overlap; an open end lasts for ever.
 
+    With `recorded` and `superseded` two rows must also be known at one instant: knowledge [recorded, superseded).
     Closed intervals meet in day buckets of fixed width, so one busy key is spread over time; a pair is reported in the
     bucket where its later start lies. Open intervals meet only the buckets after their start through the rows that begin there.
     """
-    far = F.lit("9999-12-31").cast("date")
-    base = rows.select(key, F.col(ident).alias("id"), F.col(start).alias("s"), F.coalesce(end, far).alias("e"), F.floor(F.unix_date(start) / days).alias("b"))
+    far, always = F.lit("9999-12-31").cast("date"), F.lit(2**63 - 1)
+    from_us = F.col(recorded).cast("long") if recorded else F.lit(0).cast("long")
+    to_us = F.coalesce(F.col(superseded).cast("long"), always) if superseded else always
+    base = rows.select(key, F.col(ident).alias("id"), F.col(start).alias("s"), F.coalesce(end, far).alias("e"), F.floor(F.unix_date(start) / days).alias("b"), from_us.alias("f"), to_us.alias("t"))
     last = F.floor(F.unix_date(F.date_sub(F.col("e"), 1)) / days)
-    closed = base.where(F.col("e") < far).select(key, "id", "s", "e", F.explode(F.sequence("b", last)).alias("b"))
-    left = closed.select(key, F.col("id").alias("l"), F.col("s").alias("ls"), F.col("e").alias("le"), "b")
-    begin = base.select(key, F.col("id").alias("r"), F.col("s").alias("rs"), F.col("e").alias("re"), "b")
+    closed = base.where(F.col("e") < far).select(key, "id", "s", "e", "f", "t", F.explode(F.sequence("b", last)).alias("b"))
+    left = closed.select(key, F.col("id").alias("l"), F.col("s").alias("ls"), F.col("e").alias("le"), F.col("f").alias("lf"), F.col("t").alias("lt"), "b")
+    begin = base.select(key, F.col("id").alias("r"), F.col("s").alias("rs"), F.col("e").alias("re"), F.col("f").alias("rf"), F.col("t").alias("rt"), "b")
+    known = (F.col("lf") < F.col("rt")) & (F.col("rf") < F.col("lt"))
     later = (F.col("rs") > F.col("ls")) | ((F.col("rs") == F.col("ls")) & (F.col("r") > F.col("l")))
-    near = left.join(begin, [key, "b"]).where((F.col("rs") < F.col("le")) & later)
-    opened = base.where(F.col("e") == far).select(key, F.col("id").alias("l"), F.col("s").alias("ls"))
-    wide = opened.join(begin, key).where(later)
+    near = left.join(begin, [key, "b"]).where((F.col("rs") < F.col("le")) & later & known)
+    opened = base.where(F.col("e") == far).select(key, F.col("id").alias("l"), F.col("s").alias("ls"), F.col("f").alias("lf"), F.col("t").alias("lt"))
+    wide = opened.join(begin, key).where(later & known)
     pairs = near.select(key, "l", "r").unionByName(wide.select(key, "l", "r"))
     return pairs.select(key, F.least("l", "r").alias("left_id"), F.greatest("l", "r").alias("right_id"))

@@ -85,13 +85,29 @@ def merge_statements(rows: DataFrame, keys: list[str], lists: list[str]) -> Data
     return rows.groupBy(*keys).agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in lists])
 
 
-def drop_subsumed(rows: DataFrame, key: str, ident: str, text: str) -> DataFrame:
-    """Rows whose text is not a whole-word part of a longer text under the same key.
+def drop_subsumed(rows: DataFrame, key: str, ident: str, text: str, same: tuple[str, ...] = ()) -> DataFrame:
+    """Rows whose text is not a whole-word part of a longer text under the same key and the same values of `same`,
+    such as a qualifier and an amount.
 
     Longer texts are met by key and by the shorter one's first word, so rows of a key are not all compared.
     """
     padded = F.concat(F.lit(" "), F.col(text), F.lit(" "))
     words = F.array_distinct(F.split(F.col(text), " "))
-    longer = rows.select(F.col(key).alias("__k"), padded.alias("__t"), F.length(text).alias("__n"), F.explode(words).alias("__w"))
+    longer = rows.select(F.col(key).alias("__k"), padded.alias("__t"), F.length(text).alias("__n"), F.explode(words).alias("__w"), *[F.col(c).alias(f"__{c}") for c in same])
     inside = (F.col(key) == F.col("__k")) & (F.split(F.col(text), " ")[0] == F.col("__w")) & (F.col("__n") > F.length(text)) & F.col("__t").contains(padded)
+    for c in same:
+        inside = inside & F.col(c).eqNullSafe(F.col(f"__{c}"))
     return rows.join(longer, inside, "left_anti")
+
+
+def page(rows: DataFrame, order: list[str], limit: int, offset: int, most: int = 200) -> DataFrame:
+    """A page of rows in a total order, each with the exact total of all rows and the offset of the next page (null at the end).
+
+    Ordering stops at offset + limit rows; the total is one count.
+    """
+    if not 1 <= limit <= most or offset < 0:
+        raise ValueError(f"limit must lie in 1..{most} and offset must not be negative")
+    own = rows.orderBy(*order).offset(offset).limit(limit)
+    total = rows.agg(F.count("*").alias("total"))
+    nxt = F.when(F.lit(offset + limit) < F.col("total"), F.lit(offset + limit))
+    return own.crossJoin(F.broadcast(total)).withColumn("next_offset", nxt)  # total is one row

@@ -69,3 +69,43 @@ def effects_visible(runs: DataFrame, effects: DataFrame, at: int) -> DataFrame:
     """Runs all of whose effects are recorded by the instant; runs without effects are visible."""
     late = effects.where(F.col("recorded_us").isNull() | (F.col("recorded_us") > at)).select("run_id").distinct()
     return runs.join(late, "run_id", "left_anti")
+
+
+def source_refresh(prior: DataFrame, snapshot: DataFrame, accepted_us: int, day: str, keys: tuple[str, ...] = ("entity_id", "predicate"), complete: bool = True) -> DataFrame:
+    """(keys, action, closure, error) of a later snapshot of a source against its open claims.
+
+    prior: keys, value, valid_from, recorded_us; snapshot: keys, value. Equal values are reused. A changed value, and an
+    absent key of a complete snapshot, closes the prior claim at `day`: by a closing version of its valid time, or by
+    supersession alone where it began that very day. A prior claim that was not recorded before the acceptance, or that
+    begins after the day, is an error; no claim is negative evidence.
+    """
+    a = prior.select(*keys, F.struct("value", "valid_from", "recorded_us").alias("old"))
+    b = snapshot.select(*keys, F.struct("value").alias("new"))
+    both = a.join(b, list(keys), "full_outer")
+    absent = F.lit("retire" if complete else "keep")
+    action = F.when(F.col("old").isNull(), "insert").when(F.col("new").isNull(), absent).when(F.col("old.value").eqNullSafe(F.col("new.value")), "reuse").otherwise("replace")
+    at = F.lit(day).cast("date")
+    closes = F.col("action").isin("retire", "replace")
+    error = F.when(closes & (F.col("old.recorded_us") >= F.lit(accepted_us)), "not_later").when(closes & (F.col("old.valid_from") > at), "predates")
+    kind = F.when(closes & F.col("error").isNull(), F.when(F.col("old.valid_from") == at, "supersede").otherwise("close_valid_time"))
+    rows = both.withColumn("action", action).withColumn("error", error)
+    return rows.select(*keys, "action", kind.alias("closure"), "error")
+
+
+def chronology(runs: DataFrame) -> DataFrame:
+    """(run_id, problem): succeeded runs of a source whose clocks fall behind those of a run accepted before.
+
+    runs: run_id, source_id, accepted_us, retrieved_us, updated_us. Acceptances must rise; retrievals and source updates
+    must not fall.
+    """
+    line = Window.partitionBy("source_id").orderBy("accepted_us", "run_id")
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    seen = runs.withColumns({f"top_{c}": F.max(f"{c}_us").over(before) for c in ("accepted", "retrieved", "updated")})
+    problem = F.array_compact(
+        F.array(
+            F.when(F.col("top_accepted") >= F.col("accepted_us"), "acceptance_order"),
+            F.when(F.col("top_retrieved") > F.col("retrieved_us"), "retrieval_order"),
+            F.when(F.col("top_updated") > F.col("updated_us"), "update_order"),
+        )
+    )
+    return seen.select("run_id", F.explode(problem).alias("problem"))

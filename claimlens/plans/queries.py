@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions import clocks, facilities, geo, ids, text
@@ -107,11 +107,12 @@ def assignment_asof(spark, sf_dir):
     return views.assignments_as_of(P.assignments(spark, sf_dir), "1998-06-01", 896659200000000).select("assignment_id", "observed_id", "valid_from", "valid_to")
 
 
-@query("SELECT CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra")
+@query(f"WITH {CURRENT}, copy AS (SELECT * FROM current_view WHERE claim_id % 97 <> 0 UNION ALL SELECT * FROM current_view WHERE claim_id % 101 = 0) SELECT (SELECT count(*) FROM (SELECT * FROM current_view EXCEPT ALL SELECT * FROM copy)) AS missing, (SELECT count(*) FROM (SELECT * FROM copy EXCEPT ALL SELECT * FROM current_view)) AS extra")
 def complete_view_equality(spark, sf_dir):
-    """A stored copy of the current view against the view computed again."""
-    copy = Staging(spark, "view").table(_current(spark, sf_dir), "copy")
-    return views.complete_view_equal(copy, _current(spark, sf_dir))
+    """A stored copy of the current view, with rows lost and rows repeated, against the view computed again."""
+    now = _current(spark, sf_dir)
+    copy = Staging(spark, "view").table(now.where("claim_id % 97 <> 0").unionByName(now.where("claim_id % 101 = 0")), "copy")
+    return views.complete_view_equal(copy, now)
 
 
 # ---------------------------------------------------------------- graph
@@ -132,11 +133,17 @@ def lineage_documents(spark, sf_dir):
     return reach.join(P.evidence(spark, sf_dir), F.col("node") == F.col("claim_id")).groupBy("root").agg(F.countDistinct("document_id").alias("n_documents"), F.min("document_id").alias("first_document"))
 
 
-@query(f"WITH {DEPS} SELECT CAST(0 AS BIGINT) AS cyclic_nodes, count(*) AS edges FROM deps WHERE child <> parent")
+@query(
+    f"""WITH RECURSIVE {DEPS}, edges AS (SELECT DISTINCT child, parent FROM (SELECT child, parent FROM deps WHERE child <> parent UNION ALL SELECT event_id // 2, event_id FROM events WHERE event_id % 400 = 399)),
+ring(a, b) AS (SELECT event_id, event_id // 2 FROM events WHERE event_id % 400 = 399 UNION SELECT r.a, e.parent FROM ring r JOIN edges e ON e.child = r.b),
+bad(node) AS (SELECT a FROM ring WHERE a = b UNION SELECT e.child FROM bad x JOIN edges e ON e.parent = x.node)
+SELECT node FROM bad"""
+)
 def cycle_check(spark, sf_dir):
-    edges = P.dependencies(spark, sf_dir).where("child <> parent").distinct()
-    bad = graph.cyclic_nodes(edges, Staging(spark, "cycles")).agg(F.count("*").alias("cyclic_nodes"))
-    return bad.crossJoin(edges.agg(F.count("*").alias("edges")))  # one row each
+    """Claims on planted circles, and those that rest on one."""
+    edges = P.dependencies(spark, sf_dir).where("child <> parent")
+    back = P.table(spark, sf_dir, "events").where("event_id % 400 = 399").select(F.expr("event_id div 2").alias("child"), F.col("event_id").alias("parent"))
+    return graph.cyclic_nodes(edges.unionByName(back), Staging(spark, "cycles"))
 
 
 @query(
@@ -202,7 +209,12 @@ def change_feed_page(spark, sf_dir):
     return changes.feed_page(_feed(spark, sf_dir), 50, 100).select("claim_id", "event_type", "event_us")
 
 
-@query()
+@query(
+    f"""WITH {CLAIMS}, {FEED}, own AS (SELECT sha256(event_us || '|' || event_type || '|' || claim_id) AS h, count(*) AS n FROM feed GROUP BY 1),
+leaf AS (SELECT substr(h, 1, 6) AS p, sha256(string_agg(h || ':' || n, chr(10) ORDER BY h || ':' || n)) AS d, sum(n) AS n FROM own GROUP BY 1),
+branch AS (SELECT substr(p, 1, 3) AS q, sha256(string_agg(p || ':' || d, chr(10) ORDER BY p || ':' || d)) AS d, sum(n) AS n FROM leaf GROUP BY 1)
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n, sha256(coalesce(string_agg(q || ':' || d, chr(10) ORDER BY q || ':' || d), '')) AS digest FROM branch"""
+)
 def change_feed_token(spark, sf_dir):
     return changes.population_hash(_feed(spark, sf_dir))
 
@@ -213,14 +225,17 @@ def revision_pairs(spark, sf_dir):
 
 
 @query(
-    f"""WITH {CLAIMS}, {PAIRS}, c AS (SELECT *, round((current_value - prior_value) / CASE WHEN prior_value <> 0 THEN prior_value ELSE greatest(current_value, 1.0) END, 9) AS relative_change FROM pairs)
-SELECT prior_id, current_id, entity_id, predicate, relative_change, CASE WHEN relative_change > 0 THEN 'increase' ELSE 'decrease' END AS direction,
-  CASE WHEN abs(relative_change) >= 0.6 THEN 'high' WHEN abs(relative_change) >= 0.3 THEN 'medium' ELSE 'low' END AS severity,
+    f"""WITH {CLAIMS}, {PAIRS}, c AS (SELECT *, CAST(prior_value AS DECIMAL(20,6)) AS p, CAST(current_value AS DECIMAL(20,6)) AS v FROM pairs WHERE prior_id % 11 <> 0 AND current_id % 11 <> 0),
+d AS (SELECT *, CASE WHEN p <> 0 THEN p ELSE greatest(v, 1) END AS b FROM c)
+SELECT prior_id, current_id, entity_id, predicate, round(CAST(v - p AS DOUBLE) / CAST(b AS DOUBLE), 9) AS relative_change, CASE WHEN (v > p) = (b > 0) THEN 'increase' ELSE 'decrease' END AS direction,
+  CASE WHEN abs(v - p) * 100 >= abs(b) * 60 THEN 'high' WHEN abs(v - p) * 100 >= abs(b) * 30 THEN 'medium' ELSE 'low' END AS severity,
   sha256('["capacity_revision","' || entity_id || '","' || prior_id || '","' || current_id || '"]') AS fingerprint
-FROM c WHERE abs(relative_change) >= 0.15"""
+FROM d WHERE abs(v - p) * 100 >= abs(b) * 15"""
 )
 def revision_alerts(spark, sf_dir):
-    return changes.capacity_alerts(changes.revision_pairs(P.claims(spark, sf_dir)))
+    """Revisions of 15 % or more; claims whose id is divisible by 11 are of unknown confidence and raise none."""
+    claims = P.claims(spark, sf_dir).withColumn("confidence", F.when(F.col("claim_id") % 11 != 0, 0.5))
+    return changes.capacity_alerts(changes.revision_pairs(claims))
 
 
 MILE = """
@@ -345,21 +360,6 @@ def forecast_by_region(spark, sf_dir):
     return forecast.aggregate(pts, ("brand", "metric")).select("brand", "metric", "quarter", r("p10"), r("p50"), r("p90"), "members")
 
 
-@query(
-    f"""WITH {CAP} SELECT coalesce(reason, 'eligible') AS reason, count(*) AS capacities FROM (SELECT CASE WHEN lower(metric) LIKE '%promo%' THEN 'relative_unit' WHEN low = high THEN 'degenerate_interval' WHEN start_base >= DATE '2025-01-01' THEN 'starts_after_horizon' WHEN basis = 'announced' AND base < 20 THEN 'announced_below_floor' END AS reason FROM capacity) GROUP BY 1"""
-)
-def forecast_exclusions(spark, sf_dir):
-    reason = forecast.exclusion(
-        [
-            ("relative_unit", F.lower("metric").contains("promo")),
-            ("degenerate_interval", F.col("low") == F.col("high")),
-            ("starts_after_horizon", F.col("start_base") >= F.lit("2025-01-01").cast("date")),
-            ("announced_below_floor", (F.col("basis") == "announced") & (F.col("base") < 20)),
-        ]
-    )
-    return _capacity(spark, sf_dir).groupBy(F.coalesce(reason, F.lit("eligible")).alias("reason")).agg(F.count("*").alias("capacities"))
-
-
 # ---------------------------------------------------------------- records
 
 
@@ -401,10 +401,10 @@ def search_page(spark, sf_dir):
     return _search(spark, sf_dir, "1").orderBy("s_name", "s_suppkey").offset(5).limit(20).select("s_suppkey", "s_name")
 
 
-@query(f"WITH {MILE} SELECT entity_id, arg_max(status, CAST(epoch(base) AS BIGINT) * 100000000 + milestone_id) AS headline FROM mile WHERE status <> 'delayed' OR TRUE GROUP BY 1")
+@query(f"WITH {MILE}, t AS (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY status <> 'delayed' DESC, base DESC, high DESC, status DESC) AS r FROM mile) SELECT entity_id, status AS headline, base AS as_of FROM t WHERE r = 1")
 def headline_pick(spark, sf_dir):
-    m = P.milestones(spark, sf_dir)
-    return m.groupBy("entity_id").agg(F.max_by("status", F.struct("base", "milestone_id")).alias("headline"))
+    """The latest status of each entity, other than delayed where there is one."""
+    return records.pick_latest(P.milestones(spark, sf_dir), "entity_id", "status", "base", "high", F.col("status") != "delayed")
 
 
 @query(f"WITH {MILE}, t AS (SELECT *, rank() OVER (PARTITION BY entity_id ORDER BY base DESC) AS r FROM mile) SELECT entity_id, CASE WHEN count(DISTINCT status) = 1 THEN max(status) END AS status, max(base) AS base FROM t WHERE r = 1 GROUP BY 1")
@@ -495,6 +495,18 @@ def overlapping_assignments(spark, sf_dir):
     return intervals.overlapping_pairs(P.assignments(spark, sf_dir), "observed_id", "assignment_id", "valid_from", "valid_to")
 
 
+@query(
+    f"""WITH {ASSIGN}, known AS (SELECT *, CASE WHEN assignment_id % 3 <> 0 THEN recorded_us + 86400000000 * (assignment_id % 900) + 1 ELSE 9223372036854775807 END AS superseded_us FROM assign)
+SELECT observed_id, least(a.assignment_id, b.assignment_id) AS left_id, greatest(a.assignment_id, b.assignment_id) AS right_id FROM known a JOIN known b USING (observed_id)
+WHERE b.assignment_id > a.assignment_id AND a.valid_from < coalesce(b.valid_to, DATE '9999-12-31') AND b.valid_from < coalesce(a.valid_to, DATE '9999-12-31') AND a.recorded_us < b.superseded_us AND b.recorded_us < a.superseded_us"""
+)
+def bitemporal_overlaps(spark, sf_dir):
+    """Assignments of one entity that overlap in world time and were known at one instant."""
+    ends = F.when(F.col("assignment_id") % 3 != 0, F.col("recorded_us") + (F.col("assignment_id") % 900) * 86_400_000_000 + 1)
+    rows = P.assignments(spark, sf_dir).withColumn("superseded_us", ends)
+    return intervals.overlapping_pairs(rows, "observed_id", "assignment_id", "valid_from", "valid_to", recorded="recorded_us", superseded="superseded_us")
+
+
 @query("WITH c AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN c_name || ' ' WHEN c_custkey % 5 = 1 THEN lower(c_name) WHEN c_custkey % 5 = 2 THEN c_name || '?' ELSE c_name END AS fk FROM customer) SELECT fk, count(*) AS rows, CASE WHEN trim(fk) IN (SELECT c_name FROM customer) THEN 'whitespace_only' WHEN lower(trim(fk)) IN (SELECT lower(c_name) FROM customer) THEN 'case_only' ELSE 'unresolved' END AS kind FROM c WHERE fk NOT IN (SELECT c_name FROM customer) GROUP BY 1")
 def orphan_fk_classes(spark, sf_dir):
     c = P.table(spark, sf_dir, "customer")
@@ -544,8 +556,16 @@ def multiple_relations(spark, sf_dir):
     return identity.more_than_one(P.table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"), "l_partkey", "l_suppkey")
 
 
-@query("WITH g AS (SELECT p_brand, p_type, p_size, min(p_partkey) AS anchor, count(*) AS members FROM part GROUP BY 1, 2, 3 HAVING count(*) > 1) SELECT p_partkey, anchor, members FROM part JOIN g USING (p_brand, p_type, p_size)")
+@query("SELECT p_brand AS key, count(DISTINCT p_type || '|' || p_size) AS n_variants, count(*) AS n_rows FROM part GROUP BY 1")
 def variant_dedup(spark, sf_dir):
+    """Distinct variants of each registry key, repeats dropped, beside the number of rows."""
+    p = P.table(spark, sf_dir, "part").select(F.col("p_brand").alias("key"), "p_type", "p_size")
+    found = readers.variants(p, "key").select("key", F.size("variants").cast("long").alias("n_variants"))
+    return found.join(p.groupBy("key").agg(F.count("*").alias("n_rows")), "key")
+
+
+@query("WITH g AS (SELECT p_brand, p_type, p_size, min(p_partkey) AS anchor, count(*) AS members FROM part GROUP BY 1, 2, 3 HAVING count(*) > 1) SELECT p_partkey, anchor, members FROM part JOIN g USING (p_brand, p_type, p_size)")
+def twin_rows(spark, sf_dir):
     p = P.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     return identity.twins(p, "p_partkey", "p_brand", "p_type", "p_size")
 
@@ -698,7 +718,8 @@ def document_hash(spark, sf_dir):
     return P.documents(spark, sf_dir).select("document_id", "content_sha256")
 
 
-@query()
+@query("""WITH h AS (SELECT c_custkey, sha1(from_hex('6ba7b8119dad11d180b400c04fd430c8') || encode('["customer","' || c_name || '"]')) AS h FROM customer)
+SELECT c_custkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || ['8','9','a','b'][(strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1] || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS entity_uuid FROM h""")
 def stable_ids(spark, sf_dir):
     """Name-based identifiers of entities from their kind and key."""
     ns = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
@@ -805,56 +826,85 @@ def version_recurrences(spark, sf_dir):
 
 # ---------------------------------------------------------------- facility rules
 
-PHRASES = ["A chip manufacturing fab for 300 mm wafers at 5 nm.", "Advanced packaging with GaN and 200 mm lines.", "Assembly and test; mask blanks and silicon wafers, 7nm and 12 nm.", "Offices only."]
-AWARDS = ["Award Amount: Up to $1.5 billion in proposed direct funding (split across two sites)", "Award Amount: $250 million in direct funding", "Award Amount: up to $75,000 million in total funding", "No award"]
-TEXTS = "[" + ",".join("'" + x + "'" for x in PHRASES) + "]"
-LINES = "[" + ",".join("'" + x + "'" for x in AWARDS) + "]"
+def _text(*parts):
+    """A text put together from words and columns."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _phrase(options, key="p_partkey"):
-    return F.element_at(F.array(*[F.lit(x) for x in options]), (F.col(key) % len(options) + 1).cast("int"))
+def _if(test, words):
+    return F.when(test, words).otherwise("")
 
 
 @query(
-    f"""WITH t AS (SELECT p_partkey, {TEXTS}[p_partkey % 4 + 1] AS t FROM part)
-SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'wafer_fabrication' WHEN 1 THEN 'advanced_packaging,power_semiconductor' WHEN 2 THEN 'assembly,photomask,test' ELSE '' END AS activities,
-  array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '\\b(100|150|200|300|450)\\s*[- ]?mm\\b', 1), lambda x: CAST(x AS INTEGER)))), ',') AS wafers,
-  array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '\\b(\\d+)\\s*nm\\b', 1), lambda x: CAST(x AS INTEGER)))), ',') AS nodes FROM t"""
+    """WITH z AS (SELECT p_partkey, p_size AS z, [100, 150, 200, 300, 450][p_size % 5 + 1] AS mm FROM part)
+SELECT p_partkey, array_to_string(list_sort(list_filter([CASE WHEN z % 2 = 0 THEN 'wafer_fabrication' END, CASE WHEN z % 3 = 0 THEN 'photomask' END, CASE WHEN z % 5 = 0 THEN 'assembly' END, CASE WHEN z % 7 = 0 THEN 'power_semiconductor' END], lambda x: x IS NOT NULL)), ',') AS activities,
+  array_to_string(list_sort(list_distinct(list_filter([CAST(mm AS INTEGER), CASE WHEN z % 4 = 0 THEN 300 END], lambda x: x IS NOT NULL))), ',') AS wafers, array_to_string(list_sort(list_distinct([z % 60 + 1, z + 7])), ',') AS nodes,
+  CASE WHEN z % 6 = 0 THEN z * 1000 + 500 END AS sqft FROM z"""
 )
 def facility_text(spark, sf_dir):
-    t = F.col("t")
-    p = P.table(spark, sf_dir, "part").select("p_partkey", _phrase(PHRASES).alias("t"))
+    z, t = F.col("p_size"), F.col("t")
+    mm = F.element_at(F.array(*[F.lit(x) for x in (100, 150, 200, 300, 450)]), z % 5 + 1)
+    words = _text("Fabulous", _if(z % 2 == 0, " Foundry"), _if(z % 3 == 0, " mask blank"), _if(z % 5 == 0, " ASSEMBLY"), _if(z % 7 == 0, " GaN"), " lines of ", mm, "-mm", _if(z % 4 == 0, " and 300 MM"), " and 1", z % 10, "1 mm at ", z % 60 + 1, " nm, ", z + 7, "nm", _if(z % 6 == 0, F.concat(F.lit(" in "), z.cast("string"), F.lit(",500 square feet of cleanroom"))))
+    p = P.table(spark, sf_dir, "part").select("p_partkey", words.alias("t"))
     join = lambda c: F.array_join(c.cast("array<int>").cast("array<string>"), ",")
-    return p.select("p_partkey", F.array_join(facilities.activities(t), ",").alias("activities"), join(facilities.wafer_sizes(t)).alias("wafers"), join(facilities.nodes(t)).alias("nodes"))
+    return p.select("p_partkey", F.array_join(facilities.activities(t), ",").alias("activities"), join(facilities.wafer_sizes(t)).alias("wafers"), join(facilities.nodes(t)).alias("nodes"), facilities.cleanroom_sqft(t).alias("sqft"))
 
 
-@query("SELECT p_partkey, [1500000000, 250000000, 75000000000, NULL][p_partkey % 4 + 1]::BIGINT AS amount, ['proposed_up_to','reported_amount','up_to',NULL][p_partkey % 4 + 1] AS qualifier, ['multi_site_shared','site','site',NULL][p_partkey % 4 + 1] AS award_scope FROM part")
+@query(
+    """SELECT p_partkey, CASE WHEN p_size % 7 <> 0 THEN CAST(p_size * 1000 + 250 AS BIGINT) * CASE WHEN p_size % 2 = 0 THEN 1000000 ELSE 1000000000 END END AS amount,
+CASE WHEN p_size % 7 <> 0 THEN CASE WHEN p_size % 3 = 0 AND p_size % 5 = 0 THEN 'proposed_up_to' WHEN p_size % 5 = 0 THEN 'proposed' WHEN p_size % 3 = 0 THEN 'up_to' ELSE 'reported_amount' END END AS qualifier,
+CASE WHEN p_size % 7 <> 0 THEN CASE WHEN p_size % 4 = 0 THEN 'multi_site_shared' ELSE 'site' END END AS award_scope FROM part"""
+)
 def award_amounts(spark, sf_dir):
+    z = F.col("p_size")
     a, q, s = facilities.award_amount(F.col("t"))
-    return P.table(spark, sf_dir, "part").select("p_partkey", _phrase(AWARDS).alias("t")).select("p_partkey", a.alias("amount"), q.alias("qualifier"), s.alias("award_scope"))
+    line = _text("Award Amount", _if(z % 7 != 0, ":"), " ", _if(z % 3 == 0, "Up to "), "$", z, ",250 ", F.when(z % 2 == 0, "Million").otherwise("billion"), " in ", _if(z % 5 == 0, "PROPOSED "), "direct funding", _if(z % 4 == 0, " (split across three sites)"))
+    return P.table(spark, sf_dir, "part").select("p_partkey", line.alias("t")).select("p_partkey", a.alias("amount"), q.alias("qualifier"), s.alias("award_scope"))
 
 
-@query("SELECT p_partkey, ['announced','under_construction','under_construction','unknown'][p_partkey % 4 + 1] AS stage, [0.65,0.72,0.65,0.35][p_partkey % 4 + 1]::DOUBLE AS confidence FROM part")
+@query(
+    """WITH t AS (SELECT p_partkey, p_size % 4 = 0 AS has_p, p_size % 3 = 0 AS no_p, p_size % 5 < 2 AS has_c, p_partkey % 3 = 0 AS no_c, p_partkey % 2 = 0 AS b FROM part)
+SELECT p_partkey, CASE WHEN has_p AND NOT no_p THEN 'announced' WHEN has_c AND NOT no_c THEN 'under_construction' WHEN b THEN 'under_construction' ELSE 'unknown' END AS stage,
+  CASE WHEN has_p AND NOT no_p THEN 0.65 WHEN has_c AND NOT no_c THEN 0.72 WHEN b THEN 0.65 ELSE 0.35 END::DOUBLE AS confidence FROM t"""
+)
 def map_lifecycle(spark, sf_dir):
-    k = F.col("p_partkey") % 4
-    tag = lambda a, b: F.create_map(F.lit(a), F.lit(b))
-    tags = F.when(k == 0, tag("Proposed:industrial", "Works")).when(k == 1, tag("construction", "factory")).when(k == 2, tag("building", "Construction")).otherwise(tag("proposed", "no"))
+    """Stages from tags that contradict and deny one another."""
+    z, k = F.col("p_size"), F.col("p_partkey")
+    pair = lambda test, key, value: F.when(test, F.struct(F.lit(key).alias("key"), value.alias("value")))
+    tags = F.map_from_entries(F.array_compact(F.array(pair(z % 4 == 0, "Proposed:industrial", F.when(z % 3 == 0, "Not Proposed").otherwise("works")), pair(z % 5 < 2, " construction", F.when(k % 3 == 0, "NO").otherwise("Factory")), pair(k % 2 == 0, "building", F.lit("Construction")), pair(F.lit(True), "name", F.lit("x")))))
     return P.table(spark, sf_dir, "part").select("p_partkey", facilities.lifecycle(tags).alias("l")).select("p_partkey", "l.stage", F.col("l.confidence").cast("double").alias("confidence"))
 
 
-@query("SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN upper(lpad(CAST(c_custkey AS VARCHAR), 8, 'a')) WHEN 1 THEN lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') || '123456' WHEN 2 THEN '99A12345' WHEN 3 THEN NULL ELSE '12345678' END AS number FROM customer")
+@query(
+    """SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_size % 3 = 0 OR p_size % 7 = 0 THEN 'materials' END, CASE WHEN p_size % 2 = 0 THEN 'photomask' END, CASE WHEN p_size % 5 = 0 THEN 'semiconductor_manufacturing_candidate' END], lambda x: x IS NOT NULL), ',') AS activities FROM part"""
+)
+def map_activities(spark, sf_dir):
+    """Activities from the products that map tags list."""
+    z = F.col("p_size")
+    tags = F.create_map(F.lit("product"), _text("x", _if(z % 3 == 0, "; Silicon Wafers"), _if(z % 2 == 0, ";photomask")), F.lit("construction:industrial"), _text(_if(z % 5 == 0, "micro-chip;Microchip"), _if(z % 7 == 0, ";semiconductor-wafer")), F.lit("note"), F.lit("photomasks"))
+    return P.table(spark, sf_dir, "part").select("p_partkey", F.array_join(facilities.map_activities(tags), ",").alias("activities"))
+
+
+@query(
+    """WITH r AS (SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN lpad(c_custkey || '', 8, 'a') WHEN 1 THEN lpad(c_custkey || '', 10, '7') WHEN 2 THEN '12-' || lpad(c_custkey || '', 6, '0') || '-34' WHEN 3 THEN '99-b' || lpad(c_custkey || '', 5, '0') || '-01' WHEN 4 THEN '31-' || lpad(c_custkey || '', 8, '0')
+  WHEN 5 THEN lpad(c_custkey || '', 8, 'z') || chr(10) ELSE '1-' || c_custkey END AS raw FROM customer)
+SELECT c_custkey, CASE WHEN regexp_full_match(upper(raw), '[A-Z0-9]{8}') THEN upper(raw) WHEN regexp_full_match(raw, '[0-9]{10}|[0-9]{2}-[0-9]{6}-[0-9]{2}|[0-9]{2}-[A-Za-z][0-9]{5}-[0-9]{2}|[0-9]{2}-[0-9]{8}') THEN upper(replace(raw, '-', ''))[:8] END AS number FROM r"""
+)
 def registration_numbers(spark, sf_dir):
-    c, k = P.table(spark, sf_dir, "customer"), F.col("c_custkey")
-    two = F.lpad((k % 100).cast("string"), 2, "0")
-    raw = F.when(k % 5 == 0, F.lpad(k.cast("string"), 8, "a")).when(k % 5 == 1, F.concat(two, F.lit("-123456-78"))).when(k % 5 == 2, "99-a12345-01").when(k % 5 == 3, "12 34").otherwise("1234567890")
-    return c.select("c_custkey", facilities.registration_number(raw).alias("number"))
+    """Current and legacy shapes; other shapes, and one with a line feed at its end, are none."""
+    k = F.col("c_custkey")
+    pad = lambda n, c: F.lpad(k.cast("string"), n, c)
+    raw = F.when(k % 7 == 0, pad(8, "a")).when(k % 7 == 1, pad(10, "7")).when(k % 7 == 2, _text("12-", pad(6, "0"), "-34")).when(k % 7 == 3, _text("99-b", pad(5, "0"), "-01")).when(k % 7 == 4, _text("31-", pad(8, "0"))).when(k % 7 == 5, _text(pad(8, "z"), "\n")).otherwise(_text("1-", k))
+    return P.table(spark, sf_dir, "customer").select("c_custkey", facilities.registration_number(raw).alias("number"))
 
 
-@query("SELECT c_custkey, c_custkey % 5 IN (0, 4) AS sound FROM customer")
+@query("WITH p AS (SELECT c_custkey, (c_custkey * 37 % 1600) / 100.0 + 112 AS x, (c_custkey * 17 % 1200) / 100.0 + 18 AS y FROM customer) SELECT c_custkey, c_custkey % 9 <> 4 AND c_custkey % 11 <> 5 AND x BETWEEN 118 AND 123 AND y BETWEEN 21 AND 27 AS sound FROM p")
 def valid_points(spark, sf_dir):
-    k = F.col("c_custkey") % 5
-    lon = F.when(k == 1, "0").when(k == 2, "1e2").when(k == 3, "117.9").otherwise("121.5")
-    lat = F.when(k == 1, "0").when(k == 4, "27").otherwise("24.1")
+    """Points inside a box, from decimal text; an exponent or a line feed is not decimal."""
+    k = F.col("c_custkey")
+    coordinate = lambda n, whole, mark: _text(F.floor(n / 100) + whole, ".", F.lpad((n % 100).cast("string"), 2, "0"), mark)
+    lon = coordinate(k * 37 % 1600, 112, _if(k % 9 == 4, "e0"))
+    lat = coordinate(k * 17 % 1200, 18, _if(k % 11 == 5, "\n"))
     return P.table(spark, sf_dir, "customer").select("c_custkey", facilities.point_in_box(lon, lat, (118, 21, 123, 27)).alias("sound"))
 
 
@@ -879,11 +929,14 @@ def interval_intersections(spark, sf_dir):
     return P.table(spark, sf_dir, "orders").select("o_orderkey", a.alias("starts"), b.alias("ends"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 THEN 'reaffirmation' WHEN p_partkey % 4 = 0 THEN 'disjoint_later' WHEN p_partkey % 4 = 1 THEN 'disjoint_earlier' ELSE 'overlapping_changed' END AS comparison FROM part")
+@query(
+    """WITH t AS (SELECT p_partkey, DATE '2024-06-01' AS a, DATE '2024-06-01' + 30 AS b, DATE '2024-06-01' + CAST((p_size % 13 - 6) * 8 AS INTEGER) AS c, DATE '2024-06-01' + CAST((p_size % 13 - 6) * 8 + p_size % 3 * 15 AS INTEGER) AS d FROM part)
+SELECT p_partkey, CASE WHEN a = c AND b = d THEN 'reaffirmation' WHEN d < a THEN 'disjoint_earlier' WHEN c > b THEN 'disjoint_later' ELSE 'overlapping_changed' END AS comparison FROM t"""
+)
 def period_comparison(spark, sf_dir):
-    d, k = F.lit("2024-06-01").cast("date"), F.col("p_partkey") % 4
-    shift = F.when(k == 0, 60).when(k == 1, -60).when(k == 2, 10).otherwise(0)
-    return P.table(spark, sf_dir, "part").select("p_partkey", changes.compare_periods(d, F.date_add(d, 30), F.date_add(d, shift), F.date_add(d, shift + 30)).alias("comparison"))
+    z, d = F.col("p_size"), F.lit("2024-06-01").cast("date")
+    low = F.date_add(d, (z % 13 - 6) * 8)
+    return P.table(spark, sf_dir, "part").select("p_partkey", changes.compare_periods(d, F.date_add(d, 30), low, F.date_add(low, z % 3 * 15)).alias("comparison"))
 
 
 @query("""SELECT '{"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '","note":null}' AS value FROM customer""")
@@ -979,13 +1032,23 @@ def headline_investments(spark, sf_dir):
     return curated.headline_investment(curated.child(rows, "metrics")).select("record_id", "unit", "value")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'first' WHEN o_orderkey % 4 = 1 THEN 'unchanged' WHEN o_orderkey % 4 = 2 THEN 'raw_bytes_only' ELSE 'visible_text_changed' END AS change FROM orders")
+@query(
+    """WITH t AS (SELECT o_orderkey, o_custkey % 3 AS v, o_custkey % 3 || '/' || o_orderkey % 2 AS raw FROM orders), u AS (SELECT *, lag(v) OVER w AS pv, lag(raw) OVER w AS praw FROM t WINDOW w AS (ORDER BY o_orderkey))
+SELECT o_orderkey, CASE WHEN praw IS NULL THEN 'first' WHEN raw = praw THEN 'unchanged' WHEN v = pv THEN 'raw_bytes_only' ELSE 'visible_text_changed' END AS change FROM u WHERE o_orderkey % 4 <> 0"""
+)
 def document_changes(spark, sf_dir):
-    k, name = F.col("o_orderkey") % 4, F.col("o_orderpriority")
-    prior = F.when(k == 1, name).when(k != 0, F.concat(name, F.lit("!")))
-    text_ = F.when(k == 3, F.lit("old")).otherwise(name)
-    h = lambda c: F.sha2(c, 256)
-    return P.table(spark, sf_dir, "orders").select("o_orderkey", curated.document_change(h(name), h(prior), h(name), h(text_)).alias("change"))
+    """Each capture against the one before it: here the order with the next smaller key."""
+    o = P.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 3).cast("string").alias("v"), (F.col("o_orderkey") % 2).cast("string").alias("w"))
+    h = lambda *c: F.sha2(F.concat_ws("/", *c), 256)
+    rows = o.select("o_orderkey", h("v", "w").alias("raw"), h("v").alias("visible"))
+    # neighbours by key: the keys before are met within runs of 1,000 keys and at their edges
+    run = rows.withColumn("run", F.floor(F.col("o_orderkey") / 1000))
+    inner = Window.partitionBy("run").orderBy("o_orderkey")
+    own = run.withColumns({"p_raw": F.lag("raw").over(inner), "p_visible": F.lag("visible").over(inner), "first": F.row_number().over(inner) == 1})
+    edge = run.groupBy("run").agg(F.max_by(F.struct("raw", "visible"), "o_orderkey").alias("last"))
+    before = edge.select("run", F.lag("last").over(Window.orderBy("run")).alias("last"))  # one row a run
+    both = own.join(before, "run").withColumns({"p_raw": F.when(F.col("first"), F.col("last.raw")).otherwise(F.col("p_raw")), "p_visible": F.when(F.col("first"), F.col("last.visible")).otherwise(F.col("p_visible"))})
+    return both.where("o_orderkey % 4 <> 0").select("o_orderkey", curated.document_change(F.col("raw"), F.col("p_raw"), F.col("visible"), F.col("p_visible")).alias("change"))
 
 
 @query(
@@ -1037,15 +1100,25 @@ def period_exclusions(spark, sf_dir):
     return _capacity(spark, sf_dir).select("capacity_id", facilities.period_exclusion(s, e, d("2024-01-01"), d("2029-01-01"), F.col("start_base")).alias("reason"))
 
 
-TIMES = ["Mass production is expected to begin in the second half of 2027. Nothing else in 2030.", "On track to start production by the end of 2026.", "The plant makes 20,000 wafers per month and 1.5 million chips per year; 20,000 wafers per month.", "No dates."]
-
-
-@query("SELECT p_partkey, ['mass_production 2027-07-01 2027-10-01 2027-12-31','production_start 2026-10-01 2026-12-01 2026-12-31','',''][p_partkey % 4 + 1] AS windows, ['','','20000.0 wafers month;1500000.0 chips year',''][p_partkey % 4 + 1] AS rates FROM part")
+@query(
+    """WITH z AS (SELECT p_partkey, p_size AS z, 2025 + p_size % 6 AS y, p_size % 2 = 0 AS mass, p_size % 7 <> 0 AS ahead, p_size % 3 <> 0 AS told FROM part),
+w AS (SELECT *, CASE z % 5 WHEN 0 THEN y || '-01-01 ' || y || '-04-01 ' || y || '-06-30' WHEN 1 THEN y || '-07-01 ' || y || '-10-01 ' || y || '-12-31' WHEN 2 THEN y || '-06-01 ' || y || '-07-15 ' || y || '-08-31' WHEN 3 THEN y || '-10-01 ' || y || '-12-01 ' || y || '-12-31' ELSE y || '-01-01 ' || y || '-07-01 ' || y || '-12-31' END AS days FROM z)
+SELECT p_partkey, CASE WHEN ahead THEN CASE WHEN mass THEN 'mass_production ' ELSE 'production_start ' END || days ELSE '' END AS windows,
+  array_to_string(list_filter([CASE WHEN told THEN (z * 1000 + 500) || '.0 wafers month' END, CASE WHEN z % 4 = 0 THEN (z * 1000000) || '.0 chips year' END], lambda x: x IS NOT NULL), ';') AS rates FROM w"""
+)
 def production_text(spark, sf_dir):
-    t = F.col("t")
+    """Production windows and forward-looking rates; rates of the past, and items or periods of other kinds, are none."""
+    z, t = F.col("p_size"), F.col("t")
+    when = F.element_at(F.array(*[F.lit(x) for x in ("the first half of ", "the second half of ", "Summer ", "the end of ", "")]), z % 5 + 1)
+    words = _text(
+        F.when(z % 2 == 0, "Mass production ").otherwise("Production "), F.when(z % 7 != 0, "is expected to begin in ").otherwise("began in "), when, z % 6 + 2025, ". Nothing else in 2030.\nThe fab ",
+        F.when(z % 3 != 0, "is planned to produce about ").otherwise("made "), z, ",500 wafers per month and 7 panels per month. It made 9 wafers per day",
+        _if(z % 4 == 0, F.concat(F.lit(". It will have a capacity of "), z.cast("string"), F.lit(" million chips each year and 3 units a week"))), ".",
+    )
     windows = F.transform(facilities.timeline(t), lambda w: F.concat_ws(" ", w["milestone"], w["low"], w["base"], w["high"]))
-    rates = F.transform(facilities.throughput(t), lambda r: F.concat_ws(" ", F.format_string("%.1f", r["value"]), r["item"], r["period"]))
-    return P.table(spark, sf_dir, "part").select("p_partkey", _phrase(TIMES).alias("t")).select("p_partkey", F.array_join(windows, ";").alias("windows"), F.array_join(rates, ";").alias("rates"))
+    sorted_ = F.array_sort(F.transform(facilities.throughput(t), lambda r: F.struct(r["item"].alias("i"), F.format_string("%.1f", r["value"]).alias("v"), r["period"].alias("p"))))
+    rates = F.transform(F.reverse(sorted_), lambda r: F.concat_ws(" ", r["v"], r["i"], r["p"]))
+    return P.table(spark, sf_dir, "part").select("p_partkey", words.alias("t")).select("p_partkey", F.array_join(windows, ";").alias("windows"), F.array_join(rates, ";").alias("rates"))
 
 
 @query("WITH r AS (SELECT o_custkey AS project, o_orderstatus AS disposition, CASE WHEN o_orderkey % 3 = 0 THEN TRUE WHEN o_orderkey % 3 = 1 THEN FALSE END AS met FROM orders) SELECT disposition, count(*) AS cases, count(DISTINCT project) AS projects, count(*) FILTER (met) AS met, count(*) FILTER (NOT met) AS missed, count(*) FILTER (met IS NULL) AS unresolved FROM r GROUP BY 1")

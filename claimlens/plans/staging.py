@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where it is unset (tests), one of our own."""
+    """The folder named by spark.checkpoint.dir; where it is unset and Spark runs in one process (tests), one of our own.
+
+    On a cluster executors do not see folders of the driver's machine, so there the setting is required.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="claimlens-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlens.functions.ids import canonical_json
+from claimlens.functions.ids import canonical_json, tree_digest
 from claimlens.functions.text import safe_cell
 
 
@@ -60,7 +60,8 @@ def descriptor(tables: dict[str, DataFrame]) -> str:
 def write_release(views: dict[str, DataFrame], path: str, meta: dict[str, str]) -> DataFrame:
     """Write each view as canonical JSON lines under a staging name, then the manifest; install by one rename.
 
-    The manifest (view, rows, digest) hashes rows independently of their order, so equal views give equal manifests.
+    The manifest (view, rows, digest) holds a tree of SHA-256 digests of the rows, whatever their order, so equal views
+    give equal manifests; verify_release computes it again.
     """
     spark = next(iter(views.values())).sparkSession
     jvm = spark._jvm
@@ -73,7 +74,7 @@ def write_release(views: dict[str, DataFrame], path: str, meta: dict[str, str])
     rows = []
     for name, df in sorted(views.items()):
         write_jsonl(df, f"{stage}/{name}")
-        got = spark.read.text(f"{stage}/{name}").agg(F.count("*").alias("rows"), F.sha2(F.coalesce(F.sum(F.xxhash64("value").cast("decimal(38,0)")), F.lit(0)).cast("string"), 256).alias("digest")).first()
+        got = tree_digest(spark.read.text(f"{stage}/{name}"), F.col("value")).first()
         rows.append((name, got.rows, got.digest))
     manifest = spark.createDataFrame(rows, "view string, rows long, digest string")
     for k, v in sorted(meta.items()):
@@ -82,3 +83,14 @@ def write_release(views: dict[str, DataFrame], path: str, meta: dict[str, str])
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(stage), target):
         raise OSError(f"could not install {path}")
     return manifest
+
+
+def verify_release(spark: SparkSession, path: str) -> DataFrame:
+    """(view, problem): views of a written release whose rows or digest are not what its manifest says; empty when sound."""
+    told = spark.read.schema("view string, rows long, digest string").json(f"{path}/manifest").collect()  # one row a view
+    wrong = []
+    for r in told:
+        got = tree_digest(spark.read.text(f"{path}/{r.view}"), F.col("value")).first()
+        if (got.rows, got.digest) != (r["rows"], r.digest):
+            wrong.append((r.view, "rows" if got.rows != r["rows"] else "digest"))
+    return spark.createDataFrame(wrong, "view string, problem string")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -12,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.functions.facilities import wkt_point
+from claimlens.functions.facilities import wkt_point, whole
+from claimlens.functions.ids import canonical, strict_decoder
 
 
 def csv_exact(spark: SparkSession, path: str, header: list[str], null: str | None = None) -> DataFrame:
@@ -57,43 +59,66 @@ def zip_rows(spark: SparkSession, path: str, member: str, header: list[str], ski
 
 
 def zip_json_array(spark: SparkSession, path: str, member: str, schema: str, batch: int = 5000) -> DataFrame:
-    """Objects of a JSON array inside zip archives, decoded one at a time."""
+    """Objects of a JSON array inside zip archives, decoded one at a time; a cut or malformed array, a repeated key and anything after the array fail."""
 
     def rows(archives: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder = json.JSONDecoder()
         for frame in archives:
             for content in frame.content:
                 with zipfile.ZipFile(io.BytesIO(content)) as z, io.TextIOWrapper(z.open(member), "utf-8-sig") as raw:
-                    buffer, held, begun = "", [], False
-                    while True:
-                        more = raw.read(1 << 20)
-                        buffer += more
-                        while True:
-                            buffer = buffer.lstrip(" \t\r\n,")
-                            if not begun and buffer[:1] == "[":
-                                begun, buffer = True, buffer[1:]
-                                continue
-                            if not buffer or buffer[0] == "]":
-                                break
-                            try:
-                                value, end = decoder.raw_decode(buffer)
-                            except ValueError:
-                                if not more:
-                                    raise
-                                break
-                            held.append(json.dumps(value, ensure_ascii=False))
-                            buffer = buffer[end:]
-                            if len(held) == batch:
-                                yield pd.DataFrame({"value": pd.Series(held, dtype=object)})
-                                held = []
-                        if not more:
-                            break
+                    held = []
+                    for value in array_objects(raw):
+                        held.append(canonical(value))
+                        if len(held) == batch:
+                            yield pd.DataFrame({"value": pd.Series(held, dtype=object)})
+                            held = []
                     yield pd.DataFrame({"value": pd.Series(held, dtype=object)})
 
     text = spark.read.format("binaryFile").load(path).select("content").mapInPandas(rows, "value string")
     return text.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
+#: Characters of one object of a streamed array.
+LONGEST_OBJECT = 1 << 28
+
+
+def array_objects(raw: io.TextIOBase, size: int = 1 << 20) -> Iterator[dict]:
+    """The objects of one JSON array, read from a stream a part at a time."""
+    decoder, blank = strict_decoder(), re.compile(r"[ \t\r\n]*")
+    text, at, wanted, more = "", 0, "[", True
+    while True:
+        at = blank.match(text, at).end()
+        if at == len(text) and more:
+            text, at = raw.read(size), 0
+            more = bool(text)
+            continue
+        mark = text[at : at + 1]
+        if wanted == "end":
+            if mark:
+                raise ValueError("text after the array")
+            return
+        if not mark:
+            raise ValueError("the array is cut off")
+        if wanted == "[" or (wanted == "," and mark == ","):
+            if mark != wanted:
+                raise ValueError("not an array")
+            at, wanted = at + 1, "first" if wanted == "[" else "object"
+        elif mark == "]" and wanted in ("first", ","):
+            at, wanted = at + 1, "end"
+        elif mark == "{" and wanted != ",":
+            try:
+                value, at = decoder.raw_decode(text, at)
+            except json.JSONDecodeError:
+                part = raw.read(size) if more and len(text) - at < LONGEST_OBJECT else ""
+                if not part:
+                    raise
+                text, at = text[at:] + part, 0  # an object goes on in the next part
+                continue
+            yield value
+            wanted = ","
+        else:
+            raise ValueError(f"{mark!r} inside an array of objects")
+
+
 def has_code(cell: Column, codes: list[str], separator: str = ",") -> Column:
     """Whether a cell of separated codes holds one of them exactly."""
     return F.arrays_overlap(F.transform(F.split(cell, separator), lambda x: F.trim(x)), F.array(*[F.lit(c) for c in codes]))
@@ -123,7 +148,7 @@ def lei_records(responses: DataFrame, column: str = "value") -> DataFrame:
     """Entities of JSON:API responses; resource id and attribute must agree."""
     r = responses.select(F.from_json(column, LEI, {"mode": "FAILFAST"}).alias("r")).select(F.explode("r.data").alias("d"))
     rows = r.select(F.col("d.id").alias("lei"), F.col("d.attributes.lei").alias("own"), "d.type", F.col("d.attributes.entity").alias("entity"), F.col("d.attributes.registration").alias("registration"))
-    sound = (F.col("lei") == F.col("own")) & (F.col("type") == "lei-records") & F.col("lei").rlike("^[A-Z0-9]{18}[0-9]{2}$")
+    sound = (F.col("lei") == F.col("own")) & (F.col("type") == "lei-records") & whole(F.col("lei"), "[A-Z0-9]{18}[0-9]{2}")
     return rows.withColumn("lei", F.when(sound, F.col("lei")).otherwise(F.raise_error(F.lit("identifier and resource disagree")))).drop("own", "type")
 
 
@@ -132,7 +157,7 @@ ELEMENTS = "elements array<struct<type:string,id:long,lat:double,lon:double,time
 
 def map_elements(responses: DataFrame, column: str = "value") -> DataFrame:
     """Nodes, ways and relations with a point: a node's own, else the centre, else the middle of its bounds."""
-    e = responses.select(F.from_json(column, ELEMENTS).alias("r")).select(F.explode("r.elements").alias("e"))
+    e = responses.select(F.from_json(column, ELEMENTS, {"mode": "FAILFAST"}).alias("r")).select(F.explode("r.elements").alias("e"))
     mid = lambda f: (F.array_min(F.transform("e.geometry", lambda g: g[f])) + F.array_max(F.transform("e.geometry", lambda g: g[f]))) / 2
     lat = F.coalesce(F.when(F.col("e.type") == "node", F.col("e.lat")), F.col("e.center.lat"), mid("lat"))
     lon = F.coalesce(F.when(F.col("e.type") == "node", F.col("e.lon")), F.col("e.center.lon"), mid("lon"))
@@ -147,7 +172,7 @@ BINDINGS = "results struct<bindings:array<map<string,struct<value:string>>>>"
 
 def sparql_points(responses: DataFrame, column: str = "value") -> DataFrame:
     """Rows of SPARQL JSON with a WKT point."""
-    b = responses.select(F.from_json(column, BINDINGS).alias("r")).select(F.explode("r.results.bindings").alias("b"))
+    b = responses.select(F.from_json(column, BINDINGS, {"mode": "FAILFAST"}).alias("r")).select(F.explode("r.results.bindings").alias("b"))
     cell = lambda k: F.try_element_at(F.col("b"), F.lit(k))["value"]
     lon, lat = wkt_point(cell("coord"))
     item = F.substring_index(cell("item"), "/", -1)

@@ -19,6 +19,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 EVENT = "queue long, sequence long, recorded_us long, kind string, payload string"
 CHAINED = EVENT + ", previous_event_id string, event_id string"
 OPEN = ("pending", "acknowledged")
+#: The sequence of a queue's first event.
+FIRST = 0
 
 
 def event_id(previous: str | None, sequence: int, payload: str | None) -> str:
@@ -59,14 +61,20 @@ def violations(events: DataFrame) -> DataFrame:
 
 
 def append(events: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, refused) of new events that carry expected_event_id: it must be their queue's head, and clocks must not fall."""
+    """(accepted, refused) of new events that carry expected_event_id: it must be their queue's head, and clocks must not fall.
+
+    Of new events that name one head the first by (recorded_us, kind, payload) is accepted; to the others it is stale. A
+    queue begins with sequence FIRST.
+    """
     head = events.groupBy("queue").agg(F.max_by(F.struct("event_id", "sequence", "recorded_us"), "sequence").alias("head"))
     both = new.join(head, "queue", "left")
     good = F.col("expected_event_id").eqNullSafe(F.col("head.event_id")) & (F.col("head").isNull() | (F.col("recorded_us") >= F.col("head.recorded_us")))
-    sequence = F.coalesce(F.col("head.sequence"), F.lit(0)) + 1
+    turn = F.row_number().over(Window.partitionBy("queue", "good").orderBy("recorded_us", "kind", "payload"))
+    both = both.withColumn("good", F.coalesce(good, F.lit(False))).withColumn("good", F.col("good") & (turn == 1))
+    sequence = F.coalesce(F.col("head.sequence") + 1, F.lit(FIRST))
     own = F.sha2(F.concat_ws("|", F.coalesce("head.event_id", F.lit("")), sequence.cast("string"), F.coalesce("payload", F.lit(""))), 256)
-    taken = both.where(good).select("queue", sequence.alias("sequence"), "recorded_us", "kind", "payload", F.col("head.event_id").alias("previous_event_id"), own.alias("event_id"))
-    return taken, both.where(~good).select(new.columns)
+    taken = both.where("good").select("queue", sequence.alias("sequence"), "recorded_us", "kind", "payload", F.col("head.event_id").alias("previous_event_id"), own.alias("event_id"))
+    return taken, both.where("not good").select(new.columns)
 
 
 class Fold:
@@ -122,7 +130,7 @@ def fold_stream(events: DataFrame) -> DataFrame:
     """
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else {"next": 0, "early": {}, "candidates": {}}
+        held = json.loads(state.get[0]) if state.exists else {"next": FIRST, "early": {}, "candidates": {}}
         for f in frames:
             for s, us, kind, payload in zip(f["sequence"], f["recorded_us"], f["kind"], f["payload"], strict=True):
                 held["early"][str(s)] = [int(us), kind, payload]

@@ -122,7 +122,54 @@ def test_sinks(spark, tmp_path):
     exports.write_geojson(spark.createDataFrame([(1, None, 2.0)], "id int, lon double, lat double"), str(tmp_path / "g"), "id", "lon", "lat")
     assert json.loads(spark.read.text(str(tmp_path / "g")).first().value)["geometry"] is None
     assert json.loads(exports.descriptor({"t": df}))["resources"][0]["schema"]["fields"][2]["type"] == "integer"
-    assert io.StringIO
+    assert readers.verify_snapshot and exports.verify_release(spark, str(tmp_path / "r")).count() == 0
+    part = next((tmp_path / "r" / "one").glob("part-*"))
+    part.with_name(f".{part.name}.crc").unlink()
+    part.write_text('{"t":"=y","l":["b","a"],"n":null}\n')
+    assert [tuple(r) for r in exports.verify_release(spark, str(tmp_path / "r")).collect()] == [("one", "digest")]
+
+
+@pytest.mark.parametrize(
+    ("text", "problem"),
+    [('[{"a":1},{"a":2}', "cut off"), ('[{"a":1,"a":2}]', "repeated"), ('[{"a":1}] x', "after the array"), ('{"a":1}', "not an array"), ('[{"a":1} {"a":2}]', "inside an array"), ('[{"a":1},]', "inside an array"), ("[1]", "inside an array"), ('[{"a":NaN}]', "no JSON number"), ('[{"a":', ""), ("", "cut off")],
+)
+def test_malformed_arrays_are_refused(text, problem):
+    for size in (1, 3, 1 << 20):
+        with pytest.raises(ValueError, match=problem):
+            list(readers.array_objects(io.StringIO(text), size))
+
+
+def test_arrays_in_parts():
+    rows = [{"k": i, "v": "é}]" * (i % 5)} for i in range(40)]
+    for text in (json.dumps(rows), json.dumps(rows, indent=2) + "\n", "[]", " [ ] "):
+        for size in (1, 7, 1 << 20):
+            assert list(readers.array_objects(io.StringIO(text), size)) == json.loads(text)
+
+
+def test_malformed_responses_fail(spark):
+    for read in (readers.map_elements, readers.sparql_points):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read(spark.createDataFrame([("{broken",)], "value string")).collect()
+
+
+def test_line_ends_and_small_clocks(spark):
+    assert one(spark, clocks.partial_date(F.lit("2024\n"))[2]) is None and one(spark, clocks.clock_us(F.lit("2024-01-01T00:00:00Z\n"))) is None
+    assert one(spark, facilities.registration_number(F.lit("ABCD1234\n"))) is None
+    assert str(one(spark, clocks.publisher_date(F.lit("05-MAR-24")))) == "2024-03-05"
+    assert [one(spark, clocks.publisher_date(F.lit(x))) for x in ("31-FEB-24", "05-Mar-24", "5-MAR-24", "05-MAR-24\n")] == [None] * 4
+    assert str(one(spark, clocks.local_day(F.lit(1704067199000000), 8))) == "2024-01-01"
+    got = [tuple(map(str, spark.range(1).select(*clocks.literal_period(F.lit(x))).first())) for x in ("2027", "first half of 2027", "second half of 2027", "third half of 2027")]
+    assert got == [("2027-01-01", "2027-12-31"), ("2027-01-01", "2027-06-30"), ("2027-07-01", "2027-12-31"), ("None", "None")]
+    assert text.name_words("Ａcme–Chip, GmbH") == "acme chip gmbh"
+
+
+def test_capacity_units_and_past_rates(spark):
+    relative = lambda u, m: one(spark, facilities.relative_capacity(F.lit(u), F.lit(m)))
+    assert all(relative(u, "output") for u in ("pct", "fraction", "index", "Percentage  Point", "x")) and all(relative("wafers", m) for m in ("a fold", "relative yield"))
+    assert not relative("wafers", "output") and not relative(None, None) and relative("", "increase of output") and not relative("wafers", "increase of output")
+    assert one(spark, facilities.throughput(F.lit("In 2019 it made 20,000 wafers per week and 5 panels per day. It made 7 wafers per month."))) == []
+    got = one(spark, facilities.throughput(F.lit("A fab is expected to produce up to 20,000 wafers per month\nIt would offer a capacity of 1.5 million chips every year")))
+    assert [tuple(r) for r in got] == [(20000.0, "wafers", "month"), (1500000.0, "chips", "year")]
 
 
 def events(spark):
@@ -137,7 +184,25 @@ def test_appends_are_guarded(spark):
     new = spark.createDataFrame([(0, 90, "observed", "{}", head[0]), (1, 90, "observed", "{}", "stale"), (2, 1, "observed", "{}", head[2]), (77, 0, "observed", "{}", None)], "queue long, recorded_us long, kind string, payload string, expected_event_id string")
     taken, refused = queues.append(log, new)
     assert sorted(r.queue for r in taken.collect()) == [0, 77] and sorted(r.queue for r in refused.collect()) == [1, 2]
-    assert queues.violations(log.unionByName(taken.select(log.columns).where("queue = 0"))).count() == 0
+    assert queues.violations(log.unionByName(taken.select(log.columns))).count() == 0
+    rivals = spark.createDataFrame([(0, 95, "observed", '{"b":1}', head[0]), (0, 90, "observed", '{"a":1}', head[0]), (0, 95, "observed", '{"a":1}', head[0]), (78, 5, "observed", "{}", None), (78, 5, "observed", "{}", None)], new.schema)
+    taken, refused = queues.append(log, rivals)
+    assert [(r.queue, r.sequence, r.recorded_us) for r in taken.orderBy("queue").collect()] == [(0, 9, 90), (78, queues.FIRST, 5)] and refused.count() == 3
+    assert queues.violations(log.unionByName(taken.select(log.columns))).count() == 0
+
+
+def test_appended_queues_fold_as_streams(spark, tmp_path):
+    log, at = spark.createDataFrame([], queues.CHAINED), {}
+    for n in range(3):
+        new = spark.createDataFrame([(5, n * 10, "observed", json.dumps({"version": "v"}), at.get(5))], "queue long, recorded_us long, kind string, payload string, expected_event_id string")
+        taken, _ = queues.append(log, new)
+        rows = taken.select(log.columns).collect()
+        at[5] = rows[0].event_id
+        log = log.unionByName(spark.createDataFrame(rows, queues.CHAINED))
+    log.select("queue", "sequence", "recorded_us", "kind", "payload").coalesce(1).write.parquet(str(tmp_path / "in"))
+    q = queues.fold_stream(spark.readStream.schema(queues.EVENT).parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName("f").outputMode("update").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted(map(tuple, spark.table("f").collect())) == sorted(map(tuple, queues.fold(log).collect())) != []
 
 
 def test_stream_equals_batch_whatever_the_order(spark, tmp_path):

@@ -3,7 +3,9 @@
 from datetime import date
 
 import pytest
-from claimlens.operators import changes, graph, identity, intervals, records, refresh, views
+from claimlens.functions.ids import tree_digest
+from claimlens.operators import changes, forecast, graph, identity, intervals, records, refresh, views
+from claimlens.plans import staging
 from claimlens.plans.staging import Staging
 from pyspark.sql import functions as F
 
@@ -117,3 +119,41 @@ def test_largest_gap_with_edges(spark):
     got = {r.k: r.largest_gap_seconds for r in evaluate.largest_gap(rows, 4 * h, 10 * h, ("k",)).collect()}
     assert got == {1: (4 * h - 10) / 1e6, 2: 9 * h / 1e6}
     assert evaluate.largest_gap(rows, 0, 10 * h).first()[0] == 4 * h / 1e6
+
+
+def test_alert_thresholds_are_exact(spark):
+    rows = [(1, 100.0, 115.0, 0.5, 0.5), (2, 100.0, 114.9999999, 0.5, 0.5), (3, 1.0, 1.149999, 0.5, 0.5), (4, 100.0, 130.0, None, 0.5), (5, 0.0, 0.2, 0.5, 0.5), (6, -100.0, -115.0, 0.5, 0.5)]
+    pairs = spark.createDataFrame(rows, "current_id long, prior_value double, current_value double, prior_confidence double, current_confidence double").selectExpr("*", "0L as prior_id", "1L as entity_id", "'p' as predicate")
+    got = {r.current_id: (r.direction, r.severity) for r in changes.capacity_alerts(pairs).collect()}
+    assert got == {1: ("increase", "low"), 2: ("increase", "low"), 5: ("increase", "low"), 6: ("increase", "low")}  # 114.9999999 is 115.000000 in millionths
+
+
+def test_candidates_are_ranked(spark):
+    pairs = spark.createDataFrame([(1, 9, 0.5), (1, 7, 0.5), (1, 8, 0.9), (2, 7, 0.1)], "l int, r int, score double")
+    assert sorted((x.l, x["rank"], x.r) for x in identity.ranked(pairs, "l", "r", 2).collect()) == [(1, 1, 8), (1, 2, 7), (2, 1, 7)]
+
+
+def test_subsumed_only_with_the_same_amount(spark):
+    rows = spark.createDataFrame([(1, "fab", "new fab", 5), (2, "fab", "a new fab site", 5), (3, "fab", "new fab", 6)], "id int, k string, t string, amount int")
+    assert sorted(r.id for r in records.drop_subsumed(rows, "k", "id", "t", ("amount",)).collect()) == [2, 3]
+    assert sorted(r.id for r in records.drop_subsumed(rows, "k", "id", "t").collect()) == [2]
+
+
+def test_model_parameters_have_a_fingerprint():
+    assert len(forecast.fingerprint()) == 64 and forecast.fingerprint() != forecast.fingerprint(policy="steady")
+    for bad in ({"basis": {"x": (0.5, 0.4, 1.0)}}, {"ramp_": ((0.5, 0.5, 0.5),)}, {"policy": "none"}):
+        with pytest.raises(ValueError):
+            forecast.fingerprint(**bad)
+
+
+def test_tree_digest_counts_repeats_and_forgets_order(spark):
+    one = lambda *v: tuple(tree_digest(spark.createDataFrame([(x,) for x in v], "v string"), F.col("v")).first())
+    assert one("a", "b", "b") == one("b", "a", "b") != one("a", "b") and one("a")[0] == 1
+    assert tree_digest(spark.createDataFrame([], "v string"), F.col("v")).first()["rows"] == 0
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_dir(spark)
