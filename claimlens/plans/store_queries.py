@@ -271,7 +271,7 @@ def alert_proposals(spark, sf_dir):
 
 # ---------------------------------------------------------------- forecast selection
 
-SELECTION = """
+SELECTION = r"""
 caps AS (SELECT p_partkey AS capacity_id, p_partkey % 40 AS entity_id, ['announced','physical_construction','tool_installed','qualified','economically_usable'][p_size % 5 + 1] AS basis,
   CASE WHEN p_partkey % 17 = 0 THEN 'Percentage  Points' WHEN p_partkey % 19 = 0 THEN 'index' WHEN p_partkey % 23 = 0 THEN 'wafer percent' ELSE 'wafers' END AS unit, CASE WHEN p_partkey % 29 = 0 THEN 'relative output' ELSE 'output' END AS metric,
   CASE WHEN p_partkey % 13 <> 0 THEN 0.5 END AS confidence, CASE WHEN p_partkey % 31 <> 0 THEN DATE '2023-01-01' END AS valid_from,

@@ -1,6 +1,7 @@
 """Boundaries of the bitemporal views and of the write plans."""
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from claimlens.functions.ids import tree_digest
@@ -152,8 +153,8 @@ def test_tree_digest_counts_repeats_and_forgets_order(spark):
     assert tree_digest(spark.createDataFrame([], "v string"), F.col("v")).first()["rows"] == 0
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,1024]"])
+def test_shared_folder_is_required_on_a_cluster(master):
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.shared_dir(spark)
+        staging.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context))
