@@ -76,38 +76,45 @@ def connected_components(edges: DataFrame, staging: Staging, src: str = "src", d
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def closure(seeds: DataFrame, edges: DataFrame, staging: Staging, max_rounds: int = 1000) -> DataFrame:
+def closure(seeds: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
     """(root, node): everything reachable from each seed (one column `root`) over (child, parent) edges, itself included.
 
-    Semi-naive: a round joins only what the last one found. Works on graphs with diamonds and with circles.
+    Path doubling: round i knows all paths shorter than 2^i and adds those that go on by exactly 2^i steps, so a chain of
+    n links takes log n rounds. Works on graphs with diamonds and with circles: what adds nothing in a round adds
+    nothing later.
+    """
+    leap = staging.table(edges.select(F.col("child").alias("node"), F.col("parent").alias("next")).where("node is not null and next is not null").distinct(), "leap")
+    seen = staging.table(seeds.select("root", F.col("root").alias("node")).distinct(), "reach")
+    size = seen.count()
+    while True:
+        ahead = seen.join(leap, "node").select("root", F.col("next").alias("node"))
+        now = staging.table(seen.unionByName(ahead).distinct(), "reach")
+        grown = now.count()
+        if grown == size:
+            return now
+        far = staging.table(leap.join(leap.select(F.col("node").alias("next"), F.col("next").alias("end")), "next").select("node", F.col("end").alias("next")).distinct(), "leap")
+        staging.drop(leap)
+        staging.drop(seen)
+        seen, size, leap = now, grown, far
+
+
+def cyclic_nodes(edges: DataFrame, staging: Staging) -> DataFrame:
+    """(node): nodes on a circle or above one, by peeling edges whose parent is a leaf; empty for a DAG.
+
+    One round a level; every round but the last takes edges away, so it ends on any graph.
     """
-    step = edges.select(F.col("child").alias("node"), F.col("parent").alias("next")).distinct()
-    front = staging.table(seeds.select("root", F.col("root").alias("node")).distinct(), "front")
-    seen = front
-    for _ in range(max_rounds):
-        found = front.join(step, "node").select("root", F.col("next").alias("node")).distinct()
-        front = staging.table(found.join(seen, ["root", "node"], "left_anti"), "front")
-        if front.isEmpty():
-            return seen
-        seen = seen.unionByName(front)
-    raise RuntimeError(f"closure did not end in {max_rounds} rounds")
-
-
-def cyclic_nodes(edges: DataFrame, staging: Staging, max_rounds: int = 1000) -> DataFrame:
-    """(node): nodes on a circle or above one, by peeling edges whose parent is a leaf; empty for a DAG."""
     left = staging.table(edges.select("child", "parent").distinct(), "edges")
     size = left.count()
-    for _ in range(max_rounds):
+    while True:
         inner = left.select(F.col("child").alias("parent")).distinct()
         left = staging.table(left.join(inner, "parent", "left_semi").select("child", "parent"), "edges")
         now = left.count()
         if now == size or not now:
             return left.select(F.col("child").alias("node")).distinct()
         size = now
-    raise RuntimeError(f"peeling did not end in {max_rounds} rounds")
 
 
-def supported(nodes: DataFrame, direct: DataFrame, edges: DataFrame, staging: Staging, max_rounds: int = 1000) -> DataFrame:
+def supported(nodes: DataFrame, direct: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
     """(node): supported directly, or with parents all of whom are supported; the least fixpoint.
 
     nodes and direct have one column `node`; edges are (child, parent). A parent outside nodes supports nothing.
@@ -116,7 +123,7 @@ def supported(nodes: DataFrame, direct: DataFrame, edges: DataFrame, staging: St
     need = edges.groupBy("child").agg(F.count("*").alias("parents"))
     good = staging.table(direct.select("node").distinct().join(nodes.select("node").distinct(), "node", "left_semi"), "good")
     size = good.count()
-    for _ in range(max_rounds):
+    while True:  # every round but the last adds nodes
         held = edges.join(good.select(F.col("node").alias("parent")), "parent").groupBy("child").agg(F.count("*").alias("held"))
         more = held.join(need, "child").where("held = parents").select(F.col("child").alias("node"))
         good = staging.table(good.unionByName(more.join(nodes.select("node"), "node", "left_semi")).distinct(), "good")
@@ -124,7 +131,6 @@ def supported(nodes: DataFrame, direct: DataFrame, edges: DataFrame, staging: St
         if now == size:
             return good
         size = now
-    raise RuntimeError(f"support did not settle in {max_rounds} rounds")
 
 
 def carry_identity(components: DataFrame, prior: DataFrame) -> DataFrame:
