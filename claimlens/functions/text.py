@@ -114,3 +114,16 @@ def segments_in_order(segments: Column, text: Column) -> Column:
         return F.struct(F.when(place > 0, place + F.length(s)).otherwise(acc["at"]).alias("at"), (acc["ok"] & (place > 0)).alias("ok"))
 
     return F.aggregate(segments, start, step)["ok"]
+
+
+def links(html: Column) -> Column:
+    """array of (href, text) of a page's anchors in their order; inner tags are dropped and white space is collapsed."""
+    rule = r"(?is)<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a\s*>"
+    found = F.regexp_extract_all(html, F.lit(rule), 0)
+    plain = lambda a: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_extract(a, rule, 2), "<[^>]*>", " "), r"\s+", " "))
+    return F.transform(found, lambda a: F.struct(F.regexp_extract(a, rule, 1).alias("href"), plain(a).alias("text")))
+
+
+def page_number(url: Column) -> Column:
+    """The page that a listing's url asks for; 1 where it names none."""
+    return F.coalesce(F.regexp_extract(url, r"[?&]page=(\d+)(?:&|#|\z)", 1).try_cast("int"), F.lit(1))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlens.functions.facilities import first_of
+
 
 def unique_side(rows: DataFrame, key: str) -> DataFrame:
     """Rows whose key no other row has."""
@@ -39,3 +41,28 @@ def twins(rows: DataFrame, ident: str, *keys: str) -> DataFrame:
     """Rows that share all keys with another row, with the smallest id of their group."""
     g = rows.groupBy(*keys).agg(F.min(ident).alias("anchor"), F.count("*").alias("members")).where("members > 1")
     return rows.join(g, list(keys)).select(ident, "anchor", "members")
+
+
+def target_evidence(named: DataFrame, store: dict[str, DataFrame]) -> DataFrame:
+    """(review_id, version_id, problem): claims that a review names for its target but that do not support it.
+
+    named: review_id, target_id, version_id, reviewed_us. A claim must be about the target, rest on a source through a
+    run that had succeeded before the review, and be current when reviewed.
+    """
+    runs = store["runs"].select("run_id", F.col("status").alias("r_status"), F.col("completed_us").alias("r_done"))
+    about = store["series"].select("series_id", F.col("entity_id").alias("s_entity"))
+    backed = store["evidence"].select("version_id", F.lit(True).alias("backed")).distinct()
+    own = store["versions"].select("version_id", "series_id", "run_id", "recorded_us", "superseded_us").join(about, "series_id", "left").join(runs, "run_id", "left")
+    rows = named.join(own, "version_id", "left").join(backed, "version_id", "left")
+    lined = F.col("backed").isNotNull() & (F.col("r_status") == "succeeded") & F.col("r_done").isNotNull()
+    current = (F.col("recorded_us") <= F.col("reviewed_us")) & (F.col("superseded_us").isNull() | (F.col("superseded_us") > F.col("reviewed_us")))
+    problem = first_of(
+        [
+            (F.col("recorded_us").isNull(), "unknown_claim"),
+            (~F.coalesce(F.col("s_entity") == F.col("target_id"), F.lit(False)), "other_entity"),
+            (~F.coalesce(lined, F.lit(False)), "no_succeeded_source"),
+            (F.col("r_done") > F.col("reviewed_us"), "produced_after_review"),
+            (~F.coalesce(current, F.lit(False)), "not_current"),
+        ]
+    )
+    return rows.select("review_id", "version_id", problem.alias("problem")).where("problem is not null")

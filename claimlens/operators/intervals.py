@@ -91,3 +91,21 @@ def overlapping_pairs(rows: DataFrame, key: str, ident: str, start: str, end: st
     wide = opened.join(begin, key).where(later & known)
     pairs = near.select(key, "l", "r").unionByName(wide.select(key, "l", "r"))
     return pairs.select(key, F.least("l", "r").alias("left_id"), F.greatest("l", "r").alias("right_id"))
+
+
+def document_order(guidance: Column, outcome: Column) -> Column:
+    """Which of two document days came first; unknown where one is missing."""
+    return F.when(guidance < outcome, "guidance_before_outcome_document").when(guidance == outcome, "same_reported_document_day").when(guidance > outcome, "outcome_document_before_guidance").otherwise("unknown")
+
+
+def relative_to_day(status: Column, low: Column, high: Column, day: Column) -> Column:
+    """Where an outcome (observed within [low, high], or by high alone) lies against a document's day."""
+    seen = F.coalesce(status.isin("observed", "observed_by"), F.lit(False)) & day.isNotNull() & high.isNotNull()
+    return (
+        F.when(~seen, "unknown")
+        .when(high < day, "before_reported_document_day")
+        .when(low.isNull(), F.when(high == day, "on_or_before_reported_document_day").otherwise("unknown"))
+        .when(low > day, "after_reported_document_day")
+        .when((low == day) & (high == day), "on_reported_document_day")
+        .otherwise("spans_reported_document_day")
+    )

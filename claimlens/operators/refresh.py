@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def insert_or_verify(stored: DataFrame, incoming: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(rows to insert, conflicts): an incoming row is new, equal to what is stored, or names the columns that differ."""
-    others = [c for c in incoming.columns if c != key]
-    old = stored.select(key, F.struct(*others).alias("__old"))
-    both = incoming.join(old, key, "left")
+def insert_or_verify(stored: DataFrame, incoming: DataFrame, *key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows to insert, conflicts): an incoming row is new, equal to what is stored, or names the columns that differ.
+
+    The key is one column or several; each of them must have a value.
+    """
+    others = [c for c in incoming.columns if c not in key]
+    old = stored.select(*key, F.struct(*others).alias("__old"))
+    both = incoming.join(old, list(key), "left")
     differing = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"__old.{c}")), F.lit(c)) for c in others]))
     fresh = both.where("__old is null").select(incoming.columns)
-    clash = both.where("__old is not null").select(key, differing.alias("columns")).where(F.size("columns") > 0)
+    clash = both.where("__old is not null").select(*key, differing.alias("columns")).where(F.size("columns") > 0)
     return fresh, clash
 
 

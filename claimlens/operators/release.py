@@ -112,3 +112,31 @@ def disjoint_twins(rows: DataFrame, name: str, number: str) -> DataFrame:
     """Rows that share a name without their numbers agreeing: (name, ids), ids sorted."""
     g = rows.groupBy(name).agg(F.countDistinct(number).alias("numbers"), F.array_sort(F.collect_set("id")).alias("ids"))
     return g.where((F.col("numbers") > 1) & (F.size("ids") > 1)).select(name, "ids")
+
+
+def candidates_as_of(store: dict[str, DataFrame], at: int) -> DataFrame:
+    """Resolution candidates of runs that had ended, made by the instant, with the kinds they join and the scope they decide."""
+    ended = store["resolution_runs"].where(F.col("status").isin("succeeded", "failed") & (F.col("completed_us") <= at)).select("resolution_id", F.col("started_us").alias("run_started_us"))
+    kind = lambda name, prefix: store["entities"].select(F.col("entity_id").alias(name), F.col("kind").alias(f"{prefix}_kind"))
+    rows = store["candidates"].where(F.col("created_us") <= at).join(ended, "resolution_id").join(store["records"].select("record_id"), "record_id", "left_semi")
+    rows = rows.join(kind("observed_id", "observed"), "observed_id").join(kind("proposed_id", "proposed"), "proposed_id")
+    return rows.withColumn("identity_scope", F.concat("observed_kind", F.lit("_identity")))
+
+
+def decisions_as_of(store: dict[str, DataFrame], at: int) -> DataFrame:
+    """Decisions taken by the instant on candidates of runs that had succeeded."""
+    good = store["resolution_runs"].where((F.col("status") == "succeeded") & (F.col("completed_us") <= at)).select("resolution_id")
+    kind = store["entities"].select(F.col("entity_id").alias("observed_id"), F.col("kind").alias("observed_kind"))
+    of = store["candidates"].select("candidate_id", "resolution_id", "observed_id").join(good, "resolution_id", "left_semi").join(kind, "observed_id")
+    return store["decisions"].where(F.col("decided_us") <= at).join(of, "candidate_id").withColumn("identity_scope", F.concat("observed_kind", F.lit("_identity")))
+
+
+def evidence_index(claims: DataFrame, evidence: DataFrame, per_row: int = 1000) -> DataFrame:
+    """(document_id, part, claim_ids): the inverted index from documents to claims, in rows of `per_row` ids at most.
+
+    A document that very many claims rest on has several rows, so none is gathered whole.
+    """
+    pairs = evidence.join(claims.select("claim_id"), "claim_id", "left_semi").select("document_id", "claim_id").distinct()
+    sizes = pairs.groupBy("document_id").agg(F.count("*").alias("n"))
+    dealt = pairs.join(sizes, "document_id").withColumn("part", F.pmod(F.xxhash64("claim_id"), F.ceil(F.col("n") / (per_row / 2))))
+    return dealt.groupBy("document_id", "part").agg(F.array_sort(F.collect_list("claim_id")).alias("claim_ids"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimlens.operators import admit, changes, forecast, graph, records, refresh, validate
+from claimlens.functions import text
+from claimlens.operators import admit, changes, forecast, graph, identity, intervals, polling, records, refresh, release, validate
 from claimlens.plans.queries import query
 from claimlens.sources import projection as P
 
@@ -361,3 +362,111 @@ def carried_identities(spark, sf_dir):
     components = c.select(F.col("c_custkey").alias("node"), F.expr("c_custkey - c_custkey % 5").alias("component"))
     prior = c.where("c_custkey % 4 = 1").select(F.col("c_custkey").alias("node"), F.expr("1000000 + c_custkey div 7").alias("identity"))
     return graph.carry_identity(components, prior)
+
+
+# ---------------------------------------------------------------- resolution as of an instant
+
+_AT = 400
+
+
+@query(f"WITH {STORE} SELECT candidate_id, c.resolution_id, o.kind || '_identity' AS identity_scope, p.kind AS proposed_kind, rank FROM candidates c JOIN resolution_runs r USING (resolution_id) JOIN records x USING (record_id) JOIN entities o ON o.entity_id = observed_id JOIN entities p ON p.entity_id = proposed_id WHERE r.status IN ('succeeded', 'failed') AND completed_us <= {_AT} AND c.created_us <= {_AT}")
+def resolution_candidates(spark, sf_dir):
+    """Candidates as of an instant, with the scope that they decide."""
+    return release.candidates_as_of(P.store(spark, sf_dir), _AT).select("candidate_id", "resolution_id", "identity_scope", "proposed_kind", "rank")
+
+
+@query(f"WITH {STORE} SELECT decision_id, candidate_id, outcome, o.kind || '_identity' AS identity_scope FROM decisions d JOIN candidates c USING (candidate_id) JOIN resolution_runs r USING (resolution_id) JOIN entities o ON o.entity_id = observed_id WHERE r.status = 'succeeded' AND completed_us <= {_AT} AND decided_us <= {_AT}")
+def resolution_decisions(spark, sf_dir):
+    """Decisions as of an instant, of succeeded runs only."""
+    return release.decisions_as_of(P.store(spark, sf_dir), _AT).select("decision_id", "candidate_id", "outcome", "identity_scope")
+
+
+@query(
+    f"""WITH {STORE}, named AS (SELECT version_id AS review_id, version_id % 150 + 1 + CASE WHEN version_id % 6 = 0 THEN 1 ELSE 0 END AS target_id, version_id + CASE WHEN version_id % 41 = 0 THEN 100000000 ELSE 0 END AS version_id, 90 + version_id % 60 AS reviewed_us FROM versions WHERE version_id % 2 = 0),
+own AS (SELECT v.*, CASE WHEN version_id % 8 = 0 THEN recorded_us + 5 END AS superseded_us FROM versions v)
+SELECT * FROM (SELECT n.review_id, n.version_id, CASE WHEN v.version_id IS NULL THEN 'unknown_claim' WHEN s.entity_id IS DISTINCT FROM n.target_id THEN 'other_entity' WHEN e.version_id IS NULL OR r.status IS DISTINCT FROM 'succeeded' THEN 'no_succeeded_source' WHEN r.completed_us > reviewed_us THEN 'produced_after_review'
+  WHEN v.recorded_us > reviewed_us OR coalesce(superseded_us <= reviewed_us, FALSE) THEN 'not_current' END AS problem FROM named n LEFT JOIN own v USING (version_id) LEFT JOIN series s USING (series_id) LEFT JOIN runs r ON r.run_id = v.run_id LEFT JOIN evidence_ e ON e.version_id = v.version_id) WHERE problem IS NOT NULL"""
+)
+def review_target_evidence(spark, sf_dir):
+    """Claims that reviews name for their target but that do not support it."""
+    s, e = P.store(spark, sf_dir), F.expr
+    s["versions"] = s["versions"].withColumn("superseded_us", e("if(version_id % 8 = 0, recorded_us + 5, null)"))
+    named = s["versions"].where("version_id % 2 = 0").select(F.col("version_id").alias("review_id"), e("version_id % 150 + 1 + if(version_id % 6 = 0, 1, 0)").alias("target_id"), e("version_id + if(version_id % 41 = 0, 100000000, 0)").alias("version_id"), e("90 + version_id % 60").alias("reviewed_us"))
+    return identity.target_evidence(named, s)
+
+
+@query(f"WITH {STORE} SELECT document_id, count(DISTINCT version_id) AS n_claims, min(version_id) AS first_claim, max(version_id) AS last_claim FROM evidence_ GROUP BY 1")
+def evidence_to_claims(spark, sf_dir):
+    """The inverted index from documents to claims, summed over its rows."""
+    s = P.store(spark, sf_dir)
+    index = release.evidence_index(s["versions"].withColumnRenamed("version_id", "claim_id"), s["evidence"].withColumnRenamed("version_id", "claim_id"))
+    return index.groupBy("document_id").agg(F.sum(F.size("claim_ids")).alias("n_claims"), F.min(F.col("claim_ids")[0]).alias("first_claim"), F.max(F.element_at("claim_ids", -1)).alias("last_claim"))
+
+
+# ---------------------------------------------------------------- polling
+
+
+@query(
+    """WITH t AS (SELECT c_custkey AS target_id, c_custkey * 100 AS expires_us, c_custkey % 17 = 0 AS blocked FROM customer), r AS (SELECT o_custkey AS target_id, o_orderkey AS finished_us FROM orders WHERE o_orderkey % 3 = 0), i AS (SELECT o_custkey AS target_id, o_orderkey + 7 AS started_us, o_orderkey % 5 <> 0 AS complete FROM orders WHERE o_orderkey % 4 = 0),
+a AS (SELECT target_id, max(finished_us) AS run_us FROM r GROUP BY 1), b AS (SELECT target_id, max(started_us) AS intent_us, max(started_us) FILTER (NOT complete) AS open_us FROM i GROUP BY 1),
+x AS (SELECT t.*, run_us, open_us, CASE WHEN run_us IS NULL AND intent_us IS NULL THEN NULL ELSE greatest(coalesce(run_us, intent_us), coalesce(intent_us, run_us)) + 9000 END AS due_us FROM t LEFT JOIN a USING (target_id) LEFT JOIN b USING (target_id)),
+y AS (SELECT *, CASE WHEN blocked THEN 'recovery_blocked' WHEN expires_us <= 60000 THEN 'review_expired' WHEN due_us > 60000 THEN 'not_due' ELSE 'due' END AS status FROM x)
+SELECT target_id, status, due_us, status = 'not_due' AND open_us IS NOT NULL AND (run_us IS NULL OR run_us < open_us) AS unresolved FROM y"""
+)
+def poll_plan(spark, sf_dir):
+    """Every target of a polling tick: due, not due, expired or blocked, with captures that hang."""
+    o, e = P.table(spark, sf_dir, "orders"), F.expr
+    targets = P.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("target_id"), e("c_custkey * 100").alias("expires_us"), e("c_custkey % 17 = 0").alias("blocked"))
+    runs = o.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("target_id"), F.col("o_orderkey").alias("finished_us"))
+    intents = o.where("o_orderkey % 4 = 0").select(F.col("o_custkey").alias("target_id"), e("o_orderkey + 7").alias("started_us"), e("o_orderkey % 5 <> 0").alias("complete"))
+    return polling.poll_plan(targets, runs, intents, 60_000, 9_000)
+
+
+@query("WITH i AS (SELECT o_orderkey AS intent_id, o_orderkey % 3 <> 0 AS captured, o_orderkey % 7 <> 0 AS sound, o_orderkey % 2 = 0 AS imported, o_custkey % 3 <> 0 AS outcome FROM orders) SELECT * FROM (SELECT intent_id, CASE WHEN NOT captured THEN CASE WHEN NOT outcome THEN 'interrupted_capture' END WHEN NOT sound THEN 'recovery_blocked' WHEN NOT (imported AND outcome) THEN 'recovered_import' END AS action FROM i) WHERE action IS NOT NULL")
+def crash_reconciliation(spark, sf_dir):
+    """What every intent that a crash may have cut still needs."""
+    e = F.expr
+    return polling.reconcile(P.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("intent_id"), e("o_orderkey % 3 <> 0").alias("captured"), e("o_orderkey % 7 <> 0").alias("sound"), e("o_orderkey % 2 = 0").alias("imported"), e("o_custkey % 3 <> 0").alias("outcome")))
+
+
+@query()
+def alert_episodes(spark, sf_dir):
+    """Episodes of repeated transitions: each customer's orders as releases that may arrive late."""
+    o, e = P.table(spark, sf_dir, "orders"), F.expr
+    return polling.episodes(o.select(F.col("o_custkey").alias("series_id"), F.col("o_orderkey").alias("sequence"), e("o_orderkey - (o_orderkey % 3) * 500").alias("release_us"), e("o_orderkey - 2000").alias("prior_release_us"), e("concat('m', o_orderkey div 1000)").alias("prior_manifest"), e("concat('b', o_orderkey % 3)").alias("before"), e("if(o_orderkey % 11 = 0, null, o_orderstatus)").alias("after"), e("if(o_orderkey % 2 = 0, o_orderstatus, null)").alias("signature"), e("concat('p', o_orderkey)").alias("packet")))
+
+
+@query(
+    """WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 <> 0 THEN DATE '2024-06-01' + CAST(o_orderkey % 5 AS INTEGER) END AS g, CASE WHEN o_orderkey % 9 <> 0 THEN DATE '2024-06-03' END AS d, ['observed','observed_by','cancelled','unknown'][o_orderkey % 4 + 1] AS status,
+  CASE WHEN o_orderkey % 4 <> 1 THEN DATE '2024-05-30' + CAST(o_custkey % 8 AS INTEGER) END AS low, DATE '2024-05-30' + CAST(o_custkey % 8 + o_orderkey % 3 AS INTEGER) AS high FROM orders)
+SELECT k, CASE WHEN g < d THEN 'guidance_before_outcome_document' WHEN g = d THEN 'same_reported_document_day' WHEN g > d THEN 'outcome_document_before_guidance' ELSE 'unknown' END AS document_order,
+  CASE WHEN status IN ('cancelled', 'unknown') OR g IS NULL THEN 'unknown' WHEN high < g THEN 'before_reported_document_day' WHEN low IS NULL THEN CASE WHEN high = g THEN 'on_or_before_reported_document_day' ELSE 'unknown' END WHEN low > g THEN 'after_reported_document_day' WHEN low = g AND high = g THEN 'on_reported_document_day' ELSE 'spans_reported_document_day' END AS to_guidance FROM o"""
+)
+def document_context(spark, sf_dir):
+    """The order of a guidance and an outcome document, and where the outcome lies against the first one's day."""
+    e = F.expr
+    o = P.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), e("if(o_orderkey % 7 <> 0, date_add(date'2024-06-01', cast(o_orderkey % 5 as int)), null)").alias("g"), e("if(o_orderkey % 9 <> 0, date'2024-06-03', null)").alias("d"), e("element_at(array('observed','observed_by','cancelled','unknown'), cast(o_orderkey % 4 + 1 as int))").alias("status"), e("if(o_orderkey % 4 <> 1, date_add(date'2024-05-30', cast(o_custkey % 8 as int)), null)").alias("low"), e("date_add(date'2024-05-30', cast(o_custkey % 8 + o_orderkey % 3 as int))").alias("high"))
+    return o.select("k", intervals.document_order(F.col("g"), F.col("d")).alias("document_order"), intervals.relative_to_day(F.col("status"), F.col("low"), F.col("high"), F.col("g")).alias("to_guidance"))
+
+
+@query(
+    r"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*\bhref\s*=\s*["'']([^"'']*)["''][^>]*>.*?</a\s*>', 1)) AS href FROM pages)
+SELECT href, count(*) AS n, count(DISTINCT page_id) AS n_pages FROM l GROUP BY 1"""
+)
+def page_links(spark, sf_dir):
+    """Links of all pages by target."""
+    p = P.table(spark, sf_dir, "pages").select("page_id", F.inline(text.links(F.col("html"))))
+    return p.groupBy("href").agg(F.count("*").alias("n"), F.countDistinct("page_id").alias("n_pages"))
+
+
+@query(r"SELECT page_id, coalesce(TRY_CAST(regexp_extract(url, '[?&]page=([0-9]+)(&|#|$)', 1) AS INTEGER), 1) AS page FROM pages")
+def listing_pages(spark, sf_dir):
+    """The page of a listing that each url asks for."""
+    return P.table(spark, sf_dir, "pages").select("page_id", text.page_number(F.col("url")).alias("page"))
+
+
+@query("WITH b AS (SELECT user_id AS u, event_type AS t, CAST(floor(value) AS BIGINT) AS v FROM events) SELECT sha256('[\"' || u || '\",\"' || t || '\",\"scalar\",\"' || v % 3 || '\"]') AS series_id, count(*) AS n FROM b GROUP BY 1")
+def semantic_series(spark, sf_dir):
+    """Claims by the identity of their series: subject, predicate, kind and dimensions."""
+    b = P.table(spark, sf_dir, "events").select("user_id", "event_type", F.lit("scalar").alias("kind"), (F.floor("value") % 3).alias("dimension"))
+    return b.groupBy(changes.series_id("user_id", "event_type", "kind", ["dimension"]).alias("series_id")).agg(F.count("*").alias("n"))

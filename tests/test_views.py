@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from claimlens.functions.ids import tree_digest
-from claimlens.operators import changes, forecast, graph, identity, intervals, records, refresh, views
+from claimlens.operators import changes, forecast, graph, identity, intervals, polling, records, refresh, views
 from claimlens.plans import staging
 from claimlens.plans.staging import Staging
 from pyspark.sql import functions as F
@@ -158,3 +158,27 @@ def test_shared_folder_is_required_on_a_cluster(master):
     context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context))
+
+
+def observed(*rows):
+    """Observations of one series: (release, prior release, before, after, proposed)."""
+    return [(1, n, r, p, f"m{p}", b, a, f"{b}>{a}" if s else None, f"p{n}") for n, (r, p, b, a, s) in enumerate(rows)]
+
+
+@pytest.mark.parametrize(
+    ("rows", "new"),
+    [
+        ([(10, 5, "a", "b", True), (20, 5, "a", "b", True)], [True, False]),  # seen again in a later release
+        ([(10, 5, "a", "b", True), (20, 15, "a", "b", True)], [True, True]),  # the prior release shows that it had returned
+        ([(10, 5, "a", "b", True), (20, 5, "a", "c", True), (30, 5, "a", "b", True)], [True, True, True]),  # another transition between
+        ([(20, 5, "a", "b", True), (10, 5, "a", "b", True)], [True, False]),  # a late release on the same prior is a backfill
+        ([(20, 5, "a", "b", True), (10, 3, "a", "b", True)], [True, True]),  # a late release on another prior is not
+        ([(10, 5, "a", "b", True), (15, 10, "b", None, False), (20, 5, "a", "b", True)], [True, False]),  # an omission withdraws nothing
+        ([(10, 5, "a", "b", True), (15, 10, "b", "b", False), (20, 5, "a", "b", True)], [True, False]),  # carried on
+        ([(10, 5, "a", "b", True), (15, 10, "b", "a", False), (20, 5, "a", "b", True)], [True, True]),  # its value went back
+    ],
+)
+def test_episodes(spark, rows, new):
+    got = polling.episodes(spark.createDataFrame(observed(*rows), polling.OBSERVED)).orderBy("sequence").collect()
+    assert [r.is_new for r in got] == new
+    assert len({r.episode for r in got}) == sum(new)
