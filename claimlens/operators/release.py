@@ -140,3 +140,12 @@ def evidence_index(claims: DataFrame, evidence: DataFrame, per_row: int = 1000)
     sizes = pairs.groupBy("document_id").agg(F.count("*").alias("n"))
     dealt = pairs.join(sizes, "document_id").withColumn("part", F.pmod(F.xxhash64("claim_id"), F.ceil(F.col("n") / (per_row / 2))))
     return dealt.groupBy("document_id", "part").agg(F.array_sort(F.collect_list("claim_id")).alias("claim_ids"))
+
+
+def dossiers(claims: DataFrame, reach: DataFrame, evidence: DataFrame) -> DataFrame:
+    """One row an entity: its claims and kinds, the claims that they rest on (reach: root, node), and the documents behind."""
+    own = claims.groupBy("entity_id").agg(F.count("*").alias("n_claims"), F.countDistinct("claim_kind").alias("n_kinds"), F.max("recorded_us").alias("last_us"))
+    lined = claims.select("entity_id", "claim_id").join(reach, F.col("claim_id") == F.col("root")).select("entity_id", "node").distinct()
+    behind = lined.join(evidence.select(F.col("claim_id").alias("node"), "document_id").distinct(), "node", "left")
+    found = behind.groupBy("entity_id").agg(F.countDistinct("node").alias("n_lineage"), F.countDistinct("document_id").alias("n_documents"))
+    return own.join(found, "entity_id")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimlens.functions import text
-from claimlens.operators import admit, changes, forecast, graph, identity, intervals, polling, records, refresh, release, validate
-from claimlens.plans.queries import query
+from claimlens.operators import admit, changes, forecast, graph, identity, intervals, polling, records, refresh, release, validate, views
+from claimlens.plans.queries import AT, CLAIMS, CURRENT, DAY, DEPS, EVIDENCE, FEED, SINCE, query
+from claimlens.plans.staging import Staging
 from claimlens.sources import projection as P
 
 # ---------------------------------------------------------------- the store in SQL
@@ -470,3 +471,43 @@ def semantic_series(spark, sf_dir):
     """Claims by the identity of their series: subject, predicate, kind and dimensions."""
     b = P.table(spark, sf_dir, "events").select("user_id", "event_type", F.lit("scalar").alias("kind"), (F.floor("value") % 3).alias("dimension"))
     return b.groupBy(changes.series_id("user_id", "event_type", "kind", ["dimension"]).alias("series_id")).agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- search, change pages and dossiers
+
+
+@query(
+    """WITH s AS (SELECT s_suppkey, s_name, n_name, list_filter([CASE WHEN lower(n_name) LIKE '%1%' THEN 'n_name' END, CASE WHEN lower(s_name) LIKE '%1%' THEN 's_name' END], lambda x: x IS NOT NULL) AS m FROM supplier JOIN nation ON n_nationkey = s_nationkey),
+hits AS (SELECT * FROM s WHERE len(m) > 0)
+SELECT s_suppkey, s_name, array_to_string(m, ',') AS matched, (SELECT count(*) FROM hits) AS total, CASE WHEN 15 < (SELECT count(*) FROM hits) THEN 15 END AS next_offset FROM hits ORDER BY s_name, s_suppkey LIMIT 10 OFFSET 5"""
+)
+def search_results(spark, sf_dir):
+    """A page of search hits with the fields that matched, the exact total and the next offset (a page is the feature)."""
+    n = P.table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    rows = P.table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    hits = records.search(rows, text.fold("1"), ["s_name", "n_name"], text.folded())
+    return records.page(hits.select("s_suppkey", "s_name", F.array_join("matched", ",").alias("matched")), ["s_name", "s_suppkey"], 10, 5)
+
+
+@query(
+    f"""WITH {CLAIMS}, {FEED}, {EVIDENCE}, page AS (SELECT claim_id, event_type, event_us, (SELECT count(*) FROM feed) AS total, CASE WHEN 140 < (SELECT count(*) FROM feed) THEN 140 END AS next_offset FROM feed ORDER BY event_us, event_type, claim_id LIMIT 40 OFFSET 100)
+SELECT p.*, e.role, d.source, sha256(d.text) AS content_sha256 FROM page p LEFT JOIN evidence e USING (claim_id) LEFT JOIN documents d ON d.doc_id = e.document_id"""
+)
+def change_page_hydrated(spark, sf_dir):
+    """A page of the change feed with totals, each event with its claim's evidence (a page is the feature)."""
+    feed = changes.feed(P.claims(spark, sf_dir), SINCE, AT).select("claim_id", "event_type", "event_us")
+    page = records.page(feed, ["event_us", "event_type", "claim_id"], 40, 100)
+    return records.hydrate(page, P.evidence(spark, sf_dir), P.documents(spark, sf_dir)).select("claim_id", "event_type", "event_us", "total", "next_offset", "role", "source", "content_sha256")
+
+
+@query(
+    f"""WITH RECURSIVE {CURRENT}, {DEPS}, {EVIDENCE}, reach(root, node) AS (SELECT claim_id, claim_id FROM current_view UNION SELECT r.root, d.parent FROM reach r JOIN deps d ON d.child = r.node),
+lined AS (SELECT c.entity_id, count(DISTINCT r.node) AS n_lineage, count(DISTINCT e.document_id) AS n_documents FROM current_view c JOIN reach r ON r.root = c.claim_id LEFT JOIN evidence e ON e.claim_id = r.node GROUP BY 1),
+own AS (SELECT entity_id, count(*) AS n_claims, count(DISTINCT claim_kind) AS n_kinds, max(recorded_us) AS last_us FROM current_view GROUP BY 1)
+SELECT entity_id, n_claims, n_kinds, last_us, n_lineage, n_documents FROM own JOIN lined USING (entity_id)"""
+)
+def entity_dossiers(spark, sf_dir):
+    """Every entity of the current view: its claims, all that they rest on, and the documents behind it."""
+    now = views.current(P.claims(spark, sf_dir), DAY, AT)
+    reach = graph.closure(now.select(F.col("claim_id").alias("root")), P.dependencies(spark, sf_dir), Staging(spark, "dossier"))
+    return release.dossiers(now, reach, P.evidence(spark, sf_dir))

@@ -10,9 +10,9 @@ from claimlens.sources import projection as P
 
 SF = "/root/testdata/sf0.001"
 #: Joins with a table of one row, or with a handful of fixed polygons.
-ONE_ROW = {"evidence_hydration", "source_families", "coverage_namespaces", "capacity_milestone_links", "lineage_documents", "complete_view_equality", "page_with_totals", "point_in_polygon", "unsupported_claims"}
+ONE_ROW = {"evidence_hydration", "source_families", "coverage_namespaces", "capacity_milestone_links", "lineage_documents", "complete_view_equality", "page_with_totals", "search_results", "change_page_hydrated", "point_in_polygon", "unsupported_claims"}
 #: Case folding, HTML parsing, canonical JSON and hash chains have no native form.
-PYTHON = {"alert_episodes", "store_payload_hashes", "store_validation", "search_facets", "search_page", "visible_html_text", "canonical_json_lines", "event_chain", "event_chain_violations", "event_chain_fold"}
+PYTHON = {"alert_episodes", "search_results", "store_payload_hashes", "store_validation", "search_facets", "search_page", "visible_html_text", "canonical_json_lines", "event_chain", "event_chain_violations", "event_chain_fold"}
 
 
 def plan(df):
