@@ -32,3 +32,37 @@ def test_everything_is_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in names}
     assert set(__spark_entry__.oracle_sql()) <= names
+
+
+def tables(spark, root, docs, items, labels):
+    docs.write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    return str(root)
+
+
+def test_odd_rows_pass_through_all_stages(spark, odd_docs, prose, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and clashing columns, stage after stage."""
+    sf = tables(spark, tmp_path, odd_docs, [(1, prose(1)), (2, None), (None, "")], [(1, 1, None), (None, 1, 1), (7, 0, 0)])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = []
+    for name, stage in cp.STAGES[:-1]:
+        docs = Staging(spark, "odd").table(stage(spark, docs, sf), name)
+        assert docs.columns == odd_docs.columns, name
+        kept.append(sorted((r.doc_id if r.doc_id is not None else -1) for r in docs.collect()))
+    assert kept[0] == sorted((r.doc_id if r.doc_id is not None else -1) for r in odd_docs.collect())  # labels of one class judge nothing
+    assert kept[1] == [-1, -1, 1, 3, 6, 7, 8]  # one row of each group, and one without doc_id beside it
+    assert kept[2] == [-1, 3, 6, 7, 8]  # the item's text goes, with and without doc_id
+    assert set(kept[3]) == set(kept[2]) and len(kept[3]) >= len(kept[2])
+    last = cp.STAGES[-1][1](spark, docs, sf).collect()
+    assert sorted((r.doc_id if r.doc_id is not None else -1) for r in last) == kept[3]
+    whole = cp.run(spark, sf).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, last))
+
+
+def test_empty_tables(spark, no_docs, tmp_path):
+    sf = tables(spark, tmp_path, no_docs, [(1, "a b c d e f")], [(1, 1, 1), (2, 1, 0)])
+    assert cp.run(spark, sf).count() == 0
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+        assert out.columns == no_docs.columns and out.count() == 0, name
