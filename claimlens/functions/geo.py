@@ -21,3 +21,20 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
 def in_polygon(x: Column, y: Column, rings: Column) -> Column:
     """Inside the first ring and outside all others."""
     return in_ring(x, y, rings[0]) & ~F.exists(F.slice(rings, 2, F.size(rings)), lambda hole: in_ring(x, y, hole))
+
+
+def ring_area(ring: Column) -> Column:
+    """Area of a closed ring of [x, y] points, in the units of its coordinates."""
+    pairs = F.zip_with(F.slice(ring, 1, F.size(ring) - 1), F.slice(ring, 2, F.size(ring) - 1), lambda a, b: a[0] * b[1] - b[0] * a[1])
+    return F.abs(F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x)) / 2
+
+
+def largest_ring(rings: Column) -> Column:
+    """The ring of the largest area."""
+    return F.array_max(F.transform(rings, lambda r: F.struct(ring_area(r).alias("area"), r.alias("ring"))))["ring"]
+
+
+def rounded(ring: Column, digits: int) -> Column:
+    """A ring with rounded coordinates, successive equal points dropped."""
+    points = F.transform(ring, lambda p: F.transform(p, lambda x: F.round(x, digits)))
+    return F.filter(points, lambda p, i: (i == 0) | (p != points[F.greatest(i - 1, F.lit(0))]))

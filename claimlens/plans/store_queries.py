@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimlens.functions import text
-from claimlens.operators import admit, changes, forecast, graph, identity, intervals, polling, records, refresh, release, validate, views
+from claimlens.functions import geo, text
+from claimlens.operators import admit, changes, forecast, graph, identity, intervals, polling, records, refresh, release, shape, validate, views
 from claimlens.plans.queries import AT, CLAIMS, CURRENT, DAY, DEPS, EVIDENCE, FEED, SINCE, query
 from claimlens.plans.staging import Staging
 from claimlens.sources import projection as P
@@ -511,3 +511,151 @@ def entity_dossiers(spark, sf_dir):
     now = views.current(P.claims(spark, sf_dir), DAY, AT)
     reach = graph.closure(now.select(F.col("claim_id").alias("root")), P.dependencies(spark, sf_dir), Staging(spark, "dossier"))
     return release.dossiers(now, reach, P.evidence(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- small shapes
+
+
+@query("WITH n AS (SELECT o_custkey AS entity_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'name' WHEN '2-HIGH' THEN 'site_name' WHEN '3-MEDIUM' THEN 'project_name' ELSE 'other' END AS predicate, o_clerk AS v, o_orderkey AS k FROM orders) SELECT entity_id, arg_min(v, list_position(['name','entity_name','site_name','project_name'], predicate) * 100000000 + k) AS v FROM n WHERE predicate <> 'other' GROUP BY 1".replace("o_clerk", "o_orderstatus || o_orderkey"))
+def preferred_names(spark, sf_dir):
+    """The name of each entity, by a list of predicates in order of preference."""
+    field = F.when(F.col("o_orderpriority") == "1-URGENT", "name").when(F.col("o_orderpriority") == "2-HIGH", "site_name").when(F.col("o_orderpriority") == "3-MEDIUM", "project_name").otherwise("other")
+    o = P.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("entity_id"), field.alias("predicate"), F.concat("o_orderstatus", F.col("o_orderkey").cast("string")).alias("v"), F.col("o_orderkey").alias("k"))
+    return shape.preferred(o, "entity_id", "predicate", "v", ("name", "entity_name", "site_name", "project_name"), ["k"])
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{"kind":"number","value":' || event_id || '}' WHEN event_id % 3 = 1 AND event_id % 5 <> 0 THEN '{"kind":"text","value":"' || event_type || '"}' END AS value FROM events""")
+def typed_values(spark, sf_dir):
+    """The value of a typed union, by its kind."""
+    e, k = P.table(spark, sf_dir, "events"), F.col("event_id") % 3
+    rows = e.select("event_id", F.when(k == 0, "number").when(k == 1, "text").otherwise("none").alias("kind"), F.col("event_id").alias("n"), F.when(F.col("event_id") % 5 != 0, F.col("event_type")).alias("t"))
+    return rows.select("event_id", shape.typed_value("kind", {"number": "n", "text": "t"}).alias("value"))
+
+
+@query("SELECT o_orderkey FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END AS c FROM orders) WHERE c IS NULL OR c IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7)")
+def nullable_semi_join(spark, sf_dir):
+    """Rows whose reference is null or among the wanted ones."""
+    rows = P.table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_custkey")).alias("c"))
+    return shape.nullable_in("c", P.table(spark, sf_dir, "customer").where("c_nationkey = 7"), "c_custkey")(rows).select("o_orderkey")
+
+
+@query("WITH a AS (SELECT c_custkey, c_name || CASE WHEN c_custkey % 3 = 0 THEN 'x' ELSE '' END AS name, c_phone AS phone FROM customer), t AS (SELECT c_name AS name, CASE WHEN c_custkey % 5 = 0 THEN 'same' ELSE c_phone END AS phone, c_custkey AS v FROM customer), p AS (SELECT phone, min(v) AS v FROM t GROUP BY 1 HAVING count(*) = 1) SELECT a.c_custkey, coalesce(t.v, p.v) AS v FROM a LEFT JOIN t ON t.name = a.name LEFT JOIN p ON p.phone = a.phone".replace("c_phone", "c_mktsegment || c_custkey"))
+def fallback_probe(spark, sf_dir):
+    """A lookup by name, else by a second key where that one has a single match."""
+    c = P.table(spark, sf_dir, "customer")
+    phone = F.concat("c_mktsegment", F.col("c_custkey").cast("string"))
+    rows = c.select("c_custkey", F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, "x").otherwise("")).alias("own_name"), phone.alias("own_phone"))
+    table = c.select(F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 5 == 0, "same").otherwise(phone).alias("phone"), F.col("c_custkey").alias("v"))
+    return shape.probe(rows, table, "v", ("own_name", "name"), ("own_phone", "phone")).select("c_custkey", "v")
+
+
+@query(
+    """WITH l AS (SELECT c_custkey AS left_id, c_custkey % 90 + 1 AS right_id FROM customer), s AS (SELECT c_custkey AS id, c_nationkey AS n, CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS m FROM customer)
+SELECT left_id, right_id, array_to_string(list_filter([CASE WHEN a.n <> b.n THEN 'n' END, CASE WHEN a.m <> b.m THEN 'm' END], lambda x: x IS NOT NULL), ',') AS differing, array_to_string(list_filter([CASE WHEN a.n IS NULL OR b.n IS NULL THEN 'n' END, CASE WHEN a.m IS NULL OR b.m IS NULL THEN 'm' END], lambda x: x IS NOT NULL), ',') AS missing
+FROM l LEFT JOIN s a ON a.id = left_id LEFT JOIN s b ON b.id = right_id"""
+)
+def linked_values(spark, sf_dir):
+    """Reviewed pairs with the fields that differ, and those that a side lacks."""
+    c = P.table(spark, sf_dir, "customer")
+    side = c.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("n"), F.when(F.col("c_custkey") % 7 != 0, F.col("c_mktsegment")).alias("m"))
+    out = shape.compare_linked(c.select(F.col("c_custkey").alias("left_id"), (F.col("c_custkey") % 90 + 1).alias("right_id")), side, side, ["n", "m"])
+    return out.select("left_id", "right_id", F.array_join("differing", ",").alias("differing"), F.array_join("missing", ",").alias("missing"))
+
+
+@query(
+    """WITH t AS (SELECT p_partkey, string_split(p_type, ' ') AS a, string_split(p_type || CASE WHEN p_partkey % 3 = 0 THEN ' X' ELSE '' END, ' ') AS b FROM part), u AS (SELECT p_partkey, a, CASE WHEN p_partkey % 4 = 0 THEN b[2:] ELSE b END AS b FROM t),
+x AS (SELECT p_partkey, a, b, unnest(range(greatest(len(a), len(b)))) AS i FROM u) SELECT p_partkey, i::INTEGER AS place, a[i + 1] AS before, b[i + 1] AS after FROM x WHERE a[i + 1] IS DISTINCT FROM b[i + 1]"""
+)
+def aligned_lists(spark, sf_dir):
+    """Places where two parallel lists differ."""
+    k, a = F.col("p_partkey"), F.split("p_type", " ")
+    longer = F.when(k % 3 == 0, F.concat(a, F.array(F.lit("X")))).otherwise(a)
+    b = F.when(k % 4 == 0, F.slice(longer, 2, 100)).otherwise(longer)
+    return P.table(spark, sf_dir, "part").select("p_partkey", F.inline(shape.aligned(a, b)))
+
+
+@query("SELECT c_custkey AS \"id\", c_name AS \"name.full\", c_nationkey AS \"name.home.nation\" FROM customer")
+def dotted_fields(spark, sf_dir):
+    """Nested records as columns with dotted names."""
+    c = P.table(spark, sf_dir, "customer")
+    return shape.flat(c.select(F.col("c_custkey").alias("id"), F.struct(F.col("c_name").alias("full"), F.struct(F.col("c_nationkey").alias("nation")).alias("home")).alias("name")))
+
+
+@query("WITH f AS (SELECT o_custkey, o_orderpriority AS v, min(o_orderkey) AS p FROM orders GROUP BY 1, 2) SELECT o_custkey, string_agg(v, ',' ORDER BY p) AS vals FROM f GROUP BY 1")
+def ordered_distinct(spark, sf_dir):
+    """Each key's distinct values in the order of their first places."""
+    out = shape.in_order(P.table(spark, sf_dir, "orders"), "o_custkey", "o_orderkey", "o_orderpriority")
+    return out.select("o_custkey", F.array_join("values", ",").alias("vals"))
+
+
+@query("WITH r AS (SELECT o_orderpriority AS g, o_custkey % 41 - 20 AS e, o_orderkey % 3 <> 0 AS exact FROM orders) SELECT g, count(*) AS cases, count(*) FILTER (exact) AS exact_cases, round(sum(abs(e)) FILTER (exact)::DOUBLE / count(*) FILTER (exact), 9) AS mae, round(sum(e) FILTER (exact)::DOUBLE / count(*) FILTER (exact), 9) AS bias FROM r GROUP BY 1")
+def timing_errors(spark, sf_dir):
+    """Mean absolute error and bias of each group, over cases with an exact date."""
+    rows = P.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("g"), (F.col("o_custkey") % 41 - 20).alias("e"), (F.col("o_orderkey") % 3 != 0).alias("exact"))
+    return shape.errors_by(rows, ("g",), "e", F.col("exact"))
+
+
+@query("WITH r AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' WHEN 2 THEN 'unresolved' END AS truth, CASE WHEN o_custkey % 3 = 0 THEN 'candidate' ELSE 'quiet' END AS decision FROM orders), n AS (SELECT count(*) FILTER (decision = 'quiet') AS quiet, count(*) FILTER (decision = 'quiet' AND truth = 'negative') AS negatives, count(*) FILTER (decision = 'quiet' AND coalesce(truth, '') NOT IN ('positive', 'negative')) AS unknown FROM r) SELECT *, round(negatives::DOUBLE / quiet, 9) AS lower, round((negatives + unknown)::DOUBLE / quiet, 9) AS upper FROM n")
+def negative_bounds(spark, sf_dir):
+    """Bounds of the share of quiet cases that are rightly quiet."""
+    k = F.col("o_orderkey") % 4
+    rows = P.table(spark, sf_dir, "orders").select(F.when(k == 0, "positive").when(k == 1, "negative").when(k == 2, "unresolved").alias("truth"), F.when(F.col("o_custkey") % 3 == 0, "candidate").otherwise("quiet").alias("decision"))
+    return shape.negative_bounds(rows)
+
+
+@query("WITH d AS (SELECT DISTINCT o_custkey AS key, o_orderpriority AS category, o_orderstatus AS flag, CAST(date_trunc('month', o_orderdate) AS DATE) AS day FROM orders) SELECT key, category, string_agg(flag || ' ' || day, ',' ORDER BY flag, day) AS states FROM d GROUP BY 1, 2")
+def variant_states(spark, sf_dir):
+    """The distinct (flag, day) pairs of each registry key and category."""
+    rows = P.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("category"), F.col("o_orderstatus").alias("flag"), F.trunc(F.to_date("o_orderdate"), "month").alias("day"))
+    return shape.states(rows, "key", "category", "flag", "day").select("key", "category", F.array_join(F.transform("states", lambda s: F.concat_ws(" ", s["flag"], s["day"].cast("string"))), ",").alias("states"))
+
+
+@query(
+    """WITH e AS (SELECT o_orderkey AS event_id, o_custkey AS key, o_orderkey + 500 AS at_us FROM orders WHERE o_orderkey % 5 = 0), v AS (SELECT o_orderkey AS version_id, o_custkey AS key, o_orderkey AS recorded_us FROM orders WHERE o_orderkey % 3 = 0)
+SELECT event_id, e.key, at_us, (SELECT max(version_id) FROM v WHERE v.key = e.key AND recorded_us <= at_us) AS version_id FROM e"""
+)
+def state_at_runs(spark, sf_dir):
+    """The version that stood at each run's instant."""
+    o, e = P.table(spark, sf_dir, "orders"), F.expr
+    runs = o.where("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("event_id"), F.col("o_custkey").alias("key"), e("o_orderkey + 500").alias("at_us"))
+    versions = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("version_id"), F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("recorded_us"))
+    return shape.state_at(runs, versions, "key")
+
+
+@query(
+    """WITH t AS (SELECT p_partkey, ['quarter_total', 'rate'][p_size % 2 + 1] AS s, ['units/quarter', 'wafers/quarter', 'wafers/month', NULL][p_size % 4 + 1] AS u, CASE WHEN p_size % 5 <> 0 THEN 'source_stated_quarter_total' END AS b, DATE '2024-01-01' + to_months(CAST(p_partkey % 4 AS INTEGER)) AS a, DATE '2024-01-01' + to_months(CAST(p_partkey % 4 + 3 AS INTEGER)) AS z FROM part)
+SELECT p_partkey, CASE WHEN s <> 'quarter_total' THEN 'quantity_semantics_not_quarter_total' WHEN u IS NULL OR u NOT IN ('units/quarter', 'wafers/quarter') THEN 'unit_not_quarter_total' WHEN b IS NULL THEN 'input_output_basis_not_quarter_total' WHEN month(a) % 3 <> 1 THEN 'period_not_exact_calendar_quarter' END AS reason FROM t"""
+)
+def quarter_supply_reasons(spark, sf_dir):
+    """Why a capacity is not a supply of one calendar quarter."""
+    z, k = F.col("p_size"), F.col("p_partkey")
+    start = F.add_months(F.lit("2024-01-01").cast("date"), (k % 4).cast("int"))
+    unit = F.element_at(F.array(F.lit("units/quarter"), F.lit("wafers/quarter"), F.lit("wafers/month"), F.lit(None).cast("string")), z % 4 + 1)
+    return P.table(spark, sf_dir, "part").select("p_partkey", shape.quarter_supply(F.when(z % 2 == 0, "quarter_total").otherwise("rate"), unit, F.when(z % 5 != 0, "source_stated_quarter_total"), start, F.add_months(start, 3)).alias("reason"))
+
+
+@query("SELECT c_custkey, greatest((c_custkey % 7 + 1) * (c_custkey % 5 + 1), (c_custkey % 3 + 1) * 10)::DOUBLE AS area FROM customer")
+def largest_polygons(spark, sf_dir):
+    """The area of each row's largest polygon, of two rectangles."""
+    k = F.col("c_custkey")
+    point = lambda x, y: F.array(x.cast("double"), y.cast("double"))
+    box = lambda w, h: F.array(point(F.lit(0), F.lit(0)), point(w, F.lit(0)), point(w, h), point(F.lit(0), h), point(F.lit(0), F.lit(0)))
+    rings = F.array(box(k % 7 + 1, k % 5 + 1), box(k % 3 + 1, F.lit(10)))
+    return P.table(spark, sf_dir, "customer").select("c_custkey", geo.ring_area(geo.largest_ring(rings)).alias("area"))
+
+
+@query(f"WITH RECURSIVE {CURRENT}, {DEPS}, known AS (SELECT d.child, d.parent FROM deps d JOIN claims p ON p.claim_id = d.parent WHERE p.recorded_us <= {AT}), reach(root, node) AS (SELECT claim_id, claim_id FROM current_view UNION SELECT r.root, d.parent FROM reach r JOIN known d ON d.child = r.node) SELECT root, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM claims c WHERE c.claim_id = node AND c.claim_id % 7 <> 0)) AS missing FROM reach GROUP BY 1")
+def bounded_closure(spark, sf_dir):
+    """What each current claim rests on through parents known at the instant, and how much of it a store lacks."""
+    claims = P.claims(spark, sf_dir)
+    known = claims.where(F.col("recorded_us") <= AT).select(F.col("claim_id").alias("parent"))
+    reach = graph.closure(views.current(claims, DAY, AT).select(F.col("claim_id").alias("root")), P.dependencies(spark, sf_dir).join(known, "parent", "left_semi"), Staging(spark, "bounded"))
+    held = claims.where("claim_id % 7 <> 0").select(F.col("claim_id").alias("node"), F.lit(True).alias("has"))
+    return reach.join(held, "node", "left").groupBy("root").agg(F.count("*").alias("n"), F.count_if(F.col("has").isNull()).alias("missing"))
+
+
+@query(f"WITH {SELECTION} SELECT count(*) AS inputs, count(*) FILTER (reason IS NULL) AS series, count(*) FILTER (reason IS NULL) * 20 AS points, count(*) FILTER (reason IS NOT NULL) AS excluded, count(DISTINCT reason) AS reasons FROM sel")
+def forecast_summary(spark, sf_dir):
+    """What a forecast covers: inputs, series, points, exclusions and their reasons."""
+    s, kept = _selection(spark, sf_dir), F.col("reason").isNull()
+    return s.agg(F.count("*").alias("inputs"), F.count_if(kept).alias("series"), (F.count_if(kept) * forecast.QUARTERS).alias("points"), F.count_if(~kept).alias("excluded"), F.countDistinct("reason").alias("reasons"))
