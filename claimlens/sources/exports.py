@@ -57,6 +57,12 @@ def descriptor(tables: dict[str, DataFrame]) -> str:
     return json.dumps({"profile": "tabular-data-package", "resources": resources}, sort_keys=True)
 
 
+def resources(spark: SparkSession, path: str) -> DataFrame:
+    """(name, bytes, sha256) of every file below a folder, as a data package and verify_snapshot name them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
 def write_release(views: dict[str, DataFrame], path: str, meta: dict[str, str]) -> DataFrame:
     """Write each view as canonical JSON lines under a staging name, then the manifest; install by one rename.
 

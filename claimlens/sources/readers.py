@@ -119,6 +119,35 @@ def array_objects(raw: io.TextIOBase, size: int = 1 << 20) -> Iterator[dict]:
             raise ValueError(f"{mark!r} inside an array of objects")
 
 
+def jsonl_strict(spark: SparkSession, path: str, schema: str, key: str, batch: int = 5000) -> DataFrame:
+    """JSON lines that must be canonical, one object a line, with the key strictly rising within each file; anything else fails.
+
+    A file is one task's, as order is checked over all of it.
+    """
+
+    def rows(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        decoder = strict_decoder()
+        for frame in files:
+            for content in frame.content:
+                last, held = None, []
+                for number, line in enumerate(io.TextIOWrapper(io.BytesIO(content), "utf-8", newline="\n"), 1):
+                    line = line.removesuffix("\n")
+                    value = decoder.decode(line)
+                    if not isinstance(value, dict) or canonical(value) != line:
+                        raise ValueError(f"line {number} is no canonical object")
+                    if last is not None and not last < value[key]:
+                        raise ValueError(f"line {number}: {key} does not rise")
+                    last = value[key]
+                    held.append(line)
+                    if len(held) == batch:
+                        yield pd.DataFrame({"value": pd.Series(held, dtype=object)})
+                        held = []
+                yield pd.DataFrame({"value": pd.Series(held, dtype=object)})
+
+    text = spark.read.format("binaryFile").load(path).select("content").mapInPandas(rows, "value string")
+    return text.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
 def has_code(cell: Column, codes: list[str], separator: str = ",") -> Column:
     """Whether a cell of separated codes holds one of them exactly."""
     return F.arrays_overlap(F.transform(F.split(cell, separator), lambda x: F.trim(x)), F.array(*[F.lit(c) for c in codes]))

@@ -152,6 +152,25 @@ def test_malformed_responses_fail(spark):
             read(spark.createDataFrame([("{broken",)], "value string")).collect()
 
 
+def test_strict_lines_and_resources(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"id":"a","n":1}\n{"id":"b","n":2}\n')
+    assert [r.id for r in readers.jsonl_strict(spark, str(tmp_path / "a.jsonl"), "id string, n int", "id").collect()] == ["a", "b"]
+    for n, (bad, problem) in enumerate([('{"id":"b"}\n{"id":"a"}\n', "does not rise"), ('{"id":"a"}\n{"id":"a"}\n', "does not rise"), ('{"n":1, "id":"a"}\n', "no canonical"), ('{"id":"a","id":"b"}\n', "repeated"), ("[1]\n", "no canonical")]):
+        (tmp_path / f"{n}.bad").write_text(bad)
+        with pytest.raises(Exception, match=problem):
+            readers.jsonl_strict(spark, str(tmp_path / f"{n}.bad"), "id string", "id").collect()
+    listed = exports.resources(spark, str(tmp_path / "a.jsonl"))
+    assert readers.verify_snapshot(spark, str(tmp_path / "a.jsonl"), listed).count() == 0 and listed.first()["bytes"] == 34
+
+
+def test_explicit_semiconductor(spark):
+    tags = lambda **t: F.create_map(*[F.lit(x) for kv in {"name": "n", **{k.replace("__", ":"): v for k, v in t.items()}}.items() for x in kv])
+    yes = [tags(industrial="Semiconductor"), tags(factory="x;semiconductor"), tags(proposed__industrial="integrated circuit"), tags(product="Silicon-Wafer", landuse="industrial"), tags(product="microchips", factory="yes"), tags(product="photomask", building="factory")]
+    no = [tags(industrial="semiconductor", amenity="parking"), tags(product="microchip"), tags(product="bread", man_made="works"), tags(factory="semiconductors"), tags(landuse="industrial")]
+    assert all(one(spark, facilities.explicit_semiconductor(t)) for t in yes) and not any(one(spark, facilities.explicit_semiconductor(t)) for t in no)
+    assert one(spark, facilities.any_flag(F.lit(""), F.lit(None), F.lit("1"))) and not one(spark, facilities.any_flag(F.lit("0"), F.lit(None)))
+
+
 def test_line_ends_and_small_clocks(spark):
     assert one(spark, clocks.partial_date(F.lit("2024\n"))[2]) is None and one(spark, clocks.clock_us(F.lit("2024-01-01T00:00:00Z\n"))) is None
     assert one(spark, facilities.registration_number(F.lit("ABCD1234\n"))) is None
