@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from claimlens.plans.session import small_batches
 from claimlens.plans.staging import Staging
 
-WINDOW, CUT_BITS, MIN, MAX = 16, 5, 16, 256
+#: Bytes that the gear hash at a byte depends on.
+WINDOW = 16
 #: Passages of over 50 words.
 MIN_WORDS = 51
 #: Words digested at once; base of the digests of spans and its inverse modulo 2^64.
@@ -61,26 +62,6 @@ def gear_hashes(raw: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(raw: np.ndarray) -> list[int]:
-    """The ends of the gear chunks of one text's bytes, the last one included; passages are not found by them."""
-    n = len(raw)
-    wanted = (np.nonzero(gear_hashes(raw) >> np.uint16(16 - CUT_BITS) == 0)[0] + 1).tolist()
-    ends, last = [], 0
-    for at in wanted:
-        while at - last > MAX:
-            last += MAX
-            ends.append(last)
-        if at - last >= MIN:
-            ends.append(at)
-            last = at
-    while n - last > MAX:
-        last += MAX
-        ends.append(last)
-    if n > last:
-        ends.append(n)
-    return ends
-
-
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 

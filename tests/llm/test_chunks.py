@@ -13,18 +13,6 @@ def test_hash_is_the_rolling_one():
     assert chunks.gear_hashes(raw).tolist() == out
 
 
-def test_cuts_cover_and_resist_shifts(prose):
-    data = prose(5, 2000).encode()
-    raw = np.frombuffer(data, np.uint8)
-    ends = chunks.cuts(raw)
-    sizes = np.diff([0, *ends])
-    assert ends[-1] == len(raw) and sizes.max() <= chunks.MAX and (sizes[:-1] >= chunks.MIN).all()
-    moved = np.frombuffer(b"some words go before " + data, np.uint8)
-    same = {e - 21 for e in chunks.cuts(moved)} & set(ends)
-    assert len(same) > 0.95 * len(ends)
-    assert chunks.cuts(np.zeros(0, np.uint8)) == [] and chunks.cuts(np.zeros(1000, np.uint8))[-1] == 1000
-
-
 def test_passages_over_50_words_are_found(spark, prose):
     shared = [prose(100 + i, 60) for i in range(20)]
     rows = [(i, f"{prose(i, 80)} {shared[i % 20]} {prose(1000 + i, 80)}") for i in range(40)] + [(100 + i, prose(5000 + i, 150)) for i in range(20)]
