@@ -32,8 +32,8 @@ from claimlens.plans.staging import Staging
 SEED, SHINGLE, BITS, RADIUS = 42, 3, 64, 2
 #: Fingerprints of a bucket that are held against each other; families of masks after which no bucket holds more.
 GROUP, FAMILIES = 64, 3
-#: Texts of a band beside its largest group that are held against all of the band.
-OUTSIDE = 32
+#: Rounds in which texts meet one other text, and texts of a key outside its largest component that are held against all of it.
+ROUNDS, OUTSIDE = 3, (4, 32)
 #: Near copies beyond the radius: Jaccard similarity over sets of WIDTH words, met in BANDS keys of ROWS minima each. A
 #: pair at 0.8 shares no key with probability (1 - 0.8^4)^20 = 0.00003.
 WIDTH, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 4
@@ -131,56 +131,81 @@ def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
 def similar_links(docs: DataFrame, own: DataFrame, staging: Staging, similarity: float) -> DataFrame:
     """(src, dst): fingerprints of texts whose similarity is at least the one asked for.
 
-    Texts that share a key are first held against the first and the last of that key, so that no pairs of a group of
-    copies are listed. Where a key then still holds more than one component, the texts outside its largest one are held
-    against all of the key; where they are more than OUTSIDE, the key is split by every further key that its texts
-    share, and beyond OUTSIDE again by the first and last.
+    Texts are first held against one other text a round: the first of any of their keys that stands in another
+    component and that they have not met. So a group of copies is joined by a pair a text, never listed in pairs. Where
+    a key then still holds more than one component, the texts outside its largest one are held against all of the key;
+    first where they are few, then where they are more, as what is joined by then is not compared again. Where they are
+    more than OUTSIDE says, the key is split by every further key that its texts share, and beyond that again they are
+    held against the first text of each.
     """
     texts = staging.table(own.where("bands is not null").groupBy("d").agg(F.min(F.struct("doc_id", "fp", "bands")).alias("r")), "texts")
-    keyed = staging.table(texts.select("d", F.posexplode("r.bands").alias("t", "k")), "keyed")
-    pairs = staging.table(_with_ends(keyed, ["t", "k"]), "pairs")
-    found = staging.table(_verified(docs, texts, pairs, staging, similarity), "similar")
-    joined = connected_components(found, staging, "x", "y").select(F.col("node").alias("d"), F.col("component").alias("c"))
-    shared = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 2").select("t", "k")
-    members = staging.table(_with_component(keyed.join(shared, ["t", "k"]), joined), "members")
-    more, wide = _outside(members, ["t", "k"])
-    more, wide = staging.table(more, "more"), staging.table(wide, "wide")
+    keyed = texts.select("d", F.posexplode("r.bands").alias("t", "k"))
+    shared = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1").select("t", "k")
+    keyed = staging.table(keyed.join(shared, ["t", "k"]), "keyed")
+    met = found = staging.table(docs.sparkSession.createDataFrame([], "x long, y long"), "met")
+
+    def meet(pairs: DataFrame) -> bool:
+        """Verify the pairs that have not met; whether there were any."""
+        nonlocal met, found
+        new = staging.table(pairs.join(met, ["x", "y"], "left_anti"), "pairs")
+        if new.isEmpty():
+            return False
+        found = found.unionByName(staging.table(_verified(docs, texts, new, staging, similarity), "similar"))
+        met = met.unionByName(new)
+        return True
+
+    members = keyed.withColumn("c", F.col("d"))
+    for _ in range(ROUNDS):
+        if not meet(_with_first(members, ["t", "k"], met)):
+            break
+        members = _joined(keyed, found, staging)
+    by, again = ["t", "k"], ["t", "k", "u", "j"]
+    for most in OUTSIDE:  # what the few outside join need not be compared again by the many
+        if meet(_outside(members, by, most)[0]):
+            members = _joined(keyed, found, staging)
+    wide = staging.table(_outside(members, by, OUTSIDE[-1])[1].select(*by, "d"), "wide")
     if not wide.isEmpty():
-        split = wide.select("t", "k", "d", "c").join(keyed.select("d", F.col("t").alias("u"), F.col("k").alias("j")), "d").where("t < u")
+        split = wide.join(keyed.select("d", F.col("t").alias("u"), F.col("k").alias("j")), "d").where("t < u").select("d", *again)
         split = staging.table(split, "split")
-        again, rest = _outside(split, ["t", "k", "u", "j"])
-        more = staging.table(more.unionByName(again).unionByName(_with_ends(rest, ["t", "k", "u", "j"])).distinct(), "more")
-    if not more.isEmpty():
-        new = more.join(pairs, ["x", "y"], "left_anti")
-        found = found.unionByName(staging.table(_verified(docs, texts, new, staging, similarity), "similar"))
+        members = _joined(split, found, staging)
+        for most in OUTSIDE:
+            if meet(_outside(members, again, most)[0]):
+                members = _joined(split, found, staging)
+        for _ in range(ROUNDS):
+            if not meet(_with_first(_outside(members, again, OUTSIDE[-1])[1], again, met)):
+                break
+            members = _joined(split, found, staging)
     names = texts.select("d", F.col("r.fp").alias("fp"))
     left = found.join(names.select(F.col("d").alias("x"), F.col("fp").alias("src")), "x")
     return left.join(names.select(F.col("d").alias("y"), F.col("fp").alias("dst")), "y").where("src <> dst").select("src", "dst").distinct()
 
 
-def _with_component(rows: DataFrame, joined: DataFrame) -> DataFrame:
-    return rows.join(joined, "d", "left").withColumn("c", F.coalesce("c", "d"))
+def _joined(keyed: DataFrame, found: DataFrame, staging: Staging) -> DataFrame:
+    """keyed with the component c of every d under the links found so far."""
+    joined = connected_components(found, staging, "x", "y").select(F.col("node").alias("d"), F.col("component").alias("c"))
+    return staging.table(keyed.join(joined, "d", "left").withColumn("c", F.coalesce("c", "d")), "members")
 
 
 def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
 
 
-def _with_ends(keyed: DataFrame, by: list[str]) -> DataFrame:
-    """(x, y): every d of a key with the key's first and last."""
-    ends = keyed.groupBy(*by).agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo <> hi")
-    met = keyed.join(ends, by).select("d", F.explode(F.array("lo", "hi")).alias("other")).where("d <> other")
-    return met.select(*_pair("d", "other")).distinct()
+def _with_first(members: DataFrame, by: list[str], met: DataFrame) -> DataFrame:
+    """(x, y): each d with the smallest other d that is the first of one of its keys, of another component, and not met."""
+    firsts = members.groupBy(*by).agg(F.min(F.struct("d", "c")).alias("f"))
+    near = members.join(firsts, by).where("c <> f.c").select("d", F.col("f.d").alias("other")).distinct()
+    new = near.select("d", *_pair("d", "other")).join(met, ["x", "y"], "left_anti")
+    return new.groupBy("d").agg(F.min(F.struct("x", "y")).alias("p")).select("p.x", "p.y").distinct()
 
 
-def _outside(members: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+def _outside(members: DataFrame, by: list[str], most: int) -> tuple[DataFrame, DataFrame]:
     """((x, y) of different components, one of them outside its key's largest; members of keys with too many outside)."""
     sizes = members.groupBy(*by, "c").agg(F.count("*").alias("m"))
     keys = sizes.groupBy(*by).agg(F.sum("m").alias("n"), F.max(F.struct("m", "c")).alias("top")).select(*by, F.col("top.c").alias("main"), (F.col("n") - F.col("top.m")).alias("out")).where("out > 0")
     held = members.join(keys, by)
-    odd = held.where((F.col("out") <= OUTSIDE) & (F.col("c") != F.col("main"))).select(*by, F.col("d").alias("a"), F.col("c").alias("ac"))
+    odd = held.where((F.col("out") <= most) & (F.col("c") != F.col("main"))).select(*by, F.col("d").alias("a"), F.col("c").alias("ac"))
     pairs = odd.join(members.select(*by, F.col("d").alias("b"), F.col("c").alias("bc")), by).where("ac <> bc").select(*_pair("a", "b")).distinct()
-    return pairs, held.where(F.col("out") > OUTSIDE).select(*by, "d", "c")
+    return pairs, held.where(F.col("out") > most).select(*by, "d", "c")
 
 
 def _verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, staging: Staging, similarity: float) -> DataFrame:

@@ -125,7 +125,7 @@ def test_rows_are_kept_by_row(spark, prose):
     assert sorted(r.text for r in kept) == sorted(map(prose, (1, 2, 3, 4, 5)))
 
 
-@pytest.mark.parametrize("outside", [32, 0])
+@pytest.mark.parametrize("outside", [(4, 32), (2,)])
 def test_similarity_components_equal_brute_force(spark, prose, monkeypatch, outside):
     """Chains whose ends are unlike, beside groups of copies: no component is lost where a key holds several."""
     monkeypatch.setattr(simhash, "OUTSIDE", outside)
