@@ -7,6 +7,7 @@ from claimlens.llm.chunks import op9_substring_dedup
 from claimlens.llm.dac import op4_token_id_output
 from claimlens.llm.decontaminate import op2_benchmark_decontamination
 from claimlens.llm.langid import op1_language_id
+from claimlens.llm.merkle import OP13_SQL, op13_merkle_manifest
 from claimlens.llm.mixing import op3_source_mixing
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": OP8_SQL, "op13_merkle_manifest": OP13_SQL}
