@@ -9,10 +9,12 @@ from claimlens.llm.decontaminate import op2_benchmark_decontamination
 from claimlens.llm.langid import op1_language_id
 from claimlens.llm.merkle import OP13_SQL, op13_merkle_manifest
 from claimlens.llm.mixing import op3_source_mixing
+from claimlens.llm.ordermin import op12_document_fingerprints
 from claimlens.llm.simhash import op5_simhash_near_dedup
 from claimlens.llm.tokens import op7_token_counts
 from claimlens.llm.topk import OP8_SQL, op8_exact_top_k
 from claimlens.llm.toxicity import op6_toxicity
+from claimlens.llm.variants import OP11_SQL, op11_spelling_variants
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -25,7 +27,9 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": OP8_SQL, "op13_merkle_manifest": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_exact_top_k": OP8_SQL, "op11_spelling_variants": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
