@@ -34,7 +34,9 @@ LEAST_LENGTH, LEAST_COUNT, FACTOR, SLIP = 6, 5, 5, 199
 #: The levels of the trie, frequent letters first; the last level holds every letter beyond a-z.
 GROUPS = ("e", "a", "i", "o", "n", "r", "t", "s", "l", "u", "d", "cm", "hg", "pbfv", "wykjxqz", None)
 #: Levels after which the trie is cut, words a subtree may hold, words that a leaf may hold before it is split.
-DEPTHS, MEMBERS, LEAF = (4, 9, len(GROUPS)), 20_000, 8
+DEPTHS, MEMBERS, LEAF = (4, 9, len(GROUPS)), 20_000, 32
+#: Letters of a word that are compared as rows of an array; longer words are compared one by one.
+WIDE = 32
 
 
 def words_of(docs: DataFrame) -> DataFrame:
@@ -80,45 +82,91 @@ def one_edit(a: str, b: str) -> bool:
     return a[at + (len(a) == len(b)) :] == b[at + 1 :]
 
 
-class Trie:
-    """The words of a subtree, ordered by path; a node is a stretch of rows that share their first counts."""
+def _letters(words: list[str]) -> np.ndarray:
+    """The first WIDE letters of words as rows of bytes; every letter of a run has one byte in Latin-1."""
+    return np.array([w.encode("latin-1") for w in words], f"S{WIDE}").view(np.uint8).reshape(-1, WIDE)
+
+
+class Words:
+    """Words of one task with their paths and their letters from both ends."""
 
     def __init__(self, words: np.ndarray, paths: np.ndarray):
-        order = np.lexsort(paths.T[::-1])
-        self.words, self.paths = words[order], paths[order]
+        held = words.tolist()
+        self.words, self.paths = words, paths
+        self.sizes = np.fromiter(map(len, held), np.int64, len(held))
+        self.heads, self.tails = _letters(held), _letters([w[::-1] for w in held])
+
+
+def verified(asked: Words, i: np.ndarray, held: Words, w: np.ndarray) -> np.ndarray:
+    """Whether held[w] is one edit from asked[i], of its size or one more: equal ends then leave one letter of it at most."""
+    size, longer = asked.sizes[i], held.sizes[w]
+    head = (asked.heads[i] != held.heads[w]).argmax(axis=1)
+    tail = (asked.tails[i] != held.tails[w]).argmax(axis=1)
+    ok = (np.minimum(head, size) + np.minimum(tail, size) >= longer - 1) & (asked.words[i] != held.words[w])
+    for k in np.flatnonzero(longer > WIDE).tolist():
+        ok[k] = one_edit(asked.words[i[k]], held.words[w[k]])
+    return ok
 
-    def near(self, asked: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(query, word) numbers within the budget, depth first: all queries that reach a node descend together."""
-        width = self.paths.shape[1]
-        stack = [(0, len(self.words), 0, np.arange(len(asked)), np.zeros(len(asked), np.int8))]
+
+class Trie:
+    """The words of a subtree by size and path; a node is a stretch of rows of one size that share their first counts."""
+
+    def __init__(self, words: np.ndarray, n: np.ndarray, paths: np.ndarray):
+        order = np.lexsort([*paths.T[::-1], np.fromiter(map(len, words.tolist()), np.int64, len(words))])
+        self.held, self.n = Words(words[order], paths[order]), n[order]
+
+    def near(self, asked: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(queries, words) one edit apart, depth first: all queries that reach a node descend together."""
+        paths, width = self.held.paths, self.held.paths.shape[1]
+        stack = []
+        for size, lo, m in zip(*np.unique(self.held.sizes, return_index=True, return_counts=True), strict=True):
+            q = np.flatnonzero((asked.sizes == size) | (asked.sizes == size - 1))
+            stack.append((lo, lo + m, 0, q, np.zeros(len(q), np.int8)))
         while stack:
             lo, hi, level, q, spent = stack.pop()
+            if not len(q):
+                continue
             if hi - lo <= LEAF or level == width:
-                yield from self._leaf(lo, hi, asked, level, q, spent)
+                for at in range(lo, hi, LEAF):
+                    yield self._leaf(at, min(hi, at + LEAF), asked, level, q, spent)
                 continue
-            values, starts = np.unique(self.paths[lo:hi, level], return_index=True)
-            own = asked[q, level]
+            values, starts = np.unique(paths[lo:hi, level], return_index=True)
+            own = asked.paths[q, level]
             for value, start, end in zip(values.tolist(), starts.tolist(), [*starts[1:].tolist(), hi - lo], strict=True):
                 more = value - own  # the words of this child beyond the query
-                kept, plus, minus = more == 0, (more == 1) & (spent == 0), (more == -1) & (spent == 1)
-                alive = kept | plus | minus
+                now = spent + (more != 0)  # a surplus is spent first, then a deficit
+                alive = (more == 0) | ((more == 1) & (spent == 0)) | ((more == -1) & (spent == 1))
                 if alive.any():
-                    stack.append((lo + start, lo + end, level + 1, q[alive], (spent + plus + minus).astype(np.int8)[alive]))
-
-    def _leaf(self, lo, hi, asked, level, q, spent) -> Iterator[tuple[int, int]]:
-        for w in range(lo, hi):
-            more = self.paths[w, level:] - asked[q, level:]
-            plus, minus = (more == 1).sum(axis=1), (more == -1).sum(axis=1)
-            ok = (np.abs(more).sum(axis=1) == plus + minus) & (plus <= (spent == 0)) & (minus <= 1) & (spent + plus + minus <= 2) & (spent + plus >= minus)
-            if more.shape[1]:  # surplus before deficit
-                ok &= ~((plus == 1) & (minus == 1)) | ((more == 1).argmax(axis=1) < (more == -1).argmax(axis=1))
-            for i in q[ok].tolist():
-                yield i, w
+                    stack.append((lo + start, lo + end, level + 1, q[alive], now[alive]))
+
+    def _leaf(self, lo: int, hi: int, asked: Words, level: int, q: np.ndarray, spent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        more = self.held.paths[lo:hi, None, level:] - asked.paths[None, q, level:]
+        plus, minus = (more == 1).sum(axis=2, dtype=np.int8), (more == -1).sum(axis=2, dtype=np.int8)
+        ok = (np.abs(more).sum(axis=2, dtype=np.int32) == plus + minus) & (plus <= (spent == 0)) & (minus <= spent + plus - (spent == 2) * 2) & (minus <= 1)
+        w, i = np.nonzero(ok)
+        both = (plus[w, i] == 1) & (minus[w, i] == 1)
+        keep = np.ones(len(w), bool)
+        if both.any():
+            late = (more[w[both], i[both]] == 1).argmax(axis=1) > (more[w[both], i[both]] == -1).argmax(axis=1)
+            keep[np.flatnonzero(both)[late]] = False
+        equal = (spent[i] == 0) & (plus[w, i] == 0) & (minus[w, i] == 0)
+        w, i, equal = w[keep] + lo, q[i[keep]], equal[keep]
+        good = verified(asked, i, self.held, w)
+        w, i, equal = w[good], i[good], equal[good]
+        equal &= asked.sizes[i] == self.held.sizes[w]
+        once = ~equal | (asked.words[i] < self.held.words[w])  # equal paths are met from both sides
+        return i[once], w[once]
+
+
+def _paths(column: pd.Series) -> np.ndarray:
+    paths = np.stack(column.to_numpy())
+    return paths.astype(np.int16) if paths.max() < 10_000 else paths.astype(np.int64)  # differences fit
 
 
 def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(a, a_n, b, b_n) from rows ordered by subtree, its words before the queries that visit it."""
     key, members, trie = None, [], None
+    arrays = lambda rows: (rows["word"].to_numpy(), rows["n"].to_numpy(), _paths(rows["path"]))
     for batch in batches:
         out = []
         for (shard, part, asks), rows in batch.groupby(["shard", "part", "asks"], sort=False):
@@ -129,16 +177,12 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             if not members:
                 continue
-            if trie is None:
-                held = pd.concat(members)
-                trie = Trie(np.array(list(zip(held["word"], held["n"], strict=True)), dtype=object), np.stack(held["path"].to_numpy()))
-            words, ns = rows["word"].to_numpy(), rows["n"].to_numpy()
-            for i, w in trie.near(np.stack(rows["path"].to_numpy())):
-                b, n = trie.words[w]
-                # equal paths are met from both sides
-                if (words[i] < b or not np.array_equal(rows["path"].iat[i], trie.paths[w])) and one_edit(words[i], b):
-                    out.append((words[i], ns[i], b, n))
-        yield pd.DataFrame(out, columns=["a", "a_n", "b", "b_n"])
+            trie = trie or Trie(*arrays(pd.concat(members)))
+            words, n, paths = arrays(rows)
+            asked = Words(words, paths)
+            out += [pd.DataFrame({"a": words[i], "a_n": n[i], "b": trie.held.words[w], "b_n": trie.n[w]}) for i, w in trie.near(asked) if len(i)]
+        if out:
+            yield pd.concat(out, ignore_index=True)
 
 
 def near_words(vocabulary: DataFrame, staging: Staging, members: int = MEMBERS) -> DataFrame:
