@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from claimlens.plans.staging import Staging
 
 PIECE, K, ORDER, SIZE = 8, 3, 2, 64
+#: Bytes of text a part of the ordered documents holds, parts at most, and parts between two of the coarse bounds.
+PART_BYTES, PARTS, WIDTH = 16 << 20, 65_536, 256
 #: Bits of a long that hold a k-mer's place, from one; a text holds fewer tokens than 2^27.
 PLACE = 28
 _LOW, _HIGH = (1 << PLACE) - 1, -(1 << PLACE)
@@ -47,15 +49,21 @@ def _kmers(words: Column, k: int) -> Column:
 
 
 def _numbered(kmers: Column) -> Column:
-    """The same with hashes of (k-mer, occurrence): equal k-mers are a stretch of the sorted longs, in the order of the text."""
+    """The same with hashes of (k-mer, occurrence): equal k-mers are neighbours among the sorted longs, in the order of the text."""
+    fresh = lambda held: lambda v, i: F.shiftrightunsigned(v.bitwiseXOR(F.coalesce(F.get(held, i - 1), F.bitwise_not(v))), PLACE) != 0
+    hashed = lambda v, n: F.xxhash64(v.bitwiseAND(F.lit(_HIGH)), n).bitwiseAND(F.lit(_HIGH)).bitwiseOR(v.bitwiseAND(F.lit(_LOW)))
 
-    def stretches(held: Column) -> Column:
-        hashed = lambda i: F.get(held, i).bitwiseAND(F.lit(_HIGH))
-        starts = F.filter(F.sequence(F.lit(0), F.size(held) - 1), lambda i: (i == 0) | (hashed(i) != hashed(i - 1)))
-        one = lambda v, o: F.xxhash64(v.bitwiseAND(F.lit(_HIGH)), o).bitwiseAND(F.lit(_HIGH)).bitwiseOR(v.bitwiseAND(F.lit(_LOW)))
-        return let(starts, lambda s: F.flatten(F.transform(s, lambda at, r: F.transform(F.slice(held, at + 1, F.coalesce(F.get(s, r + 1), F.size(held)) - at), one))))
+    def later(again: Column) -> Column:
+        """Of second and further occurrences, a stretch of equal ones at a time."""
+        starts = F.filter(F.sequence(F.lit(0), F.size(again) - 1), lambda i: fresh(again)(F.get(again, i), i))
+        of = lambda s: F.transform(s, lambda at, r: F.transform(F.slice(again, at + 1, F.coalesce(F.get(s, r + 1), F.size(again)) - at), lambda v, o: hashed(v, o + 1)))
+        return F.when(F.size(again) > 0, let(starts, lambda s: F.flatten(of(s)))).otherwise(F.array().cast("array<bigint>"))
 
-    return let(F.sort_array(kmers), stretches)
+    def both(held: Column) -> Column:
+        first = F.transform(F.filter(held, fresh(held)), lambda v: hashed(v, F.lit(0)))
+        return F.concat(first, let(F.filter(held, lambda v, i: ~fresh(held)(v, i)), later))
+
+    return let(F.sort_array(kmers), both)
 
 
 def _components(numbered: Column, order: int, size: int) -> Column:
@@ -92,23 +100,34 @@ def likeness(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) / F.size(a)
 
 
+def _bounds(keys: DataFrame, parts: int) -> DataFrame:
+    """One row: the first keys of about equal parts of all keys, ascending, and every WIDTH-th of them."""
+    dealt = keys.repartitionByRange(parts, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key"))
+    one = dealt.agg(F.array_sort(F.collect_list("key")).alias("bounds"))
+    return one.select("bounds", F.transform(F.sequence(F.lit(1), F.greatest(F.size("bounds"), F.lit(1)), F.lit(WIDTH)), lambda i: F.get("bounds", i - 1)).alias("coarse"))
+
+
 def with_next(docs: DataFrame, staging: Staging) -> DataFrame:
     """doc_id, text, components, and next_text, next_components of the following document; after the last comes the first.
 
-    Documents are ordered by doc_id, those without one first; rows of one doc_id by a hash of their texts. A range sort
-    deals them into parts, each part looks one row ahead, and the first row of the part that follows is added to it.
+    Documents are ordered by doc_id, those without one first; rows of one doc_id by a hash of their texts. A range sort of
+    these keys alone finds where parts begin. A text is then dealt once, to its part; a part's first document is sent to
+    the part before as well, so that every part looks one row ahead. Equal rows of one doc_id are one another's next.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    by = ["doc_id", "h", "tie"]  # the tie spreads equal rows
-    dealt = rows.withColumn("h", F.xxhash64("text")).withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
-    dealt = staging.table(dealt.select("doc_id", "text", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "sorted")
-    parts = dealt.groupBy("part").agg(F.min("at").alias("at"))  # a row a partition
-    every = Window.orderBy("part")
-    before = parts.select("at", F.coalesce(F.lag("part").over(every), F.max("part").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("part"))
-    heads = dealt.drop("part").join(before, "at").select("doc_id", "text", "part", F.lit((1 << 63) - 1).alias("at"), F.lit(False).alias("own"))
-    all_rows = dealt.withColumn("own", F.lit(True)).unionByName(heads).withColumn("components", signature(F.col("text")))
-    ahead = F.lead(F.struct("text", "components")).over(Window.partitionBy("part").orderBy("at"))
-    return all_rows.withColumn("next", ahead).where("own").select("doc_id", "text", "components", F.col("next.text").alias("next_text"), F.col("next.components").alias("next_components"))
+    rows = rows.withColumn("key", F.struct(F.col("doc_id").isNotNull().alias("named"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("h")))
+    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    parts = min(PARTS, max(1, -(-size // PART_BYTES)))
+    bounds = staging.table(_bounds(rows.select("key"), parts), "bounds")  # one row of PARTS keys at most
+    upto = lambda keys: F.size(F.filter(keys, lambda b: b <= F.col("key")))
+    dealt = rows.join(F.broadcast(bounds)).withColumn("c", (upto("coarse") - 1) * WIDTH)
+    dealt = dealt.withColumn("part", F.col("c") + upto(F.slice("bounds", F.col("c") + 1, WIDTH)) - 1)
+    head = F.get("bounds", F.col("part")) == F.col("key")
+    before = F.pmod(F.col("part") - 1, F.size("bounds"))
+    placed = F.when(head, F.array(F.struct("part", F.lit(False).alias("after")), F.struct(before.alias("part"), F.lit(True).alias("after")))).otherwise(F.array(F.struct("part", F.lit(False).alias("after"))))
+    dealt = dealt.select("doc_id", "text", "key", F.explode(placed).alias("p")).select("doc_id", "text", "key", "p.part", "p.after", signature(F.col("text")).alias("components"))
+    ahead = F.lead(F.struct("text", "components")).over(Window.partitionBy("part").orderBy("after", "key"))
+    return dealt.withColumn("next", ahead).where("not after").select("doc_id", "text", "components", F.col("next.text").alias("next_text"), F.col("next.components").alias("next_components"))
 
 
 def edited(text: Column, following: Column) -> Column:
