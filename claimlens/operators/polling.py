@@ -1,12 +1,13 @@
-"""Polling as plans: what is due, what a crash left behind, whether a report changed, and episodes of repeated alerts."""
+"""Polling as plans: what is due, what a crash left behind, and episodes of repeated alerts."""
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions.facilities import first_of
@@ -49,56 +50,58 @@ OBSERVED = "series_id long, sequence long, release_us long, prior_release_us lon
 EPISODES = "series_id long, sequence long, episode string, is_new boolean, floor_us long"
 
 
-class Episodes:
-    """The alerts of one series: which of its proposals repeat an alert that stands."""
-
-    def __init__(self):
-        self.alerts: dict[str, dict] = {}
-        self.latest: dict | None = None
-
-    def see(self, release, prior_release, prior_manifest, before, after, signature, packet) -> tuple | None:
-        """(episode, is_new, floor) of a proposal; None for an observation without one."""
-        was, episode, out = self.latest, None, None
-        if signature is not None:
-            held = self.alerts.get(was["episode"]) if was and was["episode"] else None
-            returned = held is not None and before is not None and prior_release >= held["release"] and before != held["after"]
-            backfill = held is not None and prior_manifest is not None and prior_manifest == held["manifest"] and release > held["floor"]
-            again = held is not None and held["signature"] == signature and not returned and (release > was["clock"] or backfill)
-            if again:
-                episode = was["episode"]
-            else:
-                episode = hashlib.sha256(f"{packet}|{signature}".encode()).hexdigest()
-                floor = prior_release
-                if was and was["assertion"] != after and floor < was["clock"] < release:
-                    floor = was["clock"]
-                self.alerts[episode] = {"signature": signature, "release": release, "after": after, "manifest": prior_manifest, "floor": floor}
-            out = (episode, not again, self.alerts[episode]["floor"])
-        # what is left out of a release withdraws nothing, and a release behind the latest one moves nothing
-        if after is not None and not (was and release < was["clock"]):
-            if episode is None and was and was["assertion"] == after:
-                episode = was["episode"]
-            self.latest = {"clock": release, "assertion": after, "episode": episode}
-        return out
+class Alert(NamedTuple):
+    """The first telling of an episode: its transition, release, value and base, and the clock it reaches back to."""
+
+    episode: str
+    signature: str
+    release_us: int
+    value: str
+    base: str
+    floor_us: int
+
+
+#: All that must hold for a proposal `o` to tell the alert `a` of the standing value once more.
+REPEATS = {
+    "the transition is the alert's": lambda a, o: o.signature == a.signature,
+    "no release since the alert had left its value": lambda a, o: o.before is None or o.before == a.value or o.prior_release_us < a.release_us,
+    "it is newer than what stands, or older evidence on the alert's own base": lambda a, o: o.release_us > o.stood_us or (a.base is not None and o.prior_manifest == a.base and o.release_us > a.floor_us),
+}
+
+
+def reach(o) -> int:
+    """How far back a new episode reaches: to its prior release, or to a value that stood differently in between."""
+    between = o.stood_value is not None and o.stood_value != o.after and o.prior_release_us < o.stood_us < o.release_us
+    return o.stood_us if between else o.prior_release_us
 
 
 def episodes(observations: DataFrame) -> DataFrame:
     """(series_id, sequence, episode, is_new, floor_us) of every proposal: a repeated transition stays in its episode.
 
-    observations: OBSERVED, signature null where nothing is proposed. A transition repeats unless a release in between
-    shows that the value had returned; late releases are compared by their own clocks, not by arrival. Series are folded
-    one after another in sorted partitions; state is that of the series at hand.
+    observations: OBSERVED, signature null where nothing is proposed. What stands before an observation is, of those logged
+    before it that state a value, the one of the latest release, of equal ones the last logged; late releases are compared by
+    their own clocks. An observation stands under the alert that it tells, or, proposing nothing, under the alert of the
+    value that it reaffirms. A proposal tells the alert of what stands if all of REPEATS hold, and begins one otherwise.
     """
+    before = Window.partitionBy("series_id").orderBy("sequence").rowsBetween(Window.unboundedPreceding, -1)
+    stood = F.max(F.when(F.col("after").isNotNull(), F.struct("release_us", "sequence", "after"))).over(before)
+    names = [c.split()[0] for c in OBSERVED.split(", ")]
+    logged = observations.select(*names, stood.alias("stood")).select(*names, F.col("stood.release_us").alias("stood_us"), F.col("stood.sequence").alias("stood_at"), F.col("stood.after").alias("stood_value"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        series, state = None, Episodes()
-        for f in batches:
+        under: dict[tuple, Alert | None] = {}  # the alert of what stands, and of the observation just read
+        for batch in batches:
             out = []
-            for s, n, *rest in f.astype(object).where(f.notna(), None).itertuples(index=False):
-                if s != series:
-                    series, state = s, Episodes()
-                if (got := state.see(*rest)) is not None:
-                    out.append((s, n, *got))
+            for o in batch.astype(object).where(batch.notna(), None).itertuples(index=False):
+                stands = (o.series_id, o.stood_at)
+                alert = under.get(stands)
+                if o.signature is None:
+                    told = alert if o.after == o.stood_value else None
+                else:
+                    repeats = alert is not None and all(holds(alert, o) for holds in REPEATS.values())
+                    told = alert if repeats else Alert(hashlib.sha256(f"{o.packet}|{o.signature}".encode()).hexdigest(), o.signature, o.release_us, o.after, o.prior_manifest, reach(o))
+                    out.append((o.series_id, o.sequence, told.episode, not repeats, told.floor_us))
+                under = {stands: alert, (o.series_id, o.sequence): told}
             yield pd.DataFrame(out, columns=[c.split()[0] for c in EPISODES.split(", ")])
 
-    names = [c.split()[0] for c in OBSERVED.split(", ")]
-    return observations.select(*names).repartition("series_id").sortWithinPartitions("series_id", "sequence").mapInPandas(run, EPISODES)
+    return logged.mapInPandas(run, EPISODES)

@@ -430,7 +430,18 @@ def crash_reconciliation(spark, sf_dir):
     return polling.reconcile(P.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("intent_id"), e("o_orderkey % 3 <> 0").alias("captured"), e("o_orderkey % 7 <> 0").alias("sound"), e("o_orderkey % 2 = 0").alias("imported"), e("o_custkey % 3 <> 0").alias("outcome")))
 
 
-@query()
+@query(
+    """WITH RECURSIVE o AS (SELECT o_custkey AS s, o_orderkey AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn, o_orderkey - (o_orderkey % 3) * 500 AS rel, o_orderkey - 2000 AS prior, 'm' || (o_orderkey // 1000) AS man,
+  'b' || (o_orderkey % 3) AS before, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderstatus END AS after, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END AS sig, 'p' || o_orderkey AS packet FROM orders),
+f AS (SELECT DISTINCT s, 0::BIGINT AS rn, NULL::BIGINT AS n, NULL::BIGINT AS clock, NULL::VARCHAR AS val, NULL::STRUCT(ep VARCHAR, sig VARCHAR, rel BIGINT, v VARCHAR, base VARCHAR, floor BIGINT) AS a, FALSE AS fresh, NULL::STRUCT(ep VARCHAR, sig VARCHAR, rel BIGINT, v VARCHAR, base VARCHAR, floor BIGINT) AS told FROM o
+  UNION ALL SELECT s, rn, n, CASE WHEN ok THEN rel ELSE clock END, CASE WHEN ok THEN after ELSE val END, CASE WHEN ok THEN e ELSE a END, fresh, CASE WHEN sig IS NOT NULL THEN e END
+  FROM (SELECT *, after IS NOT NULL AND (clock IS NULL OR rel >= clock) AS ok, sig IS NOT NULL AND NOT again AS fresh,
+    CASE WHEN sig IS NULL THEN CASE WHEN after = val THEN a END WHEN again THEN a
+      ELSE {'ep': sha256(packet || '|' || sig), 'sig': sig, 'rel': rel, 'v': after, 'base': man, 'floor': CASE WHEN val IS NOT NULL AND val IS DISTINCT FROM after AND prior < clock AND clock < rel THEN clock ELSE prior END} END AS e
+    FROM (SELECT f.s, o.rn, o.n, f.clock, f.val, f.a, o.rel, o.prior, o.man, o.after, o.sig, o.packet, coalesce(f.a.sig = o.sig AND (o.before IS NULL OR o.before = f.a.v OR o.prior < f.a.rel) AND (o.rel > f.clock OR (o.man = f.a.base AND o.rel > f.a.floor)), FALSE) AS again
+      FROM f JOIN o ON o.s = f.s AND o.rn = f.rn + 1)))
+SELECT s AS series_id, n AS sequence, told.ep AS episode, fresh AS is_new, told.floor AS floor_us FROM f WHERE told IS NOT NULL"""
+)
 def alert_episodes(spark, sf_dir):
     """Episodes of repeated transitions: each customer's orders as releases that may arrive late."""
     o, e = P.table(spark, sf_dir, "orders"), F.expr

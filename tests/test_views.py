@@ -1,5 +1,7 @@
 """Boundaries of the bitemporal views and of the write plans."""
 
+import functools
+import random
 from datetime import date
 from types import SimpleNamespace
 
@@ -182,3 +184,55 @@ def test_episodes(spark, rows, new):
     got = polling.episodes(spark.createDataFrame(observed(*rows), polling.OBSERVED)).orderBy("sequence").collect()
     assert [r.is_new for r in got] == new
     assert len({r.episode for r in got}) == sum(new)
+
+
+def told_by_definition(log):
+    """{sequence: (first sequence of its episode, floor)} of one series' proposals, each from all that was logged before it."""
+
+    def stood(i):
+        return max((j for j in range(i) if log[j].after is not None), key=lambda j: (log[j].release_us, j), default=None)
+
+    @functools.cache
+    def alert(i):
+        """Where the alert that observation i stands under began."""
+        o, s = log[i], stood(i)
+        held = None if s is None else alert(s)
+        if o.signature is None:
+            return held if s is not None and log[s].after == o.after else None
+        if held is None or log[held].signature != o.signature:
+            return i
+        if o.before is not None and o.prior_release_us >= log[held].release_us and o.before != log[held].after:
+            return i
+        newer = o.release_us > log[s].release_us
+        backfill = o.prior_manifest is not None and o.prior_manifest == log[held].prior_manifest and o.release_us > floor(held)
+        return held if newer or backfill else i
+
+    @functools.cache
+    def floor(i):
+        o, s = log[i], stood(i)
+        if s is not None and log[s].after != o.after and o.prior_release_us < log[s].release_us < o.release_us:
+            return log[s].release_us
+        return o.prior_release_us
+
+    return {o.sequence: (log[alert(i)].sequence, floor(alert(i))) for i, o in enumerate(log) if o.signature is not None}
+
+
+def test_episodes_of_many_series_equal_the_definition(spark):
+    rng = random.Random(8)
+    names = [c.split()[0] for c in polling.OBSERVED.split(", ")]
+    log = [
+        SimpleNamespace(series_id=s, sequence=n * 3, release_us=(r := rng.randrange(4, 30)), prior_release_us=r - rng.randrange(1, 9), prior_manifest=rng.choice(["m", "n", None]), before=rng.choice(["a", "b", None]), after=rng.choice(["a", "b", "c", None]), signature=rng.choice(["x", "y", None]), packet=f"p{n}")
+        for s in range(60)
+        for n in range(25)
+    ]
+    rows = [tuple(getattr(o, c) for c in names) for o in log]
+    rng.shuffle(rows)
+    got = polling.episodes(spark.createDataFrame(rows, polling.OBSERVED)).collect()
+    repeats = 0
+    for s in range(60):
+        want = told_by_definition([o for o in log if o.series_id == s])
+        own = {r.sequence: r for r in got if r.series_id == s}
+        first = {r.episode: q for q, r in own.items() if r.is_new}
+        assert {q: (first[r.episode], r.floor_us) for q, r in own.items()} == want
+        repeats += sum(not r.is_new for r in own.values())
+    assert repeats > 30
