@@ -16,12 +16,13 @@ row and never becomes a component id unless its whole component has none (then n
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +33,8 @@ from claimlens.plans.staging import Staging
 SEED, SHINGLE, BITS, RADIUS = 42, 3, 64, 2
 #: Fingerprints of a bucket that are held against each other; families of masks after which no bucket holds more.
 GROUP, FAMILIES = 64, 3
-#: Rounds in which texts meet one other text, and texts of a key outside its largest component that are held against all of it.
-ROUNDS, OUTSIDE = 3, (4, 32)
+#: Rounds in which texts meet one other text of a key; texts of a key whose pairs are listed; texts and shingles of a block.
+ROUNDS, LISTED, BLOCK, CELLS = 2, 16, 512, 1 << 20
 #: Near copies beyond the radius: Jaccard similarity over sets of WIDTH words, met in BANDS keys of ROWS minima each. A
 #: pair at 0.8 shares no key with probability (1 - 0.8^4)^20 = 0.00003.
 WIDTH, SIMILARITY, BANDS, ROWS = 5, 0.8, 20, 4
@@ -115,69 +116,65 @@ def _bands(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([bands(t) for t in batch], dtype=object)
 
 
-@F.pandas_udf(T.DoubleType())
-def _jaccard(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in pairs:
-        yield pd.Series([jaccard(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of the whole row; columns that hold maps, which hash functions refuse, enter as JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(f.name)) if '"type":"map"' in f.dataType.json() else F.col(f.name) for f in docs.schema])
 
 
 def fingerprints(docs: DataFrame, keyed: bool = False) -> DataFrame:
     """(doc_id, fp, h): the SimHash of every whole text as a signed long, and a hash of the row; keyed: d and its bands too."""
     small_batches(docs.sparkSession)
     more = [F.xxhash64("text").alias("d"), _bands("text").alias("bands")] if keyed else []
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _fingerprints("text").alias("fp"), F.xxhash64(*docs.columns).alias("h"), *more)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _fingerprints("text").alias("fp"), row_hash(docs).alias("h"), *more)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _sets(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield pd.Series([np.unique(shingles(t, WIDTH)).view("<i8") for t in batch], dtype=object)
 
 
 def similar_links(docs: DataFrame, own: DataFrame, staging: Staging, similarity: float) -> DataFrame:
-    """(src, dst): fingerprints of texts whose similarity is at least the one asked for.
-
-    Texts are first held against one other text a round: the first of any of their keys that stands in another
-    component and that they have not met. So a group of copies is joined by a pair a text, never listed in pairs. Where
-    a key then still holds more than one component, the texts outside its largest one are held against all of the key;
-    first where they are few, then where they are more, as what is joined by then is not compared again. Where they are
-    more than OUTSIDE says, the key is split by every further key that its texts share, and beyond that again they are
-    held against the first text of each.
+    """(src, dst): fingerprints of texts that share a key and whose similarity is at least the one asked for.
+
+    Every pair of texts that share a key is either verified or already joined by others, whatever the keys hold. Texts
+    first meet one other text a round, so that copies join by a pair a text. Then the pairs of small keys that are not
+    joined yet are listed. The texts of larger keys form clusters, which are cut into blocks of near sizes, and every
+    two blocks that can hold a link meet in one task, which counts all overlaps at once and lists no pair that is none.
+    Sets of shingles are built once, for texts that share a key.
     """
-    texts = staging.table(own.where("bands is not null").groupBy("d").agg(F.min(F.struct("doc_id", "fp", "bands")).alias("r")), "texts")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp", "bands"))
+    texts = staging.table(own.where("bands is not null").groupBy("d").agg(first.alias("r")), "texts")
     keyed = texts.select("d", F.posexplode("r.bands").alias("t", "k"))
     shared = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1").select("t", "k")
     keyed = staging.table(keyed.join(shared, ["t", "k"]), "keyed")
+    wanted = keyed.select("d").distinct().join(texts, "d").select("d", F.coalesce("r.doc_id", F.lit(0)).alias("id"), "r.nameless")
+    named = F.col("doc_id").cast("long")
+    read = docs.select(F.coalesce(named, F.lit(0)).alias("id"), named.isNull().alias("nameless"), F.xxhash64("text").alias("d"), "text").join(wanted, ["d", "id", "nameless"])
+    sets = staging.table(read.groupBy("d").agg(F.min("text").alias("text")).select("d", _sets("text").alias("s")), "sets")
     met = found = staging.table(docs.sparkSession.createDataFrame([], "x long, y long"), "met")
-
-    def meet(pairs: DataFrame) -> bool:
-        """Verify the pairs that have not met; whether there were any."""
-        nonlocal met, found
-        new = staging.table(pairs.join(met, ["x", "y"], "left_anti"), "pairs")
-        if new.isEmpty():
-            return False
-        found = found.unionByName(staging.table(_verified(docs, texts, new, staging, similarity), "similar"))
-        met = met.unionByName(new)
-        return True
-
     members = keyed.withColumn("c", F.col("d"))
     for _ in range(ROUNDS):
-        if not meet(_with_first(members, ["t", "k"], met)):
+        pairs = staging.table(_with_first(members, ["t", "k"], met), "pairs")
+        if pairs.isEmpty():
             break
+        found, met = found.unionByName(staging.table(_verified(sets, pairs, similarity), "similar")), met.unionByName(pairs)
         members = _joined(keyed, found, staging)
-    by, again = ["t", "k"], ["t", "k", "u", "j"]
-    for most in OUTSIDE:  # what the few outside join need not be compared again by the many
-        if meet(_outside(members, by, most)[0]):
-            members = _joined(keyed, found, staging)
-    wide = staging.table(_outside(members, by, OUTSIDE[-1])[1].select(*by, "d"), "wide")
-    if not wide.isEmpty():
-        split = wide.join(keyed.select("d", F.col("t").alias("u"), F.col("k").alias("j")), "d").where("t < u").select("d", *again)
-        split = staging.table(split, "split")
-        members = _joined(split, found, staging)
-        for most in OUTSIDE:
-            if meet(_outside(members, again, most)[0]):
-                members = _joined(split, found, staging)
-        for _ in range(ROUNDS):
-            if not meet(_with_first(_outside(members, again, OUTSIDE[-1])[1], again, met)):
-                break
-            members = _joined(split, found, staging)
+    keys = members.groupBy("t", "k").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"), F.min("d").alias("first")).where("low < high")
+    unsettled = staging.table(members.join(keys.select("t", "k", "n", "first"), ["t", "k"]), "unsettled")
+    few, many = unsettled.where(F.col("n") <= LISTED), unsettled.where(F.col("n") > LISTED)
+    clusters = connected_components(many.select(F.col("d").alias("src"), F.col("first").alias("dst")), staging)
+    placed = staging.table(clusters.select(F.col("node").alias("d"), F.col("component").alias("cluster")).join(many.select("d", "c").distinct(), "d"), "clusters")
+    other = few.select("t", "k", F.col("d").alias("e"), F.col("c").alias("ec"))
+    listed = few.join(other, ["t", "k"]).where("d < e and c <> ec").select(F.col("d").alias("x"), F.col("e").alias("y")).distinct().join(met, ["x", "y"], "left_anti")
+    found = found.unionByName(staging.table(_verified(sets, listed, similarity), "listed"))
+    found = found.unionByName(staging.table(_block_links(placed, sets, staging, similarity), "blocks"))
     names = texts.select("d", F.col("r.fp").alias("fp"))
     left = found.join(names.select(F.col("d").alias("x"), F.col("fp").alias("src")), "x")
-    return left.join(names.select(F.col("d").alias("y"), F.col("fp").alias("dst")), "y").where("src <> dst").select("src", "dst").distinct()
+    out = staging.table(left.join(names.select(F.col("d").alias("y"), F.col("fp").alias("dst")), "y").where("src <> dst").select("src", "dst").distinct(), "links")
+    for over in (keyed, sets, unsettled, placed, texts):
+        staging.drop(over)
+    return out
 
 
 def _joined(keyed: DataFrame, found: DataFrame, staging: Staging) -> DataFrame:
@@ -186,35 +183,114 @@ def _joined(keyed: DataFrame, found: DataFrame, staging: Staging) -> DataFrame:
     return staging.table(keyed.join(joined, "d", "left").withColumn("c", F.coalesce("c", "d")), "members")
 
 
-def _pair(a: str, b: str) -> list:
-    return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
-
-
 def _with_first(members: DataFrame, by: list[str], met: DataFrame) -> DataFrame:
     """(x, y): each d with the smallest other d that is the first of one of its keys, of another component, and not met."""
     firsts = members.groupBy(*by).agg(F.min(F.struct("d", "c")).alias("f"))
     near = members.join(firsts, by).where("c <> f.c").select("d", F.col("f.d").alias("other")).distinct()
-    new = near.select("d", *_pair("d", "other")).join(met, ["x", "y"], "left_anti")
+    new = near.select("d", F.least("d", "other").alias("x"), F.greatest("d", "other").alias("y")).join(met, ["x", "y"], "left_anti")
     return new.groupBy("d").agg(F.min(F.struct("x", "y")).alias("p")).select("p.x", "p.y").distinct()
 
 
-def _outside(members: DataFrame, by: list[str], most: int) -> tuple[DataFrame, DataFrame]:
-    """((x, y) of different components, one of them outside its key's largest; members of keys with too many outside)."""
-    sizes = members.groupBy(*by, "c").agg(F.count("*").alias("m"))
-    keys = sizes.groupBy(*by).agg(F.sum("m").alias("n"), F.max(F.struct("m", "c")).alias("top")).select(*by, F.col("top.c").alias("main"), (F.col("n") - F.col("top.m")).alias("out")).where("out > 0")
-    held = members.join(keys, by)
-    odd = held.where((F.col("out") <= most) & (F.col("c") != F.col("main"))).select(*by, F.col("d").alias("a"), F.col("c").alias("ac"))
-    pairs = odd.join(members.select(*by, F.col("d").alias("b"), F.col("c").alias("bc")), by).where("ac <> bc").select(*_pair("a", "b")).distinct()
-    return pairs, held.where(F.col("out") > most).select(*by, "d", "c")
+def _verified(sets: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those (x, y) whose sets are similar enough."""
+    both = pairs.join(sets.select(F.col("d").alias("x"), F.col("s").alias("a")), "x").join(sets.select(F.col("d").alias("y"), F.col("s").alias("b")), "y")
+    common = both.select("x", "y", F.size(F.array_intersect("a", "b")).alias("i"), (F.size("a") + F.size("b")).alias("n"))
+    return common.where(F.col("i") / (F.col("n") - F.col("i")) >= similarity).select("x", "y")
+
 
+def _block_links(placed: DataFrame, sets: DataFrame, staging: Staging, similarity: float) -> DataFrame:
+    """(x, y): links that join the components of each cluster's texts as all their links do. placed: d, cluster, c.
 
-def _verified(docs: DataFrame, texts: DataFrame, pairs: DataFrame, staging: Staging, similarity: float) -> DataFrame:
-    """Those (x, y) whose whole texts are similar enough; each text is read once, from its first row."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("d")).distinct().join(texts, "d").select("d", F.col("r.doc_id").alias("rep"))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("d"), "text").join(wanted, "d").where(F.col("doc_id").eqNullSafe(F.col("rep")))
-    read = staging.table(read.groupBy("d").agg(F.min("text").alias("text")), "read")
-    both = pairs.join(read.select(F.col("d").alias("x"), F.col("text").alias("a")), "x").join(read.select(F.col("d").alias("y"), F.col("text").alias("b")), "y")
-    return both.where(_jaccard("a", "b") >= similarity).select("x", "y")
+    Texts whose sizes are too far apart to be similar are never compared: a step of sizes meets itself and the next one.
+    A component that fills blocks has blocks of its own, and two blocks of one component do not meet.
+    """
+    block, cells, step = BLOCK, CELLS, math.log(1 / similarity) * 1.001
+    sized = placed.join(sets.select("d", F.size("s").alias("n")), "d").withColumn("step", F.floor(F.log("n") / step))
+    whole = sized.groupBy("cluster", "step", "c").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    whole = whole.withColumn("pure", F.when((F.col("m") >= block) | (F.col("w") >= cells), F.col("c")))
+    parts = whole.groupBy("cluster", "step", "pure").agg(F.ceil(F.greatest(F.sum("m") / block, F.sum("w") / cells)).alias("parts"))
+    same = F.col("pure").eqNullSafe(F.col("p2"))
+    whole = whole.join(parts.withColumnRenamed("pure", "p2").withColumnsRenamed({"cluster": "k2", "step": "s2"}), (F.col("cluster") == F.col("k2")) & (F.col("step") == F.col("s2")) & same)
+    dealt = sized.select("d", "cluster", "c", "step").join(whole.select("cluster", "step", "c", "pure", "parts"), ["cluster", "step", "c"])
+    dealt = staging.table(dealt.select("d", "c", "cluster", "step", F.xxhash64("cluster", "step", "pure", F.pmod(F.xxhash64("d"), F.col("parts"))).alias("id")), "dealt")
+    blocks = dealt.groupBy("cluster", "step", "id").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+    right = blocks.select("cluster", F.col("step").alias("at"), F.col("id").alias("id2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    meet = blocks.withColumn("at", F.explode(F.array("step", F.col("step") + 1))).join(right, ["cluster", "at"])
+    meet = meet.where("(at > step or id <= id2) and not (low = high and low2 = high2 and low = low2)").select("id", "id2")
+    sides = meet.select(F.col("id").alias("p"), F.col("id2").alias("q"), F.explode(F.array_distinct(F.array("id", "id2"))).alias("id"))
+    whole = dealt.select("id", "d", "c").join(sets, "d").join(sides, "id").select("p", "q", (F.col("id") != F.col("p")).alias("second"), "d", "c", "s")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, {False: [], True: []}
+
+        def settle() -> pd.DataFrame:
+            left = pd.concat(held[False])
+            return joining_links(left, left if at[0] == at[1] else pd.concat(held[True]), similarity)
+
+        for rows in batches:
+            for (p, q, second), some in rows.groupby(["p", "q", "second"], sort=False):
+                if (p, q) != at:
+                    if at is not None:
+                        yield settle()
+                    at, held = (p, q), {False: [], True: []}
+                held[second].append(some)
+        if at is not None:
+            yield settle()
+
+    ordered = whole.repartition("p", "q").sortWithinPartitions("p", "q", "second")
+    return ordered.mapInPandas(run, "x long, y long")
+
+
+def joining_links(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """(x, y) of d: links between rows of two blocks (d, c, s: their sets) that join their components as all links would."""
+    n1, n2 = left["s"].map(len).to_numpy(), right["s"].map(len).to_numpy()
+    common = overlaps(left["s"], right["s"])
+    near = common / (n1[:, None] + n2 - common) >= similarity
+    c1, c2, d1, d2 = (f[k].tolist() for k in "cd" for f in (left, right))
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            root[c] = c = root.get(root[c], root[c])
+        return c
+
+    out = []
+    for i, j in np.argwhere(near).tolist():
+        if (a := find(c1[i])) != (b := find(c2[j])):
+            root[a] = b
+            out.append((d1[i], d2[j]))
+    return pd.DataFrame(out, columns=["x", "y"], dtype="int64")
+
+
+def overlaps(left: pd.Series, right: pd.Series, dense: int = 4096, room: int = 1 << 22) -> np.ndarray:
+    """The sizes of the intersections of all sets of one list with all of another."""
+    l, r = (np.concatenate(x.to_list()) for x in (left, right))
+    li, ri = (np.repeat(np.arange(len(x)), x.map(len)) for x in (left, right))
+    shared = np.intersect1d(l, r)
+    (lk, li), (rk, ri) = ((np.searchsorted(shared, v[ok]), i[ok]) for v, i in ((l, li), (r, ri)) for ok in [np.isin(v, shared)])
+    n1, n2 = np.bincount(lk, minlength=len(shared)), np.bincount(rk, minlength=len(shared))
+    out = np.zeros((len(left), len(right)), np.int64)
+    frequent = n1 * n2 >= dense
+    at = np.cumsum(frequent) - 1  # frequent shingles by products of incidence matrices
+    for lo in range(0, int(frequent.sum()), 1024):
+        a, b = (np.zeros((len(x), 1024), np.float32) for x in (left, right))
+        for m, k, i in ((a, lk, li), (b, rk, ri)):
+            ok = frequent[k] & (at[k] >= lo) & (at[k] < lo + 1024)
+            m[i[ok], at[k[ok]] - lo] = 1
+        out += (a @ b.T).astype(np.int64)
+    ok = ~frequent[lk]  # the others by the rows that hold them
+    order = np.argsort(lk[ok], kind="stable")
+    rows, starts = li[ok][order], np.cumsum(np.where(frequent, 0, n1)) - np.where(frequent, 0, n1)
+    ok = ~frequent[rk]
+    rk, ri = rk[ok], ri[ok]
+    edges = np.searchsorted(np.cumsum(n1[rk]), np.arange(room, n1[rk].sum() + room, room), side="right")
+    for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(rk)], strict=True):
+        size = n1[rk[lo:hi]]
+        if size.sum():
+            inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            flat = rows[np.repeat(starts[rk[lo:hi]], size) + inner] * len(right) + np.repeat(ri[lo:hi], size)
+            out += np.bincount(flat, minlength=out.size).reshape(out.shape)
+    return out
 
 
 def links(distinct: DataFrame, staging: Staging, group: int = GROUP) -> DataFrame:
@@ -282,6 +358,6 @@ def keep_one(docs: DataFrame, similarity: float | None = SIMILARITY) -> DataFram
     best = _labelled(docs, None, similarity).groupBy("root", ids).agg(F.min(F.struct("doc_id", "h")).alias("b"))
     kept = best.select("nameless", F.coalesce("b.doc_id", F.lit(0)).alias("id"), F.col("b.h").alias("h"))
     named = F.col("doc_id").cast("long")
-    whole = docs.select(named.isNull().alias("nameless"), F.coalesce(named, F.lit(0)).alias("id"), F.xxhash64(*docs.columns).alias("h"), F.struct(*docs.columns).alias("row"))  # no name of ours meets theirs
+    whole = docs.select(named.isNull().alias("nameless"), F.coalesce(named, F.lit(0)).alias("id"), row_hash(docs).alias("h"), F.struct(*docs.columns).alias("row"))  # no name of ours meets theirs
     once = whole.join(kept, ["nameless", "id", "h"], "left_semi").withColumn("n", F.row_number().over(Window.partitionBy("nameless", "id", "h").orderBy("h")))
     return once.where("n = 1").select("row.*")

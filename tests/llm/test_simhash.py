@@ -2,9 +2,11 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from claimlens.llm import simhash
+from pyspark.sql import functions as F
 
 
 def slow(text):
@@ -125,10 +127,11 @@ def test_rows_are_kept_by_row(spark, prose):
     assert sorted(r.text for r in kept) == sorted(map(prose, (1, 2, 3, 4, 5)))
 
 
-@pytest.mark.parametrize("outside", [(4, 32), (2,)])
-def test_similarity_components_equal_brute_force(spark, prose, monkeypatch, outside):
+@pytest.mark.parametrize("rounds, listed, block", [(2, 16, 512), (0, 0, 7), (1, 4, 3), (0, 10**6, 512)])
+def test_similarity_components_equal_brute_force(spark, prose, monkeypatch, rounds, listed, block):
     """Chains whose ends are unlike, beside groups of copies: no component is lost where a key holds several."""
-    monkeypatch.setattr(simhash, "OUTSIDE", outside)
+    for name, value in (("ROUNDS", rounds), ("LISTED", listed), ("BLOCK", block)):
+        monkeypatch.setattr(simhash, name, value)
     rng, texts = random.Random(9), []
     for i in range(12):
         w = prose(i, 70).split()
@@ -150,3 +153,30 @@ def test_similarity_components_equal_brute_force(spark, prose, monkeypatch, outs
     got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
     groups = lambda f: {tuple(j for j in range(len(texts)) if f(j) == k) for k in map(f, range(len(texts)))}
     assert groups(got.get) == groups(find)
+
+
+def test_alike_texts_below_the_similarity_hide_no_link(spark):
+    """300 texts of 1,001 words and one core: 150 pairs at 0.814, all others at 0.790."""
+    core = [f"core{i}" for i in range(884)]
+    texts = [" ".join([*core, *[f"p{n // 2}x{i}" for i in range(15)], *[f"u{n}x{i}" for i in range(102)]]) for n in range(300)]
+    assert simhash.jaccard(texts[0], texts[1]) > 0.8 > simhash.jaccard(texts[0], texts[2]) > 0.78
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = simhash.fingerprints(docs, True)
+    fp = {r.doc_id: r.fp for r in own.collect()}
+    links = {frozenset((r.src, r.dst)) for r in simhash.similar_links(docs, own, simhash.Staging(spark, "t"), 0.8).collect()}
+    planted = {frozenset((fp[n], fp[n + 1])) for n in range(0, 300, 2)}
+    assert links == {p for p in planted if len(p) == 2}  # two of one fingerprint need no link
+
+
+def test_overlaps_of_sets():
+    rng = np.random.default_rng(2)
+    few = [np.unique(rng.integers(0, 300, rng.integers(1, 90))) for _ in range(40)]
+    many = [np.unique(rng.integers(0, 3000, rng.integers(1, 400))) for _ in range(25)]
+    want = [[len(np.intersect1d(a, b)) for b in many] for a in few]
+    for dense in (0, 30, 10**9):
+        assert simhash.overlaps(pd.Series(few), pd.Series(many), dense, 1000).tolist() == want
+
+
+def test_a_column_of_maps_travels(spark, prose):
+    docs = spark.createDataFrame([(1, prose(1)), (2, prose(1)), (3, prose(2))], "doc_id long, text string").withColumn("m", F.create_map(F.lit("a"), F.col("doc_id")))
+    assert sorted((r.doc_id, r.m["a"]) for r in simhash.keep_one(docs).collect()) == [(1, 1), (3, 3)]
