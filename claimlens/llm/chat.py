@@ -165,9 +165,9 @@ def violations(value, schema, at: str = "$", root=None) -> list[str]:
     kinds = schema.get("type")
     if kinds is not None and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return [*out, f"{at}: not of type {canonical(kinds)}"]
-    if "enum" in schema and canonical(value) not in {canonical(x) for x in schema["enum"]}:
+    if "enum" in schema and _key(value) not in {_key(x) for x in schema["enum"]}:
         out.append(f"{at}: not in enum")
-    if "const" in schema and canonical(value) != canonical(schema["const"]):
+    if "const" in schema and _key(value) != _key(schema["const"]):
         out.append(f"{at}: not the constant")
     for own in schema.get("allOf", []):
         out += inner(value, own)

@@ -154,11 +154,13 @@ def train(docs: DataFrame) -> Net:
     """Fit on the documented sample of labelled documents."""
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id")
-    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("lang"))
+    # of rows that share a doc_id one is taught, its language with its own text: the least language, of equal ones the least hash
+    usable = usable.withColumn("row", F.struct("lang", F.xxhash64("text").alias("h")))
+    ids = usable.groupBy("doc_id").agg(F.min("row").alias("row")).select("doc_id", "row.lang", "row")
     # a bounded head per language before the window, so that one frequent language is not ranked in one task
     share = ids.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(64)))
     near = share.withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id"))).where(F.col("r") <= TRAIN_DOCS)
-    ranked = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("doc_id", "lang", "r")
+    ranked = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_DOCS).select("doc_id", "lang", "row", "r")
     chosen = ranked.limit(SAMPLE_DOCS + 1).collect()
     if len(chosen) > SAMPLE_DOCS:
         each = max(1, SAMPLE_DOCS // ranked.where("r = 1").count())
@@ -180,7 +182,8 @@ def train(docs: DataFrame) -> Net:
                 out.append([win[i].tobytes() for i in pick])
             yield pd.Series(out, dtype=object)
 
-    texts = usable.where(F.col("doc_id").isin(sorted(number))).groupBy("doc_id").agg(F.min("text").alias("text"))
+    taught = docs.sparkSession.createDataFrame([(r.doc_id, r.row) for r in chosen], usable.select("doc_id", "row").schema)
+    texts = usable.join(F.broadcast(taught), ["doc_id", "row"]).groupBy("doc_id").agg(F.min("text").alias("text"))
     rows = texts.select("doc_id", sampled("text").alias("w")).collect()
     rows = sorted(((r.doc_id, bytes(w)) for r in rows for w in r.w))
     if not rows:

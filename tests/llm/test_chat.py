@@ -212,3 +212,8 @@ def test_malformed_schemas_and_odd_content(spark):
     assert json.loads(got[None].json)["content"] == '{"tool_call_id":"0","content":1e400}'
     assert '"content":"\\ud800 x"' in got[3].json and '{"\\ud800":"\\udc00"}' in got[4].json
     assert json.loads(got[5].json)["content"] == rows[5][3]  # no object that is read, so plain
+
+
+def test_numbers_are_compared_as_numbers():
+    assert not chat.violations(1.0, {"enum": [1]}) and not chat.violations(1, {"const": 1.0}) and not chat.violations([1.0, {"a": 2}], {"const": [1, {"a": 2.0}]})
+    assert chat.violations(True, {"enum": [1]}) and chat.violations("1", {"const": 1}) and chat.violations(1.5, {"enum": [1, 2]})

@@ -141,3 +141,19 @@ def test_unusable_labels_take_no_place(spark, prose, monkeypatch, caplog):
     assert seen == [(40, 20)]
     toxicity.train(docs.where("doc_id < 300"), labels)
     assert len(seen) == 1 and "both classes" in caplog.text
+
+
+def test_a_repeated_doc_id_teaches_one_row(spark, monkeypatch):
+    """Of rows that share a doc_id the language is taught with its own text."""
+    seen = []
+
+    class Noted(langid.Net):
+        def fit(self, win, y):
+            seen.extend((self.langs[k], bytes(w).rstrip(b"\0").strip()) for k, w in zip(y, win, strict=True))
+            return self
+
+    monkeypatch.setattr(langid, "Net", Noted)
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, t, lang) for i in ids for lang, t in (("aa", "zzz aaa deutsch"), ("bb", "aaa english text"))]
+    langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(seen) == len(ids) and all(lang == "aa" and b"deutsch" in w for lang, w in seen)
