@@ -1,12 +1,14 @@
-"""Substring dedup by anchors that a gear rolling hash places in the content.
+"""Substring dedup by content-defined chunks that a gear rolling hash cuts.
 
 Every byte shifts a 16-bit gear hash left by one and adds its table value, so the hash at a byte depends on the last
-16 bytes alone. Of every `w` successive spans of `k` words the one with the least gear hash at its end is an anchor (of
-equals the one with the least digest), with k + w - 1 = `min_words`. That choice reads nothing outside those words, so two
-copies of a passage of `min_words` words hold the same anchor whatever stands around them. Where two texts hold an anchor, every
-window of `min_words` words that has it for its least is digested; a window whose digest two texts hold is repeated, and runs of
-successive repeated windows are the repeated passages, exact to the word at both ends. Exact copies fold into one text
-before that and repeat whole.
+16 bytes alone. Of every `w` successive words the one with the least gear hash at its end is a cut, and a chunk is what
+stands between two cuts: one to `w` words, moved by no insertion elsewhere. Chunks are deduplicated by digest.
+
+A window of `min_words` words has two stretches of `w` hashes that read nothing outside of it, so it holds two cuts at
+least, and between its outermost ones the same chunks wherever it stands; the longest of these (of equals the one of the
+largest digest) is the window's own. Where two texts hold that chunk, the window is digested; a window whose digest two
+texts hold is repeated, and runs of successive repeated windows are the repeated passages, exact to the word at both
+ends. Exact copies fold into one text before that and repeat whole.
 
 Words are compared byte by byte, split at ASCII white space, the amount of which does not matter. Digests are sums of the words'
 128-bit digests by powers of an odd base, of which 64 and 32 bits are kept for a window.
@@ -34,6 +36,8 @@ from claimlens.plans.staging import Staging
 WINDOW = 16
 #: Passages of over 50 words.
 MIN_WORDS = 51
+#: Words before a word's end that its hash may read, one more than fill WINDOW.
+CONTEXT = WINDOW // 2 + 1
 #: Words digested at once; base of the digests of spans and its inverse modulo 2^64.
 BLOCK, BASE = 65_536, 0x9E3779B97F4A7C15
 #: Bytes of the bitmap that spares texts a shuffle.
@@ -95,39 +99,53 @@ class Words:
         own = self.sums[:, column]
         return (own[size:] - own[:-size]) * self.back[: self.n - size + 1]
 
-    def keys(self, least: int) -> tuple[np.ndarray, int]:
-        """What orders the spans of k words, and w."""
-        k = (least + 1) // 2
-        w, spots = least + 1 - k, self.n - k + 1
-        if 2 * k > WINDOW:  # the gear hash at a span's end reads nothing before the span, its words being parted by one space
+    def keys(self, context: int) -> np.ndarray:
+        """What orders cuts, at the last word of every span of `context` words."""
+        if context < CONTEXT:  # a window too short for gear hashes of its own
+            order = np.zeros(self.n - context + 1, np.int64)
+        else:
             blank = _SPACE[self.raw]
             keep = ~blank
             keep[1:] |= keep[:-1] & blank[1:]
             even = self.raw[keep]
             even[_SPACE[even]] = 32
             ends = np.cumsum(self.stops - self.begins + 1) - 2
-            order = gear_hashes(even)[ends][k - 1 :].astype(np.int64)
-        else:
-            order = np.zeros(spots, np.int64)
-        key = order << 47 | (self.spans(k, 0) >> np.uint64(17)).astype(np.int64)
-        return key, w
-
-    def anchors(self, least: int) -> np.ndarray:
-        """The anchors: first words of spans of k words."""
-        key, w = self.keys(least)
-        edge = np.full(w - 1, -1)
-        return np.nonzero(_sliding(np.maximum, np.concatenate((edge, _sliding(np.minimum, key, w), edge)), w) == key)[0]
+            order = gear_hashes(even)[ends][context - 1 :].astype(np.int64)
+        return order << 47 | (self.spans(context, 0) >> np.uint64(17)).astype(np.int64)
+
+    def chunks(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The cuts (words after which a chunk ends), the digest of the chunk from each cut to the next, and each window's own chunk."""
+        context = max(1, min(CONTEXT, least // 3))
+        m = least - context + 1  # hashes that a window holds
+        order = np.argsort(self.keys(context), kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        low = order[_sliding(np.minimum, rank, m // 2)]
+        cuts, at = np.unique(low, return_inverse=True)
+        first = cuts + context
+        digest = (self.sums[first[1:], 0] - self.sums[first[:-1], 0]) * self.back[first[:-1]]
+        score = np.minimum(np.diff(cuts), 63) << 57 | (digest >> np.uint64(7)).astype(np.int64)
+        windows = self.n - least + 1
+        lo, hi = at[:windows], at[m - m // 2 : m - m // 2 + windows]
+        own = lo.copy()
+        for more in range(1, int((hi - lo).max())):
+            further = np.minimum(lo + more, len(score) - 1)
+            own = np.where((lo + more < hi) & (score[further] > score[own]), further, own)
+        return first - 1, digest, own
+
+    def anchors(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and digests of the chunks that are some window's own."""
+        _, digest, own = self.chunks(least)
+        at = np.unique(own)
+        return at, digest[at].view(np.int64)
 
     def around(self, ats: np.ndarray, least: int) -> np.ndarray:
-        """First words of the windows whose own anchor is one of `ats`."""
-        key, w = self.keys(least)
-        kept = np.full(len(key), np.iinfo(np.int64).max)
-        kept[ats] = key[ats]
-        return np.nonzero(_sliding(np.minimum, kept, w) == _sliding(np.minimum, key, w))[0]
+        """First words of the windows whose own chunk is one of `ats`."""
+        return np.nonzero(np.isin(self.chunks(least)[2], ats))[0]
 
 
 def _sliding(pick: np.ufunc, values: np.ndarray, size: int) -> np.ndarray:
-    """The minimum or maximum of every `size` successive values, by doubling."""
+    """The minimum of every `size` successive values (or what `pick` picks), by doubling."""
     width = 1
     while 2 * width <= size:
         values = pick(values[:-width], values[width:])
@@ -142,14 +160,13 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def _anchor_rows(docs: DataFrame, least: int) -> DataFrame:
-    """doc_id, row, d, e, at, a: each text's anchors (first word, digest) and, with `at` the number of its words below zero, its bytes' span."""
+    """doc_id, row, d, e, at, a: each text's chunks (number, digest) and, with `at` the number of its words below zero, its bytes' span."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for doc_id, row, d, e, text in zip(batch.doc_id, batch.row, batch.d, batch.e, batch.text, strict=True):
                 if text and (words := Words(text)).n >= least:
-                    at = words.digests().anchors(least)
-                    a = words.spans((least + 1) // 2, 0)[at].view(np.int64)
+                    at, a = words.digests().anchors(least)
                     n, span = len(at) + 1, int(words.begins[0]) << 32 | int(words.stops[-1])
                     yield pd.DataFrame({"doc_id": np.full(n, doc_id), "row": np.full(n, row), "d": np.full(n, d), "e": np.full(n, e), "at": np.append(at, -words.n).astype(np.int32), "a": np.append(a, span)})
 
@@ -163,7 +180,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _may_hold(keys: DataFrame, name: str):
-    """A filter that holds for all of `keys` and for few others: a bitmap of fixed size, so that texts without a shared anchor stay where they are."""
+    """A filter that holds for all of `keys` and for few others: a bitmap of fixed size, so that texts without a shared chunk stay where they are."""
     bit = F.col(name).bitwiseAND(F.lit(8 * BITMAP - 1))
     byte, mask = F.shiftright(bit, 3), F.pow(F.lit(2), bit.bitwiseAND(F.lit(7))).cast("int")
     bitmap = bytearray(BITMAP)
@@ -174,7 +191,7 @@ def _may_hold(keys: DataFrame, name: str):
 
 
 def _window_rows(hits: DataFrame, least: int) -> DataFrame:
-    """doc_id, row, at, start, end, a, b: the windows of each text whose anchor is one of the shared ones, `ats`."""
+    """doc_id, row, at, start, end, a, b: the windows of each text whose own chunk is one of the shared ones, `ats`."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -211,6 +228,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool
     first_doc_id holds the earliest occurrence of the run's first window; is_first marks runs all of whose windows are
     first occurrences. Windows count as repeated when two rows hold them; with `within`, also when one row holds them twice.
     """
+    if min_words < 2:
+        raise ValueError("a passage of one word holds no chunk")
     staging = staging or Staging(docs.sparkSession, "chunks")
     small_batches(docs.sparkSession)
     own = staging.table(_anchor_rows(docs, min_words), "anchors")  # row numbers are drawn once
@@ -219,7 +238,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool
 
     anchors = own.where("at >= 0").select("a", "d", "at")
     several = anchors.groupBy("a").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), *([F.count("*").alias("n")] if within else []))
-    shared = anchors.join(several.where("n > 1" if within else "lo <> hi").select("a"), "a")
+    # written, so that the joins that follow have an exchange on both sides and adaptive execution splits a hot digest
+    several = staging.table(several.where("n > 1" if within else "lo <> hi").select("a"), "shared")
+    shared = anchors.join(several, "a")
     hits = texts.join(shared.groupBy("d").agg(F.collect_set("at").alias("ats")), "d")  # one text's own anchors
     hits = hits.select("d", "e", F.col("rep.doc_id").alias("rep_id"), F.col("rep.row").alias("row"), "ats")
     hits = staging.table(hits, "hits")
@@ -228,7 +249,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool
 
     places = [F.min(F.struct("doc_id", "row", "at")).alias("first"), F.max(F.struct("doc_id", "row", "at")).alias("last")]
     twice = "first <> last" if within else "first.row <> last.row"
-    seen = windows.groupBy("a", "b").agg(*places).where(twice).select("a", "b", "first")
+    seen = staging.table(windows.groupBy("a", "b").agg(*places).where(twice).select("a", "b", "first"), "seen")
     mine = (F.col("first.row") == F.col("row")) & (F.col("first.at") == F.col("at"))
     again = windows.join(seen, ["a", "b"]).select("doc_id", "row", "at", "start", "end", F.col("first.doc_id").alias("first_doc_id"), mine.alias("is_first"))
     run = F.col("at") - F.dense_rank().over(Window.partitionBy("row").orderBy("at"))  # a repeated row's windows come repeatedly
@@ -248,5 +269,5 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, within: bool
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    """Repeated passages of every document."""
+    """Repeated passages of every document, by shared chunks."""
     return repeated_passages(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "start", "end", "words", "first_doc_id", "is_first")

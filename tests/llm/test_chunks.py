@@ -69,13 +69,28 @@ def test_every_passage_of_51_words_is_found_to_its_ends(spark):
     assert {r.doc_id: (r.start, r.end, r.words, r.first_doc_id, r.is_first) for r in got} == want and len(got) == len(want)
 
 
-def test_anchors_of_any_length():
+def test_a_window_holds_its_own_chunk_wherever_it_stands():
     rng = random.Random(3)
-    for least in (1, 2, 3, 15, 16, 17, 51):
-        text = " ".join(rng.choice("ab") for _ in range(300))
-        for at in range(0, 300 - least, 7):
-            own = chunks.Words(" ".join(text.split()[at : at + least])).digests().anchors(least)
-            assert len(own) and set(own + at) <= set(chunks.Words(text).digests().anchors(least))
+    for least in (2, 3, 8, 26, 27, 28, 51, 200):
+        words = [rng.choice("ab") if least > 8 and rng.random() < 0.5 else "".join(rng.choice("xyz") for _ in range(rng.randint(1, 9))) for _ in range(600)]
+        whole = chunks.Words(" ".join(words)).digests()
+        ends, digest, own = whole.chunks(least)
+        assert len(own) == 600 - least + 1 and np.diff(ends).max() <= max(1, least // 2)
+        for at in range(0, 600 - least, 7):
+            alone = chunks.Words(" \n".join(words[at : at + least])).digests()
+            e, d, o = alone.chunks(least)
+            k = own[at]
+            assert d[o[0]] == digest[k] and (e[o[0]] + at, e[o[0] + 1] + at) == (ends[k], ends[k + 1])
+            assert at <= ends[k] + 1 and ends[k + 1] < at + least
+
+
+def test_chunks_vary_and_resist_insertions():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    ends, digest, _ = chunks.Words(" ".join(words)).digests().chunks(51)
+    assert len(set(np.diff(ends).tolist())) > 10
+    shifted = chunks.Words(" ".join([*words[:1000], "inserted", "words", *words[1000:]])).digests().chunks(51)[1]
+    assert len(set(digest.tolist()) - set(shifted.tolist())) <= 6
 
 
 def test_copies_equal_every_window_listed(spark, prose):
