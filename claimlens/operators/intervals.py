@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlens.plans.staging import Staging
+
 
 def relation(low: Column, high: Column, vintage: Column, horizon: Column) -> Column:
     """Where an outcome lies: the vintage is tested before the horizon, so a span over both is vintage-straddling."""
@@ -109,3 +111,21 @@ def relative_to_day(status: Column, low: Column, high: Column, day: Column) -> C
         .when((low == day) & (high == day), "on_reported_document_day")
         .otherwise("spans_reported_document_day")
     )
+
+
+def clashes(rows: DataFrame, staging: Staging) -> DataFrame:
+    """(key, id, start, end, reach): intervals (key, id, start, end) that begin before an earlier one of their key has ended.
+
+    reach is the latest of those ends, null if one is open. Rows are linear in the input whatever clashes: a range sort
+    deals them into parts, the latest ends of parts run on to the parts that follow, and inside a part the rows do. So a
+    key with very many open intervals is spread over the cluster, and no pair is listed. Empty intervals clash with none.
+    """
+    real = rows.where("end is null or start < end").select("key", "id", "start", "end", F.struct(F.col("end").isNull().alias("open"), "end").alias("until"))
+    dealt = real.repartitionByRange("key", "start", "id").sortWithinPartitions("key", "start", "id")
+    dealt = staging.table(dealt.select("*", F.spark_partition_id().alias("part")), "sorted")
+    ends = dealt.groupBy("key", "part").agg(F.max("until").alias("until"))
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("key", "part", F.max("until").over(before).alias("carried"))
+    inside = Window.partitionBy("key", "part").orderBy("start", "id").rowsBetween(Window.unboundedPreceding, -1)
+    reach = dealt.withColumn("own", F.max("until").over(inside)).join(carried, ["key", "part"]).withColumn("reach", F.greatest("own", "carried"))
+    return reach.where("reach.open or reach.end > start").select("key", "id", "start", "end", F.col("reach.end").alias("reach"))

@@ -5,14 +5,14 @@ import re
 import pytest
 from claimlens.operators import views
 from claimlens.plans import queries as core
-from claimlens.plans import graph_queries, store_queries  # noqa: F401 they register their queries
+from claimlens.plans import graph_queries, log_queries, store_queries  # noqa: F401 they register their queries
 from claimlens.sources import projection as P
 
 SF = "/root/testdata/sf0.001"
 #: Joins with a table of one row, or with a handful of fixed polygons.
-ONE_ROW = {"evidence_hydration", "source_families", "coverage_namespaces", "capacity_milestone_links", "lineage_documents", "entity_dossiers", "complete_view_equality", "page_with_totals", "search_results", "change_page_hydrated", "point_in_polygon", "unsupported_claims"}
+ONE_ROW = {"evidence_hydration", "source_families", "coverage_namespaces", "capacity_milestone_links", "lineage_documents", "entity_dossiers", "provenance_faults", "complete_view_equality", "page_with_totals", "search_results", "change_page_hydrated", "point_in_polygon", "unsupported_claims"}
 #: Case folding, HTML parsing, canonical JSON and hash chains have no native form.
-PYTHON = {"alert_episodes", "search_results", "store_payload_hashes", "store_validation", "search_facets", "search_page", "visible_html_text", "canonical_json_lines", "event_chain", "event_chain_violations", "event_chain_fold"}
+PYTHON = {"alert_episodes", "assertion_alignment", "search_results", "store_payload_hashes", "store_validation", "search_facets", "search_page", "visible_html_text", "canonical_json_lines", "event_chain", "event_chain_violations", "event_chain_fold"}
 
 
 def plan(df):
