@@ -5,7 +5,7 @@ import re
 import pytest
 from claimlens.operators import views
 from claimlens.plans import queries as core
-from claimlens.plans import graph_queries, log_queries, store_queries  # noqa: F401 they register their queries
+from claimlens.plans import graph_queries, log_queries, page_queries, store_queries  # noqa: F401 they register their queries
 from claimlens.sources import projection as P
 
 SF = "/root/testdata/sf0.001"
