@@ -10,7 +10,7 @@ reading the stretches of the document that hold its seeds through a suffix autom
 once per tile. So repetitive texts cost what their lengths sum to, not their product. Items whose seeds in the document
 could not cover the threshold are passed over before that.
 
-The test side goes to the tasks in blocks of ITEM_BLOCK words at most, each against all documents, so nothing sent
+The test side goes to the tasks in blocks of about ITEM_BLOCK words, each against all documents, so nothing sent
 grows with the data; a longer item is one block of its own. One long item bounds a tile search, not the corpus.
 
 Defined results: null and wordless items match nothing; items shorter than the seed must match whole; null and empty
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,13 +193,19 @@ def _stretches(doc: np.ndarray, places: list[np.ndarray], width: int) -> list[tu
 
 
 def _blocks(items: DataFrame):
-    """Broadcasts of the test side, block by block, by running length; no window holds the whole test side at once."""
+    """Broadcasts of the test side, block by block; each is one scan of the documents.
+
+    The number of blocks goes by the length of all items, whatever files they come from, and items are dealt by hash: a
+    small benchmark is one block, and no task or driver holds the whole of a large one.
+    """
     staging = Staging(items.sparkSession, "benchmark")
-    sized = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text", F.spark_partition_id().alias("part"))
-    run = F.sum(F.length("text")).over(Window.partitionBy("part").orderBy("item_id", "text"))
-    blocked = staging.table(sized.withColumn("block", F.floor(run / (4 * ITEM_BLOCK))), "items")
-    for part, block in blocked.select("part", "block").distinct().orderBy("part", "block").collect():
-        held = blocked.where((F.col("part") == part) & (F.col("block") == block)).orderBy("item_id", "text").select("item_id", "text").collect()
+    named = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    total = named.agg(F.sum(F.length("text")).alias("n")).first().n or 0
+    blocks = 1 if total <= 4 * ITEM_BLOCK else -(-5 * total // (16 * ITEM_BLOCK))  # a quarter more than fit, as hashes deal unevenly
+    deal = F.xxhash64("item_id", "text", F.monotonically_increasing_id())  # equal rows part too
+    blocked = staging.table(named.withColumn("block", F.pmod(deal, F.lit(blocks))), "items")
+    for (block,) in blocked.select("block").distinct().orderBy("block").collect():
+        held = blocked.where(F.col("block") == block).orderBy("item_id", "text").select("item_id", "text").collect()
         yield items.sparkSession.sparkContext.broadcast([(r.item_id, r.text) for r in held])
 
 

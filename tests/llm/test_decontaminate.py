@@ -78,7 +78,9 @@ def test_blocks_give_the_same_rows(spark, prose, monkeypatch):
     items = spark.createDataFrame([(i, prose(i, 30)) for i in range(12)], "item_id long, text string")
     docs = spark.createDataFrame([(i, prose(50 + i) + " " + prose(i, 30)) for i in range(12)], "doc_id long, text string")
     whole = sorted(tuple(r) for r in d.leaks(docs, items).collect())
+    assert len(list(d._blocks(items.repartition(12)))) == 1  # however many files
     monkeypatch.setattr(d, "ITEM_BLOCK", 40)
+    assert len(list(d._blocks(items))) > 4
     assert sorted(tuple(r) for r in d.leaks(docs, items).collect()) == whole and len(whole) == 12
 
 
