@@ -1,4 +1,4 @@
-"""Polling as plans: what is due, what a crash left behind, and episodes of repeated alerts."""
+"""Polling as plans: what is due, what a crash left behind, whether a report changed, and episodes of repeated alerts."""
 
 from __future__ import annotations
 
@@ -105,3 +105,29 @@ def episodes(observations: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in EPISODES.split(", ")])
 
     return logged.mapInPandas(run, EPISODES)
+
+
+def report_signals(parts: DataFrame, changed_only: bool = False) -> DataFrame:
+    """(tick, signal, changed) of every report: whether what it would make a reader act on differs from the report before.
+
+    parts: tick, part, text: the reportable state alone (plan states, freshness and health of documents with their sorted
+    versions, open reviews, problems), a row a statement; clocks and paths of a tick are none of it. The signal is a digest
+    of the statements' digests in order, so equal states have equal signals in whatever order they were found.
+    """
+    own = F.sha2(F.concat_ws("|", "part", F.coalesce("text", F.lit(""))), 256)
+    each = parts.select("tick", own.alias("d")).distinct()
+    signal = each.groupBy("tick").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ""), 256).alias("signal"))
+    before = F.lag("signal").over(Window.orderBy("tick"))  # a row a tick
+    out = signal.withColumn("changed", ~before.eqNullSafe(F.col("signal")))
+    return out.where("changed") if changed_only else out
+
+
+def due_times(attempts: DataFrame, interval_us: int, upto_us: int) -> DataFrame:
+    """(target_id, due_us): every instant up to `upto_us` at which a target fell due, no attempt having come in between.
+
+    attempts: target_id, us. An attempt at the very instant is in time.
+    """
+    known = attempts.where(F.col("us") <= upto_us).select("target_id", "us").distinct()
+    after = F.lead("us").over(Window.partitionBy("target_id").orderBy("us"))
+    gaps = known.select("target_id", (F.col("us") + interval_us).alias("due_us"), after.alias("next_us"))
+    return gaps.where((F.col("due_us") <= upto_us) & (F.col("next_us").isNull() | (F.col("next_us") > F.col("due_us")))).select("target_id", "due_us")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from claimlens.functions import schema
-from claimlens.operators import align, chains, intervals
+from claimlens.functions import clocks, schema
+from claimlens.operators import align, chains, intervals, polling
 from claimlens.plans.queries import query
 from claimlens.plans.staging import Staging
 from claimlens.sources import projection as P
@@ -141,3 +141,26 @@ def overlap_guard(spark, sf_dir):
     """Assignments that begin before an earlier one of their customer has ended, and until when that one reaches."""
     rows = P.assignments(spark, sf_dir).select(F.col("observed_id").alias("key"), F.col("assignment_id").alias("id"), F.col("valid_from").alias("start"), F.col("valid_to").alias("end"))
     return intervals.clashes(rows, Staging(spark, "guard"))
+
+
+# ---------------------------------------------------------------- polling
+
+
+@query(
+    """WITH t AS (SELECT user_id AS target_id, epoch_us(ts) AS us FROM events GROUP BY ALL), g AS (SELECT target_id, us + 21600000000 AS due_us, lead(us) OVER (PARTITION BY target_id ORDER BY us) AS next_us FROM t WHERE us <= 1706313600000000)
+SELECT target_id, due_us FROM g WHERE due_us <= 1706313600000000 AND (next_us IS NULL OR next_us > due_us)"""
+)
+def poll_due_times(spark, sf_dir):
+    """Every instant at which a user, seen as a target, had not been polled for six hours."""
+    e = P.table(spark, sf_dir, "events").select(F.col("user_id").alias("target_id"), clocks.micros(F.col("ts")).alias("us"))
+    return polling.due_times(e, 6 * 3_600_000_000, 1_706_313_600_000_000)
+
+
+@query(
+    """WITH p AS (SELECT CAST(ts AS DATE) AS tick, event_type AS part, max(CAST(floor(value / 40) AS BIGINT))::VARCHAR AS text FROM events GROUP BY ALL), s AS (SELECT tick, sha256(string_agg(d, '' ORDER BY d)) AS signal FROM (SELECT DISTINCT tick, sha256(part || '|' || text) AS d FROM p) u GROUP BY 1)
+SELECT tick, signal, lag(signal) OVER (ORDER BY tick) IS DISTINCT FROM signal AS changed FROM s"""
+)
+def report_signals(spark, sf_dir):
+    """Whether each day's report, the highest level of every event type, says anything new."""
+    e = P.table(spark, sf_dir, "events").select(F.to_date("ts").alias("tick"), F.col("event_type").alias("part"), F.floor(F.col("value") / 40).alias("v"))
+    return polling.report_signals(e.groupBy("tick", "part").agg(F.max("v").cast("string").alias("text")))
