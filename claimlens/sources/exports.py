@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.functions.ids import canonical_json, tree_digest
 from claimlens.functions.text import safe_cell
+from claimlens.plans.staging import Staging
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -57,10 +60,40 @@ def descriptor(tables: dict[str, DataFrame]) -> str:
     return json.dumps({"profile": "tabular-data-package", "resources": resources}, sort_keys=True)
 
 
+def name_below(root: str) -> Column:
+    """The name of a file below a folder, with the folders between them, so that equal names in two folders stay apart."""
+    plain = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    base = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    return F.when(plain.startswith(base + "/"), F.substring(plain, F.lit(len(base) + 2), F.length(plain))).otherwise(F.substring_index("path", "/", -1))
+
+
 def resources(spark: SparkSession, path: str) -> DataFrame:
     """(name, bytes, sha256) of every file below a folder, as a data package and verify_snapshot name them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select(name_below(path).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def write_checked_release(tables: dict[str, DataFrame], rules: dict[str, Callable], views: dict[str, Callable], path: str, meta: dict[str, str], staging: Staging) -> DataFrame:
+    """A release all of whose views are of one state of the store, written only if that state breaks no rule.
+
+    tables are pinned first: each is written once to the shared folder, so later writers and lost executors change
+    nothing. rules and views are functions of the pinned tables; a rule gives the rows that break it, and may ask for
+    views too, by name, as they are pinned before it is tested. Every broken rule is told with its count and an example,
+    and nothing is installed. The manifest holds the digests of the tables' rows beside those of the views.
+    """
+    pinned = {name: staging.table(df, name) for name, df in sorted(tables.items())}
+    for name, view in views.items():  # a view may read those before it
+        pinned[name] = staging.table(view(pinned), name)
+    broken = []
+    for name, rule in sorted(rules.items()):
+        rows = staging.table(rule(pinned), "broken")
+        if n := rows.count():
+            broken.append(f"{name}: {n} rows, such as {rows.orderBy(*rows.columns).first().asDict()}")
+        staging.drop(rows)
+    if broken:
+        raise ValueError("no release: " + "; ".join(broken))
+    digests = {f"table {name}": tree_digest(pinned[name].select(F.to_json(F.struct("*")).alias("value")), F.col("value")).first().digest for name in sorted(tables)}
+    return write_release({name: pinned[name] for name in views}, path, meta | digests)
 
 
 def write_release(views: dict[str, DataFrame], path: str, meta: dict[str, str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions.facilities import wkt_point, whole
 from claimlens.functions.ids import canonical, strict_decoder
+from claimlens.sources.exports import name_below
 
 
 def csv_exact(spark: SparkSession, path: str, header: list[str], null: str | None = None) -> DataFrame:
@@ -216,7 +217,7 @@ def curated(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def verify_snapshot(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
     """(name, problem): files of a snapshot that a manifest (name, bytes, sha256) lacks or contradicts; empty when sound."""
-    files = spark.read.format("binaryFile").load(root).select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("got_bytes"), F.sha2("content", 256).alias("got"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(name_below(root).alias("name"), F.col("length").alias("got_bytes"), F.sha2("content", 256).alias("got"))
     both = manifest.join(files, "name", "full_outer")
     problem = F.when(F.col("got").isNull(), "missing").when(F.col("sha256").isNull(), "unlisted").when(F.col("bytes") != F.col("got_bytes"), "size").when(F.col("sha256") != F.col("got"), "digest")
     return both.select("name", problem.alias("problem")).where("problem is not null")

@@ -9,6 +9,7 @@ import zipfile
 
 import pytest
 from claimlens.functions import clocks, facilities, ids, text
+from claimlens.plans.staging import Staging
 from claimlens.sources import exports, readers
 from claimlens.streaming import queues
 from pyspark.sql import functions as F
@@ -123,7 +124,7 @@ def test_sinks(spark, tmp_path):
     assert json.loads(spark.read.text(str(tmp_path / "g")).first().value)["geometry"] is None
     assert json.loads(exports.descriptor({"t": df}))["resources"][0]["schema"]["fields"][2]["type"] == "integer"
     assert readers.verify_snapshot and exports.verify_release(spark, str(tmp_path / "r")).count() == 0
-    part = next((tmp_path / "r" / "one").glob("part-*"))
+    part = next(p for p in (tmp_path / "r" / "one").glob("part-*") if p.stat().st_size)
     part.with_name(f".{part.name}.crc").unlink()
     part.write_text('{"t":"=y","l":["b","a"],"n":null}\n')
     assert [tuple(r) for r in exports.verify_release(spark, str(tmp_path / "r")).collect()] == [("one", "digest")]
@@ -163,6 +164,39 @@ def test_strict_lines_and_resources(spark, tmp_path):
     assert readers.verify_snapshot(spark, str(tmp_path / "a.jsonl"), listed).count() == 0 and listed.first()["bytes"] == 34
 
 
+def test_equal_names_in_two_folders_stay_apart(spark, tmp_path):
+    for folder, content in (("x", b"one"), ("y", b"two")):
+        (tmp_path / "s" / folder).mkdir(parents=True)
+        (tmp_path / "s" / folder / "same").write_bytes(content)
+    listed = exports.resources(spark, str(tmp_path / "s"))
+    assert {r.name: r.sha256 for r in listed.collect()} == {"x/same": hashlib.sha256(b"one").hexdigest(), "y/same": hashlib.sha256(b"two").hexdigest()}
+    manifest = spark.createDataFrame([tuple(r) for r in listed.collect()], listed.schema)
+    assert readers.verify_snapshot(spark, str(tmp_path / "s"), manifest).count() == 0
+    (tmp_path / "s" / "y" / "same").write_bytes(b"six")
+    assert [tuple(r) for r in readers.verify_snapshot(spark, f"file:{tmp_path}/s", manifest).collect()] == [("y/same", "digest")]
+
+
+def test_a_release_is_of_one_sound_state(spark, tmp_path):
+    source = str(tmp_path / "claims")
+    spark.createDataFrame([(1, 5, "a"), (2, 6, "b"), (3, 9, "c")], "id long, us long, v string").write.parquet(source)
+    links = spark.createDataFrame([(1, "d"), (2, "e"), (7, "f")], "id long, doc string")
+    tables = lambda: {"claims": spark.read.parquet(source), "links": links.where("id < 5")}
+
+    def current(t):
+        spark.createDataFrame([(4, 4, "late")], "id long, us long, v string").write.mode("append").parquet(source)  # a writer in between
+        return t["claims"].where("us <= 6")
+
+    views = {"current": current, "evidence": lambda t: t["links"].join(t["current"], "id", "left_semi"), "history": lambda t: t["claims"]}
+    rules = {"evidence without a claim": lambda t: t["links"].join(t["claims"], "id", "left_anti"), "a current claim lacks evidence": lambda t: t["current"].join(t["evidence"], "id", "left_anti")}
+    out = str(tmp_path / "r")
+    m = exports.write_checked_release(tables(), rules, views, out, {"as_of": "x"}, Staging(spark, "release"))
+    assert {(r["view"], r["rows"]) for r in m.collect()} == {("current", 2), ("evidence", 2), ("history", 3)} and "table claims" in m.columns
+    assert exports.verify_release(spark, out).count() == 0
+    with pytest.raises(ValueError, match="evidence without a claim: 1 rows, such as {'id': 7, 'doc': 'f'}"):
+        exports.write_checked_release(tables() | {"links": links}, rules, {"history": lambda t: t["claims"], "current": lambda t: t["claims"], "evidence": lambda t: t["links"]}, str(tmp_path / "no"), {}, Staging(spark, "release"))
+    assert not (tmp_path / "no").exists() and not (tmp_path / "no.staging").exists()
+
+
 def test_explicit_semiconductor(spark):
     tags = lambda **t: F.create_map(*[F.lit(x) for kv in {"name": "n", **{k.replace("__", ":"): v for k, v in t.items()}}.items() for x in kv])
     yes = [tags(industrial="Semiconductor"), tags(factory="x;semiconductor"), tags(proposed__industrial="integrated circuit"), tags(product="Silicon-Wafer", landuse="industrial"), tags(product="microchips", factory="yes"), tags(product="photomask", building="factory")]
