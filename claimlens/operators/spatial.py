@@ -2,6 +2,8 @@
 
 A polygon is cut into the cells that its edges touch and those that lie inside without touching any. A point of an inside
 cell needs no test. The grid's step is a parameter: a finer one has more rows and fewer tests.
+
+Rings meet rows by sorted joins: their size is not seen in that of the table they come from, so none is left to a broadcast.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def cover(areas: DataFrame, step: float) -> DataFrame:
     border = column.select("area", "cx", F.explode(rows).alias("cy")).distinct()
     gap = border.withColumn("next", F.lead("cy").over(Window.partitionBy("area", "cx").orderBy("cy"))).where("next > cy + 1")
     middle = lambda c: (F.col(c) + 0.5) * step
-    inner = gap.withColumn("mid", F.col("cy") + 1).join(areas.select("area", "rings"), "area")
+    inner = gap.withColumn("mid", F.col("cy") + 1).join(areas.select("area", "rings").hint("merge"), "area")
     inner = inner.where(geo.in_polygon(middle("cx"), middle("mid"), F.col("rings"))).select("area", "cx", F.explode(F.sequence(F.col("cy") + 1, F.col("next") - 1)).alias("cy"))
     return border.withColumn("border", F.lit(True)).unionByName(inner.withColumn("border", F.lit(False)))
 
@@ -49,10 +51,22 @@ def within(points: DataFrame, areas: DataFrame, covered: DataFrame, step: float)
     """(id, area) of points (id, x, y) for every area that holds them. covered: the areas' cover at this step."""
     placed = points.where("x is not null and y is not null").withColumn("cx", cell(F.col("x"), step)).withColumn("cy", cell(F.col("y"), step))
     near = placed.join(covered, ["cx", "cy"])
-    tested = near.where("border").join(areas.select("area", "rings"), "area").where(geo.in_polygon(F.col("x"), F.col("y"), F.col("rings")))
+    tested = near.where("border").join(areas.select("area", "rings").hint("merge"), "area").where(geo.in_polygon(F.col("x"), F.col("y"), F.col("rings")))
     return near.where("not border").select("id", "area").unionByName(tested.select("id", "area"))
 
 
+def firsts(areas: DataFrame, covered: DataFrame) -> DataFrame:
+    """(cx, cy, border, order, code, rings): in every cell the areas that can be the first around a point of it.
+
+    The least area that holds the whole cell comes before all that follow it in the order of (rank, area), so only it and
+    the borders before it are left: a cell keeps few areas, however many overlap there.
+    """
+    ranked = covered.join(areas.select("area", "code", F.struct("rank", "area").alias("order")).hint("merge"), "area")
+    least = ranked.where("not border").groupBy("cx", "cy").agg(F.min("order").alias("least"))
+    kept = ranked.join(least, ["cx", "cy"], "left").where("least is null or order <= least").drop("least")
+    return kept.join(areas.select("area", "rings").hint("merge"), "area").drop("area")
+
+
 def fill(points: DataFrame, areas: DataFrame, covered: DataFrame, step: float) -> DataFrame:
     """(id, code, basis): a point's own code where it is one (two letters), else that of the first area around it, else of the probes.
 
@@ -61,9 +75,10 @@ def fill(points: DataFrame, areas: DataFrame, covered: DataFrame, step: float) -
     own = F.upper(F.trim("own"))
     tagged = points.select("id", "x", "y", F.when(own.rlike("^[A-Z]{2}$"), own).alias("own"))
     asked = tagged.where("own is null").withColumn("p", F.explode(F.array(*[F.struct(F.lit(n).alias("probe"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for n, (dx, dy) in enumerate(((0.0, 0.0), *PROBES))])))
-    tried = asked.select(F.struct("id", "p.probe").alias("id"), (F.col("x") + F.col("p.dx")).alias("x"), (F.col("y") + F.col("p.dy")).alias("y"))
-    hits = within(tried, areas, covered, step).join(areas.select("area", "code", "rank"), "area")
-    best = hits.groupBy(F.col("id.id").alias("id")).agg(F.min_by("code", F.struct("id.probe", "rank")).alias("found"))
+    tried = asked.select("id", "p.probe", (F.col("x") + F.col("p.dx")).alias("x"), (F.col("y") + F.col("p.dy")).alias("y")).where("x is not null and y is not null")
+    tried = tried.withColumn("cx", cell(F.col("x"), step)).withColumn("cy", cell(F.col("y"), step))
+    hits = tried.join(firsts(areas, covered).hint("merge"), ["cx", "cy"]).where(~F.col("border") | geo.in_polygon(F.col("x"), F.col("y"), F.col("rings")))
+    best = hits.groupBy("id").agg(F.min_by("code", F.struct("probe", "order")).alias("found"))
     out = tagged.join(best, "id", "left")
     basis = F.when(F.col("own").isNotNull(), "tag").when(F.col("found").isNotNull(), "boundary lookup")
     return out.select("id", F.coalesce("own", "found").alias("code"), basis.alias("basis"))

@@ -157,3 +157,24 @@ def test_points_meet_cells_by_equality(spark):
 
     text = q.points_in_areas(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_fill_keeps_few_areas_a_cell(spark):
+    rng = random.Random(8)
+    box = lambda x, y, r: [[[x - r, y - r], [x + r, y - r], [x + r, y + r], [x - r, y + r], [x - r, y - r]]]
+    areas = [(i, f"{chr(65 + i % 26)}A", rng.randrange(40), box(rng.uniform(-1, 1), rng.uniform(-1, 1), rng.uniform(0.3, 3))) for i in range(120)]
+    points = [(i, rng.uniform(-5, 5), rng.uniform(-5, 5), None) for i in range(300)]
+    df = spark.createDataFrame(areas, "area long, code string, rank long, rings array<array<array<double>>>")
+    covered = spatial.cover(df, 0.5)
+    asked = spark.createDataFrame(points, "id long, x double, y double, own string")
+    filled = spatial.fill(asked, df, covered, 0.5)
+    want = {}
+    for i, x, y, _ in points:
+        hits = [(n, rank, a, code) for n, (dx, dy) in enumerate(((0.0, 0.0), *spatial.PROBES)) for a, code, rank, rings in areas if in_ring(x + dx, y + dy, rings[0])]
+        want[i] = min(hits)[3] if hits else None
+    assert {r.id: r.code for r in filled.collect()} == want
+    kept = spatial.firsts(df, covered)
+    assert kept.count() * 4 < covered.count()
+    assert kept.where("not border").groupBy("cx", "cy").count().where("count > 1").isEmpty()
+    plan = spatial.fill(asked, df, covered, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan  # before sizes are known; what adaptive execution has measured it may send
