@@ -98,12 +98,13 @@ PRODUCTION = ("mass_production", "production_start", "ramp_start", "volume_produ
 STANDING = ("expected", "started", "completed", "delayed")
 
 
-def selection(capacities: DataFrame, milestones: DataFrame, links: DataFrame, reviews: DataFrame, supported: DataFrame, start: str) -> DataFrame:
+def selection(capacities: DataFrame, milestones: DataFrame, links: DataFrame, reviews: DataFrame, supported: DataFrame, start: str, by: str = "capacity_id") -> DataFrame:
     """Every capacity with the reason why it is not forecast (null: it is), the claims the reason names, and its milestone.
 
     capacities: capacity_id, entity_id, basis, unit, metric, confidence, valid_from, period_start, period_end;
     milestones: milestone_id, entity_id, milestone_type, status, confidence, valid_from, low, base; links: capacity_id,
-    milestone_id (see release.linked); reviews: capacity_id, milestone_id, decision; supported: claim ids `node` whose
+    milestone_id (see release.linked), or, where many capacities have the same links, `by` and milestone_id once for all of
+    them, `by` being a column of capacities too; reviews: capacity_id, milestone_id, decision; supported: claim ids `node` whose
     support reaches evidence. Economically usable capacity needs no milestone; any other needs exactly one that is
     linked, standing and fully known, and an accepted review of that very pair.
     """
@@ -112,18 +113,22 @@ def selection(capacities: DataFrame, milestones: DataFrame, links: DataFrame, re
     side = first_of([(status == "cancelled", "cancelled"), (status.isin(*STANDING), F.when(known & F.col("base").isNotNull(), "active").otherwise("unsupported"))])
     made = milestones.where(F.col("milestone_type").isin(*PRODUCTION)).select("milestone_id", "entity_id", "low", side.alias("side")).where("side is not null")
     gather = lambda name, *kinds: F.array_sort(F.collect_set(F.when(F.col("side").isin(*kinds), F.col("milestone_id")))).alias(name)
-    linked = links.select("capacity_id", "milestone_id").distinct().join(made.drop("entity_id"), "milestone_id").groupBy("capacity_id").agg(
+    linked = links.select(by, "milestone_id").distinct().join(made.drop("entity_id"), "milestone_id").groupBy(by).agg(
         gather("active", "active"), gather("cancelled", "cancelled"), gather("open", "active", "unsupported"), gather("unsupported", "unsupported"), F.min(F.when(F.col("side") == "active", F.col("low"))).alias("low")
     )
     # an entity's own milestones, of which reasons name all: bounded by one entity
     around = made.groupBy("entity_id").agg(gather("own_active", "active"), gather("own_cancelled", "cancelled"))
+    # rules need the lists' lengths alone; the lists are met again by the rows that are asked for what a reason names
+    length = lambda *names: [F.size(n).alias(f"n_{n}") for n in names]
+    counted = linked.select(by, "low", F.when(F.size("active") == 1, F.element_at("active", 1)).alias("only"), *length("active", "cancelled", "open", "unsupported"))
+    counted_around = around.select("entity_id", *length("own_active", "own_cancelled"))
     review = reviews.groupBy("capacity_id").agg(F.max_by(F.struct("milestone_id", "decision"), F.struct("milestone_id", "decision")).alias("r"))
     held = supported.select(F.col("node").alias("s")).distinct()
-    rows = capacities.join(linked, "capacity_id", "left").join(around, "entity_id", "left").join(review, "capacity_id", "left")
+    rows = capacities.join(counted, by, "left").join(counted_around, "entity_id", "left").join(review, "capacity_id", "left")
     none = F.array().cast("array<long>")
-    lists = {c: F.coalesce(c, none) for c in ("active", "cancelled", "open", "unsupported", "own_active", "own_cancelled")}
+    names = ("active", "cancelled", "open", "unsupported", "own_active", "own_cancelled")
     needs = F.col("basis") != "economically_usable"
-    rows = rows.withColumns(lists).withColumn("milestone_id", F.when(needs & (F.size("active") == 1), F.element_at("active", 1)))
+    rows = rows.withColumns({f"n_{c}": F.coalesce(f"n_{c}", F.lit(0)) for c in names}).withColumn("milestone_id", F.when(needs, F.col("only")))
     rows = rows.join(held, F.col("capacity_id") == F.col("s"), "left").withColumn("sound", F.col("s").isNotNull()).drop("s")
     rows = rows.join(held, F.col("milestone_id") == F.col("s"), "left").withColumn("sound", F.col("sound") & (F.col("milestone_id").isNull() | F.col("s").isNotNull())).drop("s")
     begin = quarter_start(F.lit(start).cast("date"))
@@ -131,22 +136,26 @@ def selection(capacities: DataFrame, milestones: DataFrame, links: DataFrame, re
     period = period_exclusion(F.col("period_start"), F.col("period_end"), begin, add_quarters(begin, QUARTERS), low)
     pair, other = F.col("milestone_id").isNotNull(), F.col("r.milestone_id") != F.col("milestone_id")
     mine = F.array_compact(F.array("milestone_id"))
-    some = lambda c: F.size(c) > 0
+    some = lambda c: F.col(f"n_{c}") > 0
     rules = [
-        (~known, "unknown_capacity_evidence_basis", none),
-        (relative_capacity(F.col("unit"), F.col("metric")), "relative_capacity_not_forecastable", none),
-        (needs & some("cancelled") & some("open"), "conflicting_production_milestone_statuses", F.array_sort(F.array_union("cancelled", "open"))),
-        (needs & some("cancelled"), "cancelled_production_milestone", F.col("cancelled")),
-        (needs & some("unsupported"), "unsupported_linked_production_milestone", F.col("unsupported")),
-        (needs & (F.size("active") > 1), "ambiguous_linked_production_milestones", F.col("active")),
-        (needs & ~pair & some("own_active"), "unlinked_production_milestone", F.col("own_active")),
-        (needs & ~pair & some("own_cancelled"), "cancelled_production_milestone", F.col("own_cancelled")),
-        (needs & ~pair, "missing_production_milestone", none),
-        (period.isNotNull(), period, mine),
-        (pair & F.col("r").isNull(), "capacity_event_scope_unreviewed", mine),
-        (pair & (F.col("r.decision") != "accepted"), "capacity_event_scope_deferred", mine),
-        (pair & other, "capacity_event_scope_mismatch", F.array_sort(F.array("milestone_id", "r.milestone_id"))),
-        (~F.col("sound"), "forecast_input_support_unavailable_or_invalid", mine),
+        (~known, "unknown_capacity_evidence_basis", None),
+        (relative_capacity(F.col("unit"), F.col("metric")), "relative_capacity_not_forecastable", None),
+        (needs & some("cancelled") & some("open"), "conflicting_production_milestone_statuses", "conflict"),
+        (needs & some("cancelled"), "cancelled_production_milestone", "cancelled"),
+        (needs & some("unsupported"), "unsupported_linked_production_milestone", "unsupported"),
+        (needs & (F.col("n_active") > 1), "ambiguous_linked_production_milestones", "active"),
+        (needs & ~pair & some("own_active"), "unlinked_production_milestone", "own_active"),
+        (needs & ~pair & some("own_cancelled"), "cancelled_production_milestone", "own_cancelled"),
+        (needs & ~pair, "missing_production_milestone", None),
+        (period.isNotNull(), period, "mine"),
+        (pair & F.col("r").isNull(), "capacity_event_scope_unreviewed", "mine"),
+        (pair & (F.col("r.decision") != "accepted"), "capacity_event_scope_deferred", "mine"),
+        (pair & other, "capacity_event_scope_mismatch", "both"),
+        (~F.col("sound"), "forecast_input_support_unavailable_or_invalid", "mine"),
     ]
-    why = first_of(((test, F.struct((reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"), related.alias("related"))) for test, reason, related in rules))
-    return rows.withColumn("why", why).select("capacity_id", "entity_id", "why.reason", F.coalesce("why.related", none).alias("related"), F.when(F.col("why").isNull(), F.col("milestone_id")).alias("milestone_id"))
+    why = first_of(((test, F.struct((reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"), F.lit(named).cast("string").alias("named"))) for test, reason, named in rules))
+    rows = rows.withColumn("why", why).withColumn("told", F.col("r.milestone_id"))
+    rows = rows.select(*dict.fromkeys((by, "capacity_id", "entity_id")), "why", "milestone_id", "told").join(linked.drop("low"), by, "left").join(around, "entity_id", "left")
+    lists = {c: F.col(c) for c in names if c != "open"} | {"conflict": F.array_sort(F.array_union("cancelled", "open")), "mine": mine, "both": F.array_sort(F.array("milestone_id", "told"))}
+    related = first_of((F.col("why.named") == name, ids) for name, ids in lists.items())
+    return rows.select("capacity_id", "entity_id", "why.reason", F.coalesce(related, none).alias("related"), F.when(F.col("why").isNull(), F.col("milestone_id")).alias("milestone_id"))

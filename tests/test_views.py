@@ -236,3 +236,25 @@ def test_episodes_of_many_series_equal_the_definition(spark):
         assert {q: (first[r.episode], r.floor_us) for q, r in own.items()} == want
         repeats += sum(not r.is_new for r in own.values())
     assert repeats > 30
+
+
+def test_capacities_share_links_by_group(spark):
+    caps = "capacity_id long, entity_id long, basis string, unit string, metric string, confidence double, valid_from date, period_start date, period_end date, peers long"
+    day = date(2023, 1, 1)
+    capacities = spark.createDataFrame([(i, i % 3, "announced", "wafers", "output", 0.5, day, None, None, i % 6) for i in range(24)], caps)
+    sides = ["expected", "cancelled", "started", "unknown", "expected"]
+    milestones = spark.createDataFrame([(m, m % 3, "mass_production", sides[m % 5], 0.5 if m % 4 else None, day, date(2024, 6, m), date(2024, 6, m)) for m in range(1, 13)], "milestone_id long, entity_id long, milestone_type string, status string, confidence double, valid_from date, low date, base date")
+    pairs = [(p, m) for p in range(6) for m in range(1, 13) if p % 3 == m % 3 and (p * 5 + m) % 4 < 2 and p != 5]
+    shared = spark.createDataFrame(pairs, "peers long, milestone_id long")
+    each = capacities.select("capacity_id", "peers").join(shared, "peers").select("capacity_id", "milestone_id")
+    reviews = each.groupBy("capacity_id").agg(F.min("milestone_id").alias("milestone_id")).withColumn("decision", F.lit("accepted"))
+    supported = spark.range(30).select(F.col("id").alias("node"))
+    by_pair = forecast.selection(capacities, milestones, each, reviews, supported, "2024-02-10")
+    by_group = forecast.selection(capacities, milestones, shared, reviews, supported, "2024-02-10", by="peers")
+    got = sorted(map(str, by_group.collect()))
+    assert got == sorted(map(str, by_pair.collect())) and len(got) == 24
+    assert len({r.reason for r in by_group.collect()}) > 2 and any(r.related for r in by_group.collect())
+    # what is not asked is not joined: reasons alone need no list of milestones beside a capacity
+    plan = by_group.select("capacity_id", "reason")._jdf.queryExecution().optimizedPlan().toString()
+    full = by_group._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == full.count("Join LeftOuter") - 2
