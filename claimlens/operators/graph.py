@@ -5,7 +5,7 @@ Every loop writes its frontier to the shared folder, so a round's plan never con
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -76,28 +76,98 @@ def connected_components(edges: DataFrame, staging: Staging, src: str = "src", d
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def closure(seeds: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
+def _led_to(graph: DataFrame, node: str, to: str, staging: Staging) -> DataFrame:
+    """The rows of a graph that leave a node to which another row of it leads: what a walk can take one step later."""
+    ends = graph.select(F.col(to).alias(node)).distinct()
+    return staging.table(graph.join(ends, node, "left_semi").select(graph.columns), "graph")
+
+
+def expand(begin: DataFrame, graph: DataFrame, ahead: Callable[[DataFrame, DataFrame], DataFrame], staging: Staging, node: str = "node", to: str = "next", rounds: int | None = None, check: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows reached from `begin`, with repeats; the rows of the last round, empty unless `rounds` ended it; the graph left then.
+
+    ahead(rows, graph) gives the rows one step on; begin and graph are staged. Rows of a round are distinct, but only after
+    1, 2, 4, 8... rounds are those known before taken out, so all that is held is read a few times and not once a round;
+    circles end within twice their rounds. `check` sees what is held at the same times and at the end. The graph is cut
+    each round to what a walk of that length can still take, as long as that takes a fifth of it away.
+    """
+    held, fresh, n, size = begin, begin, 0, None
+    while rounds is None or n < rounds:
+        n += 1
+        told = n & (n - 1) == 0
+        new = ahead(fresh, graph).distinct()
+        fresh = staging.table(new.join(held, begin.columns, "left_anti").select(begin.columns) if told else new, "frontier")
+        last = fresh.isEmpty()
+        held = held if last else held.unionByName(fresh)
+        if check and (told or last):
+            check(held)
+        if last:
+            break
+        if size != 0:
+            before = graph.count() if size is None else size
+            old, graph = graph, _led_to(graph, node, to, staging)
+            now = graph.count()
+            staging.drop(old)
+            size = now if now * 5 <= before * 4 else 0  # 0: it shrinks no more
+    return held, fresh, graph
+
+
+def closure(seeds: DataFrame, edges: DataFrame, staging: Staging, rounds: int = 32) -> DataFrame:
     """(root, node): everything reachable from each seed (one column `root`) over (child, parent) edges, itself included.
 
-    Path doubling: round i knows all paths shorter than 2^i and adds those that go on by exactly 2^i steps, so a chain of
-    n links takes log n rounds. Works on graphs with diamonds and with circles: what adds nothing in a round adds
-    nothing later.
+    After some rounds of single steps, which list each pair about once an edge, long chains go on by path doubling: round
+    i knows all paths shorter than 2^i and adds those that go on by exactly 2^i steps, so a chain of n links takes log n
+    rounds. Works on graphs with diamonds and with circles: what adds nothing in a round adds nothing later.
     """
     leap = staging.table(edges.select(F.col("child").alias("node"), F.col("parent").alias("next")).where("node is not null and next is not null").distinct(), "leap")
-    seen = staging.table(seeds.select("root", F.col("root").alias("node")).distinct(), "reach")
-    size = seen.count()
+    begin = staging.table(seeds.select("root", F.col("root").alias("node")).distinct(), "reach")
+    one = lambda rows, graph: rows.join(graph, "node").select("root", F.col("next").alias("node"))
+    held, fresh, leap = expand(begin, leap, one, staging, rounds=rounds)
+    if fresh.isEmpty():
+        return held.distinct()
+    seen, size = fresh, fresh.count()
     while True:
-        ahead = seen.join(leap, "node").select("root", F.col("next").alias("node"))
-        now = staging.table(seen.unionByName(ahead).distinct(), "reach")
+        now = staging.table(seen.unionByName(one(seen, leap)).distinct(), "reach")
         grown = now.count()
         if grown == size:
-            return now
+            return held.unionByName(now).distinct()
         far = staging.table(leap.join(leap.select(F.col("node").alias("next"), F.col("next").alias("end")), "next").select("node", F.col("end").alias("next")).distinct(), "leap")
-        staging.drop(leap)
-        staging.drop(seen)
         seen, size, leap = now, grown, far
 
 
+def gathered(nodes: DataFrame, values: DataFrame, edges: DataFrame, staging: Staging) -> DataFrame:
+    """(node, held): for each node the sorted distinct values of all that it reaches over (child, parent) edges, itself included.
+
+    nodes: node; values: node, value. Sets rise through the graph, each built once from those of a node's parents, and no
+    pair of nodes is listed: layers are taken off from above (edges of children that nobody rests on), then filled from
+    below. What lies on circles or below them goes by its closure.
+    """
+    own = staging.table(values.where("value is not null").groupBy("node").agg(F.collect_set("value").alias("held")), "own")
+    left = staging.table(edges.where("child <> parent").select("child", "parent").distinct(), "edges")
+    none = F.array().cast(own.schema["held"].dataType)
+    inner = left.select(F.col("child").alias("node")).distinct()
+    every = nodes.select("node").unionByName(left.select(F.col("parent").alias("node"))).distinct()
+    ends = every.join(inner, "node", "left_anti").join(own, "node", "left").select("node", F.coalesce("held", none).alias("held"))
+    filled = staging.table(ends, "sets")
+    layers, size = [], left.count()
+    while size:
+        rest = _led_to(left, "child", "parent", staging)
+        now = rest.count()
+        if now == size:
+            break
+        layers.append(left.join(left.select(F.col("parent").alias("child")).distinct(), "child", "left_anti").select("child", "parent"))
+        left, size = rest, now
+    if size:  # circles
+        reach = closure(left.select(F.col("child").alias("root")).distinct(), left, staging)
+        sets = reach.join(own.withColumn("value", F.explode("held")).select("node", "value"), "node", "left").groupBy(F.col("root").alias("node")).agg(F.collect_set("value").alias("held"))
+        filled = filled.unionByName(staging.table(sets, "sets"))
+    for i, layer in enumerate(reversed(layers)):
+        below = layer.join(filled.select(F.col("node").alias("parent"), "held"), "parent").select(F.col("child").alias("node"), "held")
+        mine = layer.select(F.col("child").alias("node")).distinct().join(own, "node").select("node", "held")
+        sets = below.unionByName(mine).groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("held"))).alias("held"))
+        filled = filled.unionByName(sets if i + 1 == len(layers) else staging.table(sets, "sets"))  # nobody rests on the last
+    return filled.join(nodes.select("node").distinct(), "node", "left_semi").select("node", F.array_sort("held").alias("held"))
+
+
 def cyclic_nodes(edges: DataFrame, staging: Staging) -> DataFrame:
     """(node): nodes on a circle or above one, by peeling edges whose parent is a leaf; empty for a DAG.
 
@@ -119,18 +189,17 @@ def supported(nodes: DataFrame, direct: DataFrame, edges: DataFrame, staging: St
 
     nodes and direct have one column `node`; edges are (child, parent). A parent outside nodes supports nothing.
     """
-    edges = staging.table(edges.select("child", "parent").distinct(), "edges")
-    need = edges.groupBy("child").agg(F.count("*").alias("parents"))
-    good = staging.table(direct.select("node").distinct().join(nodes.select("node").distinct(), "node", "left_semi"), "good")
-    size = good.count()
-    while True:  # every round but the last adds nodes
-        held = edges.join(good.select(F.col("node").alias("parent")), "parent").groupBy("child").agg(F.count("*").alias("held"))
-        more = held.join(need, "child").where("held = parents").select(F.col("child").alias("node"))
-        good = staging.table(good.unionByName(more.join(nodes.select("node"), "node", "left_semi")).distinct(), "good")
-        now = good.count()
-        if now == size:
-            return good
-        size = now
+    nodes = nodes.select("node").distinct()
+    fresh = staging.table(direct.select("node").distinct().join(nodes, "node", "left_semi"), "good")
+    children = nodes.join(fresh, "node", "left_anti").select(F.col("node").alias("child"))
+    left = staging.table(edges.select("child", "parent").distinct().join(children, "child", "left_semi"), "edges")
+    good = fresh
+    while not fresh.isEmpty():  # edges go as their parents prove supported, and nodes without any left are supported
+        rest = staging.table(left.join(fresh.select(F.col("node").alias("parent")), "parent", "left_anti").select("child", "parent"), "edges")
+        more = left.select("child").distinct().join(rest.select("child").distinct(), "child", "left_anti")
+        fresh = staging.table(more.select(F.col("child").alias("node")), "good")
+        left, good = rest, good.unionByName(fresh)
+    return good
 
 
 def carry_identity(components: DataFrame, prior: DataFrame) -> DataFrame:

@@ -128,9 +128,10 @@ def lineage_closure(spark, sf_dir):
 @query(f"WITH RECURSIVE {DEPS}, {EVIDENCE}, reach(root, node) AS (SELECT event_id, event_id FROM events UNION SELECT r.root, d.parent FROM reach r JOIN deps d ON d.child = r.node) SELECT root, count(DISTINCT document_id) AS n_documents, min(document_id) AS first_document FROM reach JOIN evidence ON claim_id = node GROUP BY root")
 def lineage_documents(spark, sf_dir):
     """Documents that each claim rests on, directly or through parents."""
-    seeds = P.table(spark, sf_dir, "events").select(F.col("event_id").alias("root"))
-    reach = graph.closure(seeds, P.dependencies(spark, sf_dir), Staging(spark, "closure"))
-    return reach.join(P.evidence(spark, sf_dir), F.col("node") == F.col("claim_id")).groupBy("root").agg(F.countDistinct("document_id").alias("n_documents"), F.min("document_id").alias("first_document"))
+    claims = P.table(spark, sf_dir, "events").select(F.col("event_id").alias("node"))
+    told = P.evidence(spark, sf_dir).select(F.col("claim_id").alias("node"), F.col("document_id").alias("value"))
+    sets = graph.gathered(claims, told, P.dependencies(spark, sf_dir), Staging(spark, "lineage")).where(F.size("held") > 0)
+    return sets.select(F.col("node").alias("root"), F.size("held").cast("long").alias("n_documents"), F.element_at("held", 1).alias("first_document"))
 
 
 @query(

@@ -258,3 +258,50 @@ def test_capacities_share_links_by_group(spark):
     plan = by_group.select("capacity_id", "reason")._jdf.queryExecution().optimizedPlan().toString()
     full = by_group._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftOuter") == full.count("Join LeftOuter") - 2
+
+
+@pytest.mark.parametrize("circles", [False, True])
+def test_sets_rise_and_closures_go_on_by_doubling(spark, circles):
+    rng = random.Random(circles)
+    edges = {(a, rng.randrange(a)) for a in range(1, 12) for _ in range(2)} | {(i + 1, i) for i in range(12, 22)}
+    edges |= {(3, 7), (11, 11), (12, 14)} if circles else {(11, 11)}
+    after = {n: [b for a, b in edges if a == n] for n in range(23)}
+
+    def reach(n):
+        seen, todo = {n}, [n]
+        while todo:
+            new = [b for b in after[todo.pop()] if b not in seen]
+            seen.update(new)
+            todo += new
+        return seen
+
+    rows = spark.createDataFrame([*edges, (None, 1), (5, None)], "child long, parent long")
+    told = spark.createDataFrame([(n, n % 11) for n in range(0, 23, 3)] + [(7, None), (9, 50)], "node long, value long")
+    of = {n: ({n % 11} if n % 3 == 0 else set()) | ({50} if n == 9 else set()) for n in range(23)}
+    nodes = spark.createDataFrame([(n,) for n in range(0, 23, 2)] + [(999,)], "node long")
+    st = Staging(spark, "sets")
+    got = {r.node: r.held for r in graph.gathered(nodes, told, rows, st).collect()}
+    assert got == {n: sorted(set().union(*(of[m] for m in reach(n)))) for n in range(0, 23, 2)} | {999: []}
+    seeds = spark.createDataFrame([(22,), (10,), (4,), (11,)], "root long")
+    want = sorted((s, n) for s in (22, 10, 4, 11) for n in reach(s))
+    for rounds in (1, 32):  # ten links: by doubling after one round, or by single steps
+        assert sorted(map(tuple, graph.closure(seeds, rows, st, rounds).collect())) == want
+
+
+def test_support_looks_at_edges_that_are_left(spark, monkeypatch):
+    """Rounds of support write ever fewer edges, not all of them again."""
+    n = 12
+    nodes = spark.range(2 * n).select(F.col("id").alias("node"))
+    edges = spark.createDataFrame([(i + 1, i) for i in range(n)] + [(i, n + 3) for i in range(1, n)] + [(20, 99), (22, 22)], "child long, parent long")
+    sizes, table = [], Staging.table
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        if name == "edges":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(Staging, "table", counted)
+    direct = spark.createDataFrame([(0,), (n + 3,), (77,)], "node long")
+    assert sorted(r.node for r in graph.supported(nodes, direct, edges, Staging(spark, "s")).collect()) == [*range(n + 1), n + 3]
+    assert sizes == sorted(sizes, reverse=True) and sizes[0] > sizes[2] and sizes[-1] == 2
