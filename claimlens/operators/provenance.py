@@ -11,6 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.operators.graph import expand
 from claimlens.plans.staging import Staging
 
 
@@ -41,18 +42,26 @@ def trace(seeds: DataFrame, graph: DataFrame, staging: Staging, budget: int | No
     One round a step away from the seeds, of the new nodes alone; circles end, as what is reached is not new. With a budget,
     a seed that reaches more nodes is an error that names it: nothing is cut.
     """
-    graph = staging.table(graph.select("kind", "id", "next_kind", "next_id").distinct(), "edges")
-    fresh = staging.table(seeds.select(F.col("kind").alias("root_kind"), F.col("id").cast("string").alias("root"), "kind", F.col("id").cast("string").alias("id")).distinct(), "frontier")
-    seen = fresh
-    while not fresh.isEmpty():
-        if budget is not None:
-            over = seen.groupBy("root_kind", "root").agg(F.count("*").alias("n")).where(F.col("n") > budget).orderBy(F.desc("n"), "root_kind", "root").first()
-            if over:
-                raise ValueError(f"{over.root_kind} {over.root} rests on more than {budget} nodes")
-        ahead = fresh.join(graph, ["kind", "id"]).select("root_kind", "root", F.col("next_kind").alias("kind"), F.col("next_id").alias("id")).distinct()
-        fresh = staging.table(ahead.join(seen, ["root_kind", "root", "kind", "id"], "left_anti"), "frontier")
-        seen = seen.unionByName(fresh)
-    return seen
+    seeds = seeds.select("kind", F.col("id").cast("string").alias("id")).distinct()
+    ends = graph.select("kind", "id").unionByName(graph.select(F.col("next_kind").alias("kind"), F.col("next_id").alias("id"))).unionByName(seeds)
+    # rounds walk on numbers; names come back once, at the end
+    named = staging.table(ends.distinct().withColumn("node", F.monotonically_increasing_id()), "nodes")
+    after = named.select(F.col("kind").alias("next_kind"), F.col("id").alias("next_id"), F.col("node").alias("next"))
+    steps = staging.table(graph.join(named, ["kind", "id"]).join(after, ["next_kind", "next_id"]).select("node", "next").distinct(), "edges")
+    roots = staging.table(seeds.join(named, ["kind", "id"]).select(F.col("node").alias("root_"), F.col("kind").alias("root_kind"), F.col("id").alias("root")), "roots")
+    begin = staging.table(roots.select(F.col("root_").alias("root"), F.col("root_").alias("node")), "frontier")
+
+    def check(held: DataFrame) -> None:
+        most = held.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > budget).select("root")  # with repeats
+        over = held.join(most, "root", "left_semi").groupBy("root").agg(F.countDistinct("node").alias("n")).where(F.col("n") > budget)
+        over = over.join(named.withColumnRenamed("node", "root"), "root").orderBy(F.desc("n"), "kind", "id").first()
+        if over:
+            raise ValueError(f"{over.kind} {over.id} rests on more than {budget} nodes")
+
+    one = lambda rows, edges: rows.join(edges, "node").select("root", F.col("next").alias("node"))
+    held, _, _ = expand(begin, steps, one, staging, check=None if budget is None else check)
+    pairs = held.distinct().select(F.col("root").alias("root_"), "node")
+    return pairs.join(named, "node").join(roots, "root_").select("root_kind", "root", "kind", "id")
 
 
 def traced_edges(nodes: DataFrame, graph: DataFrame) -> DataFrame:
@@ -190,11 +199,8 @@ def follow(starts: DataFrame, triples: DataFrame, path: Path, staging: Staging)
     moves = [(-1, path.moves[b], b) for b in sorted(path.first)] + [(a, path.moves[b], b) for a, b in sorted(path.follows)]
     table = spark.createDataFrame(moves, "at int, predicate string, next int")  # as small as the expression
     begin = staging.table(starts.select(F.col("node").alias("start"), F.lit(-1).alias("at"), "node").where("node is not null").distinct(), "states")
-    seen, fresh = begin, begin
-    while not fresh.isEmpty():
-        ahead = fresh.join(F.broadcast(table), "at").join(walk, ["predicate", "node"]).select("start", F.col("next").alias("at"), F.col("to").alias("node")).distinct()
-        fresh = staging.table(ahead.join(seen, ["start", "at", "node"], "left_anti"), "states")
-        seen = seen.unionByName(fresh)
+    one = lambda rows, walk: rows.join(F.broadcast(table), "at").join(walk, ["predicate", "node"]).select("start", F.col("next").alias("at"), F.col("to").alias("node"))
+    seen, _, _ = expand(begin, walk, one, staging, to="to")
     ends = seen.where(F.col("at").isin(sorted(path.last)) | ((F.col("at") == -1) & F.lit(path.empty)))
     return ends.select("start", F.col("node").alias("end")).distinct()
 

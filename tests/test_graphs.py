@@ -178,3 +178,20 @@ def test_fill_keeps_few_areas_a_cell(spark):
     assert kept.where("not border").groupBy("cx", "cy").count().where("count > 1").isEmpty()
     plan = spatial.fill(asked, df, covered, 0.5)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastExchange" not in plan  # before sizes are known; what adaptive execution has measured it may send
+
+
+def test_trace_walks_a_graph_that_shrinks(spark, monkeypatch):
+    """Known nodes are read in few rounds, and rounds join ever fewer edges; circles beside a chain still end."""
+    rows = spark.createDataFrame([("n", str(i), "n", str(i + 1)) for i in range(8)] + [("n", "20", "m", "21"), ("m", "21", "n", "20"), ("n", "3", "n", "20")], "kind string, id string, next_kind string, next_id string")
+    sizes, table = [], Staging.table
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        if name == "graph":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(Staging, "table", counted)
+    got = {(r.kind, r.id) for r in provenance.trace(spark.createDataFrame([("n", "0")], "kind string, id string"), rows, staging(spark), budget=11).collect()}
+    assert got == {("n", str(i)) for i in range(9)} | {("n", "20"), ("m", "21")}
+    assert sizes and sizes == sorted(sizes, reverse=True) and sizes[0] < 11
