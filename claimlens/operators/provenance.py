@@ -82,58 +82,102 @@ def faults(nodes: DataFrame, rules: dict[str, DataFrame]) -> DataFrame:
 
 
 def _meet(asked: DataFrame, graph: DataFrame, staging: Staging) -> DataFrame:
-    """(seq, path): for each asked (seq, start, end) that has one, its shortest path over (child, parent, seq of an edge).
+    """(seq, path): for each asked (seq, start, end; these differ) that has one, its shortest path over (child, parent, seq of an edge).
 
     An edge counts for what comes after it. Two searches go towards each other from the ends, one step in turn, and a
-    question leaves as soon as they meet; of paths of one length the least is told.
+    question leaves as soon as they meet; of paths of one length the least is told. The graph is staged.
     """
-    graph = staging.table(graph, "usable")
     ahead = staging.table(asked.select("seq", F.col("start").alias("node"), F.array("start").alias("path")), "ahead")
     back = staging.table(asked.select("seq", F.col("end").alias("node"), F.array("end").alias("path")), "back")
     fronts, seen, found = [ahead, back], [ahead, back], None
+    usable = graph.select("child", "parent", F.col("seq").alias("since"))
     step = 0
-    while True:
-        joint = fronts[0].select("seq", "node", F.col("path").alias("head")).join(fronts[1].select("seq", "node", F.col("path").alias("tail")), ["seq", "node"])
-        met = joint.groupBy("seq").agg(F.min(F.concat("head", F.slice("tail", 2, F.size("tail")))).alias("path"))
-        met = staging.table(met, "met")
-        found = met if found is None else found.unionByName(met)
+    while not (fronts[0].isEmpty() or fronts[1].isEmpty()):
         side = step % 2
         near, far = ("child", "parent") if side == 0 else ("parent", "child")
         longer = F.concat("path", F.array(far)) if side == 0 else F.concat(F.array(far), F.col("path"))
-        live = fronts[side].join(met, "seq", "left_anti")
-        usable = graph.select(F.col("child"), F.col("parent"), F.col("seq").alias("since"))
-        out = live.join(usable, F.col("node") == F.col(near)).where("since < seq").select("seq", F.col(far).alias("node"), longer.alias("path")).groupBy("seq", "node").agg(F.min("path").alias("path"))
+        out = fronts[side].join(usable, F.col("node") == F.col(near)).where("since < seq").select("seq", F.col(far).alias("node"), longer.alias("path")).groupBy("seq", "node").agg(F.min("path").alias("path"))
         fresh = staging.table(out.join(seen[side].select("seq", "node"), ["seq", "node"], "left_anti"), "front")
-        other = staging.table(fronts[1 - side].join(met.select("seq"), "seq", "left_anti").join(fresh.select("seq").distinct(), "seq", "left_semi"), "front")
-        if fresh.isEmpty() or other.isEmpty():
-            return found
-        fronts[side], fronts[1 - side], seen[side] = fresh, other, seen[side].unionByName(fresh)
+        both = [fresh, fronts[1]] if side == 0 else [fronts[0], fresh]
+        joint = both[0].select("seq", "node", F.col("path").alias("head")).join(both[1].select("seq", "node", F.col("path").alias("tail")), ["seq", "node"])
+        met = staging.table(joint.groupBy("seq").agg(F.min(F.concat("head", F.slice("tail", 2, F.size("tail")))).alias("path")), "met")
+        found = met if found is None else found.unionByName(met)
+        seen[side] = seen[side].unionByName(fresh)
+        fronts[side] = staging.table(fresh.join(met, "seq", "left_anti"), "front")
+        fronts[1 - side] = staging.table(fronts[1 - side].join(fronts[side].select("seq").distinct(), "seq", "left_semi"), "front")
         step += 1
+    return found if found is not None else asked.select("seq", F.array("start").alias("path")).limit(0)
+
+
+def _peeled(edges: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
+    """(node, rank) with the rank of no child above its parent's, and the edges (child, parent) between equal ranks.
+
+    Nodes that nobody rests on are taken off from above, nodes that rest on nobody from below, round by round, as long as that
+    takes a fifth of the edges away; nodes without a rank have rank zero, below those taken off from above and above the others.
+    Circles are never taken off.
+    """
+    left, size, n, ranks = staging.table(edges.where("child is not null and parent is not null").distinct(), "edges"), None, 0, None
+    while size is None or size:
+        n += 1
+        led = left.select(F.col("parent").alias("child")).distinct().withColumn("led", F.lit(True))
+        leads = left.select(F.col("child").alias("parent")).distinct().withColumn("leads", F.lit(True))
+        marked = staging.table(left.select("child", "parent").join(led, "child", "left").join(leads, "parent", "left").select("child", "parent", F.col("led").isNull().alias("top"), F.col("leads").isNull().alias("low")), "marked")
+        ends = F.explode(F.array(F.when(F.col("top"), F.struct(F.col("child").alias("node"), F.lit(n - (1 << 40)).alias("rank"))), F.when(F.col("low"), F.struct(F.col("parent").alias("node"), F.lit((1 << 40) - n).alias("rank")))))
+        taken = marked.where("top or low").select(ends.alias("e")).where("e is not null").select("e.*")
+        ranks = taken if ranks is None else ranks.unionByName(taken)
+        before = marked.count() if size is None else size
+        left = marked.where("not top and not low")
+        size = left.count()
+        if size * 5 > before * 4:
+            break
+    return ranks.distinct(), left.select("child", "parent")
 
 
 def guard(proposed: DataFrame, standing: DataFrame, staging: Staging) -> DataFrame:
     """(seq, child, parent, refused, path): proposed edges as they would be admitted one after another, in the order of seq.
 
     An edge is refused if its parent already rests on its child, over standing edges or those admitted before it; path is
-    the way from the parent to the child. standing: child, parent, without circles. Only what new edges reach is searched,
-    from both their ends. Edges are decided in rounds: refused where edges that are in close the circle, admitted where
-    not even undecided ones could; each round decides the first that is left.
+    the way from the parent to the child. standing: child, parent, without circles.
+
+    Standing edges are ranked. New ones that go up by rank close no circle, alone or together, so only the others are searched,
+    from both their ends, over what stands and what goes up. If all of them close a circle there, they are refused, the rest is
+    admitted and all is said. Else edges are decided in rounds: refused where edges that are in close the circle, admitted
+    where not even undecided ones could; each round decides the first that is left.
     """
     left = staging.table(proposed.select("seq", "child", "parent"), "proposed")
-    inside = standing.select("child", "parent", F.lit(-1).cast("long").alias("seq"))
-    decided = left.where("child = parent").select("seq", "child", "parent", F.lit(True).alias("refused"), F.array("child").alias("path"))
-    left = left.where("child <> parent")
-    while True:
-        asked = left.select("seq", F.col("parent").alias("start"), F.col("child").alias("end"))
-        closed = staging.table(_meet(asked, inside.unionByName(left.select("child", "parent", "seq")), staging), "closed")
-        firm = staging.table(_meet(asked.join(closed.select("seq"), "seq", "left_semi"), inside, staging), "firm")
-        free = left.join(closed.select("seq"), "seq", "left_anti")
-        decided = decided.unionByName(left.join(firm, "seq").select("seq", "child", "parent", F.lit(True).alias("refused"), "path"))
-        decided = decided.unionByName(free.select("seq", "child", "parent", F.lit(False).alias("refused"), F.lit(None).cast("array<bigint>").alias("path")))
+    none = F.lit(None).cast("array<bigint>")
+    loops = left.where("child = parent").select("seq", "child", "parent", F.lit(True).alias("refused"), F.array("child").alias("path"))
+    left = left.where("not coalesce(child = parent, false)")
+    inside = staging.table(standing.select("child", "parent", F.lit(-1).cast("long").alias("seq")), "inside")
+    ask = lambda rows: rows.select("seq", F.col("parent").alias("start"), F.col("child").alias("end"))
+    ranks, _ = _peeled(inside.select("child", "parent"), staging)
+    rank = lambda end: ranks.select(F.col("node").alias(end), F.col("rank").alias(f"{end}_rank"))
+    ranked = left.join(rank("child"), "child", "left").join(rank("parent"), "parent", "left")
+    up = F.coalesce("child_rank", F.lit(0)) < F.coalesce("parent_rank", F.lit(0))
+    ranked = staging.table(ranked.select("seq", "child", "parent", (up | F.col("child").isNull() | F.col("parent").isNull()).alias("up")), "ranked")
+    against = ranked.where("not up").select("seq", "child", "parent")
+    certain = staging.table(inside.unionByName(ranked.where("up").select("child", "parent", "seq")), "usable")
+    closed = staging.table(_meet(ask(against), certain, staging), "closed")
+    if against.join(closed, "seq", "left_anti").isEmpty():
+        out = ranked.join(closed, "seq", "left").select("seq", "child", "parent", (~F.col("up")).alias("refused"), "path")
+        return staging.table(loops.unionByName(out), "decided")
+    left, decided = ranked.select("seq", "child", "parent"), None
+    while not left.isEmpty():
+        firm = staging.table(_meet(ask(left), inside, staging).select("seq"), "firm")
+        said = staging.table(left.join(firm, "seq", "left_semi").withColumn("refused", F.lit(True)), "said")
+        left = staging.table(left.join(firm, "seq", "left_anti"), "left")
+        _, core = _peeled(inside.select("child", "parent").unionByName(left.select("child", "parent")), staging)
+        core = staging.table(core, "core")
+        usable = staging.table(inside.unionByName(left.select("child", "parent", "seq")).join(core, ["child", "parent"], "left_semi"), "usable")
+        unsure = staging.table(_meet(ask(left.join(core, ["child", "parent"], "left_semi")), usable, staging).select("seq"), "unsure")
+        free = left.join(unsure, "seq", "left_anti")
+        decided = said if decided is None else decided.unionByName(said)
+        decided = decided.unionByName(staging.table(free.withColumn("refused", F.lit(False)), "said"))
         inside = staging.table(inside.unionByName(free.select("child", "parent", "seq")), "inside")
-        left = staging.table(left.join(closed.select("seq"), "seq", "left_semi").join(firm.select("seq"), "seq", "left_anti"), "left")
-        if left.isEmpty():
-            return staging.table(decided, "decided")
+        left = staging.table(left.join(unsure, "seq", "left_semi"), "left")
+    # edges admitted late may shorten the way of one refused early
+    ways = _meet(ask(decided.where("refused")), inside, staging)
+    return staging.table(loops.unionByName(decided.join(ways, "seq", "left").select("seq", "child", "parent", "refused", F.coalesce("path", none).alias("path"))), "decided")
 
 
 # ---------------------------------------------------------------- paths

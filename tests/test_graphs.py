@@ -195,3 +195,45 @@ def test_trace_walks_a_graph_that_shrinks(spark, monkeypatch):
     got = {(r.kind, r.id) for r in provenance.trace(spark.createDataFrame([("n", "0")], "kind string, id string"), rows, staging(spark), budget=11).collect()}
     assert got == {("n", str(i)) for i in range(9)} | {("n", "20"), ("m", "21")}
     assert sizes and sizes == sorted(sizes, reverse=True) and sizes[0] < 11
+
+
+def test_guard_tells_the_way_over_edges_that_came_in_late(spark):
+    """Edge 0 is refused, so edge 1 is admitted after all, and the way that refuses edge 2 is the short one over edge 1."""
+    standing = [(9, 1), (1, 2), (2, 3), (3, 4), (4, 0)]
+    rows = spark.createDataFrame([(0, 0, 9), (1, 1, 4), (2, 4, 1), (3, 7, 7), (4, 8, 9)], "seq long, child long, parent long")
+    got = {r.seq: (r.refused, r.path) for r in provenance.guard(rows, spark.createDataFrame(standing, "child long, parent long"), staging(spark)).collect()}
+    assert got == {0: (True, [9, 1, 2, 3, 4, 0]), 1: (False, None), 2: (True, [1, 4]), 3: (True, [7]), 4: (False, None)}
+
+
+def test_guard_decides_circles_of_new_edges_alone(spark):
+    """Without standing edges nothing is ranked, and what is refused hangs on what came in before."""
+    rng = random.Random(100)
+    proposed = [(i, rng.randrange(7), rng.randrange(7)) for i in range(18)]
+    held, want = set(), {}
+    for i, c, p in proposed:
+        path = shortest(held, p, c)
+        want[i] = (path is not None, path)
+        if path is None:
+            held.add((c, p))
+    rows = spark.createDataFrame(proposed, "seq long, child long, parent long")
+    got = provenance.guard(rows, spark.createDataFrame([], "child long, parent long"), staging(spark)).collect()
+    assert {r.seq: (r.refused, r.path) for r in got} == want
+
+
+def test_guard_searches_only_against_the_ranks(spark, monkeypatch):
+    """On a graph of halves and thirds few rows are searched, though most nodes reach each other over new edges."""
+    n, rows, table = 600, [], Staging.table
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        if name in ("front", "ahead", "back"):
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(Staging, "table", counted)
+    standing = sorted({(i, i // k) for i in range(1, n) for k in (2, 3)})
+    proposed = [(i, i // 6, i) if i % 3 == 0 else (i, i, i // 5) for i in range(1, n)]
+    frame = spark.createDataFrame(proposed, "seq long, child long, parent long")
+    got = provenance.guard(frame, spark.createDataFrame(standing, "child long, parent long"), staging(spark)).collect()
+    assert {r.seq for r in got if r.refused} == {i for i in range(1, n) if i % 3 == 0}
+    assert sum(rows) < 8 * n
