@@ -6,16 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Even-odd rule over consecutive vertices of a closed ring of [lon, lat] pairs."""
-    edges = F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+def ring_edges(ring: Column) -> Column:
+    """Edges (x1, y1, x2, y2) between consecutive vertices of a ring of [x, y] pairs, from the last to the first too."""
+    return F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), lambda a, b: F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")))
+
+
+def crosses(x: Column, y: Column, e: Column) -> Column:
+    """Whether an edge crosses the line from a point to the right."""
+    straddles = (e["y1"] > y) != (e["y2"] > y)
+    at = (e["x2"] - e["x1"]) * (y - e["y1"]) / F.when(e["y2"] != e["y1"], e["y2"] - e["y1"]) + e["x1"]
+    return F.coalesce(straddles & (x < at), F.lit(False))
 
-    def crosses(e: Column) -> Column:
-        x1, y1, x2, y2 = e["a"][0], e["a"][1], e["b"][0], e["b"][1]
-        straddles = (y1 > y) != (y2 > y)
-        return straddles & (x < (x2 - x1) * (y - y1) / F.when(y2 != y1, y2 - y1) + x1)
 
-    return F.aggregate(edges, F.lit(False), lambda odd, e: odd != F.coalesce(crosses(e), F.lit(False)))
+def odd_crossings(x: Column, y: Column, edges: Column, plain: int = 0) -> Column:
+    """Even-odd rule over edges; up to `plain` of them are tested without a loop."""
+    odd = F.aggregate(edges, F.lit(False), lambda odd, e: odd != crosses(x, y, e))
+    if not plain:
+        return odd
+    few = crosses(x, y, F.get(edges, F.lit(0)))
+    for i in range(1, plain):
+        few = few != crosses(x, y, F.get(edges, F.lit(i)))
+    return F.when(F.size(edges) <= plain, few).otherwise(odd)
+
+
+def in_ring(x: Column, y: Column, ring: Column) -> Column:
+    """Even-odd rule over consecutive vertices of a closed ring of [lon, lat] pairs."""
+    return odd_crossings(x, y, ring_edges(ring))
 
 
 def in_polygon(x: Column, y: Column, rings: Column) -> Column:

@@ -17,6 +17,8 @@ from claimlens.functions import geo
 PROBES = ((0.05, 0.0), (-0.05, 0.0), (0.0, 0.05), (0.0, -0.05), (0.05, 0.05), (-0.05, 0.05), (0.05, -0.05), (-0.05, -0.05))
 #: Rings are widened by this share of a step when their cells are found, so that rounding of a cell's number loses no border.
 SLACK = 1e-6
+#: A cell of more points is dealt over several tasks, so many at a time.
+SHARE = 256
 
 
 def cell(x: Column, step: float) -> Column:
@@ -29,7 +31,8 @@ def cover(areas: DataFrame, step: float) -> DataFrame:
     An edge borders, in every column of cells that it crosses, the cells between its lowest and highest point there. In
     a column, cells between borders are inside or outside as a whole, as their centres are.
     """
-    ring = areas.select("area", F.explode("rings").alias("ring"))
+    # few bytes give many rows: dealt by number, as by bytes they would stay in one task
+    ring = areas.repartition(_width(areas), "area").select("area", F.explode("rings").alias("ring"))
     ends = ring.select("area", F.explode(F.zip_with(F.slice("ring", 1, F.size("ring") - 1), F.slice("ring", 2, F.size("ring") - 1), lambda a, b: F.struct(a[0].alias("x1"), a[1].alias("y1"), b[0].alias("x2"), b[1].alias("y2")))).alias("e")).select("area", "e.*")
     slack = step * SLACK
     low, high = F.least("x1", "x2") - slack, F.greatest("x1", "x2") + slack
@@ -47,12 +50,40 @@ def cover(areas: DataFrame, step: float) -> DataFrame:
     return border.withColumn("border", F.lit(True)).unionByName(inner.withColumn("border", F.lit(False)))
 
 
+def _width(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _near(areas: DataFrame, covered: DataFrame, step: float) -> DataFrame:
+    """The cover with, in cells of borders, the edges that a line to the right of the cell's points may cross: outer, holes."""
+    edges = F.transform("rings", geo.ring_edges)
+    cells = covered.join(areas.select("area", edges.alias("edges")).hint("merge"), "area")
+    slack = step * SLACK
+    left, low, high = F.col("cx") * step - slack, F.col("cy") * step - slack, (F.col("cy") + 1) * step + slack
+    meets = lambda e: (F.least(e["y1"], e["y2"]) <= high) & (F.greatest(e["y1"], e["y2"]) >= low) & (F.greatest(e["x1"], e["x2"]) >= left)
+    outer = F.filter(F.col("edges")[0], meets)
+    holes = F.filter(F.transform(F.slice("edges", 2, F.size("edges")), lambda hole: F.filter(hole, meets)), lambda hole: F.size(hole) > 0)
+    return cells.select("area", "cx", "cy", F.when(F.col("border"), outer).alias("outer"), F.when(F.col("border") & (F.size(holes) > 0), holes).alias("holes"))
+
+
 def within(points: DataFrame, areas: DataFrame, covered: DataFrame, step: float) -> DataFrame:
-    """(id, area) of points (id, x, y) for every area that holds them. covered: the areas' cover at this step."""
+    """(id, area) of points (id, x, y) for every area that holds them. covered: the areas' cover at this step.
+
+    Pairs grow with points times areas and their number is not seen in the bytes of either side, so cells are dealt by number,
+    and the points of a crowded one over several tasks. A pair in a cell of borders is tested on the edges near that cell alone.
+    """
     placed = points.where("x is not null and y is not null").withColumn("cx", cell(F.col("x"), step)).withColumn("cy", cell(F.col("y"), step))
-    near = placed.join(covered, ["cx", "cy"])
-    tested = near.where("border").join(areas.select("area", "rings").hint("merge"), "area").where(geo.in_polygon(F.col("x"), F.col("y"), F.col("rings")))
-    return near.where("not border").select("id", "area").unionByName(tested.select("id", "area"))
+    # at most 65,536 cells are told; others hold less than that part of the points
+    crowded = placed.groupBy("cx", "cy").agg(F.count("*").alias("n")).where(F.col("n") > SHARE).orderBy(F.desc("n"), "cx", "cy").limit(65_536)
+    crowded = F.broadcast(crowded.select("cx", "cy", F.ceil(F.col("n") / SHARE).alias("parts")))
+    key = ["cx", "cy", "part"]
+    dealt = placed.join(crowded, ["cx", "cy"], "left").select("id", "x", "y", "cx", "cy", F.coalesce(F.pmod(F.xxhash64("id", "x", "y"), "parts"), F.lit(0)).alias("part"))
+    cells = _near(areas, covered, step).join(crowded, ["cx", "cy"], "left")
+    cells = cells.select("area", "cx", "cy", "outer", "holes", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    near = dealt.repartition(_width(points), *key).join(cells.repartition(_width(points), *key).hint("merge"), key)
+    x, y = F.col("x"), F.col("y")
+    hole = F.col("holes").isNotNull() & F.exists("holes", lambda edges: geo.odd_crossings(x, y, edges))
+    return near.where(F.col("outer").isNull() | (geo.odd_crossings(x, y, F.col("outer"), plain=4) & ~hole)).select("id", "area")
 
 
 def firsts(areas: DataFrame, covered: DataFrame) -> DataFrame:

@@ -237,3 +237,15 @@ def test_guard_searches_only_against_the_ranks(spark, monkeypatch):
     got = provenance.guard(frame, spark.createDataFrame(standing, "child long, parent long"), staging(spark)).collect()
     assert {r.seq for r in got if r.refused} == {i for i in range(1, n) if i % 3 == 0}
     assert sum(rows) < 8 * n
+
+
+def test_crowded_cells_are_dealt_over_tasks(spark):
+    """All points and areas in one cell: no task has all the points, and all pairs are found, by their number of tasks and not by bytes."""
+    box = lambda r: [[-r, -r], [r, -r], [r, r], [-r, r], [-r, -r]]
+    areas = [(i, [box(1 + i / 10)] + ([box(0.5), box(0.6)] if i % 2 else [])) for i in range(20)]
+    points = [(i, (i * 37 % 101) / 20 - 2.5, (i * 53 % 97) / 20 - 2.4) for i in range(1200)]
+    df = spark.createDataFrame(areas, "area long, rings array<array<array<double>>>")
+    found = spatial.within(spark.createDataFrame(points, "id long, x double, y double"), df, spatial.cover(df, 100.0), 100.0)
+    rows = found.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.id, r.area) for r in rows) == sorted((i, a) for i, x, y in points for a, rings in areas if in_ring(x, y, rings[0]) and not any(in_ring(x, y, h) for h in rings[1:]))
+    assert len({r.task for r in rows}) > 1
