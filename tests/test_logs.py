@@ -217,3 +217,13 @@ def test_clashes_equal_a_scan(spark):
             reach = max(reach, 10**9 if e is None else e)
     got = intervals.clashes(spark.createDataFrame(rows, "key long, id long, start long, end long").repartition(5), Staging(spark, "t")).collect()
     assert {(r.key, r.id, r.reach) for r in got} == want and len(got) == len(want) > 100
+
+
+def test_compiled_schemas_compute_a_value_once(spark):
+    """However often rules name a value, its text is parsed once and each place is reached once."""
+    own = {"type": "object", "required": ["a", "b"], "additionalProperties": False, "properties": {"a": {"type": ["integer", "null"], "minimum": 1, "maximum": 3, "enum": [1, 2]}, "b": {"anyOf": [{"const": 0}, {"type": "integer", "minimum": 30}]}}}
+    rows = spark.createDataFrame([('{"a":5,"b":7,"c":1}',), ("[1]",), ("{",), (None,)], "t string").repartition(2)
+    found = rows.select("t", F.array_sort(schema.text_errors(F.col("t"), own)).alias("e"))
+    assert {r.t: r.e for r in found.collect()} == {'{"a":5,"b":7,"c":1}': ["$.a: above maximum", "$.a: not in enum", "$.b: matches 0 of anyOf", "$: c is not allowed"], "[1]": ["$: not of type object"], "{": ["$: not JSON"], None: None}
+    said = schema.text_errors(F.col("t"), own)._jc.toString()
+    assert said.count("parse_json") == 1 and said.count("schema_of_variant") == 3
