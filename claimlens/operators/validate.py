@@ -29,6 +29,24 @@ def _named(table: DataFrame, prefix: str, *columns: str) -> DataFrame:
     return table.select(*[F.col(c).alias(f"{prefix}_{c}") for c in columns])
 
 
+def _spread(table: DataFrame, key: str) -> DataFrame:
+    """The table by its key over all shuffle partitions, for joins of two tables that grow together.
+
+    Ids in order compress to a few bytes, and adaptive execution gathers partitions by compressed bytes: left to it, one
+    task sorts millions of rows of each side. A number given by us is kept.
+    """
+    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def _hashed(table: DataFrame) -> DataFrame:
+    """The table as the hashed side of a join by parts, for chains of joins to tables that grow.
+
+    Small files of ids hold millions of rows: broadcast by the files' size, the tables of a chain would stand in every task
+    together. By parts a task holds its share of one, and the other side is neither held nor sorted, however hot its keys.
+    """
+    return table.hint("shuffle_hash")
+
+
 def later(a: str, b: str) -> Column:
     """Clock a is after clock b, or one of them is unknown."""
     return F.col(a).isNull() | F.col(b).isNull() | (F.col(a) > F.col(b))
@@ -61,7 +79,7 @@ def unfinished_runs(store: Store) -> DataFrame:
 
 def late_evidence(store: Store) -> DataFrame:
     """Versions recorded before a document was retrieved, a record observed, or its run started that they rest on."""
-    links = store["evidence"].join(store["versions"].select("version_id", "recorded_us"), "version_id")
+    links = _spread(store["evidence"], "version_id").join(_spread(store["versions"].select("version_id", "recorded_us"), "version_id"), "version_id")
     docs = links.join(store["documents"].select("document_id", "retrieved_us"), "document_id")
     recs = links.where("record_id is not null").join(store["records"].select("record_id", "run_id", "observed_us"), "record_id")
     runs = recs.join(store["runs"].select("run_id", "started_us"), "run_id")
@@ -126,12 +144,12 @@ def ledger_gaps(store: Store) -> DataFrame:
 def metadata_types(store: Store) -> DataFrame:
     """Name and identifier metadata that do not annotate a text of an organization, or annotate one version twice."""
     subject = store["versions"].join(_named(store["series"], "s", "series_id", "entity_id"), F.col("series_id") == F.col("s_series_id"), "left").join(_named(store["entities"], "e", "entity_id", "kind"), F.col("s_entity_id") == F.col("e_entity_id"), "left")
-    about = subject.select("version_id", "value_kind", "e_kind")
+    about = _spread(subject.select("version_id", "value_kind", "e_kind"), "version_id")
     tables = {"name": "name_metadata", "identifier": "identifier_metadata"}
     out = None
     for (label, table), other in zip(tables.items(), reversed(tables.values()), strict=True):
-        twice = store[other].select("version_id", F.lit(True).alias("twice")).distinct()
-        rows = store[table].select("version_id").join(about, "version_id", "left").join(twice, "version_id", "left")
+        twice = _spread(store[other].select("version_id", F.lit(True).alias("twice")), "version_id").distinct()
+        rows = _spread(store[table].select("version_id"), "version_id").join(about, "version_id", "left").join(twice, "version_id", "left")
         bad = ~F.col("value_kind").eqNullSafe(F.lit("text")) | ~F.col("e_kind").eqNullSafe(F.lit("organization")) | F.col("twice").isNotNull()
         found = _found(rows.where(bad), f"metadata_{label}", "version_id")
         out = found if out is None else out.unionByName(found)
@@ -165,9 +183,9 @@ def resolution_lineage(store: Store) -> DataFrame:
     records = _named(store["records"], "x", "record_id", "observed_us", "run_id")
     seen, other = _named(store["entities"], "o", "entity_id", "kind", "created_us"), _named(store["entities"], "c", "entity_id", "kind", "created_us")
     inputs = store["resolution_inputs"].select(F.col("resolution_id").alias("i_resolution_id"), F.col("run_id").alias("i_run_id")).distinct()
-    c = store["candidates"].join(runs, F.col("resolution_id") == F.col("r_resolution_id")).join(records, F.col("record_id") == F.col("x_record_id"))
-    c = c.join(seen, F.col("observed_id") == F.col("o_entity_id")).join(other, F.col("proposed_id") == F.col("c_entity_id"))
-    c = c.join(inputs, (F.col("resolution_id") == F.col("i_resolution_id")) & (F.col("x_run_id") == F.col("i_run_id")), "left")
+    c = store["candidates"].join(_hashed(runs), F.col("resolution_id") == F.col("r_resolution_id")).join(_hashed(records), F.col("record_id") == F.col("x_record_id"))
+    c = c.join(_hashed(seen), F.col("observed_id") == F.col("o_entity_id")).join(_hashed(other), F.col("proposed_id") == F.col("c_entity_id"))
+    c = c.join(_hashed(inputs), (F.col("resolution_id") == F.col("i_resolution_id")) & (F.col("x_run_id") == F.col("i_run_id")), "left")
     bad = any_of(
         [
             ~F.col("o_kind").isin(*KINDS),
@@ -185,10 +203,12 @@ def resolution_lineage(store: Store) -> DataFrame:
     )
     found = _found(c.where(F.coalesce(bad, F.lit(True))), "candidate", "candidate_id")
     of = _named(store["candidates"], "k", "candidate_id", "resolution_id", "record_id", "observed_id", "proposed_id", "created_us")
-    d = store["decisions"].join(of, F.col("candidate_id") == F.col("k_candidate_id")).join(runs, F.col("k_resolution_id") == F.col("r_resolution_id"))
+    of = _spread(of, "k_candidate_id")
+    d = _spread(store["decisions"], "candidate_id").join(of, F.col("candidate_id") == F.col("k_candidate_id")).join(runs, F.col("k_resolution_id") == F.col("r_resolution_id"))
     early = (F.col("r_status") != "succeeded") | later("k_created_us", "decided_us") | (F.col("decided_us") < F.col("r_completed_us"))
     found = found.unionByName(_found(d.where(F.coalesce(early, F.lit(True))), "decision", "decision_id"))
-    a = store["assignments"].join(_named(store["decisions"], "d", "decision_id", "candidate_id", "outcome", "decided_us"), F.col("decision_id") == F.col("d_decision_id")).join(of, F.col("d_candidate_id") == F.col("k_candidate_id"))
+    made = _spread(_named(store["decisions"], "d", "decision_id", "candidate_id", "outcome", "decided_us"), "d_decision_id")
+    a = _spread(store["assignments"], "decision_id").join(made, F.col("decision_id") == F.col("d_decision_id")).join(of, F.col("d_candidate_id") == F.col("k_candidate_id"))
     wrong = any_of(
         [
             F.col("d_outcome") != "match",
