@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from claimlens.functions.facilities import any_of
 from claimlens.functions.ids import canonical_json
+from claimlens.plans.session import spread
 
 Store = dict[str, DataFrame]
 
@@ -29,15 +30,6 @@ def _named(table: DataFrame, prefix: str, *columns: str) -> DataFrame:
     return table.select(*[F.col(c).alias(f"{prefix}_{c}") for c in columns])
 
 
-def _spread(table: DataFrame, key: str) -> DataFrame:
-    """The table by its key over all shuffle partitions, for joins of two tables that grow together.
-
-    Ids in order compress to a few bytes, and adaptive execution gathers partitions by compressed bytes: left to it, one
-    task sorts millions of rows of each side. A number given by us is kept.
-    """
-    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-
-
 def _hashed(table: DataFrame) -> DataFrame:
     """The table as the hashed side of a join by parts, for chains of joins to tables that grow.
 
@@ -79,7 +71,7 @@ def unfinished_runs(store: Store) -> DataFrame:
 
 def late_evidence(store: Store) -> DataFrame:
     """Versions recorded before a document was retrieved, a record observed, or its run started that they rest on."""
-    links = _spread(store["evidence"], "version_id").join(_spread(store["versions"].select("version_id", "recorded_us"), "version_id"), "version_id")
+    links = spread(store["evidence"], "version_id").join(spread(store["versions"].select("version_id", "recorded_us"), "version_id"), "version_id")
     docs = links.join(store["documents"].select("document_id", "retrieved_us"), "document_id")
     recs = links.where("record_id is not null").join(store["records"].select("record_id", "run_id", "observed_us"), "record_id")
     runs = recs.join(store["runs"].select("run_id", "started_us"), "run_id")
@@ -144,12 +136,12 @@ def ledger_gaps(store: Store) -> DataFrame:
 def metadata_types(store: Store) -> DataFrame:
     """Name and identifier metadata that do not annotate a text of an organization, or annotate one version twice."""
     subject = store["versions"].join(_named(store["series"], "s", "series_id", "entity_id"), F.col("series_id") == F.col("s_series_id"), "left").join(_named(store["entities"], "e", "entity_id", "kind"), F.col("s_entity_id") == F.col("e_entity_id"), "left")
-    about = _spread(subject.select("version_id", "value_kind", "e_kind"), "version_id")
+    about = spread(subject.select("version_id", "value_kind", "e_kind"), "version_id")
     tables = {"name": "name_metadata", "identifier": "identifier_metadata"}
     out = None
     for (label, table), other in zip(tables.items(), reversed(tables.values()), strict=True):
-        twice = _spread(store[other].select("version_id", F.lit(True).alias("twice")), "version_id").distinct()
-        rows = _spread(store[table].select("version_id"), "version_id").join(about, "version_id", "left").join(twice, "version_id", "left")
+        twice = spread(store[other].select("version_id", F.lit(True).alias("twice")), "version_id").distinct()
+        rows = spread(store[table].select("version_id"), "version_id").join(about, "version_id", "left").join(twice, "version_id", "left")
         bad = ~F.col("value_kind").eqNullSafe(F.lit("text")) | ~F.col("e_kind").eqNullSafe(F.lit("organization")) | F.col("twice").isNotNull()
         found = _found(rows.where(bad), f"metadata_{label}", "version_id")
         out = found if out is None else out.unionByName(found)
@@ -169,7 +161,8 @@ def resolution_clocks(store: Store) -> DataFrame:
         ]
     )
     found = _found(store["resolution_runs"].where(wrong), "resolution_run", "resolution_id")
-    used = store["resolution_inputs"].join(_named(store["runs"], "r", "run_id", "status", "completed_us"), F.col("run_id") == F.col("r_run_id")).join(store["resolution_runs"].select("resolution_id", "started_us"), "resolution_id")
+    begun = _hashed(spread(store["resolution_runs"].select("resolution_id", "started_us"), "resolution_id"))
+    used = spread(store["resolution_inputs"], "resolution_id").join(begun, "resolution_id").join(_named(store["runs"], "r", "run_id", "status", "completed_us"), F.col("run_id") == F.col("r_run_id"))
     early = used.where((F.col("r_status") != "succeeded") | later("r_completed_us", "started_us"))
     return found.unionByName(_found(early, "resolution_input", "resolution_id", F.col("run_id")))
 
@@ -203,12 +196,12 @@ def resolution_lineage(store: Store) -> DataFrame:
     )
     found = _found(c.where(F.coalesce(bad, F.lit(True))), "candidate", "candidate_id")
     of = _named(store["candidates"], "k", "candidate_id", "resolution_id", "record_id", "observed_id", "proposed_id", "created_us")
-    of = _spread(of, "k_candidate_id")
-    d = _spread(store["decisions"], "candidate_id").join(of, F.col("candidate_id") == F.col("k_candidate_id")).join(runs, F.col("k_resolution_id") == F.col("r_resolution_id"))
+    of = spread(of, "k_candidate_id")
+    d = spread(store["decisions"], "candidate_id").join(of, F.col("candidate_id") == F.col("k_candidate_id")).join(runs, F.col("k_resolution_id") == F.col("r_resolution_id"))
     early = (F.col("r_status") != "succeeded") | later("k_created_us", "decided_us") | (F.col("decided_us") < F.col("r_completed_us"))
     found = found.unionByName(_found(d.where(F.coalesce(early, F.lit(True))), "decision", "decision_id"))
-    made = _spread(_named(store["decisions"], "d", "decision_id", "candidate_id", "outcome", "decided_us"), "d_decision_id")
-    a = _spread(store["assignments"], "decision_id").join(made, F.col("decision_id") == F.col("d_decision_id")).join(of, F.col("d_candidate_id") == F.col("k_candidate_id"))
+    made = spread(_named(store["decisions"], "d", "decision_id", "candidate_id", "outcome", "decided_us"), "d_decision_id")
+    a = spread(store["assignments"], "decision_id").join(made, F.col("decision_id") == F.col("d_decision_id")).join(of, F.col("d_candidate_id") == F.col("k_candidate_id"))
     wrong = any_of(
         [
             F.col("d_outcome") != "match",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.functions.clocks import micros
+from claimlens.plans.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,7 +133,7 @@ def store(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "name_metadata": versions.where("version_id % 5 = 0").select("version_id"),
         "identifier_metadata": versions.where("version_id % 7 = 0").select("version_id"),
         "resolution_runs": rows("customer", resolution_id="c_custkey", status="element_at(array('running', 'succeeded', 'failed'), cast(c_custkey % 3 + 1 as int))", started_us="c_custkey + 90", completed_us="case when c_custkey % 5 = 0 then null when c_custkey % 7 = 0 then c_custkey + 90 else c_custkey + 100 end", error="case when c_custkey % 4 = 0 then 'e' when c_custkey % 11 = 0 then ' ' end"),
-        "resolution_inputs": rows("customer", resolution_id="c_custkey", run_id="c_custkey % 10 + 1").unionByName(rows("customer", resolution_id="c_custkey", run_id="c_custkey % 7 + 1")).distinct(),
+        "resolution_inputs": spread(rows("customer", resolution_id="c_custkey", run_id="c_custkey % 10 + 1").unionByName(rows("customer", resolution_id="c_custkey", run_id="c_custkey % 7 + 1")), "resolution_id").distinct(),
         "candidates": candidates,
         "decisions": decisions,
         "assignments": assigned.select(F.col("candidate_id").alias("assignment_id"), F.col("candidate_id").alias("decision_id"), "record_id", "observed_id", e("if(candidate_id % 10 = 0, 1, proposed_id)").alias("canonical_id"), e("date'2024-01-01'").alias("valid_from"), e("if(candidate_id % 4 = 0, date_add(date'2024-01-01', cast(candidate_id % 5 as int)), null)").alias("valid_to"), e("created_us + candidate_id % 14").alias("recorded_us"), e("if(candidate_id % 9 = 0, created_us + candidate_id % 14 + candidate_id % 2, null)").alias("superseded_us")),

@@ -18,6 +18,7 @@ def test_tables_that_grow_together_meet_in_every_partition(spark):
             assert tasks(validate.late_evidence(store), check) == parts
         for check in ("decision", "assignment"):
             assert tasks(validate.resolution_lineage(store), check) == parts
+        assert tasks(validate.resolution_clocks(store | {"resolution_runs": P.store(spark, SF)["resolution_runs"]}), "resolution_input") == parts
         for check in ("metadata_name", "metadata_identifier"):
             assert tasks(validate.metadata_types(store), check) == parts
     finally:
