@@ -57,7 +57,7 @@ def value_hashes(store: Store) -> DataFrame:
 
 def value_kinds(store: Store) -> DataFrame:
     """Versions whose kind is not their series'."""
-    both = store["versions"].join(_named(store["series"], "s", "series_id", "value_kind"), F.col("series_id") == F.col("s_series_id"))
+    both = store["versions"].join(_hashed(spread(_named(store["series"], "s", "series_id", "value_kind"), "s_series_id")), F.col("series_id") == F.col("s_series_id"))
     return _found(both.where(F.col("value_kind") != F.col("s_value_kind")), "value_kind", "version_id", F.col("series_id"))
 
 
@@ -84,8 +84,8 @@ def late_evidence(store: Store) -> DataFrame:
 
 def before_subjects(store: Store) -> DataFrame:
     """Versions recorded before their series, their subject or the entity they point to was created."""
-    own = store["versions"].join(_named(store["series"], "s", "series_id", "entity_id", "created_us"), F.col("series_id") == F.col("s_series_id"))
-    born = _named(store["entities"], "e", "entity_id", "created_us")
+    own = store["versions"].join(_hashed(spread(_named(store["series"], "s", "series_id", "entity_id", "created_us"), "s_series_id")), F.col("series_id") == F.col("s_series_id"))
+    born = _hashed(spread(_named(store["entities"], "e", "entity_id", "created_us"), "e_entity_id"))
     subject = own.join(born, F.col("s_entity_id") == F.col("e_entity_id"))
     target = store["versions"].join(born, F.col("target_id") == F.col("e_entity_id"))
     return (

@@ -30,3 +30,13 @@ def test_candidates_hold_no_table_whole(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" not in plan and plan.count("ShuffledHashJoin") == 5
     assert found.count() > 0
+
+
+def test_versions_of_hot_series_are_not_sorted(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables above it
+    try:
+        for check, joins in ((validate.value_kinds, 1), (validate.before_subjects, 4)):
+            plan = check(P.store(spark, SF))._jdf.queryExecution().executedPlan().toString()
+            assert "Sort" not in plan and plan.count("ShuffledHashJoin") == joins
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
