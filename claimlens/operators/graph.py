@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from claimlens.plans.staging import Staging
 
+#: Edges that a task holds at once, 8 MB: the bound of a batch that is replaced by stars, and of a graph that one task settles.
+HELD = 500_000
+
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Replace the edges of each bounded batch by a spanning star per local component."""
@@ -40,7 +43,7 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         held.append(batch)
         rows += len(batch)
-        if rows >= 500_000:
+        if rows >= HELD:
             yield flush(held)
             held, rows = [], 0
     if rows:
@@ -50,12 +53,18 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def connected_components(edges: DataFrame, staging: Staging, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """Return (node, component) for every node of an undirected edge table of longs; component is the smallest node.
 
-    Alternating star contraction: each round hangs larger neighbours, then smaller ones, on the smallest node
-    seen. Minima combine before the shuffle and the joins split, so one node with very many edges stays spread.
-    Null ends and loops are ignored; an empty edge table gives an empty result.
+    Every task first replaces its edges by stars. Where HELD edges at most are left, a bound that does not grow with the
+    input, one more task replaces these: their stars are the components, and no round with its shuffles over all
+    partitions is run for a few rows. More edges go by alternating star contraction: each round hangs larger neighbours,
+    then smaller ones, on the smallest node seen. Minima combine before the shuffle and the joins split, so one node with
+    very many edges stays spread. Null ends and loops are ignored; an empty edge table gives an empty result.
     """
     pairs = edges.select(F.greatest(src, dst).cast("long").alias("u"), F.least(src, dst).cast("long").alias("v")).where("u <> v")
-    now = staging.table(pairs.mapInPandas(_forest, "u long, v long").distinct(), "edges")
+    now = staging.table(pairs.mapInPandas(_forest, "u long, v long"), "edges")
+    if now.count() <= HELD:
+        whole = staging.table(now.coalesce(1).mapInPandas(_forest, "u long, v long"), "edges")
+        staging.drop(now)
+        return _membership(whole)
     print_of = None
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -73,7 +82,12 @@ def connected_components(edges: DataFrame, staging: Staging, src: str = "src", d
         print_of = (seen.n, seen.h)
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return _membership(now)
+
+
+def _membership(stars: DataFrame) -> DataFrame:
+    """(node, component) of stars (u, v): their leaves, and each centre once."""
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def _led_to(graph: DataFrame, node: str, to: str, staging: Staging) -> DataFrame:

@@ -72,6 +72,45 @@ def test_components_of_paths_and_stars(spark, n):
     assert graph.connected_components(e.where("false"), Staging(spark, "t")).count() == 0
 
 
+def components_by_hand(edges):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        lo, hi = sorted((find(a), find(b)))
+        root[hi] = lo
+    return {x: find(x) for x in list(root)}
+
+
+@pytest.mark.parametrize("held", [500_000, 20])
+def test_components_in_one_task_and_by_rounds(spark, monkeypatch, held):
+    """Graphs of more than HELD edges go by rounds, with the same result."""
+    monkeypatch.setattr(graph, "HELD", held, raising=False)
+    rng = random.Random(4)
+    edges = [(rng.randrange(-200, 200), rng.randrange(-200, 200)) for _ in range(180)] + [(1000, i) for i in range(1001, 1060)] + [(i, i + 1) for i in range(2000, 2050)]
+    edges = [e for e in edges if e[0] != e[1]]
+    e = spark.createDataFrame(edges, "src long, dst long").repartition(3)
+    got = [tuple(r) for r in graph.connected_components(e, Staging(spark, "t")).collect()]
+    assert len(got) == len(set(got)) and dict(got) == components_by_hand(edges)
+
+
+def test_components_of_few_edges_take_few_tasks(spark):
+    """A small graph pays for no rounds over all shuffle partitions, whose tasks the driver would have to keep."""
+    spark.sparkContext.setJobGroup("few edges", "few edges")
+    try:
+        e = spark.createDataFrame([(i, i + 1) for i in range(300)], "src long, dst long")
+        out = graph.connected_components(e, Staging(spark, "t"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    told = spark.sparkContext.statusTracker()
+    stages = [told.getStageInfo(s) for j in told.getJobIdsForGroup("few edges") for s in told.getJobInfo(j).stageIds]
+    assert 0 < sum(s.numTasks for s in stages if s) <= 20 and out.count() == 301
+
+
 def test_alert_thresholds(spark):
     pairs = spark.createDataFrame([(1, 2, 1, "p", 100.0, 115.0), (3, 4, 1, "p", 100.0, 114.9), (5, 6, 1, "p", 0.0, 0.5), (7, 8, 1, "p", 0.0, 8.0)], "prior_id long, current_id long, entity_id long, predicate string, prior_value double, current_value double")
     got = {r.prior_id: (r.relative_change, r.severity) for r in changes.capacity_alerts(pairs).collect()}
