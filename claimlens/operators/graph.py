@@ -90,21 +90,27 @@ def _membership(stars: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _led_to(graph: DataFrame, node: str, to: str, staging: Staging) -> DataFrame:
+def _led_to(graph: DataFrame, node: str | list[str], to: str | list[str], staging: Staging) -> DataFrame:
     """The rows of a graph that leave a node to which another row of it leads: what a walk can take one step later."""
-    ends = graph.select(F.col(to).alias(node)).distinct()
+    node, to = ([x] if isinstance(x, str) else x for x in (node, to))
+    ends = graph.select(*[F.col(t).alias(n) for n, t in zip(node, to, strict=True)]).distinct()
     return staging.table(graph.join(ends, node, "left_semi").select(graph.columns), "graph")
 
 
-def expand(begin: DataFrame, graph: DataFrame, ahead: Callable[[DataFrame, DataFrame], DataFrame], staging: Staging, node: str = "node", to: str = "next", rounds: int | None = None, check: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows reached from `begin`, with repeats; the rows of the last round, empty unless `rounds` ended it; the graph left then.
+def expand(begin: DataFrame, graph: DataFrame, ahead: Callable[[DataFrame, DataFrame], DataFrame], staging: Staging, node: str | list[str] = "node", to: str | list[str] = "next", rounds: int | None = None, check: Callable[[DataFrame], None] | None = None, small: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows reached from `begin`, with repeats; the rows of the last round, empty unless `rounds` or `small` ended it; the graph left then.
 
     ahead(rows, graph) gives the rows one step on; begin and graph are staged. Rows of a round are distinct, but only after
     1, 2, 4, 8... rounds are those known before taken out, so all that is held is read a few times and not once a round;
     circles end within twice their rounds. `check` sees what is held at the same times and at the end. The graph is cut
-    each round to what a walk of that length can still take, as long as that takes a fifth of it away.
+    each round to what a walk of that length can still take, as long as that takes a fifth of it away. Rounds end where
+    `small` rows of it are left at most: the rows of the last round have not walked these.
     """
     held, fresh, n, size = begin, begin, 0, None
+    if small is not None:
+        size = graph.count()
+        if size <= small:
+            return held, fresh, graph
     while rounds is None or n < rounds:
         n += 1
         told = n & (n - 1) == 0
@@ -121,6 +127,8 @@ def expand(begin: DataFrame, graph: DataFrame, ahead: Callable[[DataFrame, DataF
             old, graph = graph, _led_to(graph, node, to, staging)
             now = graph.count()
             staging.drop(old)
+            if small is not None and now <= small:
+                break
             size = now if now * 5 <= before * 4 else 0  # 0: it shrinks no more
     return held, fresh, graph
 

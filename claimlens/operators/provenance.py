@@ -69,13 +69,18 @@ def traced_edges(nodes: DataFrame, graph: DataFrame) -> DataFrame:
     return nodes.join(graph, ["kind", "id"]).select("root_kind", "root", "relation", "kind", "id", "next_kind", "next_id")
 
 
-def faults(nodes: DataFrame, rules: dict[str, DataFrame]) -> DataFrame:
-    """(root_kind, root, kind, id, fault) of the nodes of a trace. rules: by kind, (id, fault) of that kind's rows that break a rule."""
+def broken(rules: dict[str, DataFrame]) -> DataFrame:
+    """(kind, id, fault), each once. rules: by kind, (id, fault) of that kind's rows that break a rule."""
     found = None
-    for kind, broken in sorted(rules.items()):
-        one = broken.select(F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id"), "fault")
+    for kind, rows in sorted(rules.items()):
+        one = rows.select(F.lit(kind).alias("kind"), F.col("id").cast("string").alias("id"), "fault")
         found = one if found is None else found.unionByName(one)
-    return nodes.join(found.distinct(), ["kind", "id"]).select("root_kind", "root", "kind", "id", "fault")
+    return found.distinct()
+
+
+def faults(nodes: DataFrame, rules: dict[str, DataFrame]) -> DataFrame:
+    """(root_kind, root, kind, id, fault) of the nodes of a trace; rules as in `broken`."""
+    return nodes.join(broken(rules), ["kind", "id"]).select("root_kind", "root", "kind", "id", "fault")
 
 
 # ---------------------------------------------------------------- circles

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from claimlens.operators import provenance, spatial
+from claimlens.operators import provenance, spatial, traced
 from claimlens.operators.provenance import Relation, step
 from claimlens.plans.queries import CURRENT, DEPS, EVIDENCE, _current, query
 from claimlens.plans.staging import Staging
@@ -12,6 +12,9 @@ from claimlens.sources import projection as P
 
 # ---------------------------------------------------------------- provenance
 
+#: Nodes below a claim; a claim that rests on more is an error.
+BUDGET = 5_000
+
 _EDGES = """
 e AS (SELECT DISTINCT * FROM (
   SELECT 'depends' AS relation, 'claim' AS kind, child::VARCHAR AS id, 'claim' AS next_kind, parent::VARCHAR AS next_id FROM deps
@@ -27,14 +30,14 @@ e AS (SELECT DISTINCT * FROM (
 reach(root, kind, id) AS (SELECT claim_id, 'claim', claim_id::VARCHAR FROM current_view UNION SELECT r.root, e.next_kind, e.next_id FROM reach r JOIN e ON e.kind = r.kind AND e.id = r.id)"""
 
 
-def _graph(spark, sf_dir):
+def _relations(spark, sf_dir):
     t = lambda name: P.table(spark, sf_dir, name)
     events = t("events").withColumn("series", F.concat_ws(":", F.col("user_id").cast("string"), "event_type"))
     records = t("customer").select("c_custkey", (F.col("c_custkey") % 10 + 1).alias("run"))
-    relations = [
+    return [
         Relation("depends", "claim", "child", "claim", "parent", P.dependencies(spark, sf_dir)),
         Relation("states", "claim", "event_id", "series", "series", events),
-        Relation("about", "series", "series", "entity", "user_id", events),
+        Relation("about", "series", "series", "entity", "user_id", events.select("series", "user_id").distinct()),
         Relation("evidence", "claim", "claim_id", "document", "document_id", P.evidence(spark, sf_dir)),
         Relation("reads", "claim", "event_id", "record", "c_custkey", events.join(records, F.col("c_custkey") == F.col("user_id"))),
         Relation("written", "record", "c_custkey", "run", "run", records),
@@ -43,27 +46,26 @@ def _graph(spark, sf_dir):
         Relation("published", "document", "doc_id", "source", "source", t("documents")),
         Relation("belongs", "source", "source", "family", "lang", t("documents").groupBy("source").agg(F.min("lang").alias("lang"))),
     ]
-    return provenance.edges(relations)
 
 
-def _trace(spark, sf_dir, graph):
-    seeds = _current(spark, sf_dir).select(F.lit("claim").alias("kind"), F.col("claim_id").alias("id"))
-    return provenance.trace(seeds, graph, Staging(spark, "provenance"), budget=5_000)
+def _seeds(spark, sf_dir):
+    return _current(spark, sf_dir).select(F.lit("claim").alias("kind"), F.col("claim_id").alias("id"))
+
+
+def _trace(spark, sf_dir):
+    return provenance.trace(_seeds(spark, sf_dir), provenance.edges(_relations(spark, sf_dir)), Staging(spark, "provenance"), BUDGET)
 
 
 @query(f"WITH RECURSIVE {CURRENT}, {DEPS}, {EVIDENCE}, {_EDGES} SELECT root::VARCHAR AS root, kind, count(*) AS n, min(id) AS first_id FROM reach GROUP BY ALL")
 def provenance_nodes(spark, sf_dir):
     """What every claim of the current view rests on: nodes of eight kinds, over ten relations."""
-    return _trace(spark, sf_dir, _graph(spark, sf_dir)).groupBy("root", "kind").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    return _trace(spark, sf_dir).groupBy("root", "kind").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
 @query(f"WITH RECURSIVE {CURRENT}, {DEPS}, {EVIDENCE}, {_EDGES} SELECT relation, e.kind, next_kind, count(*) AS n, count(DISTINCT root) AS n_roots, count(DISTINCT e.id || '>' || next_id) AS n_edges FROM reach r JOIN e ON e.kind = r.kind AND e.id = r.id GROUP BY ALL")
 def provenance_edges(spark, sf_dir):
     """The edges of the same graphs, by relation."""
-    graph = Staging(spark, "provenance").table(_graph(spark, sf_dir), "graph")
-    below = provenance.traced_edges(_trace(spark, sf_dir, graph), graph)
-    by = below.groupBy("relation", "kind", "next_kind")
-    return by.agg(F.count("*").alias("n"), F.countDistinct("root").alias("n_roots"), F.countDistinct("id", "next_id").alias("n_edges"))
+    return traced.by_relation(_seeds(spark, sf_dir), _relations(spark, sf_dir), Staging(spark, "provenance"), BUDGET)
 
 
 @query(f"""WITH RECURSIVE {CURRENT}, {DEPS}, {EVIDENCE}, {_EDGES}, faults AS (
@@ -83,7 +85,7 @@ def provenance_faults(spark, sf_dir):
         "claim": of(claims.join(held, "claim_id", "left_anti"), "claim_id", "no support").unionByName(of(claims.where(F.col("recorded_us") > 1705320000000000), "claim_id", "recorded after the cutoff")),
         "document": of(t("documents").where("source is null or lang is null"), "doc_id", "without a source"),
     }
-    return provenance.faults(_trace(spark, sf_dir, _graph(spark, sf_dir)), rules).select("root", "kind", "id", "fault")
+    return provenance.faults(_trace(spark, sf_dir), rules).select("root", "kind", "id", "fault")
 
 
 @query(f"""WITH RECURSIVE {DEPS}, n AS (SELECT count(*) AS n FROM events),

@@ -49,10 +49,10 @@ def small_batches(spark: SparkSession, rows: int = 256, size: int = 8 << 20) ->
     return spark
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
+def spread(table: DataFrame, *key: str) -> DataFrame:
     """The table by its key over all shuffle partitions, for joins of two tables that grow together.
 
     Ids in order compress to a few bytes, and adaptive execution gathers partitions by compressed bytes: left to it, one
     task sorts millions of rows of each side. A number given by us is kept.
     """
-    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return table.repartition(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
