@@ -59,7 +59,7 @@ def _trace(spark, sf_dir):
 @query(f"WITH RECURSIVE {CURRENT}, {DEPS}, {EVIDENCE}, {_EDGES} SELECT root::VARCHAR AS root, kind, count(*) AS n, min(id) AS first_id FROM reach GROUP BY ALL")
 def provenance_nodes(spark, sf_dir):
     """What every claim of the current view rests on: nodes of eight kinds, over ten relations."""
-    return _trace(spark, sf_dir).groupBy("root", "kind").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    return traced.counts(_seeds(spark, sf_dir), _relations(spark, sf_dir), Staging(spark, "provenance"), BUDGET).select("root", "kind", "n", "first_id")
 
 
 @query(f"WITH RECURSIVE {CURRENT}, {DEPS}, {EVIDENCE}, {_EDGES} SELECT relation, e.kind, next_kind, count(*) AS n, count(DISTINCT root) AS n_roots, count(DISTINCT e.id || '>' || next_id) AS n_edges FROM reach r JOIN e ON e.kind = r.kind AND e.id = r.id GROUP BY ALL")
