@@ -52,10 +52,6 @@ def _seeds(spark, sf_dir):
     return _current(spark, sf_dir).select(F.lit("claim").alias("kind"), F.col("claim_id").alias("id"))
 
 
-def _trace(spark, sf_dir):
-    return provenance.trace(_seeds(spark, sf_dir), provenance.edges(_relations(spark, sf_dir)), Staging(spark, "provenance"), BUDGET)
-
-
 @query(f"WITH RECURSIVE {CURRENT}, {DEPS}, {EVIDENCE}, {_EDGES} SELECT root::VARCHAR AS root, kind, count(*) AS n, min(id) AS first_id FROM reach GROUP BY ALL")
 def provenance_nodes(spark, sf_dir):
     """What every claim of the current view rests on: nodes of eight kinds, over ten relations."""
@@ -85,7 +81,7 @@ def provenance_faults(spark, sf_dir):
         "claim": of(claims.join(held, "claim_id", "left_anti"), "claim_id", "no support").unionByName(of(claims.where(F.col("recorded_us") > 1705320000000000), "claim_id", "recorded after the cutoff")),
         "document": of(t("documents").where("source is null or lang is null"), "doc_id", "without a source"),
     }
-    return provenance.faults(_trace(spark, sf_dir), rules).select("root", "kind", "id", "fault")
+    return traced.faults(_seeds(spark, sf_dir), _relations(spark, sf_dir), rules, Staging(spark, "provenance"), BUDGET).select("root", "kind", "id", "fault")
 
 
 @query(f"""WITH RECURSIVE {DEPS}, n AS (SELECT count(*) AS n FROM events),
